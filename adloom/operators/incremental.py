@@ -204,10 +204,8 @@ def caught_up_pages(
         rejected = (F.col("_new") == 1) & (F.col("_kept") == 0)
         votes = votes.when(rejected, F.array(F.lit(patience - 1)))
         stale = stale | rejected if patience == 1 else stale
-    cast = pages.select(
-        *feeds,
-        (F.col(page) + F.explode(votes)).alias("_target"),
-    )
+    targets = F.transform(votes, lambda step: F.col(page) + step)
+    cast = pages.select(*feeds, F.explode(targets).alias("_target"))
     counted = cast.groupBy(*feeds, "_target").agg(F.count("*").alias("_votes"))
     full = counted.filter(F.col("_votes") == patience).withColumnRenamed("_target", page)
     own = pages.filter(stale).select(*feeds, page)
