@@ -30,13 +30,14 @@ from adloom.functions.text import (
     alias_key, blank_to_null, fold_ar, is_arabic, is_short_or_numeric, map_value, override_make,
     strip, strip_brand_prefix, strip_variant_number, transliterate,
 )
-from adloom.session import durable, join_small
+from adloom.session import durable, fits_broadcast, join_small
 from adloom.sources.vocabulary import ANY_MAKE, FIELD_LISTS, Vocabulary
 
 NUMBER_FIELDS = ["price", "engine_size", "mileage", "year", "seats", "horsepower"]
 # Fields whose unmatched values are not reported (see unknown_values).
 SILENT_FIELDS = ["doors"]
 # ``drive_system`` can be resolved on request but is not part of a full listing normalisation.
+_FOLD = str.maketrans(dict(zip(V.FOLD_FROM, V.FOLD_TO)))
 LISTING_FIELDS = [f for f in FIELD_LISTS if f != "drive_system"]
 
 
@@ -151,6 +152,14 @@ def best_match(
     return found.withColumnRenamed("name", "match")
 
 
+def alias_in_row(raw: Column, field: str) -> Column:
+    """JN-6 inside a row: the short per-field alias maps are literals and need no join."""
+    folded: dict[str, str] = {}
+    for key, canonical in V.FIELD_ALIASES[field].items():
+        folded.setdefault(key.translate(_FOLD).replace("ـ", "").strip().lower(), canonical)
+    return map_value(alias_key(raw), folded)
+
+
 # --- fields ------------------------------------------------------------------------------------------
 def _list_of(field: Column) -> Column:
     return F.when(field == "make", F.lit("make")).otherwise(F.concat(F.lit("field:"), field))
@@ -305,16 +314,14 @@ def apply_resolution(df: DataFrame, resolution: Resolution) -> DataFrame:
     """Join resolved values back to the rows, one narrow join per column."""
     out = df
     present = [f for f in [*FIELD_LISTS, "make"] if f in df.columns]
-    resolved = {r["field"] for r in resolution.fields.select("field").distinct().collect()}
+    fits = fits_broadcast(resolution.fields)
     for field in present:
-        if field not in resolved:
-            out = out.withColumn(field, blank_to_null(strip(F.col(field).cast("string"))))
-            continue
         table = resolution.fields.filter(F.col("field") == field).select(
             F.col("raw").alias("_raw"), F.col("canonical").alias("_canonical")
         )
         out = out.withColumn("_raw", strip(F.col(field).cast("string")))
-        out = join_small(out, table, "_raw").withColumn(field, F.col("_canonical"))
+        out = join_small(out, table, "_raw", fits=fits)
+        out = out.withColumn(field, F.coalesce("_canonical", blank_to_null(F.col("_raw"))))
         out = out.drop("_raw", "_canonical")
     if resolution.models is not None and "model" in df.columns:
         table = resolution.models.select(

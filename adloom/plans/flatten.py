@@ -12,7 +12,7 @@ from adloom.functions import media as M
 from adloom.functions import numbers as N
 from adloom.functions import text as T
 from adloom.functions.dates import iso_date, relative_date
-from adloom.operators.specs import mine_description
+from adloom.operators.specs import field_value, mine_description
 from adloom.sources.envelope import ITEMS, member, pick, pick_clean
 
 def _image_list(value: Column) -> Column:
@@ -105,7 +105,7 @@ def flatten_classified_wide(df: DataFrame, source: str, base_url: str, as_of: Co
         F.transform(listed, lambda v: F.try_variant_get(v, "$", "string")),
         lambda u: u.startswith("http"),
     )
-    links = F.transform(links, M.better_quality)
+    links = F.transform(links, lambda u: M.better_quality(u))
     none = lambda name: F.lit(None).cast("string").alias(name)
     return df.select(
         none("scraped_at"),
@@ -257,10 +257,7 @@ def flatten_advert(
         }
     )
     fields = list(dict.fromkeys(V.ADVERT_SLUGS.values()))
-    first = {
-        f: F.try_element_at(F.filter("_attrs", lambda p, f=f: p["field"] == f), F.lit(1))["value"]
-        for f in fields
-    }
+    first = {f: field_value(F.col("_attrs"), f) for f in fields}
     for key_name, target in DIRECT_FIELDS:
         first[target] = F.coalesce(first[target], tidy(pick([key_name], it)))
     for name, entries in CODED_FIELDS.items():
@@ -337,8 +334,7 @@ def flatten_advert_wide(df: DataFrame, source: str, url_prefix: str, item: str =
     mined_as = {"exterior_color": "desc_color", "engine_size": "desc_engine"}
     out = {}
     for name in dict.fromkeys([*V.ADVERT_SLUGS.values(), "model"]):
-        hits = F.filter("_attrs", lambda p, name=name: p["field"] == name)
-        value = F.try_element_at(hits, F.lit(1))["value"]
+        value = field_value(F.col("_attrs"), name)
         if name == "mileage":
             value = N.clean_mileage(value, thousands=False)
         spare = mined_as.get(name, f"desc_{name}")

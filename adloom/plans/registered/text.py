@@ -83,7 +83,7 @@ def _(spark, sf):
     SELECT c_custkey,
       CASE WHEN phone IS NULL AND wa IS NULL THEN NULL WHEN phone IS NULL THEN 'WA:' || wa
            WHEN wa IS NULL OR wa = phone THEN phone ELSE phone || ' | WA:' || wa END AS contact,
-      coalesce(phone, wa) AS chosen
+      coalesce(nullif(phone, '0'), nullif(wa, '0')) AS chosen
     FROM (SELECT c_custkey, CASE WHEN c_acctbal > 0 THEN CAST(c_custkey AS VARCHAR) END AS phone,
                  CASE WHEN c_nationkey < 10 THEN CAST(c_custkey AS VARCHAR) WHEN c_nationkey < 20 THEN CAST(c_nationkey AS VARCHAR) END AS wa
           FROM customer)

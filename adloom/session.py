@@ -59,13 +59,17 @@ def join_small(
     how: str = "left",
     max_rows: int = BROADCAST_MAX_ROWS,
     max_bytes: int = BROADCAST_MAX_BYTES,
+    fits: bool | None = None,
 ) -> DataFrame:
     """Join ``big`` with a side expected to be small.
 
     ``small`` is broadcast when its measured size allows it, which leaves ``big`` unshuffled. Beyond
     the bound the join is a plain equi-join that AQE runs as sort-merge with skewed keys split.
-    Pass a ``small`` that is cheap to read twice (a dimension, or the result of :func:`durable`).
+    Pass a ``small`` that is cheap to read twice (a dimension, or the result of :func:`durable`), or
+    ``fits`` when a table that includes it has been measured already.
     """
-    if fits_broadcast(small, max_rows, max_bytes):
+    if fits is None:
+        fits = fits_broadcast(small, max_rows, max_bytes)
+    if fits:
         small = F.broadcast(small)
     return big.join(small, on, how)
