@@ -142,7 +142,7 @@ def best_match(
     """
     folded = folded_candidates(candidates)
     exact = match_exact(values, folded).withColumn("how", F.lit("exact"))
-    rest = durable(values.join(exact, ["list", "folded"], "left_anti"))
+    rest = values.join(exact, ["list", "folded"], "left_anti")
     inside = durable(
         match_containment(rest, folded, min_contains_length).withColumn("how", F.lit("contains"))
     )

@@ -13,7 +13,8 @@ from adloom.functions import numbers as N
 from adloom.functions import text as T
 from adloom.functions.dates import iso_date, relative_date
 from adloom.operators.specs import field_value, mine_description
-from adloom.sources.envelope import ITEMS, member, pick, pick_clean
+from adloom.sources.envelope import ITEMS, member, pick, with_texts
+from adloom.sources.schemas import COLUMNS
 
 def _image_list(value: Column) -> Column:
     """ARR-2: list of strings or objects, or one text with blanks between URLs."""
@@ -28,6 +29,42 @@ def _translated(c: Column, entries: Mapping[str, str]) -> Column:
 
 
 # --- classified items ----------------------------------------------------------------------------
+CLASSIFIED_PATHS = {
+    "listing_id": ["id"],
+    "ad_title": ["title_ar", "title_en", "name"],
+    "condition": ["condition"],
+    "body_type": ["body_type"],
+    "status": ["status"],
+    "make": ["brand.parent.name_ar", "brand.parent.name"],
+    "model": ["brand.name_ar", "brand.name"],
+    "year": ["year"],
+    "exterior_color": ["external_color", "exterior_color", "color"],
+    "interior_color": ["internal_color", "interior_color"],
+    "fuel_type": ["fuel_type"],
+    "engine_size": ["engine_capacity", "engine_size", "engine"],
+    "cylinders": ["number_of_cylinders", "cylinders"],
+    "transmission": ["transmission"],
+    "drive_system": ["drive_line", "drive_system", "drivetrain"],
+    "origin": ["source", "origin"],
+    "specifications": ["specifications", "specs"],
+    "city": ["city", "location"],
+    "mileage": ["kilometers_parsed", "mileage", "odometer"],
+    "price": ["price"],
+    "views": ["views_count", "views"],
+    "featured": ["is_featured", "featured"],
+    "phone": ["user.phone"],
+    "seller_name": ["user.name", "user.full_name"],
+    "description": ["description", "notes"],
+}
+CLASSIFIED_CODES = {
+    "condition": V.CONDITIONS_EN, "body_type": V.BODIES_EN, "exterior_color": V.COLORS_EN,
+    "interior_color": V.COLORS_EN, "fuel_type": V.CLASSIFIED_FUELS,
+    "transmission": V.CLASSIFIED_TRANSMISSIONS, "drive_system": V.CLASSIFIED_DRIVES,
+    "origin": V.CLASSIFIED_ORIGINS, "specifications": V.CLASSIFIED_SPECIFICATIONS,
+    "city": V.CLASSIFIED_CITIES,
+}
+
+
 def flatten_classified(df: DataFrame, source: str, url_template: str, item: str = "item", listing: str | None = None) -> DataFrame:
     """PRJ-5, raw form: columns of profile ``classified_raw``.
 
@@ -36,111 +73,101 @@ def flatten_classified(df: DataFrame, source: str, url_template: str, item: str
     ``{id}``.
     """
     items = [F.col(item)] + ([F.col(listing)] if listing else [])
-    brand, user = member("brand", *items), member("user", *items)
-    parent = F.try_variant_get(brand, "$.parent", "variant")
-    images = _image_list(member("images", *items))
-    key = F.coalesce(pick(["id"], *items), F.lit(""))
-    color = lambda *names: _translated(pick_clean(names, *items), V.COLORS_EN)
-    link = F.replace(F.lit(url_template), F.lit("{id}"), T.strip(key))
-    featured = F.coalesce(pick(["is_featured", "featured"], *items).isNotNull(), F.lit(False))
-    return df.select(
-        F.concat(F.lit(f"{source}_"), T.strip(key)).alias("id"),
-        F.lit(source).alias("source"),
-        F.when(key != "", link).alias("car_url"),
-        T.strip(key).alias("listing_id"),
-        pick_clean(["title_ar", "title_en", "name"], *items).alias("ad_title"),
-        F.lit(V.FOR_SALE).alias("listing_type"),
-        _translated(pick_clean(["condition"], *items), V.CONDITIONS_EN).alias("condition"),
-        _translated(pick_clean(["body_type"], *items), V.BODIES_EN).alias("body_type"),
-        pick_clean(["status"], *items).alias("status"),
-        pick_clean(["name_ar", "name"], parent).alias("make"),
-        pick_clean(["name_ar", "name"], brand).alias("model"),
-        pick_clean(["year"], *items).alias("year"),
-        color("external_color", "exterior_color", "color").alias("exterior_color"),
-        color("internal_color", "interior_color").alias("interior_color"),
-        _translated(pick_clean(["fuel_type"], *items), V.CLASSIFIED_FUELS).alias("fuel_type"),
-        pick_clean(["engine_capacity", "engine_size", "engine"], *items).alias("engine_size"),
-        pick_clean(["number_of_cylinders", "cylinders"], *items).alias("cylinders"),
-        _translated(
-            pick_clean(["transmission"], *items), V.CLASSIFIED_TRANSMISSIONS
-        ).alias("transmission"),
-        _translated(
-            pick_clean(["drive_line", "drive_system", "drivetrain"], *items), V.CLASSIFIED_DRIVES
-        ).alias("drive_system"),
-        _translated(pick_clean(["source", "origin"], *items), V.CLASSIFIED_ORIGINS).alias("origin"),
-        _translated(
-            pick_clean(["specifications", "specs"], *items), V.CLASSIFIED_SPECIFICATIONS
-        ).alias("specifications"),
-        _translated(pick_clean(["city", "location"], *items), V.CLASSIFIED_CITIES).alias("city"),
-        pick_clean(["kilometers_parsed", "mileage", "odometer"], *items).alias("mileage"),
-        N.price_digits(pick(["price"], *items)).alias("price"),
-        F.lit(None).cast("date").alias("date_added"),
-        F.lit(None).cast("string").alias("scraped_at"),
-        pick(["views_count", "views"], *items).alias("views"),
-        F.when(featured, F.lit("True")).otherwise(F.lit("False")).alias("featured"),
-        pick_clean(["phone"], user).alias("phone"),
-        pick_clean(["name", "full_name"], user).alias("seller_name"),
-        pick_clean(["description", "notes"], *items).alias("description"),
-        images.alias("image_urls"),
-        F.size(images).alias("image_count"),
+    staged = df.withColumn("_images", _image_list(member("images", *items)))
+    texts = with_texts(
+        staged, CLASSIFIED_PATHS, *items, plain=["listing_id", "price", "views", "featured"]
+    )
+    texts = texts.withColumns({f: _translated(F.col(f), m) for f, m in CLASSIFIED_CODES.items()})
+    key = T.strip(F.coalesce("listing_id", F.lit("")))
+    computed = {
+        "id": F.concat(F.lit(f"{source}_"), key),
+        "source": F.lit(source),
+        "car_url": F.when(key != "", F.replace(F.lit(url_template), F.lit("{id}"), key)),
+        "listing_id": key,
+        "listing_type": F.lit(V.FOR_SALE),
+        "price": N.price_digits(F.col("price")),
+        "date_added": F.lit(None).cast("date"),
+        "scraped_at": F.lit(None).cast("string"),
+        "featured": F.when(F.col("featured").isNotNull(), F.lit("True")).otherwise(F.lit("False")),
+        "image_urls": F.col("_images"),
+        "image_count": F.size("_images"),
+    }
+    return texts.select(
+        *[computed.get(c, F.col(c)).alias(c) for c in COLUMNS["classified_raw"]]
     )
 
 
+WIDE_PATHS = {
+    "created_en": ["created_at_en"],
+    "created_ar": ["created_at_ar"],
+    "ad_title": ["title_ar", "title_en"],
+    "brand": ["brand.parent.name_ar", "brand.parent.name_en", "brand.name_ar", "brand.name_en"],
+    "model": ["brand.name_ar", "brand.name_en"],
+    "price": ["price"],
+    "location": ["city"],
+    "year": ["year"],
+    "drive_system": ["drive_line"],
+    "transmission": ["transmission"],
+    "fuel_type": ["fuel_type"],
+    "engine": ["engine_capacity"],
+    "cylinders": ["number_of_cylinders"],
+    "color": ["external_color"],
+    "interior_color": ["internal_color"],
+    "description": ["description"],
+    "origin": ["source"],
+    "specifications": ["specifications"],
+    "seller_name": ["user.name"],
+    "contact": ["user.phone"],
+}
+
+
 def flatten_classified_wide(df: DataFrame, source: str, base_url: str, as_of: Column, item: str = "item") -> DataFrame:
     """PRJ-5, wide form: columns of profile ``classified_wide``; relative dates count from ``as_of``."""
     it = F.col(item)
-    brand, user = member("brand", it), member("user", it)
-    parent = F.try_variant_get(brand, "$.parent", "variant")
-    key = F.coalesce(F.try_variant_get(it, "$.id", "string"), F.lit(""))
-    code = lambda name, entries: F.coalesce(
-        T.map_value(T.strip(pick([name], it)), entries), T.strip(pick([name], it))
-    )
-    extra = lambda name, entries, label: F.concat(
-        F.lit(label), T.map_value(T.strip(pick([name], it)), entries)
-    )
-    city = pick_clean(["city"], it)
-    phone = pick_clean(["phone"], user)
-    listed = F.try_variant_get(member("images", it), "$", ITEMS)
+    listed = F.try_variant_get(it, "$.images", ITEMS)
     links = F.filter(
         F.transform(listed, lambda v: F.try_variant_get(v, "$", "string")),
         lambda u: u.startswith("http"),
     )
-    links = F.transform(links, lambda u: M.better_quality(u))
-    none = lambda name: F.lit(None).cast("string").alias(name)
-    return df.select(
-        none("scraped_at"),
-        relative_date(pick(["created_at_en"], it), pick(["created_at_ar"], it), as_of).alias("date_added"),
-        F.lit(source).alias("source"), F.concat(F.lit(f"{source}_"), key).alias("id"),
-        F.lit("cars").alias("category"),
-        pick_clean(["title_ar", "title_en"], it).alias("ad_title"),
-        F.lit(V.FOR_SALE).alias("listing_type"), none("condition"), none("body_type"),
-        T.clean(
-            F.coalesce(pick(["name_ar", "name_en"], parent), pick(["name_ar", "name_en"], brand))
-        ).alias("brand"),
-        pick_clean(["name_ar", "name_en"], brand).alias("model"),
-        T.blank_to_null(F.regexp_replace(pick(["price"], it), r"(?U)[^\d.]", "")).alias("price"),
-        F.coalesce(T.map_value(F.lower(city), V.WIDE_CITIES), city).alias("location"),
-        pick_clean(["year"], it).alias("year"),
-        code("drive_line", V.WIDE_DRIVES).alias("drive_system"),
-        code("transmission", V.WIDE_TRANSMISSIONS).alias("transmission"),
-        code("fuel_type", V.WIDE_FUELS).alias("fuel_type"),
-        F.try_variant_get(it, "$.kilometers", "string").alias("mileage"),
-        pick_clean(["engine_capacity"], it).alias("engine"),
-        pick_clean(["number_of_cylinders"], it).alias("cylinders"),
-        pick_clean(["external_color"], it).alias("color"),
-        pick_clean(["internal_color"], it).alias("interior_color"),
-        none("doors"), none("vin"),
-        T.blank_to_null(
+    staged = df.withColumns(
+        {
+            "_links": F.transform(links, lambda u: M.better_quality(u)),
+            "_key": F.coalesce(F.try_variant_get(it, "$.id", "string"), F.lit("")),
+            "mileage": F.try_variant_get(it, "$.kilometers", "string"),
+        }
+    )
+    coded = ["drive_system", "transmission", "fuel_type", "origin", "specifications"]
+    texts = with_texts(staged, WIDE_PATHS, it, plain=["created_en", "created_ar", "price", *coded])
+    texts = texts.withColumns({c: T.strip(F.col(c)) for c in coded})
+    code = lambda name, entries: F.coalesce(T.map_value(F.col(name), entries), F.col(name))
+    extra = lambda name, entries, label: F.concat(F.lit(label), T.map_value(F.col(name), entries))
+    computed = {
+        "date_added": relative_date(F.col("created_en"), F.col("created_ar"), as_of),
+        "source": F.lit(source),
+        "id": F.concat(F.lit(f"{source}_"), F.col("_key")),
+        "category": F.lit("cars"),
+        "listing_type": F.lit(V.FOR_SALE),
+        "price": T.blank_to_null(F.regexp_replace("price", r"(?U)[^\d.]", "")),
+        "location": F.coalesce(T.map_value(F.lower("location"), V.WIDE_CITIES), F.col("location")),
+        "drive_system": code("drive_system", V.WIDE_DRIVES),
+        "transmission": code("transmission", V.WIDE_TRANSMISSIONS),
+        "fuel_type": code("fuel_type", V.WIDE_FUELS),
+        "description": T.blank_to_null(
             F.concat_ws(
-                " | ", pick_clean(["description"], it),
-                extra("source", V.WIDE_ORIGINS, V.ORIGIN_LABEL),
+                " | ", "description", extra("origin", V.WIDE_ORIGINS, V.ORIGIN_LABEL),
                 extra("specifications", V.WIDE_SPECIFICATIONS, V.SPECIFICATION_LABEL),
             )
-        ).alias("description"),
-        pick_clean(["name"], user).alias("seller_name"), T.with_plus(phone).alias("contact"),
-        none("images"), none("image_folder_url"),
-        F.array_join(links, ", ").alias("images_original_links"),
-        F.concat(F.lit(f"{base_url.rstrip('/')}/cars/"), key).alias("car_url"),
+        ),
+        "contact": T.with_plus(F.col("contact")),
+        "images_original_links": F.array_join("_links", ", "),
+        "car_url": F.concat(F.lit(f"{base_url.rstrip('/')}/cars/"), F.col("_key")),
+    }
+    none = F.lit(None).cast("string")
+    return texts.select(
+        *[
+            computed.get(c, F.col(c) if c in texts.columns else none).alias(c)
+            for c in COLUMNS["classified_wide"]
+        ]
     )
 
 
@@ -159,35 +186,49 @@ CODED_FIELDS = {
 }
 
 
+ATTRIBUTE_PATHS = {
+    "slug": ["slug", "key"],
+    "label": ["name_ar", "label_ar", "name"],
+    "text": ["value_ar", "value", "val", "display_value"],
+}
+
+
 def attribute_pairs(attributes: Column) -> Column:
     """Attribute variants, nested or flat, as ``(field, value)``; unspecified values are dropped.
 
-    The slug is looked up before the Arabic label.
+    The slug is looked up before the Arabic label. Three transforms follow one another, so that each
+    step works on values the step before has bound.
     """
 
-    def entry(a: Column) -> Column:
-        form = F.try_variant_get(a, "$.template_field", "variant")
+    def parts(a: Column) -> Column:
+        return F.struct(
+            a.alias("flat"), F.try_variant_get(a, "$.template_field", "variant").alias("form"),
+            F.try_variant_get(a, "$.value", "variant").alias("value"),
+        )
+
+    def texts(p: Column) -> Column:
+        form, flat, value = p["form"], p["flat"], p["value"]
         nested = F.schema_of_variant(form).startswith("OBJECT")
-        value = F.try_variant_get(a, "$.value", "variant")
-        nested_value = F.when(
+        inner = F.when(
             F.schema_of_variant(value).startswith("OBJECT"), pick(["ar", "en"], value)
         ).otherwise(F.try_variant_get(value, "$", "string"))
-        slug = F.when(nested, pick(["slug"], form)).otherwise(pick(["slug", "key"], a))
-        label = F.when(nested, pick_clean(["field_name_ar", "name_ar"], form)).otherwise(
-            pick_clean(["name_ar", "label_ar", "name"], a)
-        )
-        text = F.when(nested, nested_value).otherwise(
-            pick(["value_ar", "value", "val", "display_value"], a)
+        own = {k: pick(keys, flat) for k, keys in ATTRIBUTE_PATHS.items()}
+        return F.struct(
+            F.when(nested, pick(["slug"], form)).otherwise(own["slug"]).alias("slug"),
+            F.when(nested, pick(["field_name_ar", "name_ar"], form)).otherwise(own["label"]).alias("label"),
+            F.when(nested, inner).otherwise(own["text"]).alias("text"),
         )
+
+    def pair(p: Column) -> Column:
         target = F.coalesce(
-            T.map_value(T.strip(slug), V.ADVERT_SLUGS), T.map_value(label, V.ADVERT_LABELS)
+            T.map_value(T.strip(p["slug"]), V.ADVERT_SLUGS),
+            T.map_value(T.squeeze(p["label"]), V.ADVERT_LABELS),
         )
-        return F.struct(target.alias("field"), T.clean(text).alias("value"))
+        return F.struct(target.alias("field"), T.squeeze(p["text"]).alias("value"))
 
-    return F.filter(
-        F.transform(attributes, entry),
-        lambda p: p["field"].isNotNull() & p["value"].isNotNull() & ~p["value"].isin(V.UNSPECIFIED),
-    )
+    missing = ["", *V.PLACEHOLDERS, *V.UNSPECIFIED]
+    found = F.transform(F.transform(F.transform(attributes, parts), texts), pair)
+    return F.filter(found, lambda p: p["field"].isNotNull() & ~p["value"].isin(missing))
 
 
 def _list(item: Column, key: str) -> Column:
@@ -195,8 +236,32 @@ def _list(item: Column, key: str) -> Column:
     return F.when(F.size(entries) > 0, entries)
 
 
-def _name(item: Column, key: str) -> Column:
-    return pick(["name_ar", "name"], member(key, item))
+def _names(key: str) -> list[str]:
+    return [f"{key}.name_ar", f"{key}.name"]
+
+
+ADVERT_PATHS = {
+    "listing_id": ["id", "_id"],
+    "slug": ["slug"],
+    "ad_title": ["title", "name"],
+    "make": [*_names("category"), "make", "brand"],
+    "city": [*_names("governorate"), "city"],
+    "price": ["price"],
+    "date_added": ["createdAt", "created_at", "published_date", "date_added"],
+    "phone": ["phone"],
+    "whatsapp": ["whatsapp"],
+    "description": ["description_ar", "description"],
+    "given_model": ["model_ar", "model"],
+    "category_model": [*_names("sub_category"), *_names("subCategory")],
+    "cover": ["cover_image", "thumbnail"],
+}
+PERSON_PATHS = {
+    "seller_name": ["customer.name", "customer.full_name"],
+    "seller_listings": ["customer.totalAds", "customer.ads_count"],
+    "creator_name": ["created_by.name", "created_by.full_name"],
+    "creator_listings": ["created_by.totalAds", "created_by.ads_count"],
+    "customer": ["customer"],
+}
 
 
 def flatten_advert(
@@ -218,71 +283,69 @@ def flatten_advert(
         raise ValueError(f"unknown form {form!r}")
     raw_form, it = form == "raw", F.col(item)
     tidy = T.clean if raw_form else (lambda c: T.clean(c, V.PLACEHOLDERS_FOLDED, ignore_case=True))
-    empty = F.array().cast(ITEMS)
-    sources = [F.try_variant_get(F.col(detail), "$", ITEMS)] if detail else []
-    sources += [F.coalesce(*[_list(it, k) for k in FEATURED_KEYS]), _list(it, "attributes")]
-    attributes = F.concat(*[F.coalesce(s, empty) for s in sources])
-    key = T.strip(F.coalesce(pick(["id", "_id"], it), F.lit("")))
-    slug = T.strip(F.coalesce(pick(["slug"], it), F.lit("")))
-    person = F.coalesce(
-        *[F.when(F.schema_of_variant(member(k, it)).startswith("OBJECT"), member(k, it))
-          for k in ("customer", "created_by")]
-    )
-    title = tidy(pick(["title", "name"], it))
     covers = [F.transform(_list(it, k), M.image_entry_url) for k in ("gallery", "images", "photos")]
-    rented = T.listing_type_of_title(F.coalesce(title, F.lit("")), V.RENT_WORDS_SHORT)
-    base = df.withColumns(
+    staged = _with_attributes(df, it, detail).withColumn("_cover", M.cover_url(*covers))
+    direct = {f"direct_{key}": [key] for key, _ in DIRECT_FIELDS}
+    kept = ["listing_id", "slug", "price", "date_added", "phone", "whatsapp", "cover", "customer",
+            "seller_listings", "creator_listings"]
+    texts = with_texts(
+        staged, {**ADVERT_PATHS, **PERSON_PATHS, **direct}, it, tidy=tidy, plain=kept
+    )
+    texts = texts.withColumns({k: T.strip(F.coalesce(k, F.lit(""))) for k in ("listing_id", "slug")})
+    key = F.when(F.col("listing_id") != "", F.col("listing_id")).otherwise(F.col("slug"))
+    creator = lambda name, other: F.when(F.col("customer").isNull(), F.col(other)).otherwise(F.col(name))
+    rented = T.listing_type_of_title(F.coalesce("ad_title", F.lit("")), V.RENT_WORDS_SHORT)
+    base = texts.withColumns(
         {
-            "_attrs": attribute_pairs(attributes),
-            "id": F.concat(F.lit(f"{source}_"), F.when(key != "", key).otherwise(slug)),
+            "id": F.concat(F.lit(f"{source}_"), key),
             "source": F.lit(source),
-            "listing_id": T.blank_to_null(key),
-            "slug": T.blank_to_null(slug),
-            "car_url": F.when(slug != "", F.concat(F.lit(url_prefix), slug)),
-            "ad_title": title,
+            "listing_id": T.blank_to_null(F.col("listing_id")),
+            "car_url": F.when(F.col("slug") != "", F.concat(F.lit(url_prefix), F.col("slug"))),
+            "slug": T.blank_to_null(F.col("slug")),
             "listing_type": rented if raw_form else F.lit(V.FOR_SALE),
-            "make": tidy(F.coalesce(_name(it, "category"), pick(["make", "brand"], it))),
-            "city": tidy(F.coalesce(_name(it, "governorate"), pick(["city"], it))),
-            "price": N.price_digits(pick(["price"], it)),
-            "date_added": iso_date(
-                pick(["createdAt", "created_at", "published_date", "date_added"], it)
-            ),
-            "phone": T.choose_phone(pick(["phone"], it), pick(["whatsapp"], it)),
-            "seller_name": tidy(pick(["name", "full_name"], person)),
-            "seller_listings": pick(["totalAds", "ads_count"], person),
-            "description": tidy(pick(["description_ar", "description"], it)),
-            "cover_image_url": M.cover_url(
-                *covers, fallbacks=(pick(["cover_image"], it), pick(["thumbnail"], it))
-            ),
+            "price": N.price_digits(F.col("price")),
+            "date_added": iso_date(F.col("date_added")),
+            "phone": T.choose_phone(F.col("phone"), F.col("whatsapp")),
+            "seller_name": creator("seller_name", "creator_name"),
+            "seller_listings": creator("seller_listings", "creator_listings"),
+            "cover_image_url": F.coalesce("_cover", "cover"),
         }
     )
-    fields = list(dict.fromkeys(V.ADVERT_SLUGS.values()))
-    first = {f: field_value(F.col("_attrs"), f) for f in fields}
-    for key_name, target in DIRECT_FIELDS:
-        first[target] = F.coalesce(first[target], tidy(pick([key_name], it)))
-    for name, entries in CODED_FIELDS.items():
-        codes = entries if raw_form or name != "fuel_type" else {**entries, "petrol": entries["gasoline"]}
-        first[name] = _translated(first[name], codes)
+    first = {f: field_value(F.col("_attrs"), f) for f in dict.fromkeys(V.ADVERT_SLUGS.values())}
+    for name, target in DIRECT_FIELDS:
+        first[target] = F.coalesce(first[target], F.col(f"direct_{name}"))
     flat = base.withColumns(first)
-    given = tidy(pick(["model_ar", "model"], it))
+    codes = dict(CODED_FIELDS)
+    if not raw_form:
+        codes["fuel_type"] = {**V.ADVERT_FUELS, "petrol": V.ADVERT_FUELS["gasoline"]}
+    flat = flat.withColumns({f: _translated(F.col(f), entries) for f, entries in codes.items()})
     if raw_form:
-        flat = _advert_raw_tail(flat, given)
+        flat = _advert_raw_tail(flat)
     else:
-        category = tidy(F.coalesce(_name(it, "sub_category"), _name(it, "subCategory")))
         left = T.model_from_title(F.col("ad_title"), F.col("make"), F.col("year"))
         left = F.when(F.col("make").isNotNull(), left)
-        flat = flat.withColumn("model", F.coalesce(category, given, left))
-    dropped = {"_attrs", item, *([detail] if detail else [])}
-    return flat.select(*[c for c in flat.columns if c not in dropped])
+        flat = flat.withColumn("model", F.coalesce("category_model", "given_model", left))
+    helpers = {"_attrs", "_cover", "cover", "customer", "whatsapp", "given_model", "category_model",
+               "creator_name", "creator_listings", item, detail, *direct}
+    return flat.select(*[c for c in flat.columns if c not in helpers])
 
 
-def _advert_raw_tail(flat: DataFrame, given: Column) -> DataFrame:
+def _with_attributes(df: DataFrame, item: Column, detail: str | None) -> DataFrame:
+    """Add ``_attrs``: attribute pairs of the detail, the featured and the plain list, in that order."""
+    sources = [F.try_variant_get(F.col(detail), "$", ITEMS)] if detail else []
+    sources += [F.coalesce(*[_list(item, k) for k in FEATURED_KEYS]), _list(item, "attributes")]
+    empty = F.array().cast(ITEMS)
+    raw = df.withColumn("_attrs", F.concat(*[F.coalesce(s, empty) for s in sources]))
+    return raw.withColumn("_attrs", attribute_pairs(F.col("_attrs")))
+
+
+def _advert_raw_tail(flat: DataFrame) -> DataFrame:
     """Title fallback, unit stripping and the rewriting of "other"."""
     from_title = T.parse_title(F.coalesce(F.col("ad_title"), F.lit("")))
     bad = F.col("make").isNull() | F.col("make").isin(V.BAD_MAKES)
     flat = flat.withColumn("_title", from_title).withColumns(
         {
-            "model": T.trim_model_place(F.coalesce(given, F.col("_title.model"))),
+            "model": T.trim_model_place(F.coalesce("given_model", "_title.model")),
             "make": F.when(bad, F.coalesce("_title.make", "make")).otherwise(F.col("make")),
             "year": N.clean_year(F.col("year")).cast("string"),
             "mileage": T.strip_km(F.col("mileage")),
@@ -295,38 +358,52 @@ def _advert_raw_tail(flat: DataFrame, given: Column) -> DataFrame:
 
 
 GENERIC_CATEGORIES = ["سيارات", "Cars", "Motors", "محركات"]
+ADVERT_WIDE_PATHS = {
+    "slug": ["slug"],
+    "ad_link": ["ad_link"],
+    "date_added": ["published_date"],
+    "ad_title": ["title", "title_ar"],
+    "price": ["price", "dollar_price"],
+    "make": _names("category"),
+    "place": _names("governorate"),
+    "description_original": ["description", "description_ar"],
+    "customer": ["customer"],
+    "seller_name": ["customer.name"],
+    "creator_name": ["created_by.name"],
+    "phone": ["phone"],
+    "whatsapp": ["whatsapp"],
+    "cover": ["cover_image"],
+}
 
 
 def flatten_advert_wide(df: DataFrame, source: str, url_prefix: str, item: str = "item", detail: str | None = None) -> DataFrame:
     """PRJ-6, wide form: attributes first, then what the description says (EXT-5)."""
     it = F.col(item)
-    sources = [F.try_variant_get(F.col(detail), "$", ITEMS)] if detail else []
-    sources.append(_list(it, "featured_fields"))
-    attributes = F.concat(*[F.coalesce(s, F.array().cast(ITEMS)) for s in sources])
-    person = F.coalesce(member("customer", it), member("created_by", it))
-    title = T.clean_dashes(pick(["title", "title_ar"], it))
-    make = T.clean_dashes(_name(it, "category"))
     gallery = F.filter(
         F.transform(_list(it, "gallery"), lambda g: F.try_variant_get(g, "$.src", "string")),
         lambda u: u != "",
     )
-    cover = pick(["cover_image"], it)
-    images = F.when(F.size(gallery) > 0, gallery).otherwise(F.array_compact(F.array(cover)))
-    slug = pick(["slug"], it)
-    base = df.withColumns(
+    staged = _with_attributes(df, it, detail).withColumns(
+        {"_gallery": gallery, "id": F.concat(F.lit(f"{source}_"), F.try_variant_get(it, "$.id", "string"))}
+    )
+    kept = ["slug", "ad_link", "date_added", "price", "description_original", "customer", "phone",
+            "whatsapp", "cover"]
+    texts = with_texts(staged, ADVERT_WIDE_PATHS, it, tidy=T.clean_dashes, plain=kept)
+    seller = F.when(F.col("customer").isNull(), F.col("creator_name")).otherwise(F.col("seller_name"))
+    images = F.when(F.size("_gallery") > 0, F.col("_gallery")).otherwise(
+        F.array_compact(F.array("cover"))
+    )
+    base = texts.withColumns(
         {
-            "_attrs": attribute_pairs(attributes),
-            "id": F.concat(F.lit(f"{source}_"), F.try_variant_get(it, "$.id", "string")),
             "source": F.lit(source),
-            "car_url": F.coalesce(pick(["ad_link"], it), F.concat(F.lit(url_prefix), slug)),
-            "listing_type": T.listing_type_of_title(F.coalesce(title, F.lit(""))),
-            "date_added": iso_date(pick(["published_date"], it)),
-            "ad_title": title,
-            "price": N.price_with_commas(pick(["price", "dollar_price"], it)),
-            "make": F.when(~make.isin(GENERIC_CATEGORIES), make),
-            "description_original": T.html_to_text(pick(["description", "description_ar"], it)),
-            "seller_name": T.clean_dashes(pick(["name"], person)),
-            "phone": T.contact_by_digits(pick(["phone"], it), pick(["whatsapp"], it)),
+            "car_url": F.coalesce("ad_link", F.concat(F.lit(url_prefix), "slug")),
+            "listing_type": T.listing_type_of_title(F.coalesce("ad_title", F.lit(""))),
+            "date_added": iso_date(F.col("date_added")),
+            "price": N.price_with_commas(F.col("price")),
+            "make": F.when(~F.col("make").isin(GENERIC_CATEGORIES), F.col("make")),
+            "description_original": T.html_to_text(F.col("description_original")),
+            "seller_name": seller,
+            "phone": T.contact_by_digits(F.col("phone"), F.col("whatsapp")),
             "images_original_links": F.array_join(images, ", "),
         }
     )
@@ -339,10 +416,10 @@ def flatten_advert_wide(df: DataFrame, source: str, url_prefix: str, item: str =
             value = N.clean_mileage(value, thousands=False)
         spare = mined_as.get(name, f"desc_{name}")
         out[name] = F.coalesce(value, F.col(spare)) if spare in mined.columns else value
-    out["city"] = F.coalesce(T.clean_dashes(_name(it, "governorate")), F.col("desc_city"))
+    out["city"] = F.coalesce("place", "desc_city")
     flat = mined.withColumns(out)
-    dropped = {"_attrs", item, detail}
+    helpers = {"_attrs", "_gallery", "slug", "ad_link", "place", "customer", "creator_name", "whatsapp",
+               "cover", item, detail}
     return flat.select(
-        *[c for c in flat.columns if c not in dropped and not c.startswith("desc_")]
+        *[c for c in flat.columns if c not in helpers and not c.startswith("desc_")]
     )
-

@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from adloom.session import spread
+
 Run = Callable[[SparkSession, str], DataFrame]
 
 
@@ -32,8 +34,10 @@ def query(name: str, sql: str | None = None) -> Callable[[Run], Run]:
     return add
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, heavy: bool = False) -> DataFrame:
+    """A driver table; ``heavy`` spreads a table of few files over all cores."""
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(rows) if heavy else rows
 
 
 def listing_view(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,7 +18,7 @@ from adloom.plans.registered.base import query, table
     """,
 )
 def _(spark, sf):
-    return table(spark, sf, "pages").select(
+    return table(spark, sf, "pages", heavy=True).select(
         "page_id", F.regexp_extract("html", r"(?is)<title[^>]*>(.*?)</title>", 1).alias("title"),
         F.size(P.tag_texts(F.col("html"), "p")).cast("bigint").alias("paragraphs"),
     )
@@ -33,7 +33,7 @@ def _(spark, sf):
     """,
 )
 def _(spark, sf):
-    pages = table(spark, sf, "pages")
+    pages = table(spark, sf, "pages", heavy=True)
     return pages.select("page_id", F.posexplode(P.link_targets(F.col("html"))).alias("pos", "target"))
 
 
@@ -49,7 +49,7 @@ _UNESCAPED = """replace(replace(replace(replace(replace({0}, '&lt;', '<'), '&gt;
 )
 def _(spark, sf):
     # The whole page is read as a tree here; the SQL side reads the one element.
-    facts = P.extract_pages(table(spark, sf, "pages"), key=["page_id"])
+    facts = P.extract_pages(table(spark, sf, "pages", heavy=True), key=["page_id"])
     details = P.generic_details(facts, ["page_id"])
     return details.select("page_id", blank_to_null(squeeze(unescape_html(F.col("title_raw")))).alias("title_raw"))
 
@@ -75,7 +75,7 @@ def _part_pages(spark, sf):
         F.lit("?x=1'>w</a><img src='https://photos.example/cars/front-side.jpg'><img src='https://photos.example/site-logo-large.png'>"
               "</body></html>"),
     )
-    return table(spark, sf, "part").select(F.col("p_partkey").cast("string").alias("url"), html.alias("html"))
+    return table(spark, sf, "part", heavy=True).select(F.col("p_partkey").cast("string").alias("url"), html.alias("html"))
 
 
 @query(
@@ -131,7 +131,7 @@ def _(spark, sf):
 
 def _card_pages(spark, sf, card):
     """Parts as cards of listing pages of twenty."""
-    cards = table(spark, sf, "part").select(
+    cards = table(spark, sf, "part", heavy=True).select(
         F.floor(F.col("p_partkey") / 20).alias("url"), F.struct("p_partkey", card.alias("card")).alias("entry")
     )
     page = cards.groupBy("url").agg(F.sort_array(F.collect_list("entry")).alias("entries"))
@@ -193,7 +193,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     key = F.col("s_suppkey").cast("string")
-    rows = table(spark, sf, "supplier").join(table(spark, sf, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+    rows = table(spark, sf, "supplier", heavy=True).join(table(spark, sf, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
     html = F.concat(
         F.lit("<table><tr class='stm-single-dealer'><td><div class='title'><a href='/dealer/"), key, F.lit("'>"), F.col("s_name"),
         F.lit("</a></div><div class='dealer-labels heading-font'>"), F.col("s_nationkey").cast("string"),
@@ -226,7 +226,7 @@ def _(spark, sf):
         item("الموديل", F.lit("late")), F.lit("</ul><a class='single-listing-dealer-name' href='/dealer/x'>X</a><span class='single-listing-phone-number'>+963</span>"
         "<a class='single-listing-whatsapp-button' href='https://wa.me/"), key, F.lit("'>w</a><img src='http://i.example/a-10x20.jpg?v=1'><img src='/rel.jpg'>"),
     )
-    pages = table(spark, sf, "part").filter(~F.lit("963").contains(key)).select(key.alias("url"), html.alias("html"))
+    pages = table(spark, sf, "part", heavy=True).filter(~F.lit("963").contains(key)).select(key.alias("url"), html.alias("html"))
     facts = P.extract_pages(pages, "portal")
     found = L.portal_listings(facts, F.lit("src"), F.col("url"), F.col("url"))
     return found.select("id", "ad_title", "condition", "price", "make", "model", "mileage", "date_added", "seller_type", "phone", "views",
@@ -253,7 +253,7 @@ def _(spark, sf):
         _row("الحالة", F.lit("أخرى")), F.when(size < 25, sections).otherwise(""), F.lit("</table><span class='text-primary font-semibold'>"), F.col("p_name"),
         F.lit("</span><a href='https://s.example/users/963000000'>u</a><div class='text-xs font-semibold text-gray-500'>ريف ‏&gt; قدسيا</div>"),
     )
-    part = table(spark, sf, "part").withColumn("car_url", F.col("p_partkey").cast("string"))
+    part = table(spark, sf, "part", heavy=True).withColumn("car_url", F.col("p_partkey").cast("string"))
     none = F.lit(None).cast("string")
     cards = part.select("car_url", F.lit("card").alias("city"), none.alias("make"), none.alias("year"), none.alias("mileage"))
     facts = P.extract_pages(part.select(F.col("car_url"), html.alias("html")), "grid", key=["car_url"])
@@ -278,6 +278,6 @@ def _(spark, sf):
         F.lit("</li></ul></div><div class='box-banner-car-view-date'><span>03-02-2001</span><span>المشاهدين: "), size, F.lit("</span></div>"
               "<div class='box-accordion-2'><h3>الراحة</h3><ul><li>a</li><li>b</li><li>a</li></ul></div><div class='box-accordion-3'><h3>أمان</h3><ul><li>abs</li></ul></div>"),
     )
-    pages = table(spark, sf, "part").select(F.col("p_partkey").cast("string").alias("url"), html.alias("html"))
+    pages = table(spark, sf, "part", heavy=True).select(F.col("p_partkey").cast("string").alias("url"), html.alias("html"))
     found = L.accordion_details(P.extract_pages(pages, "accordion"), ["url"])
     return found.select("url", "make", "model", "body_type", "doors", "exterior_color", "year", "date_added", "views", "features", "safety_features")

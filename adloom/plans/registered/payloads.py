@@ -12,7 +12,7 @@ from adloom.sources import envelope as E
 
 def _payloads(spark, sf):
     """Every event as a response: its kind decides the envelope, its props are the only item."""
-    events = table(spark, sf, "events")
+    events = table(spark, sf, "events", heavy=True)
     kind, item = F.col("event_type"), F.col("props")
     body = (
         F.when(kind == "click", F.concat(F.lit("["), item, F.lit("]")))
@@ -71,7 +71,7 @@ _ORDERS = """(SELECT * REPLACE (o_orderkey + 1 AS o_orderkey, o_custkey + 1 AS o
 
 
 def _orders(spark, sf):
-    return table(spark, sf, "orders").join(
+    return table(spark, sf, "orders", heavy=True).join(
         table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey")
     ).join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).withColumns(
         {"o_orderkey": F.col("o_orderkey") + 1, "o_custkey": F.col("o_custkey") + 1}

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import functions as F
 
 from adloom.plans.registered.base import query
+from adloom.session import shared_folder
 from adloom.streaming import feeds
 
 EVENTS = "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string"
@@ -19,9 +19,8 @@ def _stream(spark, sf, name, schema):
 
 
 def _work(spark, name):
-    """A fresh folder below the cluster's checkpoint folder."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-")
-    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh folder below the cluster's shared folder."""
+    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 @query(

@@ -23,7 +23,7 @@ WS = r"[\s\x{0b}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{
     """,
 )
 def _(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", T.clean(F.col("text")).alias("cleaned"))
+    return table(spark, sf, "documents", heavy=True).select("doc_id", T.clean(F.col("text")).alias("cleaned"))
 
 
 @query(
@@ -33,7 +33,7 @@ def _(spark, sf):
     """,
 )
 def _(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", T.alias_key(F.col("text")).alias("key"))
+    return table(spark, sf, "documents", heavy=True).select("doc_id", T.alias_key(F.col("text")).alias("key"))
 
 
 @query(
@@ -45,7 +45,7 @@ def _(spark, sf):
     """,
 )
 def _(spark, sf):
-    return table(spark, sf, "documents").select(
+    return table(spark, sf, "documents", heavy=True).select(
         "doc_id", N.clean_number(F.col("text")).alias("digits"), N.first_number(F.col("text")).alias("amount")
     )
 
@@ -58,7 +58,7 @@ def _(spark, sf):
     """,
 )
 def _(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", N.parse_year(F.col("text")).alias("year"))
+    return table(spark, sf, "documents", heavy=True).select("doc_id", N.parse_year(F.col("text")).alias("year"))
 
 
 def _keyword_case(words: dict[str, str]) -> str:
@@ -74,7 +74,7 @@ _WORDS = {"with": "W", "pour": "P", "nicht": "N", "para": "S", "the": "T"}
 )
 def _(spark, sf):
     lowered = F.lower("text")
-    return table(spark, sf, "documents").select("doc_id", T.detect_keyword(lowered, _WORDS).alias("keyword"))
+    return table(spark, sf, "documents", heavy=True).select("doc_id", T.detect_keyword(lowered, _WORDS).alias("keyword"))
 
 
 @query(
@@ -234,7 +234,7 @@ def _(spark, sf):
         F.concat(F.format_number(quantity * 100, 0), F.lit(" KM "))
     )
     driven = F.concat(F.lit("only "), (quantity * 20).cast("string"), F.lit("km since 2015"))
-    return table(spark, sf, "lineitem").select(
+    return table(spark, sf, "lineitem", heavy=True).select(
         "l_orderkey", "l_partkey", "l_linenumber", N.parse_price(price).alias("price"),
         N.price_digits(whole).alias("digits"), N.price_with_commas(whole).alias("commas"),
         N.clean_mileage(mileage).alias("mileage"), N.extract_mileage(driven).alias("driven"),
@@ -255,7 +255,7 @@ def _(spark, sf):
     name = F.element_at(F.array(*[F.lit(m) for m in months]), F.month(day))
     named = F.concat(name, F.lit(" "), F.dayofmonth(day).cast("string"), F.lit("، "), F.year(day).cast("string"))
     ago = F.concat(F.lit("منذ "), (F.col("o_custkey") % 30).cast("string"), F.lit(" أسابيع"))
-    return table(spark, sf, "orders").select(
+    return table(spark, sf, "orders", heavy=True).select(
         "o_orderkey",
         D.iso_date(F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit("T08:12:39.000000Z"))).alias("iso"),
         D.month_name_date(named).alias("named"),
@@ -280,7 +280,7 @@ def _(spark, sf):
     """,
 )
 def _(spark, sf):
-    return table(spark, sf, "pages").select("page_id", T.html_to_text(F.col("html")).alias("text"))
+    return table(spark, sf, "pages", heavy=True).select("page_id", T.html_to_text(F.col("html")).alias("text"))
 
 
 @query(
@@ -300,7 +300,7 @@ def _(spark, sf):
     size = F.concat(F.lit("-"), (F.col("l_quantity").cast("int") + 100).cast("string"), F.lit("x768.jpg?v=3"))
     proxy = F.concat(F.lit("/_next/image?url=https%3A%2F%2Fimg.example%2Fa%20b%2F"), key, F.lit("&w=640"))
     absolute = M.absolute_url(F.concat(F.lit("/car/"), key), "https://site.example/")
-    return table(spark, sf, "lineitem").select(
+    return table(spark, sf, "lineitem", heavy=True).select(
         "l_orderkey", "l_partkey", "l_linenumber",
         M.original_image_url(F.concat(F.lit("http://site.example/wp/"), key, size)).alias("original"),
         M.better_quality(F.concat(F.lit("http://cdn.example/new/low/"), key)).alias("better"),
@@ -326,7 +326,7 @@ def _(spark, sf):
         F.concat(F.lit(" "), photo("rear")), photo("front"), F.lit("/relative/path/that/is/long/enough.jpg"),
     )
     kept = M.keep_photos(urls)
-    return table(spark, sf, "pages").select(
+    return table(spark, sf, "pages", heavy=True).select(
         "page_id", F.array_join(kept, " ").alias("photos"), M.cover_url(F.array().cast("array<string>"), kept).alias("cover")
     )
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,17 +32,38 @@ def build_session(app: str = "adloom", master: str | None = None, **conf: str) -
     return builder.getOrCreate()
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """Folder for intermediate tables: the one the cluster names in ``spark.checkpoint.dir``.
+
+    A temporary folder is used only where that setting is absent, which is the case in local tests.
+    """
+    return spark.conf.get("spark.checkpoint.dir", None) or _local_folder()
+
+
+@lru_cache(maxsize=1)
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="spark-")
+
+
 def durable(df: DataFrame) -> DataFrame:
-    """Cut lineage through reliable storage, so a lost executor never recomputes the scan.
+    """Write ``df`` to shared storage and read it back.
+
+    That cuts lineage, so a lost executor never recomputes the scan behind it, runs the plan once,
+    and leaves a table whose size the optimiser knows when it picks joins.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give row work that is heavy on CPU a task per core when the input is only a few files.
 
-    The directory is the one the cluster names in ``spark.checkpoint.dir``. A temporary folder is
-    used only where that setting is absent, which is the case in local tests.
+    Larger inputs have more splits than cores already and are returned as they are.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        configured = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="spark-"))
-    return df.checkpoint()
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
 
 
 def fits_broadcast(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -85,16 +85,18 @@ def is_listing_payload(
 
 
 # --- access to variant items ---------------------------------------------------------------------
+# JSON spellings of values that count as missing.
+FALSY = ["null", '""', "0", "0.0", "false", "[]", "{}"]
+
+
 def member(key: str, *items: Column) -> Column:
     """MRG-2: the member of the first item that has the key, even if its value is null or blank."""
     return F.coalesce(*[F.try_variant_get(i, f"$.{key}", "variant") for i in items])
 
 
 def truthy(value: Column) -> Column:
-    """Text of a variant; blank, zero, false and null are NULL."""
-    text = F.try_variant_get(value, "$", "string")
-    empty = (F.schema_of_variant(value) != "STRING") & text.isin("0", "0.0", "false")
-    return F.when((text != "") & ~empty, text)
+    """Text of a variant; blank, zero, false, empty and null are NULL."""
+    return F.when(~F.to_json(value).isin(FALSY), F.try_variant_get(value, "$", "string"))
 
 
 def pick(keys: Sequence[str], *items: Column) -> Column:
@@ -104,3 +106,37 @@ def pick(keys: Sequence[str], *items: Column) -> Column:
 
 def pick_clean(keys: Sequence[str], *items: Column) -> Column:
     return clean(pick(keys, *items))
+
+
+def with_texts(
+    df: DataFrame,
+    wanted: Mapping[str, Sequence[str]],
+    *items: Column,
+    tidy: Callable[[Column], Column] | None = clean,
+    plain: Sequence[str] = (),
+) -> DataFrame:
+    """Add a text column per entry of ``wanted``: the first truthy of several dotted paths.
+
+    The first key of a path is looked up over ``items`` as in :func:`member`. All but the ``plain``
+    columns go through ``tidy``. Members, texts and tidied texts are projections of their own, so
+    that nothing is looked up twice however often a column is used later.
+    """
+    paths = list(dict.fromkeys(p for alternatives in wanted.values() for p in alternatives))
+    tops = list(dict.fromkeys(p.split(".")[0] for p in paths))
+    out = df.withColumns({f"_member_{k}": member(k, *items) for k in tops})
+
+    def value(path: str) -> Column:
+        top, _, rest = path.partition(".")
+        found = F.col(f"_member_{top}")
+        return F.try_variant_get(found, f"$.{rest}", "variant") if rest else found
+
+    out = out.withColumns({f"_value_{i}": value(p) for i, p in enumerate(paths)})
+    out = out.withColumns({f"_text_{i}": truthy(F.col(f"_value_{i}")) for i in range(len(paths))})
+    first = {
+        name: F.coalesce(*[F.col(f"_text_{paths.index(p)}") for p in alternatives])
+        for name, alternatives in wanted.items()
+    }
+    out = out.select(*df.columns, *[c.alias(n) for n, c in first.items()])
+    if tidy is None:
+        return out
+    return out.withColumns({n: tidy(F.col(n)) for n in wanted if n not in plain})
