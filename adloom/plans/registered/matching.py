@@ -172,7 +172,7 @@ def _raw_listings(spark, sf):
     def variant(entries, column):
         return F.element_at(F.array(*[F.lit(k) for k in entries]), (F.col(column) % len(entries) + 1).cast("int"))
 
-    joined = table(spark, sf, "lineitem").join(table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    joined = table(spark, sf, "lineitem", heavy=True).join(table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"))
     return joined.select(
         "l_orderkey", "l_partkey", "l_linenumber",
         F.upper("p_brand").alias("make"),
