@@ -143,7 +143,8 @@ def stop_before_first(df: DataFrame, stop: Column, order: str, feed: Sequence[st
     feeds = list(feed)
     first = F.min(F.when(stop, F.col(order))).alias("_first")
     if not feeds:
-        return df.join(F.broadcast(df.agg(first)), F.col("_first").isNull() | (F.col(order) < F.col("_first"))).drop("_first")
+        bound = df.agg(first).first()["_first"]  # one number; as a literal it reaches the scan
+        return df if bound is None else df.filter(F.col(order) < F.lit(bound))
     firsts = durable(df.groupBy(*feeds).agg(first))
     joined = join_small(df, firsts, feeds)
     return joined.filter(F.col("_first").isNull() | (F.col(order) < F.col("_first"))).drop("_first")
@@ -164,12 +165,12 @@ def cutoff_pages(df: DataFrame, cutoff, feed: Sequence[str] = (), page: str = "p
 def _drop_from(df: DataFrame, stops: DataFrame, feeds: list[str], page: str, keep_stop: bool) -> DataFrame:
     """Rows up to the first stop page of their feed."""
     first = F.min(page).alias("_stop")
-    limit = F.col("_stop").isNull()
-    limit = limit | (F.col(page) <= F.col("_stop") if keep_stop else F.col(page) < F.col("_stop"))
+    within = lambda stop: F.col(page) <= stop if keep_stop else F.col(page) < stop
     if not feeds:
-        return df.join(F.broadcast(stops.agg(first)), limit).drop("_stop")
+        bound = stops.agg(first).first()["_stop"]  # one number; as a literal it reaches the scan
+        return df if bound is None else df.filter(within(F.lit(bound)))
     joined = join_small(df, durable(stops.groupBy(*feeds).agg(first)), feeds)
-    return joined.filter(limit).drop("_stop")
+    return joined.filter(F.col("_stop").isNull() | within(F.col("_stop"))).drop("_stop")
 
 
 def caught_up_pages(

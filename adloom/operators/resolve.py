@@ -35,7 +35,7 @@ from adloom.sources.vocabulary import ANY_MAKE, FIELD_LISTS, Vocabulary
 
 NUMBER_FIELDS = ["price", "engine_size", "mileage", "year", "seats", "horsepower"]
 # Fields whose unmatched values are not reported (see unknown_values).
-SILENT_FIELDS = ["doors"]
+SILENT_FIELDS = ["doors", "model"]
 # ``drive_system`` can be resolved on request but is not part of a full listing normalisation.
 _FOLD = str.maketrans(dict(zip(V.FOLD_FROM, V.FOLD_TO)))
 LISTING_FIELDS = [f for f in FIELD_LISTS if f != "drive_system"]
@@ -162,12 +162,19 @@ def alias_in_row(raw: Column, field: str) -> Column:
 
 # --- fields ------------------------------------------------------------------------------------------
 def _list_of(field: Column) -> Column:
-    return F.when(field == "make", F.lit("make")).otherwise(F.concat(F.lit("field:"), field))
+    return (
+        F.when(field == "make", F.lit("make"))
+        .when(field == "model", F.lit(f"model:{ANY_MAKE}"))
+        .otherwise(F.concat(F.lit("field:"), field))
+    )
 
 
 def resolve_fields(values: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """CAN-2 for list-backed fields and ``make``: distinct ``(field, raw)`` to canonical values.
 
+    A ``model`` given here stands alone and is matched against the models of all makes; within a make
+    it goes through :func:`resolve_models`.
+
     Result: ``(field, raw, canonical, how)`` with ``how`` one of alias, exact, contains, similar, raw.
     """
     keyed = values.select(

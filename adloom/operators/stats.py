@@ -1,7 +1,7 @@
 """Statistics and market insight (AGG-1 to AGG-22).
 
-Distributions over several columns share one scan: the columns are turned into ``(dimension, name)``
-pairs, counted with a map-side combine, and only the counts are ranked. Ties in a ranking are settled
+A bundle of distributions shares one scan: the columns are turned into ``(dimension, name)`` pairs,
+aggregated with a map-side combine, and only the aggregates are ranked. Ties in a ranking are settled
 by name, because rows of a DataFrame have no first-seen order.
 """
 
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from adloom.functions.numbers import first_number
 from adloom.functions.text import blank_to_null
+from adloom.session import durable
 
 UNKNOWN = "Unknown"
 NOT_AVAILABLE = "N/A"
@@ -33,6 +34,13 @@ def make_of(df: DataFrame) -> Column:
     return F.coalesce(*[blank_to_null(F.col(c)) for c in names])
 
 
+def combo_of(df: DataFrame) -> Column:
+    """``make model``, either part ``Unknown`` when it is missing."""
+    return F.concat_ws(
+        " ", F.coalesce(make_of(df), F.lit(UNKNOWN)), F.coalesce("model", F.lit(UNKNOWN))
+    )
+
+
 def count_by(df: DataFrame, column: Column, name: str) -> DataFrame:
     return df.groupBy(column.alias(name)).agg(F.count("*").alias("n"))
 
@@ -42,16 +50,6 @@ def top_k(counts: DataFrame, k: int, value: str, name: str) -> DataFrame:
     return counts.orderBy(F.desc(value), F.asc(name)).limit(k)
 
 
-def count_dimensions(df: DataFrame, dimensions: Mapping[str, Column]) -> DataFrame:
-    """``(dimension, name, n)`` of several columns in one pass; NULL names are not counted."""
-    pairs = [
-        F.struct(F.lit(d).alias("dimension"), c.cast("string").alias("name"))
-        for d, c in dimensions.items()
-    ]
-    exploded = df.select(F.inline(F.array(*pairs))).filter("name IS NOT NULL")
-    return exploded.groupBy("dimension", "name").agg(F.count("*").alias("n"))
-
-
 def rank_within(counts: DataFrame, k: Mapping[str, int], group: str = "dimension", value: str = "n") -> DataFrame:
     """First ``k[group]`` rows of each group; other groups are kept whole.
 
@@ -146,10 +144,7 @@ def price_per_unit(df: DataFrame, price: str = "price", size: str = "size") -> D
 
 def make_model_combos(df: DataFrame, k: int = 10) -> DataFrame:
     """AGG-10."""
-    combo = F.concat_ws(
-        " ", F.coalesce(make_of(df), F.lit(UNKNOWN)), F.coalesce("model", F.lit(UNKNOWN))
-    )
-    return top_k(count_by(df, combo, "model"), k, "n", "model").select(
+    return top_k(count_by(df, combo_of(df), "model"), k, "n", "model").select(
         "model", F.col("n").alias("count")
     )
 
@@ -203,90 +198,125 @@ def complete_records(df: DataFrame) -> DataFrame:
 
 
 # --- bundles -------------------------------------------------------------------------------------------
+TOTAL = "total"
+
+
 def market_analysis(df: DataFrame, kind: str = "cars") -> DataFrame:
-    """AGG-18 as ``(section, name, count, value)`` rows: two passes over the listings in all.
+    """AGG-18 as ``(section, name, count, value)`` rows, from a single pass over the listings.
 
-    Sections of rankings and distributions carry counts, the others carry values.
+    Rankings and distributions carry counts, the other sections carry values. One aggregation by
+    ``(dimension, name)`` yields them all: figures over everything belong to the one-member dimension
+    ``total``, and only rows of a dimension that needs a figure carry the number it is made of. What
+    it yields is small next to the listings and is written out, as several sections are read from it.
     """
+    price = number_in(df, "price")
+    price = F.when(price != 0, price)
+    named = lambda c: F.when(F.col(c).cast("string") != NOT_AVAILABLE, F.col(c))
     if kind == "cars":
+        text = F.col("year").cast("string")
+        numbers = {"price": price, "year": F.when(text.rlike(r"^\d+$"), text.try_cast("int"))}
         dimensions = {
             "top_makes": make_of(df),
-            "most_common_models": F.concat_ws(
-                " ", F.coalesce(make_of(df), F.lit(UNKNOWN)), F.coalesce("model", F.lit(UNKNOWN))
-            ),
-            "body_type_distribution": F.when(F.col("body_type") != NOT_AVAILABLE, F.col("body_type")),
+            "most_common_models": combo_of(df),
+            "body_type_distribution": named("body_type"),
             "fuel_type_distribution": F.coalesce("fuel_type", F.lit(UNKNOWN)),
             "transmission_distribution": F.coalesce("transmission", F.lit(UNKNOWN)),
         }
-        limits = {"top_makes": 5, "most_common_models": 10}
+        limits, priced = {"top_makes": 5, "most_common_models": 10}, [TOTAL]
     else:
-        place = F.col("location")
+        size = number_in(df, "size")
+        numbers = {"price": price, "ratio": F.when(size > 0, F.try_divide(price, size))}
         dimensions = {
-            "top_locations": F.when(place != NOT_AVAILABLE, place),
-            "bedroom_distribution": F.when(
-                F.col("bedrooms").cast("string") != NOT_AVAILABLE, F.col("bedrooms")
-            ),
+            "top_locations": named("location"),
+            "most_expensive_locations": F.coalesce("location", F.lit(UNKNOWN)),
+            "bedroom_distribution": named("bedrooms"),
             "property_type_distribution": F.coalesce("property_type", F.lit(UNKNOWN)),
         }
-        limits = {"top_locations": 5}
-    counted = rank_within(count_dimensions(df, dimensions), limits).select(
+        limits, priced = {"top_locations": 5}, [TOTAL, "most_expensive_locations"]
+    groups = durable(_grouped(df, {TOTAL: F.lit(TOTAL), **dimensions}, numbers, priced))
+    listed = groups.filter(~F.col("dimension").isin(priced)).select("dimension", "name", "n")
+    none = F.lit(None)
+    sections = rank_within(listed, limits).select(
         F.col("dimension").alias("section"), "name", F.col("n").alias("count"),
-        F.lit(None).cast("double").alias("value"),
+        none.cast("double").alias("value"),
+    ).unionByName(_totals(groups.filter(F.col("dimension") == TOTAL), kind))
+    if kind == "cars":
+        return sections
+    averages = groups.filter((F.col("dimension") == "most_expensive_locations") & F.col("price_avg").isNotNull())
+    dear = top_k(averages.select("name", "price_avg"), 10, "price_avg", "name")
+    return sections.unionByName(
+        dear.select(
+            F.lit("most_expensive_locations").alias("section"), "name",
+            none.cast("bigint").alias("count"), F.col("price_avg").alias("value"),
+        )
     )
-    return counted.unionByName(_market_values(df, kind))
 
 
-def _market_values(df: DataFrame, kind: str) -> DataFrame:
-    price = number_in(df, "price")
-    price = F.when(price != 0, price)
-    values = {("total", "items"): F.count("*").cast("double")}
-    if kind == "cars":
-        text = F.col("year").cast("string")
-        year = F.when(text.rlike(r"^\d+$"), text.try_cast("int"))
-        for name, column in (("year", year), ("price", price)):
-            for label, function in (("avg", F.avg), ("min", F.min), ("max", F.max)):
-                values[(f"{name}_stats", label)] = function(column).cast("double")
-    else:
-        size = number_in(df, "size")
-        values[("avg_price_per_sqm", "avg")] = F.avg(F.when(size > 0, F.try_divide(price, size)))
-    flat = df.agg(*[c.alias(f"v{i}") for i, c in enumerate(values.values())])
-    rows = F.array(
-        *[
-            F.struct(F.lit(s).alias("section"), F.lit(n).alias("name"),
-                     F.lit(None).cast("bigint").alias("count"), F.col(f"v{i}").alias("value"))
-            for i, (s, n) in enumerate(values)
+def _grouped(
+    df: DataFrame, dimensions: Mapping[str, Column], numbers: Mapping[str, Column], priced: Sequence[str]
+) -> DataFrame:
+    """``(dimension, name, n, <number>_avg, <number>_min, <number>_max)``."""
+
+    def entry(dimension: str, name: Column) -> Column:
+        carried = [
+            (c.cast("double") if dimension in priced else F.lit(None).cast("double")).alias(k)
+            for k, c in numbers.items()
         ]
+        return F.struct(F.lit(dimension).alias("dimension"), name.cast("string").alias("name"), *carried)
+
+    exploded = df.select(F.inline(F.array(*[entry(d, c) for d, c in dimensions.items()])))
+    figures = [
+        f(k).alias(f"{k}_{label}")
+        for k in numbers for label, f in (("avg", F.avg), ("min", F.min), ("max", F.max))
+    ]
+    return (
+        exploded.filter("name IS NOT NULL").groupBy("dimension", "name")
+        .agg(F.count("*").alias("n"), *figures)
     )
-    out = flat.select(F.inline(rows))
-    if kind == "cars":
-        return out
-    dear = avg_price_by_location(df).select(
-        F.lit("most_expensive_locations").alias("section"), F.col("location").alias("name"),
-        F.lit(None).cast("bigint").alias("count"), F.col("avg_price").alias("value"),
+
+
+def _totals(total: DataFrame, kind: str) -> DataFrame:
+    """Sections of figures over all listings."""
+    total = total.groupBy().agg(
+        F.coalesce(F.max("n"), F.lit(0)).cast("double").alias("n"),
+        *[F.max(c).alias(c) for c in total.columns if c not in ("dimension", "name", "n")],
     )
-    return out.unionByName(dear)
+    if kind == "cars":
+        figures = {(f"{k}_stats", f): f"{k}_{f}" for k in ("year", "price") for f in ("avg", "min", "max")}
+    else:
+        figures = {("avg_price_per_sqm", "avg"): "ratio_avg"}
+    entries = [
+        F.struct(
+            F.lit(section).alias("section"), F.lit(name).alias("name"),
+            F.lit(None).cast("bigint").alias("count"), F.col(column).alias("value"),
+        )
+        for (section, name), column in {(TOTAL, "items"): "n", **figures}.items()
+    ]
+    return total.select(F.inline(F.array(*entries)))
 
 
 # --- run counters --------------------------------------------------------------------------------------
 def run_counters(rows: DataFrame, started: Column | None = None, ended: Column | None = None) -> DataFrame:
     """AGG-20: counters of a run whose rows carry boolean ``is_new``, ``is_duplicate``, ``accepted``
-    and ``fixed`` (missing ones count as zero), with the duration in seconds."""
+    and ``fixed`` (missing ones count as zero). ``started`` and ``ended`` are timestamps, literal or
+    aggregated, and give the duration in seconds."""
 
     def flag(name: str) -> Column:
         return F.col(name) if name in rows.columns else F.lit(None).cast("boolean")
 
-    out = rows.agg(
+    duration = []
+    if started is not None and ended is not None:
+        seconds = ended.cast("timestamp").cast("double") - started.cast("timestamp").cast("double")
+        duration.append(seconds.alias("duration_seconds"))
+    return rows.agg(
         F.count("*").alias("seen"),
         F.count_if(flag("is_new")).alias("new"),
         F.count_if(flag("is_duplicate")).alias("duplicate"),
         F.count_if(flag("accepted")).alias("saved"),
         F.count_if(~flag("accepted")).alias("skipped"),
         F.count_if(flag("fixed")).alias("fixed"),
+        *duration,
     )
-    if started is not None and ended is not None:
-        seconds = ended.cast("double") - started.cast("double")
-        out = out.withColumn("duration_seconds", seconds)
-    return out
 
 
 def expected_by_location(filters: DataFrame) -> DataFrame:

@@ -40,9 +40,9 @@ def table(spark: SparkSession, sf_dir: str, name: str, heavy: bool = False) -> D
     return spread(rows) if heavy else rows
 
 
-def listing_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+def listing_view(spark: SparkSession, sf_dir: str, heavy: bool = False) -> DataFrame:
     """Order lines as listings: part is the car, supplier the seller, nation the city."""
-    lines = table(spark, sf_dir, "lineitem")
+    lines = table(spark, sf_dir, "lineitem", heavy)
     part = table(spark, sf_dir, "part")
     supplier = table(spark, sf_dir, "supplier")
     nation = table(spark, sf_dir, "nation")
@@ -88,4 +88,4 @@ listing AS (
 
 def on_listings(body: str) -> str:
     """SQL over the listing view."""
-    return f"WITH {LISTING_SQL} {body}"
+    return f"WITH {LISTING_SQL.rstrip()} {body}"

@@ -11,7 +11,7 @@ from adloom.plans.registered.base import listing_view, on_listings, query, table
 
 def _spoiled(spark, sf):
     """Listings with blanks and placeholders in some cells."""
-    rows = listing_view(spark, sf)
+    rows = listing_view(spark, sf, heavy=True)
     flag = F.col("transmission")
     return rows.select(
         "id", "model", "year", "city", "seller_name", "price",
@@ -60,7 +60,7 @@ _QUALITY_FIELDS = ["make", "model", "year", "body_type", "condition", "city", "m
     FROM listing"""),
 )
 def _(spark, sf):
-    rows = listing_view(spark, sf)
+    rows = listing_view(spark, sf, heavy=True)
     beds = F.col("bedrooms")
     spoiled = rows.select(
         "id", "model", "year", "body_type", "city",
@@ -78,7 +78,7 @@ def _(spark, sf):
 
 
 def _images(spark, sf):
-    return table(spark, sf, "lineitem").select(
+    return table(spark, sf, "lineitem", heavy=True).select(
         F.col("l_orderkey").alias("id"),
         (F.col("l_linenumber").cast("bigint") * 100000000 + F.col("l_partkey")).alias("idx"),
         F.concat_ws("/", F.lit("http://img"), F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"),
@@ -114,7 +114,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     flag = F.col("l_returnflag")
-    rows = table(spark, sf, "lineitem").select(
+    rows = table(spark, sf, "lineitem", heavy=True).select(
         "l_orderkey", "l_partkey", F.col("l_orderkey").cast("string").alias("id"),
         F.when(flag == "R", " ").when(flag == "N", "done").alias("images_drive_links"),
         F.when(F.col("l_linestatus") == "O", F.concat(F.lit("a"), F.col("l_suppkey").cast("string"), F.lit(" , b,,")))

@@ -133,7 +133,7 @@ stop AS (SELECT min(page) AS page FROM runs WHERE fresh = 0 AND stale = 3)
 def _(spark, sf):
     events = table(spark, sf, "events")
     paged = events.select(
-        "event_id", F.floor(F.col("event_id") / 5).alias("page"),
+        "event_id", F.expr("event_id div 5").alias("page"),
         (F.col("event_type") == "purchase").alias("is_new"),
     )
     return I.caught_up_cutoff(paged, 3)
@@ -153,7 +153,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     paged = table(spark, sf, "lineitem").select(
-        F.col("l_linenumber").alias("feed"), F.floor(F.col("l_orderkey") / 4).alias("page"),
+        F.col("l_linenumber").alias("feed"), F.expr("l_orderkey div 4").alias("page"),
         "l_orderkey", "l_partkey", (F.col("l_quantity") > 40).alias("is_new"),
     )
     return I.caught_up_cutoff(paged, 2, feed=["feed"]).drop("is_new")
@@ -173,7 +173,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     paged = table(spark, sf, "events").select(
-        "event_id", F.floor(F.col("event_id") / 5).alias("page"),
+        "event_id", F.expr("event_id div 5").alias("page"),
         (F.col("event_type") == "purchase").alias("is_new"), (F.col("value") > 15).alias("kept"),
     )
     return I.caught_up_cutoff(paged, 3, kept="kept")
@@ -204,7 +204,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     orders = table(spark, sf, "orders").select(
-        F.floor(F.col("o_orderkey") / 3).alias("page"), F.col("o_orderdate").cast("date").alias("date_added")
+        F.expr("o_orderkey div 3").alias("page"), F.col("o_orderdate").cast("date").alias("date_added")
     )
     return I.pages_before_cutoff(orders, "1999-01-01")
 
@@ -222,7 +222,7 @@ def _(spark, sf):
 def _(spark, sf):
     orders = table(spark, sf, "orders").select(
         "o_orderkey", F.col("o_orderpriority").alias("feed"),
-        F.floor(F.col("o_orderkey") / 10).alias("page"), F.col("o_orderdate").cast("date").alias("date_added"),
+        F.expr("o_orderkey div 10").alias("page"), F.col("o_orderdate").cast("date").alias("date_added"),
     )
     return I.cutoff_pages(orders, "1997-01-01", ["feed"])
 
@@ -272,5 +272,5 @@ def _(spark, sf):
 
 @query("page_budget", "SELECT event_id, event_id // 20 AS page FROM events WHERE event_id // 20 BETWEEN 3 AND 14")
 def _(spark, sf):
-    events = table(spark, sf, "events").select("event_id", F.floor(F.col("event_id") / 20).alias("page"))
+    events = table(spark, sf, "events").select("event_id", F.expr("event_id div 20").alias("page"))
     return I.limit_pages(events, 12, start=3)

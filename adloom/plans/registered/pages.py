@@ -134,7 +134,9 @@ def _card_pages(spark, sf, card):
     cards = table(spark, sf, "part", heavy=True).select(
         F.floor(F.col("p_partkey") / 20).alias("url"), F.struct("p_partkey", card.alias("card")).alias("entry")
     )
-    page = cards.groupBy("url").agg(F.sort_array(F.collect_list("entry")).alias("entries"))
+    # The number of partitions is stated, or small pages would be merged into one task of parsing.
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    page = cards.repartition(tasks, "url").groupBy("url").agg(F.sort_array(F.collect_list("entry")).alias("entries"))
     html = F.concat(F.lit("<div>"), F.array_join(F.transform("entries", lambda e: e["card"]), "\n"), F.lit("</div>"))
     return page.select("url", html.alias("html"))
 

@@ -18,7 +18,7 @@ def _pairs(spark, sf):
     """Order lines as label/value pairs of their order: seven line numbers, seven labels."""
     label = F.element_at(F.array(*[F.lit(x) for x in _ROW_LABELS]), F.col("l_linenumber"))
     value = F.when(F.col("l_returnflag") == "A", "").otherwise(F.col("l_partkey").cast("string"))
-    return table(spark, sf, "lineitem").select(
+    return table(spark, sf, "lineitem", heavy=True).select(
         F.col("l_orderkey").alias("id"),
         (F.col("l_linenumber").cast("bigint") * 10000000000 + F.col("l_partkey")).alias("pos"),
         label.alias("label"), value.alias("value"),
@@ -66,7 +66,7 @@ def _part_pairs():
     """,
 )
 def _(spark, sf):
-    rows = table(spark, sf, "part").select("p_partkey", "p_size", "p_type", "p_brand", "p_name").withColumn("pairs", _part_pairs())
+    rows = table(spark, sf, "part", heavy=True).select("p_partkey", "p_size", "p_type", "p_brand", "p_name").withColumn("pairs", _part_pairs())
     rows = S.with_specs(rows, "pairs", _LABELS, keep="first", prefix="f_")
     rows = S.with_specs(rows, "pairs", _LABELS, keep="last", prefix="l_")
     return rows.drop("pairs", "p_size", "p_type", "p_brand", "p_name")
@@ -82,7 +82,7 @@ def _(spark, sf):
     zipped = S.zip_pairs(F.array("p_name", "p_brand"), F.array("p_type"))
     halved = S.halves(F.array(F.lit("a"), F.col("p_brand")))
     show = lambda pairs: F.array_join(F.transform(pairs, lambda p: F.concat(p["label"], F.lit("="), p["value"])), ";")
-    return table(spark, sf, "part").select("p_partkey", show(zipped).alias("zipped"), show(halved).alias("halved"))
+    return table(spark, sf, "part", heavy=True).select("p_partkey", show(zipped).alias("zipped"), show(halved).alias("halved"))
 
 
 @query(
@@ -105,5 +105,5 @@ def _(spark, sf):
         F.lit("•نوع السيارة: "), F.col("p_name"), F.lit("\nماشية "), size, F.lit(" الف كيلو تواجد حلب الجديدة\nسنة الصنع: "),
         (1960 + F.col("p_size")).cast("string"), F.lit("\n▸الوقود ： "), F.col("p_type"),
     )
-    rows = table(spark, sf, "part").select("p_partkey", F.when(F.col("p_size") < 25, bullets).otherwise(prose).alias("text"))
+    rows = table(spark, sf, "part", heavy=True).select("p_partkey", F.when(F.col("p_size") < 25, bullets).otherwise(prose).alias("text"))
     return S.mine_description(rows, "text", prefix="").select("p_partkey", "model", "fuel_type", "color", "mileage", "year", "city")

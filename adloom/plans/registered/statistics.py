@@ -242,13 +242,9 @@ def _(spark, sf):
     rows = orders.select(
         (F.col("o_orderstatus") == "O").alias("is_new"),
         (F.col("o_orderstatus") == "F").alias("is_duplicate"),
-        (F.col("o_totalprice") > 100000).alias("accepted"),
+        (F.col("o_totalprice") > 100000).alias("accepted"), "o_orderdate",
     )
-    span = orders.agg(
-        (F.max(F.unix_timestamp(F.col("o_orderdate").cast("timestamp")))
-         - F.min(F.unix_timestamp(F.col("o_orderdate").cast("timestamp")))).cast("double").alias("duration_seconds")
-    )
-    return S.run_counters(rows).join(F.broadcast(span))
+    return S.run_counters(rows, F.min("o_orderdate"), F.max("o_orderdate"))
 
 
 _FILTERS = "SELECT n_name AS name, count(*) FILTER (WHERE c_acctbal > 9000) AS count FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name"

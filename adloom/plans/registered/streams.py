@@ -10,8 +10,8 @@ from adloom.plans.registered.base import query
 from adloom.session import shared_folder
 from adloom.streaming import feeds
 
-EVENTS = "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string"
-ORDERS = "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp, o_orderpriority string"
+EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+ORDERS = "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string"
 
 
 def _stream(spark, sf, name, schema):

@@ -260,3 +260,31 @@ def test_unknown_values_accumulate(spark, vocabulary, tmp_path):
         land(landing, name, [{"id": name, "fuel_type": f} for f in fuels])
         feeds.run_available(feeds.read_listing_stream(spark, str(landing), SCHEMA), sink, str(tmp_path / "progress"))
     assert sorted(r.value for r in spark.read.parquet(ledger).collect()) == ["steam", "wind"]
+
+
+def test_built_in_profiles_know_their_columns():
+    from adloom.plans.profiles import BUILT_IN, register_built_in
+
+    register_built_in()
+    for profile in BUILT_IN:
+        assert get_source(profile.name).columns and callable(profile.flatten)
+
+
+# --- a whole batch ---------------------------------------------------------------------------------------
+def test_ingest_batch(spark, vocabulary):
+    from adloom.operators.gates import mandatory_gate
+    from adloom.plans.ingest import ingest_batch
+
+    cards = spark.createDataFrame(
+        [("1", 1, "Kia - كيا", "ريو", "2016", dt.date(2026, 2, 1)), ("1", 2, "x", "x", "2016", None), ("2", 1, "كيا", "ريو", "2016", dt.date(2026, 2, 1)),
+         ("3", 1, "كيا", "", "2016", None), ("4", 1, "كيا", "ريو", "2016", dt.date(2020, 1, 1)), ("5", 1, "كيا", "ريو", "2009", None), (None, 1, "كيا", "ريو", "2016", None)],
+        "id string, n int, make string, model string, year string, date_added date",
+    )
+    known = spark.createDataFrame([("2",)], "id string")
+    details = spark.createDataFrame([("1", "سيراتو", "+963"), ("3", "", "+963")], "id string, model string, phone string")
+    batch = ingest_batch(
+        cards, known, details, vocabulary, start="2026-01-01", least_year=2015, order=["n"], strip_compounds=True,
+        gate=lambda rows: mandatory_gate(rows, ["make", "model", "phone"]),
+    )
+    assert [(r.id, r.make, r.model, r.phone) for r in batch.accepted.collect()] == [("1", "كيا", "ريو", "+963")]
+    assert [(r.id, r.reasons) for r in batch.rejected.collect()] == [("3", ["model"])]
