@@ -167,7 +167,7 @@ def vocabulary_of(spark, sf) -> Vocabulary:
     return build_vocabulary(spark, vocab, brands)
 
 
-def _raw_listings(spark, sf):
+def raw_listings(spark, sf):
     """Order lines as listings whose values are variant spellings of the vocabulary."""
     def variant(entries, column):
         return F.element_at(F.array(*[F.lit(k) for k in entries]), (F.col(column) % len(entries) + 1).cast("int"))
@@ -175,7 +175,7 @@ def _raw_listings(spark, sf):
     joined = table(spark, sf, "lineitem", heavy=True).join(table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"))
     return joined.select(
         "l_orderkey", "l_partkey", "l_linenumber",
-        F.upper("p_brand").alias("make"),
+        F.translate("p_brand", "#", "").alias("make"),
         F.when(F.col("p_size") < 25, F.concat(F.col("p_name"), F.lit(" "))).otherwise(_misspelled()).alias("model"),
         variant(_FUELS, "l_suppkey").alias("fuel_type"), variant(_CITIES, "l_linenumber").alias("city"),
         variant(_COLORS, "p_size").alias("exterior_color"), variant(_GEARS, "l_partkey").alias("transmission"),
@@ -200,14 +200,14 @@ def _variant_case(entries: dict[str, str], column: str) -> str:
     """,
 )
 def _(spark, sf):
-    rows = _raw_listings(spark, sf).drop("make", "model")
+    rows = raw_listings(spark, sf).drop("make", "model")
     vocabulary = vocabulary_of(spark, sf)
     return R.apply_resolution(R.normalize_numbers(rows), R.resolve(rows, vocabulary))
 
 
 _MODEL_CTES = f"""
 brand AS (SELECT DISTINCT p_brand AS name, CAST(regexp_extract(p_brand, '([0-9]+)', 1) AS INT) AS ord FROM part),
-raw AS (SELECT DISTINCT upper(p_brand) AS raw_make, CASE WHEN p_size < 25 THEN p_name ELSE {_MISSPELLED} END AS raw_model FROM part),
+raw AS (SELECT DISTINCT replace(p_brand, '#', '') AS raw_make, CASE WHEN p_size < 25 THEN p_name ELSE {_MISSPELLED} END AS raw_model FROM part),
 mpairs AS (SELECT DISTINCT raw_make AS a, name AS b FROM raw, brand)
 """
 
@@ -223,7 +223,7 @@ mpairs AS (SELECT DISTINCT raw_make AS a, name AS b FROM raw, brand)
     """,
 )
 def _(spark, sf):
-    makes = _parts(spark, sf).select(F.lit("make").alias("field"), F.upper("p_brand").alias("raw")).distinct()
+    makes = _parts(spark, sf).select(F.lit("make").alias("field"), F.translate("p_brand", "#", "").alias("raw")).distinct()
     found = R.resolve_fields(makes, vocabulary_of(spark, sf))
     return found.select(F.col("raw").alias("raw_make"), F.col("canonical").alias("make"))
 
@@ -253,9 +253,50 @@ def _(spark, sf):
     return found.select(F.substring("list", 7, 1000).alias("make"), F.col("folded").alias("raw"), "match")
 
 
-@query("normalize_listings")
+_RAW_MODEL = f"CASE WHEN p_size < 25 THEN concat(p_name, ' ') ELSE {_MISSPELLED} END"
+
+
+def _pick(entries, column: str) -> str:
+    return f"list_extract([{', '.join(repr(k) for k in entries)}], CAST({column} % {len(entries)} + 1 AS INT))"
+
+
+# Raw and canonical values side by side. A misspelled model always finds a match within its make, as
+# the make's own models include the correct spelling.
+NORMALIZED = f"""
+brand AS (SELECT DISTINCT p_brand AS name, CAST(regexp_extract(p_brand, '([0-9]+)', 1) AS INT) AS ord FROM part),
+raw_make AS (SELECT DISTINCT replace(p_brand, '#', '') AS a FROM part),
+owned AS (SELECT DISTINCT p_brand AS owner, p_name AS name FROM part),
+raw_model AS (SELECT DISTINCT p_brand AS make, trim({_RAW_MODEL}) AS raw FROM part),
+both_sides AS (SELECT r.make, raw, name FROM raw_model r JOIN owned o ON r.make = o.owner),
+pairs AS (SELECT a, name AS b FROM raw_make, brand UNION SELECT raw, name FROM both_sides), {ratio_ctes('pairs')},
+made AS (SELECT a, arg_min(name, (-score, ord)) AS make FROM scored JOIN brand ON b = name JOIN raw_make USING (a)
+         WHERE score >= 0.75 GROUP BY a),
+inside AS (SELECT make, raw, min(name) AS match FROM both_sides WHERE contains(name, raw) GROUP BY ALL),
+near AS (SELECT make, raw, arg_min(name, (-score, name)) AS match FROM both_sides JOIN scored ON a = raw AND b = name
+         WHERE score >= 0.75 GROUP BY ALL),
+modelled AS (SELECT r.make, raw, coalesce(CASE WHEN o.name IS NOT NULL THEN raw END, i.match, n.match) AS model
+             FROM raw_model r LEFT JOIN owned o ON o.owner = r.make AND o.name = raw
+             LEFT JOIN inside i USING (make, raw) LEFT JOIN near n USING (make, raw)),
+normalized AS (
+  SELECT l_orderkey, l_partkey, l_linenumber, a AS old_make, made.make AS make, {_RAW_MODEL} AS old_model, modelled.model AS model,
+    {_pick(_FUELS, 'l_suppkey')} AS old_fuel_type, {_variant_case(_FUELS, 'l_suppkey')} AS fuel_type,
+    {_pick(_CITIES, 'l_linenumber')} AS old_city, {_variant_case(_CITIES, 'l_linenumber')} AS city,
+    {_pick(_COLORS, 'p_size')} AS old_exterior_color, {_variant_case(_COLORS, 'p_size')} AS exterior_color,
+    {_pick(_GEARS, 'l_partkey')} AS old_transmission, {_variant_case(_GEARS, 'l_partkey')} AS transmission,
+    concat(format('{{:,}}', CAST(floor(l_extendedprice) AS BIGINT)), ' $') AS old_price, CAST(CAST(floor(l_extendedprice) AS BIGINT) AS VARCHAR) AS price,
+    concat(CAST(p_size AS VARCHAR), ' سلندر') AS old_cylinders, CAST(p_size AS VARCHAR) AS cylinders
+  FROM lineitem JOIN part ON l_partkey = p_partkey JOIN made ON a = replace(p_brand, '#', '')
+       JOIN modelled ON modelled.make = p_brand AND modelled.raw = trim({_RAW_MODEL}))
+"""
+NORMALIZED_FIELDS = ["make", "model", "fuel_type", "city", "exterior_color", "transmission", "price", "cylinders"]
+
+
+@query(
+    "normalize_listings",
+    f"WITH RECURSIVE {NORMALIZED} SELECT l_orderkey, l_partkey, l_linenumber, {', '.join(NORMALIZED_FIELDS)} FROM normalized",
+)
 def _(spark, sf):
-    return R.normalize_listings(_raw_listings(spark, sf), vocabulary_of(spark, sf))
+    return R.normalize_listings(raw_listings(spark, sf), vocabulary_of(spark, sf))
 
 
 @query(
@@ -268,5 +309,5 @@ def _(spark, sf):
     """,
 )
 def _(spark, sf):
-    rows = _raw_listings(spark, sf).drop("make", "model")
+    rows = raw_listings(spark, sf).drop("make", "model")
     return durable(R.resolve(rows, vocabulary_of(spark, sf)).unknown())

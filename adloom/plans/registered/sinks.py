@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from adloom.functions.numbers import clean_number
 from adloom.operators.repair import diff_columns, repair_data
 from adloom.plans.registered.base import listing_view, on_listings, query, table
-from adloom.plans.registered.matching import _raw_listings, vocabulary_of
+from adloom.plans.registered.matching import NORMALIZED, NORMALIZED_FIELDS, raw_listings, vocabulary_of
 from adloom.sources.tables import align_schema, sort_newest_first, to_cells
 
 
@@ -60,7 +60,13 @@ def _(spark, sf):
     return diff_columns(both, {f: f"new_{f}" for f in fields}, "id", allow_blank=True)[1]
 
 
-@query("repair_table")
+@query(
+    "repair_table",
+    f"WITH RECURSIVE {NORMALIZED} " + " UNION ALL ".join(
+        f"SELECT concat_ws('_', l_orderkey, l_partkey, l_linenumber) AS id, '{f}' AS field, old_{f} AS old, {f} AS new FROM normalized WHERE {f} <> old_{f}"
+        for f in NORMALIZED_FIELDS
+    ),
+)
 def _(spark, sf):
-    rows = _raw_listings(spark, sf).withColumn("id", F.concat_ws("_", "l_orderkey", "l_partkey", "l_linenumber"))
+    rows = raw_listings(spark, sf).withColumn("id", F.concat_ws("_", "l_orderkey", "l_partkey", "l_linenumber"))
     return repair_data(rows, vocabulary_of(spark, sf), allow_blank=False, strip_compounds=True)[1]
