@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from adloom.functions import fixed_values as V
 from adloom.functions.numbers import clean_cylinders, clean_number
-from adloom.functions.similarity import ratio
+from adloom.functions.similarity import ratio_from
 from adloom.functions.text import (
     alias_key, blank_to_null, fold_ar, is_arabic, is_short_or_numeric, map_value, override_make,
     strip, strip_brand_prefix, strip_variant_number, transliterate,
@@ -112,7 +112,11 @@ def similar_pairs(values: DataFrame, folded: DataFrame, threshold: float) -> Dat
     possible = (F.length("piece") == F.when(total <= 8, 1).otherwise(2)) & (
         2 * shortest >= threshold * total
     )
-    return joined.filter(possible).select("list", "probe", "candidate", "ord", "name").distinct()
+    pairs = joined.filter(possible).select("list", "probe", "candidate", "ord", "name")
+    # The number of partitions is stated, because pairs are few bytes but much work: left to itself
+    # the shuffle would be merged into a handful of tasks. The distinct needs no other shuffle.
+    tasks = int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return pairs.repartition(tasks, "list", "probe", "candidate").distinct()
 
 
 def match_similar(
@@ -120,7 +124,7 @@ def match_similar(
 ) -> DataFrame:
     """JN-8: most similar candidate at or above ``threshold``; ties go to the earliest."""
     pairs = similar_pairs(values, folded, threshold)
-    scored = pairs.withColumn("score", ratio("probe", "candidate")).filter(
+    scored = pairs.withColumn("score", ratio_from(threshold)("probe", "candidate")).filter(
         F.col("score") >= threshold
     )
     best = scored.groupBy("list", "probe").agg(
