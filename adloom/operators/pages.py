@@ -129,6 +129,8 @@ RULES = [
     Rule("dealers", "card", "location", "", "dealer-location-label"),
     Rule("dealers", "card", "dealer_id", "span", "stm-show-number", take="data-id"),
 ]
+
+# Words and patterns by which layouts are recognised.
 INFO_HEADING = "معلومات"
 SPEC_CLASS = re.compile(r"spec|detail|feature|info|prop", re.I)
 LIST_CLASS = re.compile(
@@ -138,7 +140,18 @@ SECTION_CLASS = re.compile(r"box-accordion-(?!1)", re.I)
 PRICE_MARK = re.compile(r"\$|دولار|USD")
 DESCRIPTION_HEADINGS = ("وصف", "تفاصيل", "ملاحظات")
 SELLER_HEADINGS = ("بائع", "معلن", "المالك", "صاحب")
+SELLER_CLASS = re.compile(r"box-container-seller-info|seller-info-box|seller-details", re.I)
+SELLER_NOT_NAMES = [
+    "المعلن", "البائع", "المالك", "صاحب الإعلان", "زيارة", "حساب تجاري", "حساب شخصي", "حساب وكالة",
+]
+SELLER_NOT_A_NAME = re.compile("^(?:إعلان|حساب|\\d)|^[؀-ۿ]{1,3}$")
+SCRIPT_PHONE = re.compile(r"let phone\s*=\s*'([^']+)'")
+GALLERY_IMAGE, ALBUM, CAR_IMAGE = "single-listing-gallery-image", "container-images-album", "car-image"
+NOTES_HEADING = re.compile(r"ملاحظات|seller.?note", re.I)
+NO_NOTES = ["غير معروف", "N/A", "n/a", "-"]
+CHAPTER = "single-listing-chapter-title"
 SAFETY_WORDS = ["أمان", "سلامة", "safety"]
+FEATURE_WORDS = ["مواصفات", "ميزات", "المواصفات", "الخارجية", "الراحة", "التقنية"]
 HEADINGS = ("h2", "h3", "h4")
 MAX_LABEL = 40
 
@@ -190,6 +203,12 @@ def _pairs(root: markup.Element) -> Iterator[tuple[str, str, str]]:
             named = {c: n.text(" ") for n in item.walk() for c in n.classes}
             label = named.get("single-listing-data-item-label", "")
             yield "item", label, named.get("single-listing-data-item-value", "")
+    for head in nodes:
+        for section in _chapter(head) if CHAPTER in head.classes else ():
+            items = [c.text() for c in section.children() if c.tag == "li"]
+            if items and len(items) % 2 == 0:
+                middle = len(items) // 2
+                yield from (("halves", *p) for p in zip(items[:middle], items[middle:]))
     for box in nodes:
         if box.tag == "div" and SPEC_CLASS.search(box.attrs.get("class", "")):
             inner = [c.text() for c in box.children() if c.tag == "div"]
@@ -203,6 +222,39 @@ def _pairs(root: markup.Element) -> Iterator[tuple[str, str, str]]:
                     yield from (("list", *p) for p in zip(labels, values) if len(p[0]) < MAX_LABEL)
 
 
+def _siblings(node) -> list:
+    """Elements after ``node`` under the same parent."""
+    around = node.parent.children() if node.parent is not None else []
+    return around[around.index(node) + 1 :] if node in around else []
+
+
+def _chapter(head) -> Iterator[markup.Element]:
+    """Siblings of a chapter title up to the next one."""
+    for node in _siblings(head):
+        if CHAPTER in node.classes:
+            return
+        yield node
+
+
+def _seller_in_box(root) -> str:
+    """First line of a seller box that can be a name."""
+    for box in root.walk():
+        if box.tag == "div" and SELLER_CLASS.search(box.attrs.get("class", "")):
+            for line in box.texts():
+                if len(line) > 2 and line not in SELLER_NOT_NAMES and not SELLER_NOT_A_NAME.match(line):
+                    return line[:100]
+    return ""
+
+
+def _seller_notes(root) -> str:
+    """Text of the element after the first heading about notes."""
+    for node in root.walk():
+        if node.tag in (*HEADINGS, "h5") and NOTES_HEADING.search(node.text()):
+            after = [n for n in _siblings(node) if n.tag not in ("br", "script", "style")]
+            return after[0].text(" ") if after else ""
+    return ""
+
+
 def _after_heading(root, words, tags):
     """Element following the first heading that contains one of the words."""
     for node in root.walk():
@@ -211,8 +263,23 @@ def _after_heading(root, words, tags):
     return None
 
 
-def _features(root) -> Iterator[tuple[str, str]]:
-    """EXT-4: ``(section heading, item)`` of checked features."""
+def _features(root) -> list[tuple[str, str]]:
+    """EXT-4: ``(section heading, item)`` of feature sections, or else of lists after a heading that
+    speaks of safety or features."""
+    found = list(_feature_sections(root))
+    if found:
+        return found
+    for head in root.walk():
+        text = head.text() if head.tag in (*HEADINGS, "p", "span") else ""
+        if text and any(w in text for w in [*SAFETY_WORDS, *FEATURE_WORDS]):
+            lists = [n for n in _siblings(head) if n.tag == "ul"]
+            if not lists and head.parent is not None:
+                lists = [n for s in _siblings(head.parent)[:1] for n in s.walk() if n.tag == "ul"]
+            found += [(text, n.text()) for n in (lists[0].walk() if lists else ()) if n.tag == "li" and n.text()]
+    return found
+
+
+def _feature_sections(root) -> Iterator[tuple[str, str]]:
     for cell in root.walk():
         if cell.tag == "td" and cell.attrs.get("colspan") == "2":
             title = next((n for n in cell.walk() if n.tag == "div" and "py-1" in n.classes), None)
@@ -246,27 +313,53 @@ def _picked(root, rules: Sequence[Rule]) -> dict[str, str]:
     return fields
 
 
-def _page_facts(html: str, rules: Sequence[Rule]) -> tuple:
-    root = markup.parse(html)
-    nodes = list(root.walk())
-    fields = _picked(root, rules)
-    for node in nodes:
+def _images(root, source: str) -> list[str]:
+    """Image links in page order: all of them, or those of the gallery where a source has one."""
+    nodes = [n for n in root.walk() if n.tag == "img"]
+    if source == "portal":
+        own = [n for n in nodes if GALLERY_IMAGE in n.classes]
+        nodes = own or [n for n in nodes if CAR_IMAGE in n.attrs.get("src", "")]
+    elif source == "accordion":
+        nodes = markup.select(root, "img", "", "", ALBUM)
+    found = [s for s in map(_image, nodes) if s]
+    if not found and source == "accordion":
+        preview = (n for n in root.walk() if n.tag == "meta" and n.attrs.get("property") == "og:image")
+        found = [n.attrs["content"] for n in preview if n.attrs.get("content")]
+    return found
+
+
+def _generic_fields(root, links: list[str]) -> dict[str, str]:
+    """EXT-2: fields that pages without rules of their own give away by wording or link targets."""
+    fields: dict[str, str] = {}
+    for node in root.walk():
         text = node.text() if node.tag in ("span", "div", "p", "h2", "strong") else ""
         if PRICE_MARK.search(text) and len(text) < 50 and re.search(r"\d", text):
-            fields.setdefault("price_raw", text)
+            fields["price_raw"] = text
             break
     after = _after_heading(root, DESCRIPTION_HEADINGS, ("div", "p", "section"))
     if after is not None:
-        fields.setdefault("description_raw", after.text(" "))
+        fields["description_raw"] = after.text(" ")
     seller = _after_heading(root, SELLER_HEADINGS, ("div", "p", "span", "h4", "h5"))
-    if seller is not None:
-        fields.setdefault("seller_name", seller.text()[:100])
-    links = [n.attrs.get("href", "") for n in nodes if n.tag == "a"]
+    fields["seller_name"] = (seller.text()[:100] if seller is not None else "") or _seller_in_box(root)
     for link in links:
         if link.startswith("tel:"):
             fields.setdefault("phone_link", link)
         elif "wa.me" in link:
             fields.setdefault("whatsapp_link", link)
+    return fields
+
+
+def _page_facts(html: str, rules: Sequence[Rule], source: str = "generic") -> tuple:
+    root = markup.parse(html)
+    nodes = list(root.walk())
+    links = [n.attrs.get("href", "") for n in nodes if n.tag == "a"]
+    fields = _picked(root, rules)
+    if source == "generic":
+        fields = {**_generic_fields(root, links), **fields}
+    else:
+        script = SCRIPT_PHONE.search(html or "")
+        fields["script_phone"] = script.group(1) if script else ""
+        fields["seller_notes"] = _seller_notes(root)
     dates = [n.attrs.get("content", "") for n in nodes
              if n.tag == "meta" and n.attrs.get("property") == "article:published_time"]
     dates += [n.attrs["datetime"] for n in nodes if n.tag == "time" and n.attrs.get("datetime")]
@@ -276,11 +369,9 @@ def _page_facts(html: str, rules: Sequence[Rule]) -> tuple:
         {"strategy": s, "pos": i, "label": k, "value": v}
         for i, (s, k, v) in enumerate(p for p in _pairs(root) if p[1] and p[2] and p[1] != p[2])
     ]
-    return (
-        fields, pairs, [s for s in map(_image, (n for n in nodes if n.tag == "img")) if s],
-        [{"section": s, "name": n} for s, n in _features(root)], dates, scripts,
-        [x for x in links if "/users/" in x or "/dealer/" in x],
-    )
+    features = [{"section": s, "name": n} for s, n in _features(root)]
+    profiles = [x for x in links if "/users/" in x or "/dealer/" in x]
+    return fields, pairs, _images(root, source), features, dates, scripts, profiles
 
 
 def _card_facts(html: str, rules: Sequence[Rule]) -> Iterator[tuple]:
@@ -329,7 +420,7 @@ def extract_pages(
 ) -> DataFrame:
     """EXT-1/2/4/6/7: one row per page with everything its rules picked."""
     rules = _rules(source, "page")
-    return _map_pages(pages, key, html, PAGE_COLUMNS, lambda page: [_page_facts(page, rules)])
+    return _map_pages(pages, key, html, PAGE_COLUMNS, lambda page: [_page_facts(page, rules, source)])
 
 
 def extract_cards(

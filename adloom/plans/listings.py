@@ -13,7 +13,7 @@ from adloom.functions import text as T
 from adloom.functions.dates import day_first_date, iso_date
 from adloom.functions.media import images_to_json, original_image_url, whatsapp_number
 from adloom.operators.pages import (
-    card_date, feature_list, field, page_date, page_vehicle, phone_of_link, settle_pairs,
+    NO_NOTES, card_date, feature_list, field, page_date, page_vehicle, phone_of_link, settle_pairs,
     split_features,
 )
 from adloom.operators.specs import with_specs
@@ -152,6 +152,7 @@ def portal_listings(
             "mileage": N.clean_mileage(F.col("mileage")),
             "description": T.clean_dashes(field("description_raw")),
             "seller_name": T.clean_dashes(field("seller_name")),
+            "seller_notes": T.clean(field("seller_notes"), NO_NOTES),
             "seller_type": F.when(
                 field("dealer_link").contains("/dealer/"), F.lit("dealer")
             ).otherwise(F.lit("private")),
@@ -290,7 +291,7 @@ def accordion_details(facts: DataFrame, key: Sequence[str]) -> DataFrame:
         T.blank_to_null(F.regexp_extract(dated, r"(?U)المشاهدين[:\s]*(\d+)", 1)).alias("views"),
         field("description_raw").alias("description_original"),
         field("city").alias("city"), T.strip_km(field("mileage")).alias("mileage"),
-        phone_of_link().alias("phone"), T.strip(code).alias("listing_id"),
+        F.coalesce(phone_of_link(), field("script_phone")).alias("phone"), T.strip(code).alias("listing_id"),
         field("seller_name").alias("seller_name"), field("seller_type").alias("seller_type"),
         T.blank_to_null(F.regexp_extract(field("seller_listings"), r"(\d+)", 1)).alias("seller_listings"),
         F.array_join(general, "|").alias("features"), F.array_join(safety, "|").alias("safety_features"),

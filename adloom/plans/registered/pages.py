@@ -226,7 +226,7 @@ def _(spark, sf):
         F.lit(" مستعملة</h1><b class='single-listing-price-value'>$"), F.format_number(F.floor("p_retailprice"), 0), F.lit("</b><i class='post-views'>"), size.cast("string"),
         F.lit(" views</i><ul>"), item("الماركة", F.lit("Kia - كيا")), item("الموديل", F.col("p_name")), item("الكيلومتراج", F.concat(size.cast("string"), F.lit(" ألف كم"))),
         item("الموديل", F.lit("late")), F.lit("</ul><a class='single-listing-dealer-name' href='/dealer/x'>X</a><span class='single-listing-phone-number'>+963</span>"
-        "<a class='single-listing-whatsapp-button' href='https://wa.me/"), key, F.lit("'>w</a><img src='http://i.example/a-10x20.jpg?v=1'><img src='/rel.jpg'>"),
+        "<a class='single-listing-whatsapp-button' href='https://wa.me/"), key, F.lit("'>w</a><img class='single-listing-gallery-image' src='http://i.example/a-10x20.jpg?v=1'><img src='http://i.example/b.jpg'>"),
     )
     pages = table(spark, sf, "part", heavy=True).filter(~F.lit("963").contains(key)).select(key.alias("url"), html.alias("html"))
     facts = P.extract_pages(pages, "portal")

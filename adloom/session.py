@@ -57,21 +57,25 @@ def durable(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give row work that is heavy on CPU a task per core when the input is only a few files.
+def spread(scan: DataFrame) -> DataFrame:
+    """Give row work that is heavy on CPU a task per core when a scan has fewer splits than cores.
 
-    Larger inputs have more splits than cores already and are returned as they are.
+    What is shuffled then is at most one split per core; a scan with more splits, however few its
+    files, is returned as it is. ``scan`` is a plain table read (planning it starts no job).
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
 
 
 def fits_broadcast(
     df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES
 ) -> bool:
-    """Whether ``df`` is proven small. Reads at most ``max_rows + 1`` rows."""
-    width = F.sum(F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))))
-    seen = df.limit(max_rows + 1).agg(F.count("*").alias("n"), width.alias("b")).first()
+    """Whether ``df`` is proven small, by one distributed pass that counts its rows and bytes."""
+    width = [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) for c in df.columns]
+    total = width[0]
+    for part in width[1:]:
+        total = total + part
+    seen = df.agg(F.count("*").alias("n"), F.sum(total.cast("bigint")).alias("b")).first()
     return seen["n"] <= max_rows and (seen["b"] or 0) <= max_bytes
 
 

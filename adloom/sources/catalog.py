@@ -166,6 +166,7 @@ def validate_catalog(catalog: DataFrame) -> DataFrame:
     def missing(column: str, least: int) -> Column:
         return F.coalesce(F.length(column), F.lit(0)) < least
 
+    # The messages.
     rules = [
         (missing("name", 2), "Website name is required (min 2 characters)"),
         (~F.coalesce(F.col("url").startswith("http"), F.lit(False)),

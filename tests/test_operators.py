@@ -246,3 +246,20 @@ def test_joins_beyond_the_bound_are_not_broadcast(spark):
         joined = join_small(big, small, "k", max_rows=bound)
         results.append(sorted((r.k, r.v or "") for r in joined.collect()))
     assert results[0] == results[1] and len(results[0]) == 100
+
+
+def test_spread_leaves_scans_with_enough_splits_alone(spark, tmp_path):
+    from adloom.session import spread
+
+    path = str(tmp_path / "t")
+    spark.range(1000).repartition(1).write.parquet(path)
+    assert spread(spark.read.parquet(path)).rdd.getNumPartitions() == 4
+    small = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    many = str(tmp_path / "many")
+    spark.range(1000).repartition(12).write.parquet(many)
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "1")
+        scan = spark.read.parquet(many)
+        assert spread(scan) is scan
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", small)

@@ -143,6 +143,32 @@ def test_nested_markup(spark):
     assert rows["u"].title_raw.startswith("yes & no") and rows["v"].specs == []
 
 
+def test_seller_boxes_notes_chapters_and_flat_features(spark):
+    box = "<div class='seller-info-box'><span>المعلن</span><p>حساب تجاري</p><p>معرض النور</p></div>"
+    html = ("<h3>ملاحظات</h3><br><div>good <b>car</b></div><a href='tel:1'>x</a><script>let phone = '77';</script>"
+            "<h4 class='single-listing-chapter-title'>x</h4><ul><li>A</li><li>B</li><li>1</li><li>2</li></ul><h4 class='single-listing-chapter-title'>y</h4>"
+            "<p>ميزات</p><ul><li>roof</li></ul><div><span>أمان</span></div><div><ul><li>abs</li></ul></div>")
+    pages = spark.createDataFrame([("u", box + html)], "url string, html string")
+    general, safety = P.split_features()
+    row = P.extract_pages(pages, "portal").select(
+        P.field("seller_name").alias("s"), P.field("seller_notes").alias("n"), P.field("script_phone").alias("p"), P.field("phone_link").alias("t"),
+        "pairs", general.alias("g"), safety.alias("f"),
+    ).first()
+    assert (row.s, row.n, row.p, row.t, row.g, row.f) == (None, "good car", "77", None, ["roof"], ["abs"])
+    assert [(p.label, p.value) for p in row.pairs if p.strategy == "halves"] == [("A", "1"), ("B", "2")]
+    plain = P.generic_details(P.extract_pages(pages)).first()
+    assert (plain.seller_name, plain.phone) == ("معرض النور", "1")
+
+
+def test_gallery_images(spark):
+    html = "<meta property='og:image' content='o'><img src='x/car-image.jpg'><img class='single-listing-gallery-image' data-lg-src='g'><div class='container-images-album'><img src='a'></div>"
+    pages = spark.createDataFrame([("u", html), ("v", "<meta property='og:image' content='o'><img src='x/car-image.jpg'>")], "url string, html string")
+    found = {s: [r.images for r in P.extract_pages(pages, s).orderBy("url").collect()] for s in ("portal", "accordion", "generic")}
+    assert found["portal"] == [["g"], ["x/car-image.jpg"]]
+    assert found["accordion"] == [["a"], ["o"]]
+    assert found["generic"] == [["x/car-image.jpg", "g", "a"], ["x/car-image.jpg"]]
+
+
 def test_tile_and_column_cards(spark):
     tile = ("<div class='product'><div class='text-orange'>5$</div><span class='bg-purple'>Kia</span><h5 class='product-title'>T</h5>"
             "<li>2015</li><li>90 كم</li><div class='text-muted'>حلب | اليوم</div><a class='btn-whatsapp' href='https://wa.me/963?t=/ads/77'></a></div>")
