@@ -25,7 +25,8 @@ def _image_list(value: Column) -> Column:
 
 
 def _translated(c: Column, entries: Mapping[str, str]) -> Column:
-    return T.translate_value(c, entries)
+    """JN-6, plain-key variant, for text that is clean already."""
+    return F.coalesce(T.map_value(F.lower(c), entries), c)
 
 
 # --- classified items ----------------------------------------------------------------------------
