@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+import zipfile
 from functools import lru_cache
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +16,8 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 1_000_000
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
+_SHIPPED: dict[str, str] = {}
+
 
 def build_session(app: str = "adloom", master: str | None = None, **conf: str) -> SparkSession:
     """Session with the settings the operators rely on; ``conf`` overrides any of them."""
@@ -35,9 +40,16 @@ def build_session(app: str = "adloom", master: str | None = None, **conf: str) -
 def shared_folder(spark: SparkSession) -> str:
     """Folder for intermediate tables: the one the cluster names in ``spark.checkpoint.dir``.
 
-    A temporary folder is used only where that setting is absent, which is the case in local tests.
+    A temporary folder stands in only where the setting is absent and driver and tasks are one process;
+    elsewhere executors would write to disks that nobody else can read, so that is an error.
     """
-    return spark.conf.get("spark.checkpoint.dir", None) or _local_folder()
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named.rstrip("/")
+    master = spark.conf.get("spark.master", "")
+    if re.fullmatch(r"local(\[[^\]]*\])?", master):
+        return _local_folder()
+    raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
 
 
 @lru_cache(maxsize=1)
@@ -45,18 +57,37 @@ def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="spark-")
 
 
-def durable(df: DataFrame) -> DataFrame:
+def fresh_path(spark: SparkSession, kind: str = "table") -> str:
+    """A path in the shared folder that nothing else uses."""
+    return f"{shared_folder(spark)}/{kind}-{uuid.uuid4().hex}"
+
+
+def durable(df: DataFrame, compression: str = "snappy") -> DataFrame:
     """Write ``df`` to shared storage and read it back.
 
     That cuts lineage, so a lost executor never recomputes the scan behind it, runs the plan once,
     and leaves a table whose size the optimiser knows when it picks joins.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    path = fresh_path(spark)
+    df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, so that Python tasks can import it."""
+    context = spark.sparkContext
+    if _SHIPPED.get("application") == context.applicationId:
+        return
+    home = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="package-")) / f"{home.name}.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for file in sorted(home.rglob("*.py")):
+            out.write(file, file.relative_to(home.parent))
+    context.addPyFile(str(archive))
+    _SHIPPED["application"] = context.applicationId
+
+
 def spread(scan: DataFrame) -> DataFrame:
     """Give row work that is heavy on CPU a task per core when a scan has fewer splits than cores.
 

@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from adloom.plans.registered import load_all
 
 DATA = Path("/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not DATA.exists(), reason="no test tables")
@@ -26,7 +27,7 @@ def ordered(columns, rows):
     return sorted(repr([row[i] for i in positions]) for row in rows)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(load_all()))
 def test_query(spark, database, name):
     frame = entry.queries()[name](spark, str(DATA))
     rows = [tuple(r) for r in frame.collect()]
