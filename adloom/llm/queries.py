@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adloom.llm import chat, exact_dedup, language, licenses, packing, shards
+from adloom.llm import chat, exact_dedup, language, licenses, near_dedup, packing, shards
 from adloom.llm.common import held_out
 from adloom.llm.license_values import RULES, SENTENCES
 from adloom.session import fresh_path
@@ -83,6 +83,11 @@ def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query(
     """
     SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
