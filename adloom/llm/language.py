@@ -25,8 +25,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from adloom.llm.common import held_out, mix64, slices
+from adloom.llm.common import held_out, mix64, slices, text_of
 from adloom.session import ship_package
 
 DIMENSIONS = 1024
@@ -153,31 +154,24 @@ def learn_prototypes(documents: DataFrame, dimensions: int = DIMENSIONS, per_lan
     return {lang: (totals[lang] / norms[lang]).astype(np.float32) for lang in sorted(totals) if norms[lang] > 0}
 
 
-def predict_languages(documents: DataFrame, prototypes: dict[str, np.ndarray]) -> DataFrame:
-    """``documents`` with ``lang_pred`` and ``score``, in place of columns of these names; text is needed.
-
-    The other columns are passed on as they are.
-    """
+def predict_languages(documents: DataFrame, prototypes: dict[str, np.ndarray], *keep: str) -> DataFrame:
+    """Columns ``keep`` of every row, ``lang_pred`` and ``score``."""
     ship_package(documents.sparkSession)
     names = sorted(prototypes)
-    matrix = np.stack([prototypes[n] for n in names]) if names else np.zeros((0, DIMENSIONS), np.float32)
-    kept = documents.drop("lang_pred", "score")
-    columns_in = kept.columns
-    place = columns_in.index("text")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields)
+    matrix = np.stack([prototypes[n] for n in names]) if names else np.zeros((1, DIMENSIONS), np.float32)
+    rows = text_of(documents, *keep)
+    schema = StructType([*rows.schema.fields[:-1], StructField("lang_pred", StringType()), StructField("score", DoubleType())])
+    columns_out = [f.name for f in schema.fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, limit=1 << 20):
-            vectors = text_vectors(batch.column(place).to_pylist(), matrix.shape[1])
+            vectors = text_vectors(batch.column(batch.num_columns - 1).to_pylist(), matrix.shape[1])
             norms = np.linalg.norm(vectors, axis=1)
-            if names:
-                cosines = vectors @ matrix.T / np.where(norms == 0, 1, norms)[:, None]
-                best, score = cosines.argmax(axis=1), np.clip(cosines.max(axis=1), 0, 1)
-            else:
-                best, score, norms = np.zeros(len(norms), int), np.zeros(len(norms)), np.zeros(len(norms))
-            labels = [names[b] if n > 0 else UNKNOWN for b, n in zip(best, norms, strict=True)]
-            scores = np.where(norms > 0, score, 0).astype(np.float64)
-            columns = [*batch.columns, pa.array(labels, pa.string()), pa.array(scores)]
-            yield pa.RecordBatch.from_arrays(columns, [*columns_in, "lang_pred", "score"])
-
-    return kept.mapInArrow(run, f"{schema}, lang_pred string, score double")
+            known = (norms > 0) & bool(names)
+            cosines = vectors @ matrix.T / np.where(norms == 0, 1, norms)[:, None]
+            labels = [names[b] if k else UNKNOWN for b, k in zip(cosines.argmax(axis=1), known, strict=True)]
+            scores = np.where(known, np.clip(cosines.max(axis=1), 0, 1), 0).astype(np.float64)
+            columns = [*batch.columns[:-1], pa.array(labels, pa.string()), pa.array(scores)]
+            yield pa.RecordBatch.from_arrays(columns, columns_out)
+
+    return rows.mapInArrow(run, schema)

@@ -188,4 +188,4 @@ def near_duplicates(documents: DataFrame, threshold: int = THRESHOLD, size: int
 def drop_near_copies(documents: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """The rows of ``documents`` that stay: of each group the document with the smallest id."""
     gone = durable(near_duplicates(documents, threshold).where("NOT kept").select("doc_id").distinct())
-    return documents.join(gone.withColumnRenamed("doc_id", "_gone"), F.col("doc_id") == F.col("_gone"), "left_anti")
+    return documents.join(gone, documents["doc_id"] == gone["doc_id"], "left_anti")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adloom.llm import chat, exact_dedup, language, licenses, near_dedup, packing, shards
+from adloom.llm import chat, exact_dedup, language, licenses, mixing, near_dedup, packing, quality, shards, topk
 from adloom.llm.common import held_out
 from adloom.llm.license_values import RULES, SENTENCES
 from adloom.session import fresh_path
@@ -83,6 +83,43 @@ def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    field = quality.learn_field(documents, table(spark, sf_dir, "labels"))
+    scored = quality.score_quality(documents, field, "doc_id")
+    return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
+SHARES = {f"src{i}": 1 + i % 5 for i in range(20)}
+
+
+@query()
+def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    timed = mixing.schedule(table(spark, sf_dir, "documents").select("doc_id", "source", "text"), SHARES)
+    return timed.select("document.doc_id", "source", "block", "release", "deadline", "slot", "begin")
+
+
+@query(
+    """
+    WITH v AS (
+      SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS x FROM embeddings
+      WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ), scored AS (
+      SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.x, c.x) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
+    ), ranked AS (
+      SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank, vec_id, score
+      FROM scored
+    )
+    SELECT * FROM ranked WHERE rank <= 5
+    """
+)
+def op5_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
+
+
 @query()
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
@@ -139,7 +176,6 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = table(spark, sf_dir, "documents")
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     prototypes = language.learn_prototypes(documents)
-    rows = documents.select("doc_id", held_out().alias("held_out"), "text")
-    return language.predict_languages(rows, prototypes).drop("text")
+    return language.predict_languages(documents, prototypes, "doc_id").select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
