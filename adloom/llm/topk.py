@@ -61,16 +61,21 @@ class Subtree:
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, router: np.ndarray, radius2: float):
         lifted = _lifted(vectors, radius2)
-        order = np.argsort(_distances(lifted, router[None, :])[:, 0], kind="stable")
         self.router = router
         self.pages = []
-        for start in range(0, len(order), PAGE):
-            rows = order[start : start + PAGE]
-            centre = lifted[rows[len(rows) // 2]]
+        # pages gather around entries that are spread evenly by their distance from the routing object
+        order = np.argsort(_distances(lifted, router[None, :])[:, 0], kind="stable")
+        seeds = lifted[order[:: max(1, PAGE // 2)]]
+        nearest = _distances(lifted, seeds).argmin(axis=1)
+        for seed, centre in enumerate(seeds):
+            rows = np.flatnonzero(nearest == seed)
+            to_parent = float(_distances(centre[None, :], router[None, :])[0, 0])
             apart = _distances(lifted[rows], centre[None, :])[:, 0]
             near = np.argsort(apart, kind="stable")
-            to_parent = float(_distances(centre[None, :], router[None, :])[0, 0])
-            self.pages.append((centre, float(apart.max()), to_parent, apart[near], ids[rows[near]], vectors[rows[near]]))
+            for start in range(0, len(rows), PAGE):
+                part = near[start : start + PAGE]
+                radius = float(apart[part[-1]])
+                self.pages.append((centre, radius, to_parent, apart[part], ids[rows[part]], vectors[rows[part]]))
         self.radii = np.array([p[1] for p in self.pages])
         self.to_parent = np.array([p[2] for p in self.pages])
 
