@@ -82,8 +82,18 @@ def _units(members: DataFrame, group: str) -> DataFrame:
     return met.select(unit.alias("unit"), "id")
 
 
-def verified_links(units: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
-    """``a, b`` of links that join the parts of each unit. ``sets`` has ``id, shingles`` (64-bit hashes)."""
+def verified_links(documents: DataFrame, units: DataFrame, threshold: int) -> DataFrame:
+    """``a, b`` of links that join the parts of each unit (``unit, id``).
+
+    The whole texts are read again for the ids in ``units`` only: writing the sets of all documents would
+    take more than the texts do.
+    """
+
+    def with_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            hashes, offsets = shingles(*text_bytes(batch))
+            data = [hashes[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(data, pa.binary())], ["unit", "id", "shingles"])
 
     def compare(ids: list[int], data: list[bytes]) -> list[tuple[int, int]]:
         # an id that repeats with other texts has several sets
@@ -129,21 +139,11 @@ def verified_links(units: DataFrame, sets: DataFrame, threshold: int) -> DataFra
         if ids:
             yield done()
 
-    placed = units.join(sets, "id").select("unit", "id", "shingles")
-    return placed.repartition("unit").sortWithinPartitions("unit").mapInArrow(run, "a bigint, b bigint")
-
-
-def shingle_sets(documents: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``id, shingles`` of the documents whose id is in ``wanted``."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            hashes, offsets = shingles(*text_bytes(batch))
-            data = [hashes[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(data, pa.binary())], ["id", "shingles"])
-
     rows = documents.select(F.col("doc_id").cast("bigint").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
-    return rows.join(wanted, "id", "left_semi").mapInArrow(run, "id bigint, shingles binary")
+    # merge joins at every size: both sides grow with the documents
+    texts = rows.join(units.hint("merge"), "id").select("unit", "id", "text").dropDuplicates()
+    placed = texts.mapInArrow(with_sets, "unit bigint, id bigint, shingles binary")
+    return placed.repartition("unit").sortWithinPartitions("unit").mapInArrow(run, "a bigint, b bigint")
 
 
 def near_duplicates(documents: DataFrame, threshold: int = THRESHOLD, size: int = SIZE, bands: int = BANDS) -> DataFrame:
@@ -153,13 +153,13 @@ def near_duplicates(documents: DataFrame, threshold: int = THRESHOLD, size: int
     classes = durable(
         able.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("id"), F.min_by("row", "doc_id").alias("row"))
     )
-    heads = durable(able.join(classes.select("row"), "row").select(F.col("doc_id").alias("id"), "n", "bands"), "zstd")
+    heads = durable(able.join(classes.select("row").hint("merge"), "row").select(F.col("doc_id").alias("id"), "n", "bands"), "zstd")
 
     banded = heads.select("id", "n", F.explode("bands").alias("key"))
     hubs = durable(banded.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("last")).where("hub < last").select("key", "hub"))
-    stars = banded.join(hubs, "key")
+    stars = banded.join(hubs.hint("merge"), "key")
     clouds = durable(components(stars.where("id != hub").select(F.col("id").alias("a"), F.col("hub").alias("b"))))
-    members = durable(heads.join(clouds, "id").select("id", "n", "component").distinct())
+    members = durable(heads.join(clouds.hint("merge"), "id").select("id", "n", "component").distinct())
     totals = members.groupBy("component").agg(F.sum("n").alias("total"))
     small = durable(totals.select("component", (F.col("total") <= CLOUD_ROOM).alias("small")))
     sorted_out = durable(members.join(small, "component"))
@@ -167,14 +167,13 @@ def near_duplicates(documents: DataFrame, threshold: int = THRESHOLD, size: int
     large = sorted_out.where("NOT small").select("id")
     by_bucket = _units(durable(stars.join(large, "id", "left_semi").select("key", "id", "n").distinct()), "key")
     units = durable(whole.unionByName(by_bucket))
-    sets = durable(shingle_sets(documents, members.select("id")).dropDuplicates(), "zstd")
-    links = durable(verified_links(units, sets, threshold))
+    links = durable(verified_links(documents, units, threshold))
     groups = durable(components(links))
 
     named = durable(
         classes.join(groups, "id", "left").select("set_a", "set_b", F.coalesce("component", "id").alias("component_id"))
     )
-    found = rows.join(named, ["set_a", "set_b"], "left")
+    found = rows.join(named.hint("merge"), ["set_a", "set_b"], "left")
     component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     component = F.when(F.col("doc_id").isNotNull(), component)
     return found.select(
