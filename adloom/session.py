@@ -62,7 +62,7 @@ def fresh_path(spark: SparkSession, kind: str = "table") -> str:
     return f"{shared_folder(spark)}/{kind}-{uuid.uuid4().hex}"
 
 
-def durable(df: DataFrame, compression: str = "snappy") -> DataFrame:
+def durable(df: DataFrame, compression: str = "snappy", **options: str) -> DataFrame:
     """Write ``df`` to shared storage and read it back.
 
     That cuts lineage, so a lost executor never recomputes the scan behind it, runs the plan once,
@@ -70,7 +70,7 @@ def durable(df: DataFrame, compression: str = "snappy") -> DataFrame:
     """
     spark = df.sparkSession
     path = fresh_path(spark)
-    df.write.option("compression", compression).parquet(path)
+    df.write.options(compression=compression, **options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
