@@ -68,7 +68,8 @@ def tokenize(documents: DataFrame, vocabulary: str | None = None, end_id: int =
         F.input_file_name().alias("file"),
         F.input_file_block_start().alias("block"),
     )
-    return durable(rows.mapInArrow(run, _TOKENS), compression="zstd")
+    level = {"parquet.compression.codec.zstd.level": "6"}
+    return durable(rows.mapInArrow(run, _TOKENS), "zstd", **level)
 
 
 def id_type(vocabulary: str) -> str:

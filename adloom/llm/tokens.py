@@ -11,7 +11,7 @@ from __future__ import annotations
 import json
 import os
 import re
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 
@@ -31,23 +31,29 @@ class Encoder:
     """Ids of texts by a byte-level BPE file of ``tokenizers``."""
 
     def __init__(self, path: str):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.exact = Tokenizer.from_file(path)
-        self.exact.encode_special_tokens = True
-        self.size = self.exact.get_vocab_size(with_added_tokens=True)
+        self.path = path
         with open(path, encoding="utf-8") as file:
-            model = json.load(file)["model"]
+            whole = json.load(file)
+        vocabulary, added = whole["model"]["vocab"], [t["content"] for t in whole.get("added_tokens", [])]
+        self.size = 1 + max([*vocabulary.values(), *(t["id"] for t in whole.get("added_tokens", []))])
         as_byte = _bytes_of_vocabulary()
-        ranks = {bytes(as_byte[c] for c in word): i for word, i in model["vocab"].items() if all(c in as_byte for c in word)}
+        ranks = {bytes(as_byte[c] for c in word): i for word, i in vocabulary.items() if word not in added}
         # the pattern that byte-level BPE files name by ``use_regex``
         pattern = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-        for added in ("<|endoftext|>",):
-            ranks.pop(added.encode(), None)
         self.fast = tiktoken.Encoding("file", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
+    @cached_property
+    def exact(self):
+        """The reference encoder; most tasks never load it."""
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        from tokenizers import Tokenizer
+
+        reference = Tokenizer.from_file(self.path)
+        reference.encode_special_tokens = True
+        return reference
+
     def encode(self, text: str) -> np.ndarray:
         """Ids as unsigned 32-bit numbers."""
         if len(text) <= PIECE:
