@@ -1,36 +1,40 @@
 """What is new in a feed (JN-1 to JN-3, WIN-1/2/3/6, FLT-1/2/6/8, SRT-4).
 
-None of these uses an ordered window over a whole feed or key: orderings are reduced to minima, maxima
-and counts, which combine on the map side, so a feed or key holding a third of the rows is no hot task.
+Feeds are not walked in order: stops are reduced to minima, maxima and counts, which combine on the map
+side, so a feed holding a third of the rows is no hot task. Joins against what is known have nothing but an
+exchange below them on either side, so that adaptive execution recognises and splits a hot key.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from adloom.functions import fixed_values as V
 from adloom.functions.text import strip
-from adloom.session import durable, join_small
+from adloom.session import durable
 
 
 # --- joins against what is known ---------------------------------------------------------------------
 def keep_unseen(listings: DataFrame, known: DataFrame, key: str = "id") -> DataFrame:
     """JN-1: rows whose key the target does not hold. Rows without a key are kept."""
-    return listings.join(known.select(key).distinct(), key, "left_anti")
+    return listings.join(known.select(key), key, "left_anti")
 
 
 def keep_unseen_either(listings: DataFrame, known: DataFrame, keys: Sequence[str], key: str = "id") -> DataFrame:
     """JN-2: rows unseen under every one of several key columns."""
-    ids = known.select(F.col(key).alias("_known")).distinct()
+    ids = known.select(F.col(key).alias("_known"))
     out = listings
     for name in keys:
         out = out.join(ids, F.col(name) == F.col("_known"), "left_anti")
     return out
 
 
+_PLAIN = ("string", "bigint", "int", "double", "float", "date", "timestamp", "boolean", "smallint")
+
+
 def _folded(c: Column) -> Column:
     return F.lower(strip(F.coalesce(c.cast("string"), F.lit(""))))
 
@@ -45,20 +49,25 @@ def mark_duplicates(
     """JN-3: ``is_duplicate`` - known by id, or equal to an existing row in all ``fields``.
 
     Texts are compared trimmed and lower-cased; a missing value equals a missing value unless
-    ``blank_matches`` is off. New rows are not compared with each other. The OR is two equi-joins
-    against distinct keys, each adding a flag, so it never becomes a nested loop.
+    ``blank_matches`` is off. New rows are not compared with each other. The OR is two equi-joins, each
+    adding a flag, so it never becomes a nested loop. The distinct keys are written first, which leaves a
+    plain exchange below the join; rows without an id, which can match nothing, are dealt out by their texts.
     """
     out, flags = new, []
     if key:
-        ids = existing.select(F.col(key).alias("_id")).filter("_id <> ''").distinct()
-        out = out.join(ids.withColumn("_by_id", F.lit(True)), F.col(key) == F.col("_id"), "left")
+        ids = durable(existing.select(F.col(key).cast("string").alias("_id")).filter("_id <> ''").distinct())
+        texts = [F.col(c).cast("string") for c in new.columns if c != key and dict(new.dtypes)[c] in _PLAIN]
+        apart = F.concat(F.lit("\u0000"), F.xxhash64(*texts).cast("string")) if texts else F.lit(None).cast("string")
+        own = F.col(key).cast("string")
+        out = out.withColumn("_own", F.when(own.isNull() | (own == ""), apart).otherwise(own))
+        out = out.join(ids.withColumn("_by_id", F.lit(True)), F.col("_own") == F.col("_id"), "left")
         flags.append(F.col("_by_id"))
     if fields:
         names = [f"_f{i}" for i in range(len(fields))]
         seen = existing.select(*[_folded(F.col(f)).alias(n) for f, n in zip(fields, names)])
         if not blank_matches:
             seen = seen.filter(F.concat(*[F.col(n) for n in names]) != "")
-        seen = seen.distinct().withColumn("_by_fields", F.lit(True))
+        seen = durable(seen.distinct()).withColumn("_by_fields", F.lit(True))
         out = out.withColumns({n: _folded(F.col(f)) for f, n in zip(fields, names)})
         out = out.join(seen, names, "left")
         flags.append(F.col("_by_fields"))
@@ -83,9 +92,9 @@ def first_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Da
     present = F.lit(True)
     for k in keys:
         present = present & F.col(k).isNotNull()
-    row = F.min(F.struct(*order, *rest)).alias("_row")
-    picked = df.filter(present).groupBy(*keys).agg(row).select(*keys, "_row.*")
-    return picked.select(*df.columns)
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order, *rest) if order or rest else Window.partitionBy(*keys).orderBy(*keys))
+    # the rank filter is also applied in each partition, below the exchange
+    return df.filter(present).withColumn("_place", place).filter("_place = 1").select(*df.columns)
 
 
 def last_by_key(df: DataFrame, keys: Sequence[str], value: str, order: str) -> DataFrame:
@@ -146,7 +155,7 @@ def stop_before_first(df: DataFrame, stop: Column, order: str, feed: Sequence[st
         bound = df.agg(first).first()["_first"]  # one number; as a literal it reaches the scan
         return df if bound is None else df.filter(F.col(order) < F.lit(bound))
     firsts = durable(df.groupBy(*feeds).agg(first))
-    joined = join_small(df, firsts, feeds)
+    joined = df.join(firsts, feeds, "left")
     return joined.filter(F.col("_first").isNull() | (F.col(order) < F.col("_first"))).drop("_first")
 
 
@@ -169,7 +178,7 @@ def _drop_from(df: DataFrame, stops: DataFrame, feeds: list[str], page: str, kee
     if not feeds:
         bound = stops.agg(first).first()["_stop"]  # one number; as a literal it reaches the scan
         return df if bound is None else df.filter(within(F.lit(bound)))
-    joined = join_small(df, durable(stops.groupBy(*feeds).agg(first)), feeds)
+    joined = df.join(durable(stops.groupBy(*feeds).agg(first)), feeds, "left")
     return joined.filter(F.col("_stop").isNull() | within(F.col("_stop"))).drop("_stop")
 
 
@@ -183,7 +192,8 @@ def caught_up_pages(
 ) -> DataFrame:
     """WIN-1: stop page per feed, the first that completes ``patience`` stale pages in a row.
 
-    Pages are numbered without gaps. Every stale page votes for itself and the ``patience - 1`` pages
+    Pages that left no rows are no pages here, so the pages of a feed are numbered first, in bands of
+    ``PAGE_BAND``, whatever gaps they have. Every stale page votes for itself and the ``patience - 1`` pages
     after it, and a stale page with ``patience`` votes ends the run: a run of stale pages is found by
     counting, without walking the feed in order. With ``kept`` (whether a new row was accepted), a
     page of which every new row was rejected restarts the count at one instead of zero.
@@ -195,7 +205,7 @@ def caught_up_pages(
         aggregates.append(
             F.coalesce(F.max((F.col(is_new) & F.col(kept)).cast("int")), F.lit(0)).alias("_kept")
         )
-    pages = df.groupBy(*feeds, page).agg(*aggregates)
+    pages = _numbered(durable(df.groupBy(*feeds, page).agg(*aggregates)), feeds, page)
     stale = F.col("_new") == 0
     reach = F.sequence(F.lit(0), F.lit(patience - 1))
     votes = F.when(stale, reach)
@@ -205,12 +215,26 @@ def caught_up_pages(
         rejected = (F.col("_new") == 1) & (F.col("_kept") == 0)
         votes = votes.when(rejected, F.array(F.lit(patience - 1)))
         stale = stale | rejected if patience == 1 else stale
-    targets = F.transform(votes, lambda step: F.col(page) + step)
-    cast = pages.select(*feeds, F.explode(targets).alias("_target"))
-    counted = cast.groupBy(*feeds, "_target").agg(F.count("*").alias("_votes"))
-    full = counted.filter(F.col("_votes") == patience).withColumnRenamed("_target", page)
-    own = pages.filter(stale).select(*feeds, page)
-    return own.join(full.drop("_votes"), [*feeds, page], "left_semi")
+    targets = F.transform(votes, lambda step: F.col("_number") + step)
+    cast = pages.select(*feeds, F.explode(targets).alias("_number"))
+    counted = cast.groupBy(*feeds, "_number").agg(F.count("*").alias("_votes"))
+    full = counted.filter(F.col("_votes") == patience).drop("_votes")
+    own = pages.filter(stale).select(*feeds, page, "_number")
+    return own.join(full, [*feeds, "_number"], "left_semi").drop("_number")
+
+
+PAGE_BAND = 10_000
+
+
+def _numbered(pages: DataFrame, feeds: list[str], page: str) -> DataFrame:
+    """``pages`` with ``_number``, their place in the feed: within a band, behind the bands before it."""
+    banded = pages.withColumn("_band", F.floor(F.col(page) / PAGE_BAND))
+    sizes = banded.groupBy(*feeds, "_band").agg(F.count("*").alias("_size"))
+    before = Window.partitionBy(*feeds).orderBy("_band").rowsBetween(Window.unboundedPreceding, -1)
+    bases = sizes.withColumn("_base", F.coalesce(F.sum("_size").over(before), F.lit(0).cast("bigint"))).drop("_size")
+    own = F.row_number().over(Window.partitionBy(*feeds, "_band").orderBy(page))
+    placed = banded.withColumn("_own", own).join(bases, [*feeds, "_band"])
+    return placed.withColumn("_number", F.col("_base") + F.col("_own")).drop("_band", "_own", "_base")
 
 
 def caught_up_cutoff(

@@ -30,7 +30,7 @@ from adloom.functions.text import (
     alias_key, blank_to_null, fold_ar, is_arabic, is_short_or_numeric, map_value, override_make,
     strip, strip_brand_prefix, strip_variant_number, transliterate,
 )
-from adloom.session import durable, fits_broadcast, join_small
+from adloom.session import durable
 from adloom.sources.vocabulary import ANY_MAKE, FIELD_LISTS, Vocabulary
 
 NUMBER_FIELDS = ["price", "engine_size", "mileage", "year", "seats", "horsepower"]
@@ -56,6 +56,18 @@ def _candidate_pieces(candidates: DataFrame, sizes: Sequence[int]) -> DataFrame:
     return candidates.select("list", "ord", "name", "folded", F.explode(pieces).alias("piece"))
 
 
+def numbered_characters(text: Column) -> Column:
+    """Characters with the number of their occurrence (``a1``, ``b1``, ``a2``), so that the common ones of two
+    texts can be counted as those of two sets."""
+    places = F.when(F.length(text) > 0, F.sequence(F.lit(1), F.length(text)))
+
+    def numbered(i: Column) -> Column:
+        own, head = F.substring(text, i, F.lit(1)), F.substring(text, F.lit(1), i)
+        return F.concat(own, (F.length(head) - F.length(F.replace(head, own, F.lit("")))).cast("string"))
+
+    return F.coalesce(F.transform(places, numbered), F.array().cast("array<string>"))
+
+
 def folded_candidates(candidates: DataFrame) -> DataFrame:
     """Candidates with their folded text; of equal folded texts in a list the first one stays."""
     folded = candidates.withColumn("folded", fold_ar(F.col("name")))
@@ -93,7 +105,11 @@ def match_containment(
 
 
 def similar_pairs(values: DataFrame, folded: DataFrame, threshold: float) -> DataFrame:
-    """Pairs ``(list, probe, candidate, ord, name)`` that can reach ``threshold`` (at least 3/4)."""
+    """Pairs ``(list, probe, candidate, ord, name)`` that can reach ``threshold`` (at least 3/4).
+
+    Matched characters are common ones, so a pair whose common characters, counted with repetition, are
+    too few is dropped in the stage of the join; that leaves little to shuffle.
+    """
     if threshold < 0.75:
         raise ValueError("the shared-piece rule holds for thresholds of at least 0.75")
     probe = F.col("probe")
@@ -104,19 +120,18 @@ def similar_pairs(values: DataFrame, folded: DataFrame, threshold: float) -> Dat
             F.coalesce(_pieces(probe, 2), F.array().cast("array<string>")),
         )
     )
-    probes = probes.select("list", "probe", F.explode(keys).alias("piece"))
-    pieces = _candidate_pieces(folded, (1, 2)).withColumnRenamed("folded", "candidate")
+    probes = probes.select("list", "probe", numbered_characters(probe).alias("probe_chars"), F.explode(keys).alias("piece"))
+    pieces = _candidate_pieces(folded, (1, 2)).withColumn("chars", numbered_characters(F.col("folded")))
+    pieces = pieces.withColumnRenamed("folded", "candidate")
     joined = probes.join(pieces, ["list", "piece"])
     total = F.length("probe") + F.length("candidate")
     shortest = F.least(F.length("probe"), F.length("candidate"))
     possible = (F.length("piece") == F.when(total <= 8, 1).otherwise(2)) & (
         2 * shortest >= threshold * total
     )
-    pairs = joined.filter(possible).select("list", "probe", "candidate", "ord", "name")
-    # The number of partitions is stated, because pairs are few bytes but much work: left to itself
-    # the shuffle would be merged into a handful of tasks. The distinct needs no other shuffle.
-    tasks = int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return pairs.repartition(tasks, "list", "probe", "candidate").distinct()
+    common = F.size(F.array_intersect("probe_chars", "chars"))
+    pairs = joined.filter(possible).filter(2 * common >= threshold * total)
+    return pairs.select("list", "probe", "candidate", "ord", "name").distinct()
 
 
 def match_similar(
@@ -322,18 +337,29 @@ def resolve(df: DataFrame, vocabulary: Vocabulary, extra: Sequence[str] = ()) ->
 
 
 def apply_resolution(df: DataFrame, resolution: Resolution) -> DataFrame:
-    """Join resolved values back to the rows, one narrow join per column."""
+    """Write resolved values into the rows, with one join for all fields and one for the model.
+
+    The distinct tuples of raw values (combined on the map side) are resolved value by value, and the
+    rows meet their tuple once, by a 128-bit key.
+    """
     out = df
     present = [f for f in [*FIELD_LISTS, "make"] if f in df.columns]
-    fits = fits_broadcast(resolution.fields)
-    for field in present:
-        table = resolution.fields.filter(F.col("field") == field).select(
-            F.col("raw").alias("_raw"), F.col("canonical").alias("_canonical")
-        )
-        out = out.withColumn("_raw", strip(F.col(field).cast("string")))
-        out = join_small(out, table, "_raw", fits=fits)
-        out = out.withColumn(field, F.coalesce("_canonical", blank_to_null(F.col("_raw"))))
-        out = out.drop("_raw", "_canonical")
+    if present:
+        raws = F.struct(*[strip(F.col(f).cast("string")).alias(f) for f in present])
+        keys = [F.xxhash64("_raws").alias("_key"), F.xxhash64("_raws", F.lit("second")).alias("_key2")]
+        rows = df.select("*", raws.alias("_raws")).select("*", *keys).drop("_raws")
+        tuples = df.select(raws.alias("_raws")).distinct().select("_raws", *keys)
+        entries = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f"_raws.{f}").alias("raw")) for f in present])
+        values = durable(tuples.select("_key", "_key2", F.inline(entries)).filter("raw IS NOT NULL"))
+        found = values.join(resolution.fields.select("field", "raw", "canonical"), ["field", "raw"])
+        found = found.filter("canonical IS NOT NULL").groupBy("_key", "_key2")
+        lookup = durable(found.agg(F.map_from_entries(F.collect_list(F.struct("field", "canonical"))).alias("_found")))
+        out = rows.join(lookup, ["_key", "_key2"], "left")
+        canonical = {
+            f: F.coalesce(F.try_element_at("_found", F.lit(f)), blank_to_null(strip(F.col(f).cast("string"))))
+            for f in present
+        }
+        out = out.withColumns(canonical).drop("_key", "_key2", "_found")
     if resolution.models is not None and "model" in df.columns:
         table = resolution.models.select(
             F.col("make").alias("_make"), F.col("raw").alias("_raw"),
@@ -341,7 +367,7 @@ def apply_resolution(df: DataFrame, resolution: Resolution) -> DataFrame:
         )
         make = F.coalesce("make", F.lit("")) if "make" in df.columns else F.lit("")
         out = out.withColumns({"_make": make, "_raw": strip(F.col("model").cast("string"))})
-        out = join_small(out, table, ["_make", "_raw"]).withColumn("model", F.col("_canonical"))
+        out = out.join(table, ["_make", "_raw"], "left").withColumn("model", F.col("_canonical"))
         out = out.drop("_make", "_raw", "_canonical")
     return out.select(*df.columns)
 

@@ -20,6 +20,7 @@ from adloom.operators.incremental import (
 )
 from adloom.operators.repair import COMPOUND_FIELDS
 from adloom.operators.resolve import normalize_listings
+from adloom.session import durable
 from adloom.sources.vocabulary import Vocabulary
 
 
@@ -51,7 +52,7 @@ def ingest_batch(
     """
     rows = filter_usable_cards(cards, [key])
     rows = filter_date_range(rows, start, end) if "date_added" in rows.columns else rows
-    rows = keep_unseen(first_by_key(rows, [key], list(order)), known, key)
+    rows = first_by_key(keep_unseen(rows, known, key), [key], list(order))
     if details is not None:
         joined = join_details(rows, details, key, prefix="detail_")
         shared = [c for c in details.columns if c != key and c in rows.columns]
@@ -67,4 +68,4 @@ def ingest_batch(
         rows = normalize_listings(rows, vocabulary)
     if least_year is not None:
         rows = filter_min_year(rows, least_year)
-    return Batch(*split_gate(gate(rows)))
+    return Batch(*split_gate(durable(gate(rows))))  # both sides read the rows that were gated once

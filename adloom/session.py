@@ -1,4 +1,4 @@
-"""Session defaults and the helpers that decide how a small side is joined."""
+"""Session defaults, intermediates in shared storage, and the package on executors."""
 
 from __future__ import annotations
 
@@ -10,11 +10,6 @@ from functools import lru_cache
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# A side is broadcast only after both of these were checked against its real contents.
-BROADCAST_MAX_ROWS = 1_000_000
-BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
 _SHIPPED: dict[str, str] = {}
 
@@ -86,48 +81,3 @@ def ship_package(spark: SparkSession) -> None:
             out.write(file, file.relative_to(home.parent))
     context.addPyFile(str(archive))
     _SHIPPED["application"] = context.applicationId
-
-
-def spread(scan: DataFrame) -> DataFrame:
-    """Give row work that is heavy on CPU a task per core when a scan has fewer splits than cores.
-
-    What is shuffled then is at most one split per core; a scan with more splits, however few its
-    files, is returned as it is. ``scan`` is a plain table read (planning it starts no job).
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
-
-
-def fits_broadcast(
-    df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES
-) -> bool:
-    """Whether ``df`` is proven small, by one distributed pass that counts its rows and bytes."""
-    width = [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) for c in df.columns]
-    total = width[0]
-    for part in width[1:]:
-        total = total + part
-    seen = df.agg(F.count("*").alias("n"), F.sum(total.cast("bigint")).alias("b")).first()
-    return seen["n"] <= max_rows and (seen["b"] or 0) <= max_bytes
-
-
-def join_small(
-    big: DataFrame,
-    small: DataFrame,
-    on,
-    how: str = "left",
-    max_rows: int = BROADCAST_MAX_ROWS,
-    max_bytes: int = BROADCAST_MAX_BYTES,
-    fits: bool | None = None,
-) -> DataFrame:
-    """Join ``big`` with a side expected to be small.
-
-    ``small`` is broadcast when its measured size allows it, which leaves ``big`` unshuffled. Beyond
-    the bound the join is a plain equi-join that AQE runs as sort-merge with skewed keys split.
-    Pass a ``small`` that is cheap to read twice (a dimension, or the result of :func:`durable`), or
-    ``fits`` when a table that includes it has been measured already.
-    """
-    if fits is None:
-        fits = fits_broadcast(small, max_rows, max_bytes)
-    if fits:
-        small = F.broadcast(small)
-    return big.join(small, on, how)

@@ -11,7 +11,6 @@ from adloom.operators import gates as G
 from adloom.operators import incremental as I
 from adloom.operators import specs as S
 from adloom.operators import stats as A
-from adloom.session import fits_broadcast, join_small
 
 
 def rows(frame, *columns):
@@ -236,30 +235,83 @@ def test_run_counters(spark):
     assert (found.seen, found.new, found.saved, found.skipped, found.duplicate, found.fixed) == (3, 2, 1, 1, 0, 0)
 
 
-# --- sized joins -----------------------------------------------------------------------------------
-def test_joins_beyond_the_bound_are_not_broadcast(spark):
-    big = spark.range(100).withColumnRenamed("id", "k")
-    small = spark.range(50).select(F.col("id").alias("k"), F.lit("x").alias("v"))
-    assert fits_broadcast(small) and not fits_broadcast(small, max_rows=10) and not fits_broadcast(small, max_bytes=10)
-    results = []
-    for bound in (1000, 10):
-        joined = join_small(big, small, "k", max_rows=bound)
-        results.append(sorted((r.k, r.v or "") for r in joined.collect()))
-    assert results[0] == results[1] and len(results[0]) == 100
-
-
-def test_spread_leaves_scans_with_enough_splits_alone(spark, tmp_path):
-    from adloom.session import spread
-
-    path = str(tmp_path / "t")
-    spark.range(1000).repartition(1).write.parquet(path)
-    assert spread(spark.read.parquet(path)).rdd.getNumPartitions() == 4
-    small = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    many = str(tmp_path / "many")
-    spark.range(1000).repartition(12).write.parquet(many)
-    try:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", "1")
-        scan = spark.read.parquet(many)
-        assert spread(scan) is scan
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", small)
+# --- skewed joins ----------------------------------------------------------------------------------
+@pytest.fixture()
+def small_skew(spark):
+    changes = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    before = {k: spark.conf.get(k, None) for k in changes}
+    for k, v in changes.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
+def final_plan(frame):
+    frame.write.format("noop").mode("overwrite").save()
+    rows = frame.collect()
+    return rows, frame._jdf.queryExecution().executedPlan().toString()
+
+
+def hot(spark, n=20_000):
+    """Seven rows in ten share a key."""
+    key = F.when(F.col("id") % 10 < 7, F.lit("hot")).otherwise(F.col("id").cast("string"))
+    filler = F.sha2(F.col("id").cast("string"), 256)
+    return spark.range(n).repartition(6).select(key.alias("id"), filler.alias("title"), F.lit("1").alias("price"))
+
+
+@pytest.mark.parametrize(
+    "join",
+    [
+        lambda new, known: I.keep_unseen(new, known),
+        lambda new, known: I.keep_unseen_either(new, known, ["id"]),
+        lambda new, known: I.mark_duplicates(new, known, fields=()),
+        lambda new, known: I.mark_duplicates(new, known, key=None, fields=("id", "price")),
+    ],
+)
+def test_a_hot_key_is_split(spark, small_skew, join):
+    new = hot(spark)
+    known = spark.range(3000).select(F.col("id").cast("string").alias("id"), F.lit("t").alias("title"), F.lit("1").alias("price"))
+    rows, plan = final_plan(join(new, known))
+    assert "skew=true" in plan
+    assert len(rows) in (20_000, 20_000 - 900)
+
+
+def test_rows_without_an_id_are_dealt_out(spark, small_skew):
+    new = hot(spark).withColumn("id", F.when(F.col("id") != "hot", F.col("id")))
+    known = spark.range(3000).select(F.col("id").cast("string").alias("id"))
+    marked = I.mark_duplicates(new, known, fields=())
+    assert marked.filter("is_duplicate").count() == 900 and marked.filter("id IS NULL AND is_duplicate").count() == 0
+
+
+def test_normalisation_joins_listing_rows_twice(spark, vocabulary):
+    from adloom.operators.resolve import normalize_listings
+
+    rows = spark.createDataFrame([("هيونداي", "tucson", "ابيض", "دمشق", "بنزين")] * 3, "make string, model string, color string, location string, fuel_type string")
+    plan = normalize_listings(rows, vocabulary)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 2
+
+
+def test_similar_pairs_are_few(spark):
+    from adloom.operators.resolve import folded_candidates, numbered_characters, similar_pairs
+
+    assert spark.range(1).select(numbered_characters(F.lit("abab")).alias("c")).first()["c"] == ["a1", "b1", "a2", "b2"]
+    words = ["amber", "beige", "coral", "dunes", "ebony", "frost", "green", "hazel"]
+    names = [f"{a} {b}" for a in words for b in words]
+    candidates = spark.createDataFrame([("l", i, n) for i, n in enumerate(names)], "list string, ord int, name string")
+    values = spark.createDataFrame([("l", n[:4] + n[5:]) for n in names], "list string, folded string")
+    pairs = similar_pairs(values, folded_candidates(candidates), 0.8).count()
+    assert len(names) <= pairs < len(names) ** 2 / 5
+
+
+def test_gaps_in_page_numbers_do_not_break_a_run(spark):
+    pages = [(1, True), (2, False), (5, False), (90, False), (91, True), (92, False)]
+    frame = spark.createDataFrame(pages, "page int, is_new boolean")
+    assert rows(I.caught_up_cutoff(frame, 3), "page") == [(1,), (2,), (5,), (90,)]
