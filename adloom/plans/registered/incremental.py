@@ -120,7 +120,7 @@ _PAGED = """
 paged AS (SELECT *, event_id // 5 AS page, event_type = 'purchase' AS is_new FROM events),
 pages AS (SELECT page, max(CAST(is_new AS INT)) AS fresh FROM paged GROUP BY page),
 runs AS (SELECT page, fresh, count(*) FILTER (WHERE fresh = 0) OVER
-           (ORDER BY page RANGE BETWEEN 2 PRECEDING AND CURRENT ROW) AS stale FROM pages),
+           (ORDER BY page ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS stale FROM pages),
 stop AS (SELECT min(page) AS page FROM runs WHERE fresh = 0 AND stale = 3)
 """
 
@@ -146,7 +146,7 @@ def _(spark, sf):
                           l_quantity > 40 AS is_new FROM lineitem),
     pages AS (SELECT feed, page, max(CAST(is_new AS INT)) AS fresh FROM paged GROUP BY ALL),
     runs AS (SELECT feed, page, fresh, count(*) FILTER (WHERE fresh = 0) OVER
-               (PARTITION BY feed ORDER BY page RANGE BETWEEN 1 PRECEDING AND CURRENT ROW) AS stale FROM pages),
+               (PARTITION BY feed ORDER BY page ROWS BETWEEN 1 PRECEDING AND CURRENT ROW) AS stale FROM pages),
     stop AS (SELECT feed, min(page) AS last FROM runs WHERE fresh = 0 AND stale = 2 GROUP BY feed)
     SELECT feed, page, l_orderkey, l_partkey FROM paged LEFT JOIN stop USING (feed) WHERE last IS NULL OR page <= last
     """,
