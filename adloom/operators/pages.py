@@ -1,434 +1,320 @@
 """Fields, label/value pairs and cards from landed pages (EXT-1 to EXT-4, EXT-6 to EXT-8).
 
-Pages are read once, in their partitions, by ``mapInPandas``: each page yields one row (or one row per
-card) holding what the rules picked, and all interpretation afterwards is column expressions. What
-differs between sites is data: the rows of :data:`RULES`, also available as a dimension table.
-Nothing is shuffled, and a page is never split.
+Everything is column expressions over flat markup: an element begins at an opening tag and ends at the next
+closing tag of the same name, a container reaches to the next container of its page, a card to the next
+card. Elements that hold others of their own name are outside of what is read. What differs between sites
+is data, the rules in ``functions/page_values.py``; they become one expression per field, so a table of
+pages is read once whatever sources it mixes. Nothing is shuffled.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator, Sequence
-from dataclasses import astuple, dataclass
+from collections.abc import Sequence
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adloom.functions import fixed_values as V
-from adloom.functions import markup
+from adloom.functions import page_values as W
 from adloom.functions.dates import compact_date, first_date, iso_date, month_name_date
 from adloom.functions.media import keep_photos, unwrap_image_url, vehicle_from_json_ld, whatsapp_number
-from adloom.functions.text import blank_to_null, contains_any, squeeze
-
-
-@dataclass(frozen=True)
-class Rule:
-    """``level`` is page or card; ``take`` is text, own, raw or an attribute; ``nth`` counts from 0
-    (negative from the end). Of several rules for a field the first non-empty one wins."""
-
-    source: str
-    level: str
-    field: str
-    tag: str = ""
-    classes: str = ""
-    attribute: str = ""
-    within: str = ""
-    take: str = "text"
-    nth: int = 0
-
-
-# Where each kind of page keeps its fields, and what a card is.
-RULES = [
-    Rule("generic", "page", "title_raw", "h1"),
-    Rule("portal", "page", "title_raw", "h1", "single-listing-title"),
-    Rule("portal", "page", "price_raw", "", "single-listing-price-value"),
-    Rule("portal", "page", "views_raw", "", "stm-listing-views-count"),
-    Rule("portal", "page", "views_raw", "", "*views*"),
-    Rule("portal", "page", "description_raw", "", "stm-listing-description"),
-    Rule("portal", "page", "description_raw", "", "single-listing-description"),
-    Rule("portal", "page", "description_raw", "", "*description-content*"),
-    Rule("portal", "page", "seller_name", "", "single-listing-dealer-name"),
-    Rule("portal", "page", "dealer_link", "a", "single-listing-dealer-name", take="href"),
-    Rule("portal", "page", "dealer_link", "a", "", "href", "single-listing-dealer-name", "href"),
-    Rule("portal", "page", "phone", "span", "single-listing-phone-number"),
-    Rule("portal", "page", "phone_link", "a", "single-listing-phone-button", take="href"),
-    Rule("portal", "page", "whatsapp_link", "a", "single-listing-whatsapp-button", take="href"),
-    Rule("grid", "page", "seller_name", "span", "text-primary font-semibold"),
-    Rule("grid", "page", "city_path", "div", "text-xs font-semibold text-gray-500"),
-    Rule("accordion", "page", "description_raw", "div", "description-car-details"),
-    Rule("accordion", "page", "description_raw", "div", "car-description"),
-    Rule("accordion", "page", "description_raw", "div", "notes-section"),
-    Rule("accordion", "page", "description_raw", "h1", "sub-container-title"),
-    Rule("accordion", "page", "dated", "div", "box-banner-car-view-date"),
-    Rule("accordion", "page", "city", "span", "text-details-4"),
-    Rule("accordion", "page", "mileage", "span", "text-details-3"),
-    Rule("accordion", "page", "phone_link", "a", "", "id=direct-call", take="href"),
-    Rule("accordion", "page", "listing_code", "span", "span-copy-id-code"),
-    Rule("accordion", "page", "seller_name", "p", within="div-box-border-username"),
-    Rule("accordion", "page", "seller_type", "span", "span-seller-details-1"),
-    Rule("accordion", "page", "seller_listings", "span", "span-seller-details-2"),
-    Rule("grid", "card", "*", "a", "", "data-ad-id"),
-    Rule("grid", "card", "make_model", "span", "bg-custom_light_gray"),
-    Rule("grid", "card", "mileage", "span", "bg-very_light_blue"),
-    Rule("grid", "card", "year", "span", "bg-very_light_yellow"),
-    Rule("grid", "card", "transmission", "span", "bg-very_light_green"),
-    Rule("grid", "card", "ad_title", "h2"),
-    Rule("grid", "card", "city", "span", "font-medium text-xs"),
-    Rule("grid", "card", "price", "span", "text-*_blue"),
-    Rule("grid", "card", "description", "p", "absolute"),
-    Rule("grid", "card", "cover_image_url", "img", within="basis-[28%]", take="src"),
-    Rule("portal", "card", "*", "div", "stm-isotope-listing-item", "data-listing-id"),
-    Rule("portal", "card", "car_url", "a", "", "href", take="href"),
-    Rule("portal", "card", "time_attr", "time", "", "datetime", take="datetime"),
-    Rule("portal", "card", "time_text", "time", "", "datetime"),
-    Rule("accordion", "card", "*", "div", "car-card"),
-    Rule("accordion", "card", "car_url", "button", "sharing", take="data-link"),
-    Rule("accordion", "card", "car_url", "button", "share-button", take="data-link"),
-    Rule("accordion", "card", "car_url", "a", "", "href", take="href"),
-    Rule("accordion", "card", "id", "button", "bookmark", take="data-car-id"),
-    Rule("accordion", "card", "make", "h1", "car-title"),
-    Rule("accordion", "card", "subtitle", "h2", "car-sub-title"),
-    Rule("accordion", "card", "mileage", "p", within="features-a"),
-    Rule("accordion", "card", "mileage", "div", within="features-a"),
-    Rule("accordion", "card", "city", "span", within="features-a", nth=-1),
-    Rule("accordion", "card", "city", "div", within="features-a", nth=1),
-    Rule("accordion", "card", "fuel_type", "span", within="features-b"),
-    Rule("accordion", "card", "fuel_type", "div", within="features-b"),
-    Rule("accordion", "card", "origin", "span", within="features-b", nth=1),
-    Rule("accordion", "card", "origin", "div", within="features-b", nth=1),
-    Rule("accordion", "card", "transmission", "span", within="features-c"),
-    Rule("accordion", "card", "transmission", "div", within="features-c"),
-    Rule("accordion", "card", "condition", "span", within="features-c", nth=1),
-    Rule("accordion", "card", "condition", "div", within="features-c", nth=1),
-    Rule("accordion", "card", "price", "button", "", "id=request-price"),
-    Rule("accordion", "card", "price", "button", "btn-contact-p"),
-    Rule("tiles", "card", "*", "div", "product"),
-    Rule("tiles", "card", "price_raw", "div", "text-orange"),
-    Rule("tiles", "card", "الماركة", "span", "bg-purple"),
-    Rule("tiles", "card", "الفئة", "span", "bg-purple", nth=1),
-    Rule("tiles", "card", "title_raw", "h5", "product-title"),
-    Rule("tiles", "card", "place", "div", "text-muted"),
-    Rule("tiles", "card", "whatsapp_link", "a", "btn-whatsapp", take="href"),
-    Rule("columns", "card", "*", "div", "card"),
-    Rule("columns", "card", "الماركة", "h5"),
-    Rule("columns", "card", "الموديل", "h6"),
-    Rule("columns", "card", "title_raw", "h6", "text-primary"),
-    Rule("columns", "card", "price_raw", "span", "text-success"),
-    Rule("columns", "card", "location_raw", "div", "col-12", within="col-6"),
-    Rule("columns", "card", "الكيلومترات", "div", "col-12", within="col-6", nth=1),
-    Rule("columns", "card", "السنة", "div", "col-12", within="col-6", nth=2),
-    Rule("columns", "card", "ناقل الحركة", "div", "col-12", within="col-6", nth=3),
-    Rule("columns", "card", "نوع الوقود", "div", "col-12", within="col-6", nth=4),
-    Rule("dealers", "card", "*", "tr", "stm-single-dealer"),
-    Rule("dealers", "card", "dealer_name", "a", within="title"),
-    Rule("dealers", "card", "profile_url", "a", within="title", take="href"),
-    Rule("dealers", "card", "cars_count", "", "dealer-labels heading-font"),
-    Rule("dealers", "card", "phone_masked", "", "phone heading-font"),
-    Rule("dealers", "card", "location", "", "dealer-location-label"),
-    Rule("dealers", "card", "dealer_id", "span", "stm-show-number", take="data-id"),
-]
-
-# Words and patterns by which layouts are recognised.
-INFO_HEADING = "معلومات"
-SPEC_CLASS = re.compile(r"spec|detail|feature|info|prop", re.I)
-LIST_CLASS = re.compile(
-    r"accordion-\d+-content-details|accordion-inner-details|box-accordion-1-(?:right|left)", re.I
-)
-SECTION_CLASS = re.compile(r"box-accordion-(?!1)", re.I)
-PRICE_MARK = re.compile(r"\$|دولار|USD")
-DESCRIPTION_HEADINGS = ("وصف", "تفاصيل", "ملاحظات")
-SELLER_HEADINGS = ("بائع", "معلن", "المالك", "صاحب")
-SELLER_CLASS = re.compile(r"box-container-seller-info|seller-info-box|seller-details", re.I)
-SELLER_NOT_NAMES = [
-    "المعلن", "البائع", "المالك", "صاحب الإعلان", "زيارة", "حساب تجاري", "حساب شخصي", "حساب وكالة",
-]
-SELLER_NOT_A_NAME = re.compile("^(?:إعلان|حساب|\\d)|^[؀-ۿ]{1,3}$")
-SCRIPT_PHONE = re.compile(r"let phone\s*=\s*'([^']+)'")
-GALLERY_IMAGE, ALBUM, CAR_IMAGE = "single-listing-gallery-image", "container-images-album", "car-image"
-NOTES_HEADING = re.compile(r"ملاحظات|seller.?note", re.I)
-NO_NOTES = ["غير معروف", "N/A", "n/a", "-"]
-CHAPTER = "single-listing-chapter-title"
-SAFETY_WORDS = ["أمان", "سلامة", "safety"]
-FEATURE_WORDS = ["مواصفات", "ميزات", "المواصفات", "الخارجية", "الراحة", "التقنية"]
-HEADINGS = ("h2", "h3", "h4")
-MAX_LABEL = 40
-
-PAIR = "array<struct<strategy:string,pos:int,label:string,value:string>>"
-PAGE_COLUMNS = (
-    f"fields map<string,string>, pairs {PAIR}, images array<string>, "
-    "features array<struct<section:string,name:string>>, dates array<string>, "
-    "scripts array<string>, profiles array<string>"
-)
-CARD_COLUMNS = "pos int, fields map<string,string>, images array<string>, items array<string>"
-
-
-def extraction_rules(spark: SparkSession) -> DataFrame:
-    """The rules as a dimension ``(source, level, field, tag, ..., ord)``."""
-    rows = [(*astuple(r), i) for i, r in enumerate(RULES)]
-    return spark.createDataFrame(
-        rows,
-        "source string, level string, field string, tag string, classes string, attribute string, "
-        "within string, take string, nth int, ord int",
-    )
+from adloom.functions.page_values import NO_NOTES, RULES, SAFETY_WORDS, Rule
+from adloom.functions.text import blank_to_null, contains_any, squeeze, unescape_html
+
+HEADING = "h[2-4]"
+
+
+# --- patterns of flat markup --------------------------------------------------------------------------
+def _having(name: str, value: str) -> str:
+    """Lookahead for an attribute of the tag whose quoted value matches ``value``."""
+    return rf"""(?=[^>]*\s{name}\s*=\s*["']{value}["'])"""
+
+
+def _class(pattern: str) -> str:
+    """Lookahead for a tag one of whose classes is ``pattern`` (``*`` stands for anything)."""
+    token = re.escape(pattern).replace(r"\*", r"""[^"'\s>]*""")
+    return _having("class", rf"""(?:[^"'>]*\s)?{token}(?:\s[^"'>]*)?""")
+
+
+def _tag(name: str = "", *conditions: str) -> str:
+    """An opening tag; its name is the pattern's first group."""
+    return rf"<({name or '[a-z][a-z0-9]*'})(?=[\s>/]){''.join(conditions)}[^>]*>"
+
+
+def _element(opening: str) -> str:
+    """An element; its content is the pattern's second group. One that is never closed takes the rest."""
+    return rf"(?is){opening}(.*?)(?:</\1>|\z)"
+
+
+def _all(html: Column, pattern: str, group: int) -> Column:
+    return F.regexp_extract_all(html, F.lit(pattern), F.lit(group))
+
+
+def _first(html: Column, pattern: str, group: int) -> Column:
+    return F.regexp_extract(html, pattern, group)
+
 
+def _at(values: Column, place: int) -> Column:
+    return F.try_element_at(values, F.lit(place + 1 if place >= 0 else place))
 
-# --- what one page yields (runs inside tasks) ------------------------------------------------------
-def _pairs(root: markup.Element) -> Iterator[tuple[str, str, str]]:
-    """EXT-1: ``(strategy, label, value)`` of the label/value layouts in use."""
-    nodes = list(root.walk())
-    for heading in nodes:
-        if heading.tag in ("h2", "h3") and INFO_HEADING in heading.text():
-            box = next((n for n in heading.following(root) if n.tag == "div"), None)
-            cells = [c for c in box.children() if c.tag == "div"] if box else []
-            for card in cells:
-                inner = [n.text() for n in card.walk() if n.tag == "p"]
-                if len(inner) >= 2:
-                    yield "grid", inner[0], inner[1]
-            for label, value in zip(cells[0::2], cells[1::2]):
-                yield "grid", label.text(), value.text()
-    for box in nodes:
-        if box.tag == "dl":
-            inner = list(box.walk())
-            terms = [n.text() for n in inner if n.tag == "dt"]
-            yield from (("dl", *p) for p in zip(terms, [n.text() for n in inner if n.tag == "dd"]))
-    for row in nodes:
-        if row.tag == "tr":
-            cells = [n.text() for n in row.walk() if n.tag in ("td", "th")]
-            if len(cells) >= 2:
-                yield "table", cells[0], cells[1]
-    for item in nodes:
-        if item.tag == "li" and "single-listing-data-item" in item.classes:
-            named = {c: n.text(" ") for n in item.walk() for c in n.classes}
-            label = named.get("single-listing-data-item-label", "")
-            yield "item", label, named.get("single-listing-data-item-value", "")
-    for head in nodes:
-        for section in _chapter(head) if CHAPTER in head.classes else ():
-            items = [c.text() for c in section.children() if c.tag == "li"]
-            if items and len(items) % 2 == 0:
-                middle = len(items) // 2
-                yield from (("halves", *p) for p in zip(items[:middle], items[middle:]))
-    for box in nodes:
-        if box.tag == "div" and SPEC_CLASS.search(box.attrs.get("class", "")):
-            inner = [c.text() for c in box.children() if c.tag == "div"]
-            if len(inner) == 2 and len(inner[0]) < MAX_LABEL:
-                yield "div", *inner
-    for box in nodes:
-        if box.tag == "div" and LIST_CLASS.search(box.attrs.get("class", "")):
-            lists = [[i.text() for i in n.walk() if i.tag == "li"] for n in box.walk() if n.tag == "ul"]
-            if lists and len(lists) % 2 == 0:
-                for labels, values in zip(lists[0::2], lists[1::2]):
-                    yield from (("list", *p) for p in zip(labels, values) if len(p[0]) < MAX_LABEL)
-
-
-def _siblings(node) -> list:
-    """Elements after ``node`` under the same parent."""
-    around = node.parent.children() if node.parent is not None else []
-    return around[around.index(node) + 1 :] if node in around else []
-
-
-def _chapter(head) -> Iterator[markup.Element]:
-    """Siblings of a chapter title up to the next one."""
-    for node in _siblings(head):
-        if CHAPTER in node.classes:
-            return
-        yield node
-
-
-def _seller_in_box(root) -> str:
-    """First line of a seller box that can be a name."""
-    for box in root.walk():
-        if box.tag == "div" and SELLER_CLASS.search(box.attrs.get("class", "")):
-            for line in box.texts():
-                if len(line) > 2 and line not in SELLER_NOT_NAMES and not SELLER_NOT_A_NAME.match(line):
-                    return line[:100]
-    return ""
-
-
-def _seller_notes(root) -> str:
-    """Text of the element after the first heading about notes."""
-    for node in root.walk():
-        if node.tag in (*HEADINGS, "h5") and NOTES_HEADING.search(node.text()):
-            after = [n for n in _siblings(node) if n.tag not in ("br", "script", "style")]
-            return after[0].text(" ") if after else ""
-    return ""
-
-
-def _after_heading(root, words, tags):
-    """Element following the first heading that contains one of the words."""
-    for node in root.walk():
-        if node.tag in HEADINGS and any(w in node.text() for w in words):
-            return next((n for n in node.following(root) if n.tag in tags), None)
-    return None
-
-
-def _features(root) -> list[tuple[str, str]]:
-    """EXT-4: ``(section heading, item)`` of feature sections, or else of lists after a heading that
-    speaks of safety or features."""
-    found = list(_feature_sections(root))
-    if found:
-        return found
-    for head in root.walk():
-        text = head.text() if head.tag in (*HEADINGS, "p", "span") else ""
-        if text and any(w in text for w in [*SAFETY_WORDS, *FEATURE_WORDS]):
-            lists = [n for n in _siblings(head) if n.tag == "ul"]
-            if not lists and head.parent is not None:
-                lists = [n for s in _siblings(head.parent)[:1] for n in s.walk() if n.tag == "ul"]
-            found += [(text, n.text()) for n in (lists[0].walk() if lists else ()) if n.tag == "li" and n.text()]
-    return found
-
-
-def _feature_sections(root) -> Iterator[tuple[str, str]]:
-    for cell in root.walk():
-        if cell.tag == "td" and cell.attrs.get("colspan") == "2":
-            title = next((n for n in cell.walk() if n.tag == "div" and "py-1" in n.classes), None)
-            if title is None:
-                continue
-            for span in cell.walk():
-                if span.tag == "span" and {"flex", "items-center"} <= span.classes:
-                    circle = next((n for n in span.walk() if "rounded-full" in n.classes), None)
-                    if circle is not None and "bg-emerald-100" in circle.classes:
-                        own = [p.strip() for p in span.parts if isinstance(p, str) and p.strip()]
-                        yield title.text().rstrip(":").strip(), " ".join(own)
-        elif cell.tag == "div" and SECTION_CLASS.search(cell.attrs.get("class", "")):
-            head = next((n.text() for n in cell.walk() if n.tag in HEADINGS), "")
-            yield from ((head, n.text()) for n in cell.walk() if n.tag == "li" and n.text())
-
-
-def _image(node) -> str:
-    for name in ("data-lg-src", "src", "data-src", "data-lazy"):
-        if node.attrs.get(name, "").strip():
-            return node.attrs[name].strip()
-    return ""
-
-
-def _picked(root, rules: Sequence[Rule]) -> dict[str, str]:
-    fields: dict[str, str] = {}
+
+def inner_text(markup: Column) -> Column:
+    """Text of some markup: tags count as blanks, entities are resolved, white space is squeezed."""
+    return squeeze(unescape_html(F.regexp_replace(markup, "<[^>]*>", " ")))
+
+
+def _texts(html: Column, name: str) -> Column:
+    return F.transform(_all(html, _element(_tag(name)), 2), inner_text)
+
+
+def _attribute(tag: Column, name: str) -> Column:
+    return F.trim(unescape_html(_first(tag, rf"""(?is)\s{name}\s*=\s*["']([^"']*)["']""", 1)))
+
+
+# --- rules --------------------------------------------------------------------------------------------
+def _opening(rule: Rule) -> str:
+    name, _, value = rule.attribute.partition("=")
+    conditions = [_class(c) for c in rule.classes.split()]
+    if name:
+        conditions.append(_having(name, re.escape(value) if value else """[^"']*"""))
+    return _tag(rule.tag, *conditions)
+
+
+def _picked(html: Column, rule: Rule, containers: Sequence[str]) -> Column:
+    """What one rule finds, or null."""
+    scope = html
+    if rule.within:
+        behind = _first(html, f"(?is){_tag('', _class(rule.within))}(.*)", 2)
+        others = "|".join(f"(?:{_tag('', _class(c))})" for c in containers if c != rule.within)
+        scope = F.get(F.split(behind, f"(?is){others}", 2), F.lit(0)) if others else behind
+    opening = _opening(rule)
+    if rule.take == "text":
+        return blank_to_null(inner_text(_at(_all(scope, _element(opening), 2), rule.nth)))
+    return blank_to_null(_attribute(_at(_all(scope, f"(?is){opening}", 0), rule.nth), rule.take))
+
+
+def _fields(html: Column, rules: Sequence[Rule]) -> dict[str, Column]:
+    """Each field as the first non-empty value of its rules."""
+    containers = list(dict.fromkeys(r.within for r in rules if r.within))
+    found: dict[str, list[Column]] = {}
     for rule in rules:
-        if not fields.get(rule.field):
-            value = markup.pick(root, rule)
-            if value:
-                fields[rule.field] = value
-    return fields
+        found.setdefault(rule.field, []).append(_picked(html, rule, containers))
+    return {name: F.coalesce(*values) for name, values in found.items()}
 
 
-def _images(root, source: str) -> list[str]:
-    """Image links in page order: all of them, or those of the gallery where a source has one."""
-    nodes = [n for n in root.walk() if n.tag == "img"]
-    if source == "portal":
-        own = [n for n in nodes if GALLERY_IMAGE in n.classes]
-        nodes = own or [n for n in nodes if CAR_IMAGE in n.attrs.get("src", "")]
-    elif source == "accordion":
-        nodes = markup.select(root, "img", "", "", ALBUM)
-    found = [s for s in map(_image, nodes) if s]
-    if not found and source == "accordion":
-        preview = (n for n in root.walk() if n.tag == "meta" and n.attrs.get("property") == "og:image")
-        found = [n.attrs["content"] for n in preview if n.attrs.get("content")]
-    return found
-
-
-def _generic_fields(root, links: list[str]) -> dict[str, str]:
-    """EXT-2: fields that pages without rules of their own give away by wording or link targets."""
-    fields: dict[str, str] = {}
-    for node in root.walk():
-        text = node.text() if node.tag in ("span", "div", "p", "h2", "strong") else ""
-        if PRICE_MARK.search(text) and len(text) < 50 and re.search(r"\d", text):
-            fields["price_raw"] = text
-            break
-    after = _after_heading(root, DESCRIPTION_HEADINGS, ("div", "p", "section"))
-    if after is not None:
-        fields["description_raw"] = after.text(" ")
-    seller = _after_heading(root, SELLER_HEADINGS, ("div", "p", "span", "h4", "h5"))
-    fields["seller_name"] = (seller.text()[:100] if seller is not None else "") or _seller_in_box(root)
-    for link in links:
-        if link.startswith("tel:"):
-            fields.setdefault("phone_link", link)
-        elif "wa.me" in link:
-            fields.setdefault("whatsapp_link", link)
-    return fields
-
-
-def _page_facts(html: str, rules: Sequence[Rule], source: str = "generic") -> tuple:
-    root = markup.parse(html)
-    nodes = list(root.walk())
-    links = [n.attrs.get("href", "") for n in nodes if n.tag == "a"]
-    fields = _picked(root, rules)
-    if source == "generic":
-        fields = {**_generic_fields(root, links), **fields}
-    else:
-        script = SCRIPT_PHONE.search(html or "")
-        fields["script_phone"] = script.group(1) if script else ""
-        fields["seller_notes"] = _seller_notes(root)
-    dates = [n.attrs.get("content", "") for n in nodes
-             if n.tag == "meta" and n.attrs.get("property") == "article:published_time"]
-    dates += [n.attrs["datetime"] for n in nodes if n.tag == "time" and n.attrs.get("datetime")]
-    scripts = ["".join(p for p in n.parts if isinstance(p, str)) for n in nodes
-               if n.tag == "script" and n.attrs.get("type") == "application/ld+json"]
-    pairs = [
-        {"strategy": s, "pos": i, "label": k, "value": v}
-        for i, (s, k, v) in enumerate(p for p in _pairs(root) if p[1] and p[2] and p[1] != p[2])
-    ]
-    features = [{"section": s, "name": n} for s, n in _features(root)]
-    profiles = [x for x in links if "/users/" in x or "/dealer/" in x]
-    return fields, pairs, _images(root, source), features, dates, scripts, profiles
-
-
-def _card_facts(html: str, rules: Sequence[Rule]) -> Iterator[tuple]:
-    whole, parts = rules[0], rules[1:]
-    root = markup.parse(html)
-    cards = markup.select(root, whole.tag, whole.classes, whole.attribute, whole.within)
-    for position, card in enumerate(cards):
-        fields = {k: v.strip() for k, v in card.attrs.items() if k.startswith("data-") or k == "href"}
-        fields["card_text"] = card.text(" ")
-        parent = card.parent
-        while parent is not None and parent.tag != "a":
-            parent = parent.parent
-        if parent is not None:
-            fields["parent_url"] = parent.attrs.get("href", "")
-        fields.update(_picked(card, parts))
-        inner = list(card.walk())
-        images = [s for s in map(_image, (n for n in inner if n.tag == "img")) if s]
-        yield position, fields, images, [n.text() for n in inner if n.tag == "li"]
+def _map_of(fields: dict[str, Column]) -> Column:
+    """Map of the fields that were found."""
+    entries = F.array(*[F.struct(F.lit(k).alias("key"), v.alias("value")) for k, v in fields.items()])
+    return F.map_from_entries(F.filter(entries, lambda e: e["value"].isNotNull()))
 
 
 def _rules(source: str, level: str) -> list[Rule]:
-    own = [r for r in RULES if r.source == source and r.level == level]
-    return own + [r for r in RULES if level == "page" and r.source == "generic"]
+    shared = [r for r in RULES if (r.source, r.level) == ("generic", level)] if level == "page" else []
+    return [r for r in RULES if (r.source, r.level) == (source, level)] + [r for r in shared if r.source != source]
+
+
+# --- label/value layouts ------------------------------------------------------------------------------
+def _pair_list(strategy: str, labels: Column, values: Column) -> Column:
+    """Pairs of two lists, as far as the shorter one reaches."""
+    both = F.filter(
+        F.arrays_zip(labels.alias("a"), values.alias("b")), lambda p: p["a"].isNotNull() & p["b"].isNotNull()
+    )
+    return F.transform(both, lambda p: F.struct(F.lit(strategy).alias("strategy"), p["a"].alias("label"), p["b"].alias("value")))
+
+
+def _every_other(values: Column, start: int) -> Column:
+    return F.filter(values, lambda _, i: i % 2 == start)
+
+
+def _behind_heading(html: Column, words: Sequence[str], levels: str = HEADING) -> Column:
+    """What follows the first heading that holds one of the words; empty without one."""
+    return _first(html, rf"(?is)<({levels})\b[^>]*>[^<]*(?:{'|'.join(words)})[^<]*</\1>(.*)", 2)
+
+
+def layout_pairs(html: Column, source: str) -> Column:
+    """EXT-1: ``(strategy, pos, label, value)`` of every layout in use, layout by layout."""
+    run = F.get(F.split(_behind_heading(html, [W.INFO_HEADING], "h[23]"), r"(?i)<(?!/?(?:div|p)\b)", 2), F.lit(0))
+    leaves = F.transform(_all(run, r"(?is)<(div|p)\b[^>]*>([^<]+)</\1>", 2), inner_text)
+    cells = F.transform(
+        _all(html, r"(?is)<tr\b[^>]*>(.*?)</tr>", 1), lambda row: F.transform(_all(row, r"(?is)<t[dh]\b[^>]*>(.*?)</t[dh]>", 1), inner_text)
+    )
+    cells = F.filter(cells, lambda row: F.size(row) >= 2)
+    items = _all(html, _element(_tag("li", _class(W.DATA_ITEM))), 2)
+    side = lambda name: F.transform(
+        items, lambda item: inner_text(_first(item, _element(_tag("", _class(f"{W.DATA_ITEM}-{name}"))), 2))
+    )
+    title = _tag("", _class(W.CHAPTER))
+    chapters = F.transform(_all(html, rf"(?is){title}(.*?)(?=<[^>]*{W.CHAPTER}|\z)", 2), lambda part: F.transform(_all(part, _element(_tag("ul")), 2), lambda ul: _texts(ul, "li")))
+    even = F.filter(F.flatten(chapters), lambda x: (F.size(x) > 0) & (F.size(x) % 2 == 0))
+    halves = F.flatten(
+        F.transform(even, lambda x: _pair_list("halves", F.slice(x, F.lit(1), (F.size(x) / 2).cast("int")), F.slice(x, (F.size(x) / 2).cast("int") + 1, (F.size(x) / 2).cast("int"))))
+    )
+    spec = _tag("div", _having("class", rf"""[^"'>]*(?:{W.SPEC_CLASSES})[^"'>]*"""))
+    row = rf"(?is){spec}\s*<div\b[^>]*>([^<]*)</div>\s*<div\b[^>]*>([^<]*)</div>\s*</div>"
+    short = lambda pairs: F.filter(pairs, lambda p: F.length(p["label"]) < W.MAX_LABEL)
+    parts = [
+        _pair_list("grid", _every_other(leaves, 0), _every_other(leaves, 1)),
+        _pair_list("dl", _texts(html, "dt"), _texts(html, "dd")),
+        _pair_list("table", F.transform(cells, lambda c: F.get(c, F.lit(0))), F.transform(cells, lambda c: F.get(c, F.lit(1)))),
+        _pair_list("item", side("label"), side("value")),
+        halves,
+        short(_pair_list("div", F.transform(_all(html, row, 2), inner_text), F.transform(_all(html, row, 3), inner_text))),
+    ]
+    if source in W.LIST_CLASSES:
+        box = _tag("div", _having("class", rf"""[^"'>]*(?:{W.LIST_CLASSES[source]})[^"'>]*"""))
+        lists = F.transform(_all(html, _element(box), 2), lambda x: F.transform(_all(x, _element(_tag("ul")), 2), lambda ul: _texts(ul, "li")))
+        lists = F.flatten(F.filter(lists, lambda x: F.size(x) % 2 == 0))
+        two = F.arrays_zip(_every_other(lists, 0).alias("a"), _every_other(lists, 1).alias("b"))
+        parts.append(short(F.flatten(F.transform(two, lambda x: _pair_list("list", x["a"], x["b"])))))
+    # a value that only repeats its label says nothing, but in a definition list it was meant
+    told = F.filter(
+        F.concat(*parts),
+        lambda p: (p["label"] != "") & (p["value"] != "") & ((p["label"] != p["value"]) | (p["strategy"] == "dl")),
+    )
+    return F.transform(
+        told, lambda p, i: F.struct(p["strategy"].alias("strategy"), i.cast("int").alias("pos"), p["label"].alias("label"), p["value"].alias("value"))
+    )
+
 
+# --- what a page tells by wording ---------------------------------------------------------------------
+def _following(html: Column, words: Sequence[str], tags: str) -> Column:
+    """Text of the first element of ``tags`` behind a heading with one of the words."""
+    return blank_to_null(inner_text(_first(_behind_heading(html, words), _element(_tag(tags)), 2)))
 
-def _map_pages(pages: DataFrame, key: Sequence[str], html: str, columns: str, facts) -> DataFrame:
-    """Run ``facts(html) -> iterable of tuples`` over the pages; keys are repeated per result."""
-    keys = list(key)
-    head = ", ".join(f"{n} {t}" for n, t in pages.select(*keys).dtypes)
-    names = keys + [c.strip().split(" ")[0] for c in re.split(r", (?![^<]*>)", columns)]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = [
-                (*values, *fact)
-                for *values, page in batch[[*keys, html]].itertuples(index=False, name=None)
-                for fact in facts(page)
-            ]
-            yield pd.DataFrame(rows, columns=names)
+def _named_seller(html: Column) -> Column:
+    """First text in a seller box that is neither a caption, a number nor a word of three letters."""
+    box = _first(html, _element(_tag("div", _having("class", rf"""[^"'>]*(?:{W.SELLER_CLASSES})[^"'>]*"""))), 2)
+    lines = F.transform(F.split(box, "<[^>]*>"), lambda x: squeeze(unescape_html(x)))
+    caption = rf"^(?:{'|'.join(W.SELLER_NOT_BEGINNINGS)}|\d)|^[\u0600-\u06FF]{{1,3}}$"
+    names = F.filter(lines, lambda x: (F.length(x) > 2) & ~x.isin(W.SELLER_NOT_NAMES) & ~x.rlike(caption))
+    return F.substring(_at(names, 0), 1, W.MAX_SELLER)
 
-    return pages.select(*keys, html).mapInPandas(run, f"{head}, {columns}")
+
+def _worded_fields(html: Column, links: Column) -> dict[str, Column]:
+    """EXT-2: fields that pages without rules of their own give away by wording or link targets."""
+    leaves = F.transform(_all(html, rf"(?is)<(span|div|p|h2|strong)\b[^>]*>([^<]{{1,{W.MAX_PRICE}}})</\1>", 2), inner_text)
+    priced = F.filter(leaves, lambda x: x.rlike(W.PRICE_MARKS) & x.rlike(r"\d"))
+    calls = F.filter(links, lambda x: x.startswith("tel:"))
+    chats = F.filter(links, lambda x: x.contains("wa.me") & ~x.startswith("tel:"))
+    seller = F.substring(_following(html, W.SELLER_HEADINGS, "div|p|span|h4|h5"), 1, W.MAX_SELLER)
+    return {
+        "price_raw": _at(priced, 0),
+        "description_raw": _following(html, W.DESCRIPTION_HEADINGS, "div|p|section"),
+        "seller_name": F.coalesce(seller, blank_to_null(_named_seller(html))),
+        "phone_link": _at(calls, 0),
+        "whatsapp_link": _at(chats, 0),
+    }
+
+
+def _noted_fields(html: Column, raw: Column) -> dict[str, Column]:
+    note = rf"(?is)<(h[2-5])\b[^>]*>[^<]*(?:{W.NOTES_HEADING})[^<]*</\1>(?:\s|<br[^>]*>){{0,9}}<([a-z][a-z0-9]*)\b[^>]*>(.*?)</\2>"
+    return {
+        "script_phone": blank_to_null(_first(raw, r"let phone\s*=\s*'([^']+)'", 1)),
+        "seller_notes": blank_to_null(inner_text(_first(html, note, 3))),
+    }
+
+
+def _section_features(html: Column) -> Column:
+    """EXT-4: ``(section, name)`` of checked features in table sections and of lists in feature boxes, or
+    else of lists behind a caption that speaks of safety or features."""
+    named = lambda section, names: F.transform(
+        F.filter(names, lambda n: n != ""), lambda n: F.struct(section.alias("section"), n.alias("name"))
+    )
+    cells = _all(html, _element(_tag("td", _having("colspan", "2"))), 2)
+    checked = _tag("span", _class("flex"), _class("items-center")) + r"\s*" + r"<span\b" + _class("rounded-full") + _class("bg-emerald-100") + r"[^>]*>\s*</span>([^<]+)"
+    title = lambda cell: F.regexp_replace(inner_text(_first(cell, _element(_tag("div", _class("py-1"))), 2)), r"[:\s]+$", "")
+    ticks = F.flatten(F.transform(cells, lambda c: named(title(c), F.transform(_all(c, f"(?is){checked}", 2), inner_text))))
+    boxes = _all(html, _element(_tag("div", _having("class", rf"""[^"'>]*{W.FEATURE_CLASSES}[^"'>]*"""))), 2)
+    caption = lambda box: inner_text(_first(box, _element(_tag(HEADING)), 2))
+    listed = F.flatten(F.transform(boxes, lambda b: named(caption(b), _texts(b, "li"))))
+    words = "|".join([*W.SAFETY_WORDS, *W.FEATURE_WORDS])
+    behind = rf"(?is)<(h[2-4]|p|span)\b[^>]*>([^<]*(?:{words})[^<]*)</\1>(?:\s|</?div\b[^>]*>){{0,9}}<ul\b[^>]*>(.*?)</ul>"
+    loose = F.arrays_zip(_all(html, behind, 2).alias("a"), _all(html, behind, 3).alias("b"))
+    loose = F.flatten(F.transform(loose, lambda x: named(inner_text(x["a"]), _texts(x["b"], "li"))))
+    found = F.concat(ticks, listed)
+    return F.when(F.size(found) > 0, found).otherwise(loose)
+
+
+def _image_links(tags: Column) -> Column:
+    first = lambda tag: F.coalesce(*[blank_to_null(_attribute(tag, n)) for n in ("data-lg-src", "src", "data-src", "data-lazy")])
+    return F.filter(F.transform(tags, first), lambda x: x.isNotNull())
+
+
+def page_images(html: Column, source: str) -> Column:
+    """Image links in page order: all of them, or those of the gallery where a source has one."""
+    tags = _all(html, r"(?is)<img\b[^>]*>", 0)
+    if source == "portal":
+        own = F.filter(tags, lambda t: t.rlike(f"(?is)<img{_class(W.GALLERY_IMAGE)}"))
+        return _image_links(F.when(F.size(own) > 0, own).otherwise(F.filter(tags, lambda t: _attribute(t, "src").contains(W.CAR_IMAGE))))
+    if source == "accordion":
+        album = _image_links(_all(_first(html, _element(_tag("", _class(W.ALBUM))), 2), r"(?is)<img\b[^>]*>", 0))
+        preview = _all(html, f"(?is)<meta{_having('property', 'og:image')}[^>]*>", 0)
+        shown = F.filter(F.transform(preview, lambda t: _attribute(t, "content")), lambda x: x != "")
+        return F.when(F.size(album) > 0, album).otherwise(shown)
+    return _image_links(tags)
 
 
 def extract_pages(
     pages: DataFrame, source: str = "generic", key: Sequence[str] = ("url",), html: str = "html"
 ) -> DataFrame:
-    """EXT-1/2/4/6/7: one row per page with everything its rules picked."""
-    rules = _rules(source, "page")
-    return _map_pages(pages, key, html, PAGE_COLUMNS, lambda page: [_page_facts(page, rules, source)])
+    """EXT-1/2/4/6/7: one row per page with everything its rules and its wording tell.
+
+    ``key, fields, pairs, images, features, dates, scripts, profiles``.
+    """
+    raw = F.coalesce(F.col(html), F.lit(""))
+    quiet = F.regexp_replace(raw, r"(?is)<!--.*?-->|<(script|style)\b[^>]*>.*?</\1>", "")
+    rows = pages.select(*key, raw.alias("_raw"), quiet.alias("_html"))
+    html_, raw_ = F.col("_html"), F.col("_raw")
+    links = F.transform(_all(html_, r"(?is)<a\b[^>]*>", 0), lambda t: _attribute(t, "href"))
+    own = _fields(html_, _rules(source, "page"))
+    more = _worded_fields(html_, links) if source == "generic" else _noted_fields(html_, raw_)
+    fields = {name: F.coalesce(*[f[name] for f in (own, more) if name in f]) for name in {**own, **more}}
+    published = _all(html_, f"(?is)<meta{_having('property', 'article:published_time')}[^>]*>", 0)
+    times = _all(html_, r"(?is)<time\b[^>]*\sdatetime=[^>]*>", 0)
+    dates = F.concat(F.transform(published, lambda t: _attribute(t, "content")), F.transform(times, lambda t: _attribute(t, "datetime")))
+    scripts = _all(raw_, f"(?is)<script{_having('type', 'application/ld[+]json')}[^>]*>(.*?)</script>", 1)
+    return rows.select(
+        *key,
+        _map_of(fields).alias("fields"),
+        layout_pairs(html_, source).alias("pairs"),
+        page_images(html_, source).alias("images"),
+        _section_features(html_).alias("features"),
+        dates.alias("dates"),
+        scripts.alias("scripts"),
+        F.filter(links, lambda x: x.contains("/users/") | x.contains("/dealer/")).alias("profiles"),
+    )
 
 
 def extract_cards(
     pages: DataFrame, source: str, key: Sequence[str] = ("url",), html: str = "html"
 ) -> DataFrame:
-    """EXT-3/EXT-8: one row per card of each page, in page order."""
-    rules = _rules(source, "card")
-    return _map_pages(pages, key, html, CARD_COLUMNS, lambda page: _card_facts(page, rules))
+    """EXT-3/EXT-8: one row per card of each page, in page order: ``key, pos, fields, images, items``.
+
+    A link that opens right before a card surrounds it.
+    """
+    whole, *parts = _rules(source, "card")
+    begin = ("" if whole.tag == "a" else r"(?:<a\b[^>]*>\s*)?") + _opening(whole)
+    blocks = _all(F.coalesce(F.col(html), F.lit("")), rf"(?is){begin}.*?(?={begin}|\z)", 0)
+    cards = pages.select(*key, F.posexplode(blocks).alias("pos", "_card"))
+    card = F.col("_card")
+    opening = _first(card, f"(?is){_opening(whole)}", 0)
+    inside = F.regexp_replace(card, f"(?is)^{begin}", "")
+    names = _all(opening, r"""(?is)\s(data-[\w-]+|href)\s*=\s*["'][^"']*["']""", 1)
+    values = F.transform(_all(opening, r"""(?is)\s(?:data-[\w-]+|href)\s*=\s*["']([^"']*)["']""", 1), lambda x: F.trim(unescape_html(x)))
+    fields = {"card_text": inner_text(card), **_fields(inside, parts)}
+    if whole.tag != "a":
+        fields["parent_url"] = blank_to_null(_attribute(_first(card, r"(?is)^<a\b[^>]*>", 0), "href"))
+    told = F.map_entries(_map_of(fields))
+    carried = F.filter(F.map_entries(F.map_from_arrays(names, values)), lambda e: ~e["key"].isin(list(fields)))
+    return cards.select(
+        *key,
+        "pos",
+        F.map_from_entries(F.concat(told, carried)).alias("fields"),
+        _image_links(_all(inside, r"(?is)<img\b[^>]*>", 0)).alias("images"),
+        _texts(inside, "li").alias("items"),
+    )
 
 
 # --- interpretation (column expressions) -------------------------------------------------------------
