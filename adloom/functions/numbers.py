@@ -32,7 +32,8 @@ def parse_price(c: Column) -> Column:
 def _plain(value: Column) -> Column:
     """Double to text without an exponent: whole numbers without decimals."""
     whole = value.try_cast("decimal(38,0)").cast("string")
-    fixed = F.regexp_replace(value.try_cast("decimal(38,6)").cast("string"), "0+$", "")
+    # through text, as that holds the digits of the double and no others
+    fixed = F.regexp_replace(value.cast("string").try_cast("decimal(38,16)").cast("string"), "0+$", "")
     part = F.when(value < 1e7, value.cast("string")).otherwise(fixed)
     return F.when(value == F.floor(value), whole).otherwise(part)
 

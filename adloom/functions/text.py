@@ -236,10 +236,43 @@ def brand_in_english(c: Column) -> Column:
     return F.coalesce(map_value(c, V.BRAND_NAMES_AR), c)
 
 
+def without_literal(text: Column, literal: Column) -> Column:
+    """``text`` without any occurrence of ``literal``, in whatever case; by position, so no pattern is built
+    per row. Null where ``literal`` is."""
+    pieces = F.split(F.replace(F.lower(text), F.lower(literal), F.lit("\u0001")), "\u0001")
+    start = F.struct(F.lit(1).alias("at"), F.lit("").alias("out"))
+
+    def take(done: Column, piece: Column) -> Column:
+        return F.struct(
+            (done["at"] + F.length(piece) + F.length(literal)).alias("at"),
+            F.concat(done["out"], F.substring(text, done["at"], F.length(piece))).alias("out"),
+        )
+
+    return F.when(literal == "", text).otherwise(F.aggregate(pieces, start, take)["out"])
+
+
+def without_word(text: Column, word: Column) -> Column:
+    """``text`` without ``word`` where it stands alone, between characters that are no part of a word.
+
+    The text is cut at the word; where a cut touches a word character on the other side of the word's edge,
+    the word is put back.
+    """
+    pieces = F.split(F.replace(text, word, F.lit("\u0001")), "\u0001")
+    inside = r"(?U)^\w$"
+    opens, closes = F.substring(word, 1, 1).rlike(inside), F.substring(word, -1, 1).rlike(inside)
+
+    def join(done: Column, piece: Column) -> Column:
+        before, after = F.substring(done, -1, 1).rlike(inside), F.substring(piece, 1, 1).rlike(inside)
+        alone = (before != opens) & (after != closes)
+        return F.concat(done, F.when(alone, "").otherwise(word), piece)
+
+    first = F.get(pieces, F.lit(0))
+    return F.aggregate(F.slice(pieces, F.lit(2), F.size(pieces)), first, join)
+
+
 def extract_model(title: Column, brand: Column) -> Column:
     """STR-19: first word left after removing the brand, years and Arabic text."""
-    quoted = F.concat(F.lit(r"(?iu)\Q"), brand, F.lit(r"\E"))
-    rest = strip(F.regexp_replace(title, quoted, F.lit("")))
+    rest = strip(without_literal(title, brand))
     rest = strip(F.regexp_replace(rest, YEAR_PATTERN, ""))
     rest = strip(F.regexp_replace(rest, V.ARABIC_RUN, ""))
     word = F.try_element_at(F.split(rest, r"(?U)\s+"), F.lit(1))
@@ -276,8 +309,7 @@ def model_from_title(title: Column, make: Column, year: Column) -> Column:
     """STR-21: title without make and year, when more than one character is left."""
 
     def without(text: Column, word: Column) -> Column:
-        pattern = F.concat(F.lit(r"(?U)\b\Q"), word, F.lit(r"\E\b"))
-        removed = strip(F.regexp_replace(text, pattern, F.lit("")))
+        removed = strip(without_word(text, word))
         return F.when(F.coalesce(word, F.lit("")) == "", text).otherwise(removed)
 
     rest = squeeze(without(without(title, make), year))

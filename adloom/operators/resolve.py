@@ -30,7 +30,7 @@ from adloom.functions.text import (
     alias_key, blank_to_null, fold_ar, is_arabic, is_short_or_numeric, map_value, override_make,
     strip, strip_brand_prefix, strip_variant_number, transliterate,
 )
-from adloom.session import durable
+from adloom.session import durable, ship_package
 from adloom.sources.vocabulary import ANY_MAKE, FIELD_LISTS, Vocabulary
 
 NUMBER_FIELDS = ["price", "engine_size", "mileage", "year", "seats", "horsepower"]
@@ -138,6 +138,7 @@ def match_similar(
     values: DataFrame, folded: DataFrame, threshold: float = V.MATCH_THRESHOLD
 ) -> DataFrame:
     """JN-8: most similar candidate at or above ``threshold``; ties go to the earliest."""
+    ship_package(values.sparkSession)
     pairs = similar_pairs(values, folded, threshold)
     scored = pairs.withColumn("score", ratio_from(threshold)("probe", "candidate")).filter(
         F.col("score") >= threshold

@@ -73,13 +73,15 @@ def _(spark, sf):
 
 @query(
     "catalog_changes",
-    f"""WITH {_SITES} SELECT id, CASE WHEN priority < 5 THEN upper(name) ELSE name END AS name, CASE WHEN priority < 5 THEN 'new' ELSE 'old' END AS description
-        FROM site WHERE type <> 'boats'""",
+    f"""WITH {_SITES} SELECT id, CASE WHEN priority < 5 THEN upper(name) ELSE name END AS name,
+        CASE WHEN priority < 2 THEN NULL WHEN priority < 5 THEN 'new' ELSE 'old' END AS description FROM site WHERE type <> 'boats'""",
 )
 def _(spark, sf):
     sites = _sites(spark, sf)
-    changes = sites.filter("priority < 5").select("id", F.upper("name").alias("name"), F.lit("new").alias("description"), F.lit(1).alias("nonsense"))
-    changed = C.upsert_catalog(sites, changes)
+    said = F.when(F.col("priority") >= 2, "new")
+    changes = sites.filter("priority < 5").select("id", F.upper("name").alias("name"), said.alias("description"), F.lit(2).alias("step"))
+    earlier = sites.filter("priority < 5").select("id", F.lit("first").alias("name"), F.lit("first").alias("description"), F.lit(1).alias("step"))
+    changed = C.upsert_catalog(sites, changes.unionByName(earlier), order=["step"])
     return C.delete_from_catalog(changed, sites.filter("type = 'boats'")).select("id", "name", "description")
 
 
@@ -92,7 +94,9 @@ def _(spark, sf):
 def _(spark, sf):
     sites = _sites(spark, sf).select("id", "name", "type", "priority")
     known = sites.filter("priority < 12").withColumn("migrated", F.lit(False))
-    return C.add_websites(known, sites.withColumn("migrated", F.lit(True))).select("name", "migrated", "priority", "image_folder")
+    again = sites.withColumn("id", F.concat(F.col("id"), F.lit("~"))).withColumn("priority", F.lit(-1))
+    new = sites.unionByName(again).withColumn("migrated", F.lit(True))
+    return C.add_websites(known, new).select("name", "migrated", "priority", "image_folder")
 
 
 @query(

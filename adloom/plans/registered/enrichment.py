@@ -142,7 +142,7 @@ def _(spark, sf):
       SELECT s_name AS username, l_orderkey * 100000000 + l_partkey * 10 + l_linenumber AS pos,
         CASE WHEN l_linenumber = 1 THEN concat(CAST(CAST(l_quantity AS INT) AS VARCHAR), ' سيارة')
              WHEN l_linenumber = 2 THEN '' ELSE concat('معرض ', CAST(l_partkey AS VARCHAR)) END AS text
-      FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE l_quantity > 10),
+      FROM lineitem JOIN supplier ON l_suppkey = s_suppkey),
     names AS (SELECT username, arg_min(text, pos) AS name FROM links WHERE text LIKE 'معرض%' GROUP BY username),
     counts AS (SELECT username, regexp_extract(arg_max(text, pos), '([0-9]+)', 1) AS car_count
                FROM links WHERE text LIKE '%سيارة' GROUP BY username)
@@ -151,7 +151,7 @@ def _(spark, sf):
     """,
 )
 def _(spark, sf):
-    joined = table(spark, sf, "lineitem").filter("l_quantity > 10").join(
+    joined = table(spark, sf, "lineitem").join(
         table(spark, sf, "supplier"), F.col("l_suppkey") == F.col("s_suppkey")
     )
     text = (

@@ -47,16 +47,15 @@ def _(spark, sf):
     return rejected.groupBy(first).agg(F.count("*").alias("n"))
 
 
-_QUALITY_FIELDS = ["make", "model", "year", "body_type", "condition", "city", "mileage", "price"]
-
-
 @query(
     "quality_gate",
     on_listings("""
-    SELECT id, concat_ws(',', CASE WHEN bedrooms = 4 THEN 'make' END, CASE WHEN transmission = 'R' THEN 'condition' END,
-             CASE WHEN bedrooms = 5 THEN 'mileage' END, CASE WHEN fuel_type = 'F' AND bedrooms = 6 THEN 'price_value' END,
-             CASE WHEN size * 10 < 100 THEN 'engine_value' END, CASE WHEN bedrooms = 7 THEN 'images' END) AS reasons,
-           NOT (bedrooms IN (4, 5, 7) OR transmission = 'R' OR (fuel_type = 'F' AND bedrooms = 6) OR size * 10 < 100) AS accepted
+    SELECT id, concat_ws(',', CASE WHEN bedrooms = 4 THEN 'make' END, CASE WHEN contains(city, 'AN') THEN 'exterior_color' END,
+             CASE WHEN size = 50 THEN 'engine_size' END, CASE WHEN transmission = 'N' AND bedrooms = 3 THEN 'transmission' END,
+             CASE WHEN transmission = 'R' THEN 'condition' END,
+             CASE WHEN bedrooms = 5 THEN 'mileage' END, CASE WHEN year = 1995 THEN 'seller_name' END, CASE WHEN fuel_type = 'F' AND bedrooms = 6 THEN 'price_value' END,
+             CASE WHEN size * 10 < 100 OR size = 50 THEN 'engine_value' END, CASE WHEN bedrooms = 7 THEN 'images' END) AS reasons,
+           NOT (bedrooms IN (4, 5, 7) OR contains(city, 'AN') OR size = 50 OR year = 1995 OR (transmission = 'N' AND bedrooms = 3) OR transmission = 'R' OR (fuel_type = 'F' AND bedrooms = 6) OR size * 10 < 100) AS accepted
     FROM listing"""),
 )
 def _(spark, sf):
@@ -70,10 +69,13 @@ def _(spark, sf):
         F.when((F.col("fuel_type") == "F") & (beds == 6), "1.00 $").otherwise(
             F.concat(F.lit("$"), F.format_number("price", 2))
         ).alias("price"),
-        F.concat((F.col("size") * 10).cast("string"), F.lit(" CC")).alias("engine_size"),
+        F.when(F.col("size") == 50, "-").otherwise(F.concat((F.col("size") * 10).cast("string"), F.lit(" CC"))).alias("engine_size"),
+        F.when(F.col("city").contains("AN"), "None").otherwise("أبيض").alias("exterior_color"), F.lit("بيج").alias("interior_color"),
+        "fuel_type", F.when((F.col("transmission") == "N") & (beds == 3), F.lit(None)).otherwise(F.col("transmission")).alias("transmission"),
+        F.col("id").alias("phone"), F.when(F.col("year") == 1995, "none").otherwise(F.col("seller_name")).alias("seller_name"),
         F.when(beds == 7, F.array().cast("array<string>")).otherwise(F.array("id")).alias("image_urls"),
     )
-    gated = G.quality_gate(spoiled, _QUALITY_FIELDS)
+    gated = G.quality_gate(spoiled)
     return gated.select("id", F.array_join("reasons", ",").alias("reasons"), "accepted")
 
 

@@ -58,11 +58,8 @@ _NAMES = """names AS (SELECT p_name AS name, row_number() OVER (ORDER BY p_name)
 def _names(spark, sf):
     """Distinct part names as candidate list ``names``; the order is alphabetical."""
     names = _parts(spark, sf).select(F.col("p_name").alias("name")).distinct()
-    # Ordinals only have to rise with the name: the heads of its two words as a number do, without a
-    # sort over the whole vocabulary.
-    heads = F.concat(F.substring("name", 1, 3), F.substring(F.substring_index("name", " ", -1), 1, 3))
-    key = F.conv(F.hex(heads), 16, 10).cast("bigint")
-    return names.select(F.lit("names").alias("list"), key.alias("ord"), "name")
+    # a vocabulary is a small dimension, so it is numbered in one task
+    return names.select(F.lit("names").alias("list"), F.row_number().over(Window.orderBy("name")).alias("ord"), "name")
 
 
 @query(
@@ -95,15 +92,14 @@ def _(spark, sf):
 @query(
     "containment_match",
     f"""
-    WITH {_NAMES}, words AS (SELECT DISTINCT unnest(regexp_extract_all(text, '[a-z]+')) AS word FROM documents)
+    WITH {_NAMES}, words AS (SELECT DISTINCT unnest(regexp_extract_all(text, '[^ \\t\\r\\n]+')) AS word FROM documents)
     SELECT word, arg_min(name, ord) AS match FROM words JOIN names ON contains(name, word) GROUP BY word
     """,
 )
 def _(spark, sf):
-    words = table(spark, sf, "documents").select(
-        F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit("([a-z]+)"), 1))).alias("word")
-    ).distinct()
-    values = words.select(F.lit("names").alias("list"), F.col("word").alias("folded"))
+    runs = F.array_distinct(F.regexp_extract_all("text", F.lit(r"([^ \t\r\n]+)"), 1))
+    words = table(spark, sf, "documents").select(F.explode(runs).alias("word")).distinct()
+    values = words.select(F.lit("names").alias("list"), fold_ar(F.col("word")).alias("folded")).distinct()
     found = R.match_containment(values, R.folded_candidates(_names(spark, sf)))
     return found.select(F.col("folded").alias("word"), F.col("name").alias("match"))
 
@@ -250,7 +246,7 @@ def _(spark, sf):
     values = parts.select(F.concat(F.lit("model:"), "p_brand").alias("list"), text.alias("raw")).distinct()
     values = values.withColumn("folded", fold_ar(F.col("raw")))
     found = R.best_match(values.select("list", "folded"), vocabulary_of(spark, sf).candidates)
-    return found.select(F.substring("list", 7, 1000).alias("make"), F.col("folded").alias("raw"), "match")
+    return found.select(F.regexp_replace("list", "^model:", "").alias("make"), F.col("folded").alias("raw"), "match")
 
 
 _RAW_MODEL = f"CASE WHEN p_size < 25 THEN concat(p_name, ' ') ELSE {_MISSPELLED} END"

@@ -161,10 +161,10 @@ def _(spark, sf):
     "title_brand_model",
     """
     SELECT p_partkey, CASE WHEN p_size < 10 THEN 'Kia' WHEN p_size < 20 THEN 'Toyota' WHEN p_size < 30 THEN 'Land Rover'
-                           ELSE regexp_extract(p_name, '^([a-z]+)', 1) END AS brand,
+                           ELSE nullif(regexp_extract(p_name, '^([a-z]+)', 1), 'new') END AS brand,
            CASE WHEN p_size < 30 THEN regexp_extract(p_name, '^([a-z]+)', 1)
-                ELSE regexp_extract(p_name, '^[a-z]+ ([a-z]+)', 1) END AS model
-    FROM part WHERE regexp_extract(p_name, '^([a-z]+)', 1) <> 'new'
+                WHEN regexp_extract(p_name, '^([a-z]+)', 1) <> 'new' THEN regexp_extract(p_name, '^[a-z]+ ([a-z]+)', 1) END AS model
+    FROM part
     """,
 )
 def _(spark, sf):
@@ -175,8 +175,7 @@ def _(spark, sf):
         .when(size < 30, F.concat(F.lit("land rover "), name, F.lit(" range")))
         .otherwise(name)
     )
-    rows = table(spark, sf, "part").filter(F.substring_index("p_name", " ", 1) != "new")
-    rows = rows.select("p_partkey", title.alias("t")).withColumn("brand", T.extract_brand(F.col("t")))
+    rows = table(spark, sf, "part").select("p_partkey", title.alias("t")).withColumn("brand", T.extract_brand(F.col("t")))
     return rows.select("p_partkey", "brand", T.extract_model(F.col("t"), F.col("brand")).alias("model"))
 
 
@@ -309,25 +308,24 @@ def _(spark, sf):
     )
 
 
+_NOISE = " OR ".join(f"contains(lower(u), '{w}')" for w in V.IMAGE_NOISE)
+
+
 @query(
     "image_filter",
-    """
-    SELECT page_id, concat_ws(' ', 'https://photos.example/cars/' || CAST(page_id AS VARCHAR) || '/front.jpg',
-                                   'https://photos.example/cars/' || CAST(page_id AS VARCHAR) || '/rear.jpg') AS photos,
-           'https://photos.example/cars/' || CAST(page_id AS VARCHAR) || '/front.jpg' AS cover
-    FROM pages
+    f"""
+    WITH links AS (SELECT page_id, list_transform(regexp_extract_all(html, '(?i)<a\\s[^>]*?href="([^"]*)"', 1),
+                          lambda x: 'https://photos.example/cars' || x || '.jpg') AS urls FROM pages),
+    kept AS (SELECT page_id, list_filter(urls, lambda u: length(u) > 30 AND NOT ({_NOISE})) AS urls FROM links)
+    SELECT page_id, coalesce(array_to_string(list_sort(list_distinct(urls)), ' '), '') AS photos, urls[1] AS cover FROM kept
     """,
 )
 def _(spark, sf):
-    key = F.col("page_id").cast("string")
-    photo = lambda name: F.concat(F.lit("https://photos.example/cars/"), key, F.lit(f"/{name}.jpg"))
-    urls = F.array(
-        F.lit("https://x.example/Logo-of-the-whole-site.png"), photo("front"), F.lit("http://short.example/a.png"),
-        F.concat(F.lit(" "), photo("rear")), photo("front"), F.lit("/relative/path/that/is/long/enough.jpg"),
-    )
+    links = F.regexp_extract_all("html", F.lit(r'(?i)<a\s[^>]*?href="([^"]*)"'), 1)
+    urls = F.transform(links, lambda x: F.concat(F.lit(" https://photos.example/cars"), x, F.lit(".jpg ")))
     kept = M.keep_photos(urls)
     return table(spark, sf, "pages").select(
-        "page_id", F.array_join(kept, " ").alias("photos"), M.cover_url(F.array().cast("array<string>"), kept).alias("cover")
+        "page_id", F.array_join(F.sort_array(kept), " ").alias("photos"), M.cover_url(F.array().cast("array<string>"), kept).alias("cover")
     )
 
 

@@ -29,7 +29,9 @@ def build_session(app: str = "adloom", master: str | None = None, **conf: str) -
         builder = builder.master(master)
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    session = builder.getOrCreate()
+    ship_package(session)
+    return session
 
 
 def shared_folder(spark: SparkSession) -> str:

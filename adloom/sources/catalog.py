@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from adloom.functions.text import blank_to_null
+from adloom.operators.incremental import first_by_key
 from adloom.sources import schemas
 
 SITE_TYPES = ["cars", "realestate", "other"]
@@ -34,9 +35,15 @@ def _colons(ddl: str) -> str:
     return ", ".join(p.strip().replace(" ", ":", 1) for p in ddl.split(", "))
 
 
+def _new_names(new: DataFrame, known: DataFrame) -> DataFrame:
+    """Rows of names that are not known, one per name: the one with the smallest id, then columns in order."""
+    order = [c for c in ["id", *[c for c in new.columns if c != "id"]] if c in new.columns]
+    return first_by_key(new.join(known.select("name"), "name", "left_anti"), ["name"], order)
+
+
 def migrate_catalog(existing: DataFrame, new: DataFrame) -> DataFrame:
-    """SRC-10: add the sites whose name is not known yet, with defaults filled in."""
-    fresh = new.join(existing.select("name"), "name", "left_anti").withColumns(
+    """SRC-10: add the sites whose name is not known yet, one per name, with defaults filled in."""
+    fresh = _new_names(new, existing).withColumns(
         {
             "description": F.coalesce("description", F.lit("")),
             "enabled": F.coalesce("enabled", F.lit(False)),
@@ -50,8 +57,9 @@ def migrate_catalog(existing: DataFrame, new: DataFrame) -> DataFrame:
 
 # --- changing ----------------------------------------------------------------------------------------
 def add_websites(catalog: DataFrame, new: DataFrame) -> DataFrame:
-    """SNK-8: insert sites; a name that is taken is rejected, the image folder has a default."""
-    fresh = new.join(catalog.select("name"), "name", "left_anti")
+    """SNK-8: insert sites; a name that is taken, also by an earlier row of ``new``, is rejected; the image
+    folder has a default."""
+    fresh = _new_names(new, catalog)
     if "image_folder" not in fresh.columns:
         fresh = fresh.withColumn("image_folder", F.lit(None).cast("string"))
     fresh = fresh.withColumn(
@@ -64,16 +72,23 @@ def add_websites(catalog: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def upsert_catalog(
-    catalog: DataFrame, changes: DataFrame, updated_at: Column | None = None
+    catalog: DataFrame, changes: DataFrame, updated_at: Column | None = None, order: Sequence[str] = ()
 ) -> DataFrame:
-    """SNK-8: set the given attributes by ``id``; unknown attributes and ids are ignored."""
+    """SNK-8: set the given attributes by ``id``, also to NULL; unknown attributes and ids are ignored.
+
+    Of several changes for one id the last by ``order`` counts, and by the values where that is a tie.
+    """
     known = [c for c in changes.columns if c in catalog.columns and c != "id"]
-    renamed = changes.select(
+    latest = [F.desc(c) for c in [*order, *known]]
+    place = F.row_number().over(Window.partitionBy("id").orderBy(*latest or ["id"]))
+    last = changes.withColumn("_place", place).filter("_place = 1")
+    renamed = last.select(
         "id", F.lit(True).alias("_hit"), *[F.col(c).alias(f"_new_{c}") for c in known]
     )
     joined = catalog.join(renamed, "id", "left")
     out = [
-        F.coalesce(f"_new_{c}", c).alias(c) if c in known else F.col(c) for c in catalog.columns
+        F.when(F.col("_hit"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) if c in known else F.col(c)
+        for c in catalog.columns
     ]
     if "updated_at" in catalog.columns and "updated_at" not in known:
         stamp = F.current_timestamp() if updated_at is None else updated_at

@@ -312,3 +312,22 @@ def test_ingest_batch(spark, vocabulary):
     )
     assert [(r.id, r.make, r.model, r.phone) for r in batch.accepted.collect()] == [("1", "كيا", "ريو", "+963")]
     assert [(r.id, r.reasons) for r in batch.rejected.collect()] == [("3", ["model"])]
+
+
+# --- packaging ---------------------------------------------------------------------------------------
+def test_python_tasks_find_the_package_from_any_folder(tmp_path):
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    home = str(Path(__file__).resolve().parent.parent)
+    script = tmp_path / "job.py"
+    script.write_text(
+        f"import sys\nsys.path.insert(0, {home!r})\n"
+        "from adloom.session import build_session\nfrom adloom.functions.similarity import ratio\n"
+        "spark = build_session('job', 'local[1]', **{'spark.ui.enabled': 'false'})\n"
+        "print('RATIO', spark.createDataFrame([('abcd', 'bcde')], 'a string, b string').select(ratio('a', 'b')).first()[0])\n",
+        encoding="utf-8",
+    )
+    done = subprocess.run([sys.executable, str(script)], cwd=tmp_path, capture_output=True, text=True, timeout=180, env={**__import__("os").environ, "PYTHONPATH": ""})
+    assert "RATIO 0.75" in done.stdout, done.stderr[-2000:]
