@@ -73,22 +73,23 @@ def total_items(df: DataFrame, as_of: Column | None = None) -> DataFrame:
     return df.agg(F.count("*").alias("total_items")).withColumn("scraped_at", stamp)
 
 
+def is_filled(name: str, kind: str) -> Column:
+    """Whether a column of that type holds something: not blank, zero, false or ``N/A``."""
+    c = F.col(f"`{name}`")
+    if kind == "string":
+        return (c != "") & (c != NOT_AVAILABLE)
+    if kind == "boolean":
+        return c
+    if kind.startswith(("array", "map")):
+        return F.size(c) > 0
+    if kind.startswith(("int", "bigint", "smallint", "tinyint", "double", "float", "decimal")):
+        return c != 0
+    return c.isNotNull()
+
+
 def field_population(df: DataFrame) -> DataFrame:
     """AGG-2: ``(field, populated)`` - values that are present, not blank, zero, false or ``N/A``."""
-
-    def filled(name: str, kind: str) -> Column:
-        c = F.col(f"`{name}`")
-        if kind == "string":
-            return (c != "") & (c != NOT_AVAILABLE)
-        if kind == "boolean":
-            return c
-        if kind.startswith(("array", "map")):
-            return F.size(c) > 0
-        if kind.startswith(("int", "bigint", "smallint", "tinyint", "double", "float", "decimal")):
-            return c != 0
-        return c.isNotNull()
-
-    counted = df.agg(*[F.count_if(filled(n, k)).alias(n) for n, k in df.dtypes])
+    counted = df.agg(*[F.count_if(is_filled(n, k)).alias(n) for n, k in df.dtypes])
     return counted.unpivot([], counted.columns, "field", "populated")
 
 
@@ -201,9 +202,11 @@ def complete_records(df: DataFrame) -> DataFrame:
 TOTAL = "total"
 
 
-def market_analysis(df: DataFrame, kind: str = "cars") -> DataFrame:
+def market_analysis(df: DataFrame, kind: str = "cars", as_of: Column | None = None) -> DataFrame:
     """AGG-18 as ``(section, name, count, value)`` rows, from a single pass over the listings.
 
+    ``items_by_field`` counts the filled values of each column; ``scraped_at`` holds the time of the
+    analysis, ``as_of``, as its name.
     Rankings and distributions carry counts, the other sections carry values. One aggregation by
     ``(dimension, name)`` yields them all: figures over everything belong to the one-member dimension
     ``total``, and only rows of a dimension that needs a figure carry the number it is made of. What
@@ -234,12 +237,24 @@ def market_analysis(df: DataFrame, kind: str = "cars") -> DataFrame:
         }
         limits, priced = {"top_locations": 5}, [TOTAL, "most_expensive_locations"]
     groups = durable(_grouped(df, {TOTAL: F.lit(TOTAL), **dimensions}, numbers, priced))
+    fields = groups.filter(F.col("dimension") == TOTAL).select(
+        F.inline(F.array(*[F.struct(F.lit(n).alias("name"), F.col(f"`filled_{n}`").alias("count")) for n in df.columns]))
+    )
     listed = groups.filter(~F.col("dimension").isin(priced)).select("dimension", "name", "n")
     none = F.lit(None)
+    stamp = F.current_timestamp() if as_of is None else as_of
     sections = rank_within(listed, limits).select(
         F.col("dimension").alias("section"), "name", F.col("n").alias("count"),
         none.cast("double").alias("value"),
     ).unionByName(_totals(groups.filter(F.col("dimension") == TOTAL), kind))
+    sections = sections.unionByName(
+        fields.select(F.lit("items_by_field").alias("section"), "name", "count", none.cast("double").alias("value"))
+    ).unionByName(
+        df.sparkSession.range(1).select(
+            F.lit("scraped_at").alias("section"), stamp.cast("string").alias("name"),
+            none.cast("bigint").alias("count"), none.cast("double").alias("value"),
+        )
+    )
     if kind == "cars":
         return sections
     averages = groups.filter((F.col("dimension") == "most_expensive_locations") & F.col("price_avg").isNotNull())
@@ -255,14 +270,19 @@ def market_analysis(df: DataFrame, kind: str = "cars") -> DataFrame:
 def _grouped(
     df: DataFrame, dimensions: Mapping[str, Column], numbers: Mapping[str, Column], priced: Sequence[str]
 ) -> DataFrame:
-    """``(dimension, name, n, <number>_avg, <number>_min, <number>_max)``."""
+    """``(dimension, name, n, <number>_avg, <number>_min, <number>_max, filled_<column>)``.
+
+    The flags of filled columns travel with the one-member dimension only.
+    """
+    filled = {n: F.coalesce(is_filled(n, k), F.lit(False)) for n, k in df.dtypes}
 
     def entry(dimension: str, name: Column) -> Column:
         carried = [
             (c.cast("double") if dimension in priced else F.lit(None).cast("double")).alias(k)
             for k, c in numbers.items()
         ]
-        return F.struct(F.lit(dimension).alias("dimension"), name.cast("string").alias("name"), *carried)
+        flags = [(f if dimension == TOTAL else F.lit(None).cast("boolean")).alias(f"filled_{n}") for n, f in filled.items()]
+        return F.struct(F.lit(dimension).alias("dimension"), name.cast("string").alias("name"), *carried, *flags)
 
     exploded = df.select(F.inline(F.array(*[entry(d, c) for d, c in dimensions.items()])))
     figures = [
@@ -271,7 +291,7 @@ def _grouped(
     ]
     return (
         exploded.filter("name IS NOT NULL").groupBy("dimension", "name")
-        .agg(F.count("*").alias("n"), *figures)
+        .agg(F.count("*").alias("n"), *figures, *[F.count_if(F.col(f"`filled_{n}`")).alias(f"filled_{n}") for n in filled])
     )
 
 

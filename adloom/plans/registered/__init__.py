@@ -8,7 +8,7 @@ from adloom.plans.registered.base import REGISTRY, Query
 
 MODULES = [
     "statistics", "incremental", "enrichment", "gates", "text", "matching", "specs", "payloads",
-    "pages", "catalog", "sinks", "streams", "ingest",
+    "pages", "catalog", "sinks", "streams", "ingest", "roundtrips",
 ]
 
 

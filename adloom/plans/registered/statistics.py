@@ -192,6 +192,16 @@ def _value(section: str, name: str, expression: str) -> str:
             f"CAST({expression} AS DOUBLE) AS value FROM listing)")
 
 
+def _filled_sections(renamed: dict[str, str]) -> list[str]:
+    return [
+        f"(SELECT 'items_by_field' AS section, '{renamed.get(f, f)}' AS name, count(*) FILTER (WHERE {_filled(f)}) AS count, "
+        "CAST(NULL AS DOUBLE) AS value FROM listing)" for f in _FIELDS
+    ] + ["(SELECT 'scraped_at' AS section, '2002-01-01' AS name, CAST(NULL AS BIGINT) AS count, CAST(NULL AS DOUBLE) AS value)"]
+
+
+_AS_OF = "2002-01-01"
+
+
 @query(
     "market_analysis_cars",
     on_listings(
@@ -201,11 +211,12 @@ def _value(section: str, name: str, expression: str) -> str:
              _top("transmission_distribution", "transmission"), _value("total", "items", "count(*)")]
             + [_value(f"{c}_stats", f, f"round({f}({c}), 4)") for c in ("year", "price")
                for f in ("avg", "min", "max")]
+            + _filled_sections({})
         )
     ),
 )
 def _(spark, sf):
-    return S.market_analysis(listing_view(spark, sf)).withColumn("value", F.round("value", 4))
+    return S.market_analysis(listing_view(spark, sf), as_of=F.lit(_AS_OF)).withColumn("value", F.round("value", 4))
 
 
 @query(
@@ -217,12 +228,13 @@ def _(spark, sf):
              _value("avg_price_per_sqm", "avg", "round(avg(price / size), 4)"),
              "(SELECT 'most_expensive_locations' AS section, city AS name, CAST(NULL AS BIGINT) AS count, "
              "round(avg(price), 4) AS value FROM listing GROUP BY city ORDER BY avg(price) DESC, city LIMIT 10)"]
+            + _filled_sections({"city": "location", "body_type": "property_type"})
         )
     ),
 )
 def _(spark, sf):
     rows = listing_view(spark, sf).withColumnsRenamed({"city": "location", "body_type": "property_type"})
-    return S.market_analysis(rows, "realestate").withColumn("value", F.round("value", 4))
+    return S.market_analysis(rows, "realestate", F.lit(_AS_OF)).withColumn("value", F.round("value", 4))
 
 
 @query(

@@ -16,10 +16,11 @@ SITE_TYPES = ["cars", "realestate", "other"]
 
 
 # --- reading and migrating -------------------------------------------------------------------------
-def load_catalog(spark: SparkSession, path: str) -> DataFrame:
-    """SRC-10: sites of a JSON catalog with the nested schedule flattened."""
+def load_catalog(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """SRC-10: sites of a JSON catalog with the nested schedule flattened. A catalog is one document, or
+    one document a line when ``multi_line`` is off."""
     document = spark.read.schema(f"websites array<struct<{_colons(schemas.WEBSITE)}>>")
-    sites = document.option("multiLine", True).json(path).select(F.inline("websites"))
+    sites = document.option("multiLine", multi_line).json(path).select(F.inline("websites"))
     return sites.select(
         *[c for c in sites.columns if c not in ("scheduling", "last_run")],
         F.col("scheduling.enabled").alias("scheduling_enabled"),

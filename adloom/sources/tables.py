@@ -22,15 +22,17 @@ def read_pages(spark: SparkSession, path: str, whole_text: bool = False) -> Data
 
 
 def read_listing_table(
-    spark: SparkSession, path: str, columns: Sequence[str] | None = None, number_rows: bool = False
+    spark: SparkSession, path: str, columns: Sequence[str] | None = None, number_rows: bool = False,
+    multi_line: bool = False,
 ) -> DataFrame:
     """SRC-6: header-driven CSV; short rows are padded with NULL and empty rows are skipped.
 
     Passing ``columns`` saves the pass that reads the header. With ``number_rows`` a ``row_num`` in
-    file order is added; numbers rise within the table but are not gap-free.
+    file order is added; numbers rise within the table but are not gap-free. ``multi_line`` allows line
+    breaks inside quoted cells, at the price of one task per file.
     """
     reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
-    reader = reader.option("multiLine", True).option("escape", '"')
+    reader = reader.option("multiLine", multi_line).option("escape", '"')
     if columns:
         schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
         reader = reader.schema(schema)
