@@ -16,11 +16,13 @@ from adloom.functions.text import strip_foreign
 from adloom.operators.enrich import fill_missing, join_details
 from adloom.operators.gates import mandatory_gate, split_gate
 from adloom.operators.incremental import (
-    filter_date_range, filter_min_year, filter_usable_cards, first_by_key, keep_unseen,
+    caught_up_cutoff, cutoff_pages, filter_date_range, filter_min_year, filter_usable_cards, first_by_key, keep_unseen,
 )
 from adloom.operators.repair import COMPOUND_FIELDS
-from adloom.operators.resolve import normalize_listings
+from adloom.operators.resolve import new_unknown_values, normalize_listings, resolve
 from adloom.session import durable
+from adloom.sources.catalog import record_run
+from adloom.sources.tables import append_jsonl
 from adloom.sources.vocabulary import Vocabulary
 
 
@@ -32,6 +34,68 @@ class Batch:
     rejected: DataFrame
 
 
+@dataclass(frozen=True)
+class Run:
+    """One incremental run: what was read, kept and rejected, its counters, and values nobody knows."""
+
+    batch: Batch
+    counters: DataFrame
+    unknown: DataFrame | None
+
+    def save(self, target: str, ledger: str, unknown: str | None, website_id: str) -> None:
+        """Append accepted rows, one line of the run ledger, and new unknown values."""
+        spark = self.counters.sparkSession
+        append_jsonl(self.batch.accepted, target)
+        counts = self.counters.first()
+        record_run(
+            spark, ledger, website_id, status="success", items_count=counts["saved"], items_new=counts["new"],
+            items_duplicate=counts["duplicate"],
+        )
+        if unknown and self.unknown is not None:
+            self.unknown.write.mode("append").parquet(unknown)
+
+
+def incremental_run(
+    cards: DataFrame,
+    known: DataFrame,
+    patience: int = 3,
+    feed: Sequence[str] = (),
+    page: str = "page",
+    vocabulary: Vocabulary | None = None,
+    known_unknown: DataFrame | None = None,
+    key: str = "id",
+    start=None,
+    **options,
+) -> Run:
+    """Read each feed's pages until it has caught up or lies before ``start``, and ingest what was read.
+
+    A feed has caught up after ``patience`` pages in a row without a new id. ``options`` go to
+    :func:`ingest_batch`; ``known_unknown`` are the values reported before.
+    """
+    ids = durable(known.select(F.col(key).alias("_known")).filter("_known IS NOT NULL").distinct())
+    seen = ids.withColumn("_seen", F.lit(True))
+    flagged = cards.join(seen, F.col(key) == F.col("_known"), "left").withColumn("is_new", F.col("_seen").isNull())
+    flagged = durable(flagged.drop("_known", "_seen"))
+    read = caught_up_cutoff(flagged, patience, feed=feed, page=page)
+    if start is not None and "date_added" in cards.columns:
+        read = cutoff_pages(read, start, feed, page)
+    read = durable(read)
+    rows = read.drop("is_new")
+    batch = ingest_batch(rows, known, vocabulary=vocabulary, start=start, key=key, **options)
+    found = None
+    if vocabulary is not None:
+        found = resolve(rows, vocabulary).unknown()
+        found = new_unknown_values(found, known_unknown) if known_unknown is not None else found
+    kept = batch.accepted.agg(F.count("*").alias("saved"))
+    left = batch.rejected.agg(F.count("*").alias("rejected"))
+    counters = read.agg(
+        F.count("*").alias("seen"), F.count_if("is_new").alias("new"), F.count_if(~F.col("is_new")).alias("duplicate")
+    )
+    one = F.lit(1).alias("_one")  # three tables of one row
+    counters = counters.select("*", one).join(kept.select("*", one), "_one").join(left.select("*", one), "_one").drop("_one")
+    return Run(batch, counters, found)
+
+
 def ingest_batch(
     cards: DataFrame,
     known: DataFrame,

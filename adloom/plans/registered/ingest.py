@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from adloom.operators.gates import mandatory_gate
-from adloom.plans.ingest import ingest_batch
+from adloom.plans.ingest import incremental_run, ingest_batch
 from adloom.plans.registered.base import listing_view, on_listings, query, table
+from adloom.session import fresh_path
 
 
 def _batch(spark, sf):
@@ -54,3 +55,44 @@ def _(spark, sf):
 )
 def _(spark, sf):
     return _batch(spark, sf).rejected.select("id", F.array_join("reasons", ",").alias("reasons"))
+
+
+_RUN_SQL = """
+WITH cards AS (SELECT CAST(o_orderkey AS VARCHAR) AS id, o_custkey % 3 AS feed, o_orderkey // 20 AS page, o_orderpriority AS seller_name,
+                      CASE WHEN o_totalprice < 50000 THEN NULL ELSE o_orderstatus END AS model FROM orders),
+known AS (SELECT CAST(l_orderkey AS VARCHAR) AS id FROM lineitem WHERE l_quantity > 12),
+flagged AS (SELECT *, id NOT IN (SELECT id FROM known) AS is_new FROM cards),
+pages AS (SELECT feed, page, max(CAST(is_new AS INT)) AS fresh FROM flagged GROUP BY ALL),
+runs AS (SELECT *, count(*) FILTER (WHERE fresh = 0) OVER (PARTITION BY feed ORDER BY page ROWS BETWEEN 1 PRECEDING AND CURRENT ROW) AS stale FROM pages),
+stop AS (SELECT feed, min(page) AS last FROM runs WHERE fresh = 0 AND stale = 2 GROUP BY feed),
+seen AS (SELECT flagged.* FROM flagged LEFT JOIN stop USING (feed) WHERE last IS NULL OR page <= last)
+"""
+
+
+def _run(spark, sf):
+    orders = table(spark, sf, "orders")
+    cards = orders.select(
+        F.col("o_orderkey").cast("string").alias("id"), (F.col("o_custkey") % 3).alias("feed"), F.expr("o_orderkey div 20").alias("page"),
+        F.col("o_orderpriority").alias("seller_name"), F.when(F.col("o_totalprice") >= 50000, F.col("o_orderstatus")).alias("model"),
+    )
+    known = table(spark, sf, "lineitem").filter("l_quantity > 12").select(F.col("l_orderkey").cast("string").alias("id"))
+    return incremental_run(cards, known, patience=2, feed=["feed"], gate=lambda rows: mandatory_gate(rows, ["model", "seller_name"]))
+
+
+@query(
+    "incremental_run_rows",
+    f"{_RUN_SQL} SELECT id, feed, page, model FROM seen WHERE is_new AND model IS NOT NULL",
+)
+def _(spark, sf):
+    run, target, ledger = _run(spark, sf), fresh_path(spark, "target"), fresh_path(spark, "ledger")
+    run.save(target, ledger, None, "site")
+    return spark.read.schema("id string, feed bigint, page bigint, model string").json(target)
+
+
+@query(
+    "incremental_run_counters",
+    f"""{_RUN_SQL} SELECT count(*) AS seen, count(*) FILTER (WHERE is_new) AS new, count(*) FILTER (WHERE NOT is_new) AS duplicate,
+        count(*) FILTER (WHERE is_new AND model IS NOT NULL) AS saved, count(*) FILTER (WHERE is_new AND model IS NULL) AS rejected FROM seen""",
+)
+def _(spark, sf):
+    return _run(spark, sf).counters
