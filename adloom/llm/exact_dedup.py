@@ -100,8 +100,10 @@ def drop_copies(documents: DataFrame, index: DigestIndex) -> DataFrame:
     repeated = durable(stays.join(gone, _same(stays, gone), "left_semi"))
     digest = F.unhex(F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256))
     rows = documents.select("doc_id", digest.alias("digest"), F.struct("*").alias("document"))
-    once = rows.join(gone, _same(rows, gone), "left_anti")
-    one = rows.join(repeated, _same(rows, repeated), "left_semi").dropDuplicates(["doc_id", "digest"])
+    # merge joins at every size: what is dropped grows with the documents
+    gone_, repeated_ = gone.hint("merge"), repeated.hint("merge")
+    once = rows.join(gone_, _same(rows, gone_), "left_anti")
+    one = rows.join(repeated_, _same(rows, repeated_), "left_semi").dropDuplicates(["doc_id", "digest"])
     return once.unionByName(one).select("document.*")
 
 
