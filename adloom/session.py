@@ -12,6 +12,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 _SHIPPED: dict[str, str] = {}
+_DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def build_session(app: str = "adloom", master: str | None = None, **conf: str) -> SparkSession:
@@ -63,11 +64,17 @@ def durable(df: DataFrame, compression: str = "snappy", **options: str) -> DataF
     """Write ``df`` to shared storage and read it back.
 
     That cuts lineage, so a lost executor never recomputes the scan behind it, runs the plan once,
-    and leaves a table whose size the optimiser knows when it picks joins.
+    and leaves a table whose size the optimiser knows when it picks joins. The shuffles of the write
+    are not needed once it is done, so their files go at once.
     """
     spark = df.sparkSession
     path = fresh_path(spark)
-    df.write.options(compression=compression, **options).parquet(path)
+    before = spark.conf.get(_DROP_SHUFFLES, None)
+    spark.conf.set(_DROP_SHUFFLES, "true")
+    try:
+        df.write.options(compression=compression, **options).parquet(path)
+    finally:
+        spark.conf.set(_DROP_SHUFFLES, before) if before is not None else spark.conf.unset(_DROP_SHUFFLES)
     return spark.read.schema(df.schema).parquet(path)
 
 
