@@ -48,7 +48,6 @@ _UNESCAPED = """replace(replace(replace(replace(replace({0}, '&lt;', '<'), '&gt;
     """,
 )
 def _(spark, sf):
-    # The whole page is read as a tree here; the SQL side reads the one element.
     facts = P.extract_pages(table(spark, sf, "pages"), key=["page_id"])
     details = P.generic_details(facts, ["page_id"])
     return details.select("page_id", blank_to_null(squeeze(unescape_html(F.col("title_raw")))).alias("title_raw"))
