@@ -209,7 +209,7 @@ def _(spark, sf):
     keyed.repartition(4).write.json(landed)
     stream = feeds.read_listing_stream(spark, landed, "id string, supplier bigint, line int", max_files=1)
     feeds.run_available(stream, feeds.append_unseen(f"{work}/target"), f"{work}/progress", timeout_seconds=3600)
-    return spark.read.parquet(f"{work}/target").drop("id")
+    return feeds.read_target(spark, f"{work}/target").drop("id")
 
 
 @query(

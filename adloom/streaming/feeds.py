@@ -63,6 +63,14 @@ def _read_or_none(spark: SparkSession, path: str, schema: str | None = None) ->
         raise
 
 
+BUCKET = "key_bucket"
+
+
+def read_target(spark: SparkSession, target: str) -> DataFrame:
+    """The rows that :func:`append_unseen` has written."""
+    return spark.read.parquet(target).drop(BUCKET)
+
+
 def append_unseen(
     target: str,
     key: str = "id",
@@ -70,11 +78,13 @@ def append_unseen(
     transform: Callable[[DataFrame], DataFrame] | None = None,
     start=None,
     end=None,
+    buckets: int = 64,
 ) -> Callable[[DataFrame, int], None]:
     """STM-2/STM-3: ``foreachBatch`` sink that appends rows whose key the target does not hold.
 
-    The target itself is the unbounded state. A batch is reduced to one row per key first. With
-    ``start``/``end`` old and late listings are dropped by date (STM-4).
+    The target itself is the unbounded state. It is partitioned by a hash of the key, and a batch reads
+    only the ``buckets`` its keys fall into. A batch is reduced to one row per key. With ``start``/``end``
+    old and late listings are dropped by date (STM-4).
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -82,11 +92,13 @@ def append_unseen(
         rows = transform(batch) if transform else batch
         if start is not None or end is not None:
             rows = filter_date_range(rows, start, end)
+        rows = rows.filter(F.col(key).isNotNull()).withColumn(BUCKET, F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
         known = _read_or_none(spark, target)
         if known is not None:
-            rows = keep_unseen(rows, known, key)
+            met = [r[BUCKET] for r in rows.select(BUCKET).distinct().collect()]  # at most ``buckets``
+            rows = keep_unseen(rows, known.filter(F.col(BUCKET).isin(met)), key)
         rows = first_by_key(rows, [key], list(order))
-        rows.write.mode("append").parquet(target)
+        rows.write.mode("append").partitionBy(BUCKET).parquet(target)
 
     return write
 
@@ -128,14 +140,22 @@ def run_available(
 
 
 def replace_with_latest(target: str) -> Callable[[DataFrame, int], None]:
-    """Sink for complete-mode results such as :func:`running_stats`."""
+    """Sink for complete-mode results such as :func:`running_stats`: a folder per batch, which counts once it
+    is complete, so that readers never meet a target that is half replaced."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(target)
+        batch.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
 
     return write
 
 
+def read_latest(spark: SparkSession, target: str) -> DataFrame:
+    """The result of the last batch that :func:`replace_with_latest` has finished."""
+    every = spark.read.parquet(target)
+    last = every.agg(F.max("batch")).first()[0]
+    return every.filter(F.col("batch") == last).drop("batch")
+
+
 def run_complete(stream: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
     """STM-7: keep ``target`` equal to the aggregate over everything that has landed."""
     query = (
