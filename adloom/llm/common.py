@@ -24,8 +24,10 @@ def text_of(documents: DataFrame, *keep: str) -> DataFrame:
     return documents.select(*keep, F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut Arrow batches so that ``column`` holds about ``limit`` bytes in each, and one row at least."""
+def slices(
+    batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = BATCH_BYTES, rows: int = 8192
+) -> Iterator[pa.RecordBatch]:
+    """Cut Arrow batches so that ``column`` holds about ``limit`` bytes in each, in 1 to ``rows`` rows."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -35,7 +37,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
         start = 0
         while start < len(values):
             stop = int(np.searchsorted(offsets, offsets[start] + limit, "right")) - 1
-            stop = min(max(stop, start + 1), len(values))
+            stop = min(max(stop, start + 1), start + rows, len(values))
             yield batch.slice(start, stop - start)
             start = stop
 

@@ -136,7 +136,7 @@ def learn_prototypes(documents: DataFrame, dimensions: int = DIMENSIONS, per_lan
 
     def bundle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
-        for batch in slices(batches, limit=1 << 20):
+        for batch in slices(batches, limit=1 << 20, rows=1024):
             langs = batch.column(1).to_pylist()
             vectors = text_vectors(batch.column(2).to_pylist(), dimensions)
             norms = np.linalg.norm(vectors, axis=1, keepdims=True)
@@ -164,7 +164,7 @@ def predict_languages(documents: DataFrame, prototypes: dict[str, np.ndarray], *
     columns_out = [f.name for f in schema.fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, limit=1 << 20):
+        for batch in slices(batches, limit=1 << 20, rows=1024):
             vectors = text_vectors(batch.column(batch.num_columns - 1).to_pylist(), matrix.shape[1])
             norms = np.linalg.norm(vectors, axis=1)
             known = (norms > 0) & bool(names)
