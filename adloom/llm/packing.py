@@ -127,8 +127,9 @@ def pack(documents: DataFrame, length: int = LENGTH, vocabulary: str | None = No
     return cut(offsets, length, id_type(path))
 
 
-def sequences(offsets: DataFrame, length: int, width: str) -> DataFrame:
-    """Packed sequences ``sequence_id, n_tokens, ids`` of :func:`placed` documents (the last may be short)."""
+def windows_of(length: int, width: str):
+    """Function over Arrow batches of :func:`placed` documents to ``sequence_id, offset, ids`` records: whole windows,
+    and at both ends of a run of rows the boundary records of windows that other tasks share."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         begin, held, size = 0, [], 0  # a run of ids without a gap, from a global offset on
@@ -165,7 +166,12 @@ def sequences(offsets: DataFrame, length: int, width: str) -> DataFrame:
             yield batch_of(windows(False))
         yield batch_of(windows(True))
 
-    records = offsets.mapInArrow(run, "sequence_id bigint, offset bigint, ids binary")
+    return run
+
+
+def sequences(offsets: DataFrame, length: int, width: str) -> DataFrame:
+    """Packed sequences ``sequence_id, n_tokens, ids`` of :func:`placed` documents (the last may be short)."""
+    records = offsets.mapInArrow(windows_of(length, width), "sequence_id bigint, offset bigint, ids binary")
     bytes_each = length * np.dtype(width).itemsize
     whole = records.where(F.octet_length("ids") == bytes_each).select("sequence_id", "ids")
     boundary = records.where(F.octet_length("ids") < bytes_each)

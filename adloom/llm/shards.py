@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adloom.llm.common import mix64, slices
-from adloom.llm.packing import END_ID, LENGTH, id_type, placed, sequences, tokenize
+from adloom.llm.packing import END_ID, LENGTH, id_type, placed, tokenize, windows_of
 from adloom.llm.tokens import default_vocabulary
 from adloom.session import ship_package
 
@@ -108,25 +108,37 @@ def write_shards(
         return layout
     order = Permutation(layout.count, key)
 
+    cut = windows_of(length, layout.width)
+
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(3).compress  # records cross the shuffle compressed
-        for batch in slices(batches, "ids"):
+        for batch in cut(batches):
             slots = order.slots(batch.column(0).to_numpy())
-            packed = [pack(x.as_buffer()) for x in batch.column(2)]
-            columns = [pa.array(slots), pa.array((slots // per_shard).astype(np.int32)), pa.array(packed, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["slot", "shard", "packed"])
+            packed = pa.array([pack(x.as_buffer()) for x in batch.column(2)], pa.binary())
+            columns = [pa.array(slots), pa.array((slots // per_shard).astype(np.int32)), batch.column(1), packed]
+            yield pa.RecordBatch.from_arrays(columns, ["slot", "shard", "offset", "packed"])
 
     def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
         size = layout.stride - len(MARK)
         padding = np.full(length, pad_id, layout.width).tobytes()
-        for batch in slices(batches, "packed"):
-            plain = [unpack(x.as_buffer()) for x in batch.column(2)]
-            yield pa.RecordBatch.from_arrays([pa.array([x + padding[len(x) : size] for x in plain], pa.binary())], ["record"])
-
-    cut = sequences(offsets, length, layout.width)
-    dealt = cut.mapInArrow(assign, "slot bigint, shard int, packed binary").repartitionById(layout.shards, "shard")
-    shards = dealt.sortWithinPartitions("slot").mapInArrow(records, "record binary")
+        slot, held = None, b""  # boundary records of one window follow each other
+
+        for batch in slices(batches, "packed", rows=1024):
+            done = []
+            for own, data in zip(batch.column(0).to_pylist(), batch.column(3), strict=True):
+                if own != slot:
+                    if slot is not None:
+                        done.append(held + padding[len(held) : size])
+                    slot, held = own, b""
+                held += unpack(data.as_buffer())
+            yield pa.RecordBatch.from_arrays([pa.array(done, pa.binary())], ["record"])
+        if slot is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([held + padding[len(held) : size]], pa.binary())], ["record"])
+
+    assigned = offsets.mapInArrow(assign, "slot bigint, shard int, offset bigint, packed binary")
+    dealt = assigned.repartitionById(layout.shards, "shard").sortWithinPartitions("slot", "offset")
+    shards = dealt.mapInArrow(records, "record binary")
     # partition N of the result is shard N, and the writer names its file after it
     shards.select(F.col("record").cast("string").alias("value")).write.option("lineSep", MARK.decode()).text(folder)
     return layout
