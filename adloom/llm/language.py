@@ -76,11 +76,14 @@ def gram_counts(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.nda
     key = np.zeros(len(points) - ORDER + 1, np.int64)
     for place in range(ORDER):
         key = key * size + code[place : len(points) - ORDER + 1 + place]
-    middle = owner[ORDER // 2 : ORDER // 2 + len(key)]
-    has = np.zeros(len(key), bool)
+    # a blank between two texts belongs to both; a gram with letters on either side of it to neither
+    first, last = np.full(len(key), len(texts)), np.full(len(key), -1)
     for place in range(ORDER):
-        has |= points[place : place + len(key)] != _BLANK
-    key, middle = key[has], middle[has]
+        letter, own = points[place : place + len(key)] != _BLANK, owner[place : place + len(key)]
+        first = np.minimum(first, np.where(letter, own, len(texts)))
+        last = np.maximum(last, np.where(letter, own, -1))
+    has = first == last
+    key, middle = key[has], first[has]
     if size**ORDER <= 1 << 22:
         present = np.flatnonzero(np.bincount(key, minlength=1))
         lookup = np.zeros(size**ORDER, np.int64)

@@ -227,6 +227,9 @@ def fit_field(classes: np.ndarray, sizes: np.ndarray, lines: np.ndarray, labels:
     values[n_weights + 1] = -3.0
     mean, square = np.zeros_like(values), np.zeros_like(values)
     steps_in = np.maximum(chains.lengths - 1, 0)
+    # what a line shows itself should explain its label before what stands beside it does
+    penalty = np.full_like(values, 1e-4)
+    penalty[measures * CLASSES : n_weights] = 5e-3
     for step in range(1, steps + 1):
         ties = values[-4:].reshape(2, 2)
         bad, moves, norm = chains.forward_backward(values[active].sum(axis=1) + values[n_weights + 1], ties)
@@ -240,7 +243,7 @@ def fit_field(classes: np.ndarray, sizes: np.ndarray, lines: np.ndarray, labels:
         change = -moves
         change[:, 0, 0] += steps_in
         slope[-4:] = (factor[:, None, None] * change).sum(axis=0).ravel()
-        slope = slope / len(labels) - 1e-4 * values
+        slope = slope / len(labels) - penalty * values
         slope[n_weights] = 0.0
         mean, square = 0.9 * mean + 0.1 * slope, 0.99 * square + 0.01 * slope * slope
         values = values + 0.1 * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-8)

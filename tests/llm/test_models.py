@@ -12,12 +12,12 @@ WORDS = {"aa": ["tha", "ening", "wor", "lith", "shu"], "bb": ["ñora", "quezo",
 
 def labelled(spark, n=400):
     rng = random.Random(3)
-    rows = []
+    rows, truth = [], {}
     for i in range(n):
-        lang = rng.choice(sorted(WORDS))
+        lang = truth[i] = rng.choice(sorted(WORDS))
         text = " ".join(rng.choice(WORDS[lang]) + rng.choice(WORDS[lang]) for _ in range(rng.randint(5, 60)))
         rows.append((i, text, lang if rng.random() < 0.9 else None, "s", len(text), 7, 7, 7, 7.0, 7, "x", "x", "x"))
-    return spark.createDataFrame(rows, SCHEMA), {r[0]: "aa" if "a" in r[1] and "ñ" not in r[1] else "bb" for r in rows}
+    return spark.createDataFrame(rows, SCHEMA), truth
 
 
 def test_text_vectors_follow_the_definition():
