@@ -48,9 +48,10 @@ def shingles(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     # words beyond the end of a short text do not enter its sum
     window = np.zeros(total, np.uint64)
     for place in range(WORDS):
+        stop = max(total - place, 0)  # a slice can hold fewer words than a shingle
         part = words[place:] * _OF_PLACE[place]
-        same = owner[place:] == owner[: total - place] if place else np.ones(total, bool)
-        window[: total - place] += np.where(same, part, _U(0))
+        same = owner[place:] == owner[:stop] if place else np.ones(total, bool)
+        window[:stop] += np.where(same, part, _U(0))
     room = np.repeat(np.cumsum(count), count) - np.arange(total)  # words from here to the end of the text
     begins = np.arange(total) == np.repeat(np.cumsum(count) - count, count)
     used = (room >= WORDS) | begins

@@ -143,3 +143,23 @@ def test_signature_follows_the_definition():
             order[rank], order[swap] = order[swap], order[rank]
             slow[order[rank]] = min(int(slow[order[rank]]), (rank << 48) | (drawn >> 16))
     assert fast.tolist() == slow.tolist()
+
+
+@pytest.mark.parametrize("before", [[], ["", ""]])
+def test_shingles_of_a_slice_with_few_words(before):
+    """One text of 0 to 5 words makes up the slice, with or without empty texts; the longer slice has the same hashes."""
+    long = b"and now a text of more words than a shingle"
+    for count in range(6):
+        own = " ".join("abcde"[:count]).encode()
+        offsets = np.array([*[0] * (len(before) + 1), len(own)])
+        hashes, bounds = superminhash.shingles(np.frombuffer(own, np.uint8), offsets)
+        assert bounds.tolist() == [*[0] * (len(before) + 1), min(count, 1)]
+        beside, _ = superminhash.shingles(np.frombuffer(own + long, np.uint8), np.array([0, len(own), len(own + long)]))
+        assert hashes.tolist() == beside[: len(hashes)].tolist()
+
+
+@pytest.mark.parametrize("text", ["one two", "one two three"])
+def test_a_short_text_as_the_only_row(spark, text):
+    docs = documents(spark, [(1, text)])
+    assert [tuple(r) for r in near_dedup.near_duplicates(docs).collect()] == [(1, 1, 1, True)]
+    assert near_dedup.drop_near_copies(docs).count() == 1
