@@ -10,6 +10,8 @@ from adloom.session import durable
 
 # Target weights of sources; those not named have a share of 1.
 SHARES = {"src0": 4, "src1": 2, "src2": 2}
+# Per cent of shared word shingles from which documents are near copies, and bands that find such pairs.
+SIMILAR, BANDS = 80, 42
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,7 +28,7 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates, the one with the smallest id."""
-    return near_dedup.drop_near_copies(docs)
+    return near_dedup.drop_near_copies(docs, SIMILAR, bands=BANDS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -69,3 +69,18 @@ def test_stages_return_the_columns_of_documents(spark):
     docs = documents(spark, [(1, "some words in here"), (2, "other words in there")])
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs, "").columns == docs.columns
+
+
+def test_pipeline_drops_near_copies_from_80_per_cent(spark):
+    docs = near_copies(7, bases=3, copies=12)
+    for k, changed in enumerate([9, 8, 7, 10]):  # of 81 shingles each: similarities of 0.8, 0.82, 0.84 and 0.78
+        words = [f"v{k}x{place}" for place in range(85)]
+        docs += [(3000 + 2 * k, " ".join(words)), (3001 + 2 * k, " ".join([*words[:-changed], *["o" + w for w in words[-changed:]]]))]
+    folder = fresh_path(spark)
+    documents(spark, docs).write.parquet(f"{folder}/documents.parquet")
+    kept = {}
+    for i, text in docs:
+        kept[text] = max(i, kept.get(text, i))
+    stays = {i for i, _, _, keep in brute_components([(i, text) for text, i in kept.items()], 80) if keep}
+    assert stays >= {3000, 3002, 3004, 3006, 3007} and not stays & {3001, 3003, 3005}
+    assert {r["doc_id"] for r in corpus_pipeline.run(spark, folder).collect()} == stays
