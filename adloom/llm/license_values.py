@@ -29,13 +29,31 @@ SENTENCES = {
     17: "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
     "products derived from this software without specific prior written permission",
     18: "This Source Code Form is subject to the terms of the Mozilla Public License, v",
+    19: "Licensed under the Apache License, Version 2.0 (the \"License\")",
+    20: "You may obtain a copy of the License at",
+    21: "http://www.apache.org/licenses/LICENSE-2.0",
+    22: "https://www.apache.org/licenses/LICENSE-2.0",
+    23: "You may obtain a copy of the License at https://www.apache.org/licenses/LICENSE-2.0",
+    24: "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable "
+    "law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT "
+    "WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied",
+    25: "You may obtain a copy of the License at https://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable "
+    "law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT "
+    "WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied",
+    26: "The ASF licenses this file to You under the Apache License, Version 2.0 (the \"License\")",
 }
 
+#: What follows "in compliance with the License" in an Apache header: the URL in the sentence, on a line of its own, or
+#: run together with the next paragraph, as it is behind comment marks.
+_APACHE_ENDS = [[3], [23], [20, 21], [20, 22], [24], [25]]
+
 #: Licence and the sentence identifiers that show it, in this order, with no other known sentence between.
 #: A rule that is part of a longer one holds only where the longer one does not.
 RULES = [
     ("Apache-2.0", [1]),
-    ("Apache-2.0", [1, 2, 3]),
+    ("Apache-2.0", [19]),
+    ("Apache-2.0", [26]),
+    *[("Apache-2.0", [*start, 2, *end]) for start in ([1], [19], [26], []) for end in _APACHE_ENDS],
     ("MIT", [4]),
     ("MIT", [5]),
     ("MIT", [6, 7]),

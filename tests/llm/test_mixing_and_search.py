@@ -1,5 +1,6 @@
 import collections
 import random
+import textwrap
 
 import numpy as np
 import pytest
@@ -160,3 +161,51 @@ def test_longer_rules_come_first(spark):
     assert [r["sentence_ids"] for r in rows] == ["1 2 3", "1 2", "2 1", "1 2 1 2 3 3"]
     assert licenses.scan_licenses(documents(spark, ODD)).count() == len(ODD)
     assert licenses.scan_licenses(documents(spark, ODD).where("false")).count() == 0
+
+
+CONDITIONS = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"
+CLAUSES = [
+    "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+    "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+    "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+]
+HEADERS = {
+    "Apache-2.0": [
+        'Licensed under the Apache License, Version 2.0 (the "License");\nyou may not use this file except in compliance with the License.\nYou may obtain a copy of the License at',
+        "    http://www.apache.org/licenses/LICENSE-2.0",
+        'Unless required by applicable law or agreed to in writing, software\ndistributed under the License is distributed on an "AS IS" BASIS,\nWITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.\nSee the License for the specific language governing permissions and\nlimitations under the License.',
+    ],
+    "MIT": MIT.strip().split("\n\n"),
+    "BSD-2-Clause": [CONDITIONS, *CLAUSES[:2]],
+    "BSD-3-Clause": [CONDITIONS, *CLAUSES],
+    "GPL-3.0-or-later": [
+        "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation, either version 3 of the License, or\n(at your option) any later version.",
+        "This program is distributed in the hope that it will be useful,\nbut WITHOUT ANY WARRANTY; without even the implied warranty of\nMERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the\nGNU General Public License for more details.",
+    ],
+    "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not distributed with this\nfile, You can obtain one at https://mozilla.org/MPL/2.0/."],
+}
+
+
+def header_forms(paragraphs):
+    """A header as it is, filled to two widths, and each of these behind three kinds of comment marks."""
+    plain = "\n\n".join(paragraphs)
+    for text in [plain, *["\n\n".join(textwrap.fill(" ".join(p.split()), width) for p in paragraphs) for width in (50, 72)]]:
+        yield text
+        for mark in ("# ", " * ", "// "):
+            yield "\n".join((mark + line).rstrip() for line in text.split("\n"))
+
+
+def test_full_headers_are_recognised(spark):
+    forms = [(name, form) for name, paragraphs in HEADERS.items() for form in header_forms(paragraphs)]
+    rows = licenses.scan_licenses(documents(spark, [form for _, form in forms])).orderBy("doc_id").collect()
+    assert [(name, r["licenses"]) for (name, _), r in zip(forms, rows, strict=True)] == [(name, name) for name, _ in forms]
+
+
+def test_apache_header_shows_its_whole_sequence(spark):
+    plain = next(header_forms(HEADERS["Apache-2.0"]))
+    secure, foundation = plain.replace("http:", "https:"), plain.replace("Licensed under", "The ASF licenses this file\nto You under")
+    texts = [plain, secure, foundation, plain.replace("\n\n", "\n"), " ".join(plain.split())]
+    rows = licenses.scan_licenses(documents(spark, texts)).orderBy("doc_id").collect()
+    assert [r["licenses"] for r in rows] == ["Apache-2.0"] * 5
+    assert [r["sentence_ids"] for r in rows[:3]] == ["19 2 20 21", "19 2 20 22", "26 2 20 21"]
+    assert rows[4]["sentence_ids"] == "19 2 24"
