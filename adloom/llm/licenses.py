@@ -5,11 +5,15 @@ sentences, which leaves a short sequence of identifiers per document. Rules are
 identifiers, matched as consecutive known sentences; other sentences (a copyright line, say) may stand
 between. Where one rule's list is part of a longer one's, the longer one is taken out first.
 
-Sentences end at a line break or at ``. ! ? ; :`` before white space. Licence texts are often wrapped, so a
-text is also read with single line breaks as blanks (an empty line still ends a sentence), and the reading
-that knows more sentences counts, at a tie the first.
+Sentences end at ``. ! ? ; :`` before white space and at a line without letters and digits (an empty one, or
+one of comment marks). Licence texts are often wrapped, and notices often stand on lines of their own, so both
+readings count, sentence by sentence: it is looked up as a whole, with line breaks as blanks, and where it is
+not known, each of its lines is. What either reading knows so comes into one sequence, in the order of the text.
 Letters are lowered and all but letters and digits count as one blank.
 
+``LINES`` and ``WRAPPED`` are the readings of the SQL of ``op9_license_scan``, which takes all of a text by the one
+that knows more. Its rows are the same where that reading knows all that the other knows.
+
 Defined results: null or empty text has no sentence, sequence ``''`` and no licence. Licences of a document
 are listed once, sorted by name. Repeated rows give repeated results.
 """
@@ -31,14 +35,22 @@ def normalized(sentence: str) -> str:
 
 LINES = r"[.!?;:]+[ \t\r\n]+|\n"
 WRAPPED = r"[.!?;:]+[ \t\r\n]+|\n[ \t\r]*\n"
-BLANKS = (r"[^\p{L}\p{N}\n]+", r"[^\p{L}\p{N}\x01]+")
+ENDS = r"[.!?;:]+[ \t\r\n]+|\n[^\p{L}\p{N}\n]*\n"
+
+
+def known_sentences(text: Column, table: Column) -> Column:
+    """Places in ``table`` (normalised sentences, counted from 1) of the known sentences of a text, in order."""
+    cut = F.regexp_replace(F.lower(text), ENDS, "\x01")
+    whole = F.split(F.regexp_replace(cut, r"[^\p{L}\p{N}\x01]+", " "), "\x01")
+    lined = F.split(F.regexp_replace(cut, r"[^\p{L}\p{N}\n\x01]+", " "), "\x01")
 
+    def place(sentence: Column) -> Column:
+        return F.array_position(table, F.trim(sentence))
 
-def sentences_of(text: Column, wrapped: bool) -> Column:
-    """Normalised sentences, in order."""
-    end = "\x01" if wrapped else "\n"
-    cut = F.regexp_replace(F.lower(text), WRAPPED if wrapped else LINES, end)
-    return F.transform(F.split(F.regexp_replace(cut, BLANKS[wrapped], " "), end), lambda s: F.trim(s))
+    def lines(sentence: Column) -> Column:
+        return F.filter(F.transform(F.split(sentence, "\n"), place), lambda p: p > 0)
+
+    return F.flatten(F.zip_with(F.transform(whole, place), lined, lambda p, s: F.when(p > 0, F.array(p)).otherwise(lines(s))))
 
 
 def scan_licenses(documents: DataFrame, sentences: dict[int, str] = SENTENCES, rules: list[tuple[str, list[int]]] = RULES) -> DataFrame:
@@ -47,13 +59,9 @@ def scan_licenses(documents: DataFrame, sentences: dict[int, str] = SENTENCES, r
     table = F.array(*[F.lit(normalized(sentences[i])) for i in ids])
     numbers = F.array(*[F.lit(i) for i in ids])
 
-    def found(wrapped: bool) -> Column:
-        places = F.transform(sentences_of(F.col("text"), wrapped), lambda s: F.array_position(table, s))
-        return F.transform(F.filter(places, lambda p: p > 0), lambda p: F.get(numbers, (p - 1).cast("int")))
-
-    both = text_of(documents, "doc_id").select("doc_id", found(False).alias("lines"), found(True).alias("wrapped"))
-    longer = F.when(F.size("wrapped") > F.size("lines"), F.col("wrapped")).otherwise(F.col("lines"))
-    scanned = both.select("doc_id", longer.alias("found"))
+    places = known_sentences(F.col("text"), table)
+    found = F.transform(places, lambda p: F.get(numbers, (p - 1).cast("int")))
+    scanned = text_of(documents, "doc_id").select("doc_id", found.alias("found"))
     sequence = F.concat(F.lit(" "), F.array_join(F.transform("found", lambda i: i.cast("string")), "  "), F.lit(" "))
     left, names = sequence, []
     for name, order in sorted(rules, key=lambda r: (-len(r[1]), r[0], r[1])):

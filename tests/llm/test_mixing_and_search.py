@@ -209,3 +209,22 @@ def test_apache_header_shows_its_whole_sequence(spark):
     assert [r["licenses"] for r in rows] == ["Apache-2.0"] * 5
     assert [r["sentence_ids"] for r in rows[:3]] == ["19 2 20 21", "19 2 20 22", "26 2 20 21"]
     assert rows[4]["sentence_ids"] == "19 2 24"
+
+
+def test_licenses_of_both_readings(spark):
+    """Notices on lines of their own beside wrapped ones, and headers below a commented copyright line."""
+    notice, gpl = "Released under the MIT License\n", "\n\n".join(HEADERS["GPL-3.0-or-later"])
+    bsd2, bsd3 = ("\n\n".join(textwrap.fill(p, 60) for p in HEADERS[f"BSD-{k}-Clause"]) for k in (2, 3))
+    long_lines = "\n".join([CONDITIONS, *CLAUSES[:2], textwrap.fill(CLAUSES[2], 60)])
+    texts = [
+        (notice + "and more\n\n" + bsd2, "BSD-2-Clause,MIT", "4 14 15 16"),
+        (gpl + "\n\n" + notice + "and more", "GPL-3.0-or-later,MIT", "9 10 4"),
+        (bsd2 + "\n" + notice + "and more", "BSD-2-Clause,MIT", "14 15 16 4"),
+        (long_lines, "BSD-3-Clause", "14 15 16 17"),  # no two-clause licence by the lines alone
+    ]
+    for name, ids in {"MIT": "6 7", "BSD-3-Clause": "14 15 16 17", "GPL-3.0-or-later": "9 10", "MPL-2.0": "18"}.items():
+        body = ["Copyright (c) 2020 Some Body", *HEADERS[name]]
+        texts.append(("\n".join(f"# {line}".rstrip() for line in "\n\n".join(body).split("\n")), name, ids))
+    rows = licenses.scan_licenses(documents(spark, [text for text, _, _ in texts])).orderBy("doc_id").collect()
+    assert [(r["licenses"], r["sentence_ids"]) for r in rows] == [(names, ids) for _, names, ids in texts]
+    assert [r["n_known"] for r in rows] == [len(ids.split()) for _, _, ids in texts]
