@@ -10,12 +10,9 @@ from adloom.plans.registered.base import query
 from adloom.session import shared_folder
 from adloom.streaming import feeds
 
-EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
-ORDERS = "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string"
 
-
-def _stream(spark, sf, name, schema):
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf)
+def _stream(spark, sf, name):
+    return feeds.read_table_stream(spark, f"{sf}/{name}.parquet")
 
 
 def _work(spark, name):
@@ -31,13 +28,13 @@ def _work(spark, name):
 )
 def _(spark, sf):
     work = _work(spark, "dedup")
-    keyed = _stream(spark, sf, "events", EVENTS).select(
+    keyed = _stream(spark, sf, "events").select(
         F.concat_ws("/", "user_id", "event_type").alias("id"), "event_id", "user_id", "event_type", "value"
     )
     sink = feeds.append_unseen(f"{work}/target", order=["event_id"])
     for _ in range(2):  # the second run finds nothing new and must change nothing
         feeds.run_available(keyed, sink, f"{work}/progress")
-    return feeds.read_target(spark, f"{work}/target").drop("id")
+    return feeds.read_target(spark, f"{work}/target", keyed.schema).drop("id")
 
 
 @query(
@@ -46,11 +43,11 @@ def _(spark, sf):
 )
 def _(spark, sf):
     work = _work(spark, "cutoff")
-    rows = _stream(spark, sf, "orders", ORDERS).select(
+    rows = _stream(spark, sf, "orders").select(
         F.col("o_orderkey").alias("id"), F.col("o_orderdate").cast("date").alias("date_added")
     )
     feeds.run_available(rows, feeds.append_unseen(f"{work}/target", start="1997-01-01"), f"{work}/progress")
-    return feeds.read_target(spark, f"{work}/target")
+    return feeds.read_target(spark, f"{work}/target", rows.schema)
 
 
 @query(
@@ -62,6 +59,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     work = _work(spark, "stats")
-    rows = _stream(spark, sf, "events", EVENTS).select(F.col("event_type").alias("make"), F.col("value").alias("price"))
-    feeds.run_complete(feeds.running_stats(rows), f"{work}/target", f"{work}/progress")
-    return feeds.read_latest(spark, f"{work}/target").withColumn("avg_price", F.round("avg_price", 6))
+    rows = _stream(spark, sf, "events").select(F.col("event_type").alias("make"), F.col("value").alias("price"))
+    stats = feeds.running_stats(rows)
+    feeds.run_complete(stats, f"{work}/target", f"{work}/progress")
+    return feeds.read_latest(spark, f"{work}/target", stats.schema).withColumn("avg_price", F.round("avg_price", 6))

@@ -10,6 +10,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.utils import AnalysisException
 
@@ -31,6 +32,19 @@ def read_listing_stream(
     )
 
 
+def read_table_stream(spark: SparkSession, path: str, max_files: int = 1000) -> DataFrame:
+    """STM-1: a Parquet table as a stream, whether it is a folder of many files or one file.
+
+    The schema is the table's own. A file source follows folders only, so of a single file it follows the
+    folder, narrowed to that name.
+    """
+    reader = spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", max_files)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if place.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(place).isDirectory():
+        return reader.parquet(path)
+    return reader.option("pathGlobFilter", place.getName()).parquet(place.getParent().toString())
+
+
 def read_payload_stream(
     spark: SparkSession, path: str, keys: Sequence[str] = V.ENVELOPE_KEYS, max_files: int = 1000
 ) -> DataFrame:
@@ -66,9 +80,10 @@ def _read_or_none(spark: SparkSession, path: str, schema: str | None = None) ->
 BUCKET = "key_bucket"
 
 
-def read_target(spark: SparkSession, target: str) -> DataFrame:
-    """The rows that :func:`append_unseen` has written."""
-    return spark.read.parquet(target).drop(BUCKET)
+def read_target(spark: SparkSession, target: str, schema: T.StructType | None = None) -> DataFrame:
+    """The rows that :func:`append_unseen` has written; with ``schema`` none where it has written nothing."""
+    rows = _read_or_none(spark, target) if schema is not None else spark.read.parquet(target)
+    return spark.createDataFrame([], schema) if rows is None else rows.drop(BUCKET)
 
 
 def append_unseen(
@@ -149,9 +164,12 @@ def replace_with_latest(target: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
-def read_latest(spark: SparkSession, target: str) -> DataFrame:
-    """The result of the last batch that :func:`replace_with_latest` has finished."""
-    every = spark.read.parquet(target)
+def read_latest(spark: SparkSession, target: str, schema: T.StructType | None = None) -> DataFrame:
+    """The result of the last batch that :func:`replace_with_latest` has finished; with ``schema`` no rows
+    where none has finished."""
+    every = _read_or_none(spark, target) if schema is not None else spark.read.parquet(target)
+    if every is None:
+        return spark.createDataFrame([], schema)
     last = every.agg(F.max("batch")).first()[0]
     return every.filter(F.col("batch") == last).drop("batch")
 
