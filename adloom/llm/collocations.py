@@ -45,7 +45,8 @@ SCALE = 2_000_000
 BROADCAST_ROWS = 1_000_000
 SALTS = 64
 BATCH = 2 << 20  # bytes of text that a task cuts at once
-_ORDERED_SCAN = "spark.sql.legacy.bucketedTableScan.outputOrdering"
+# one file per bucket is read in its order; rows that share a bucket by document need no other place to join by address
+_IN_PLACE = {"spark.sql.legacy.bucketedTableScan.outputOrdering": "true", "spark.sql.requireAllClusterKeysForCoPartition": "false"}
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
@@ -137,13 +138,15 @@ class _Relations:
 
 
 @contextmanager
-def _setting(spark: SparkSession, key: str, value: str):
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, value)
+def _settings(spark: SparkSession, wanted: dict[str, str]):
+    before = {key: spark.conf.get(key, None) for key in wanted}
     try:
+        for key, value in wanted.items():
+            spark.conf.set(key, value)
         yield
     finally:
-        spark.conf.set(key, before) if before is not None else spark.conf.unset(key)
+        for key, value in before.items():
+            spark.conf.set(key, value) if value is not None else spark.conf.unset(key)
 
 
 def _longer(occurrences: DataFrame, words: int) -> DataFrame:
@@ -173,7 +176,7 @@ def frequent_phrases(
         phrases = frequent.select("phrase")
         return occurrences.join(F.broadcast(phrases) if few else phrases, "phrase", "left_semi").select("doc", "at", "phrase"), few
 
-    with _setting(spark, _ORDERED_SCAN, "true"):
+    with _settings(spark, _IN_PLACE):
         occurrences = relations.store(dealt.mapInArrow(cut_documents, "doc bigint, at bigint, phrase string"))
         counts = durable(occurrences.groupBy("phrase").agg(F.count("*").alias("f")))
         totals = durable(counts.groupBy(_lang("phrase").alias("lang")).agg(F.sum("f").alias("n")))

@@ -5,7 +5,8 @@
    of those the ``SAMPLE`` with the least hashes over all are learned from.
 2. Per kind, the sample becomes a prefix tree with counts. States whose ends and symbols are statistically
    compatible (Hoeffding bounds, on all their successors too) are merged, first those nearest to the root. What
-   is left is a deterministic automaton that gives each string a probability; rare symbols are smoothed.
+   is left is a deterministic automaton that gives each string a probability; rare symbols are smoothed. What is
+   usual for a kind is told by cross-fitting: either half of the sample under the automaton of the other.
 3. Every run of ``LEAST`` or more credential characters in every whole text is a candidate. Its score is the
    log-likelihood under a kind's automaton less that under the automaton of plain runs, in bits a symbol. A
    candidate that a kind explains better than plain text by ``MARGIN``, about as well as the kind's own sample,
@@ -38,8 +39,9 @@ from adloom.session import durable, ship_package
 KINDS = ("assign", "access", "hex")
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
-_HEX = re.compile(r"[0-9a-f]+")
-_LEAST = {"assign": 12, "access": 18, "hex": 16}
+_HEX = re.compile(r"[0-9a-f]{16,}")  # a run and its least length in one, as no run begins inside another
+_LEAST = {"assign": 12, "access": 18}
+_KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
 PLAIN = "plain"
 ALPHABET = 26 + 26 + 10 + len("+/_.=-")
@@ -50,20 +52,19 @@ WIDEST = 256  # characters of such a string
 CONFIDENCE = 0.05  # that two compatible states are taken apart
 SMOOTHING = 0.1
 MARGIN = 1.0  # bits a symbol
-SLACK = 0.25  # bits a symbol below the worst of a kind's own sample
+OUTLIERS = 0.05  # share of a kind's own sample that need not count as typical of it
+SLACK = 0.25  # bits a symbol below the rest of it
 BATCH = 1 << 20  # bytes of text that a task scans at once
 
 
 # --- base rules --------------------------------------------------------------------------------------
 def base_spans(text: str) -> list[tuple[int, str, int, str]]:
     """``start, kind, end, credential`` of the base rules, by start, then kind."""
-    found = []
-    for m in _ASSIGN.finditer(text):
-        if len(m[2]) >= _LEAST["assign"]:
-            found.append((m.start(), 0, m.end(), m[2]))
-    for place, pattern in ((1, _ACCESS), (2, _HEX)):
-        least = _LEAST[KINDS[place]]
-        found += [(m.start(), place, m.end(), m[0]) for m in pattern.finditer(text) if m.end() - m.start() >= least]
+    lowered = text.lower()
+    found = [(m.start(), 2, m.end(), m[0]) for m in _HEX.finditer(text)]
+    found += [(m.start(), 1, m.end(), m[0]) for m in _ACCESS.finditer(text) if m.end() - m.start() >= _LEAST["access"]]
+    if any(word in lowered for word in _KEYWORDS):
+        found += [(m.start(), 0, m.end(), m[2]) for m in _ASSIGN.finditer(text) if len(m[2]) >= _LEAST["assign"]]
     return [(start, KINDS[place], end, credential) for start, place, end, credential in sorted(found)]
 
 
@@ -187,8 +188,19 @@ def infer(strings: list[str], confidence: float = CONFIDENCE) -> Automaton:
     share = lambda n, state: math.log2((n + SMOOTHING) / (state.count + SMOOTHING * (ALPHABET + 1)))
     steps = [{s: (share(n, states[r]), place[states[r].after[s]]) for s, n in states[r].times.items()} for r in red]
     made = Automaton(steps, [share(0, states[r]) for r in red], [share(states[r].ends, states[r]) for r in red])
-    made.least_bits = min(map(made.bits, strings), default=0.0)
-    made.shortest = min(map(len, strings), default=LEAST)
+    return made
+
+
+def fit(strings: list[str]) -> Automaton:
+    """The automaton of distinct strings, and how likely it finds strings like them that it was not made from.
+
+    Either half of the sample is judged by the automaton of the other half.
+    """
+    made = infer(strings)
+    halves = strings[::2], strings[1::2]
+    judged = [half.bits(s) for half, other in ((infer(halves[0]), halves[1]), (infer(halves[1]), halves[0])) for s in other]
+    made.least_bits = sorted(judged)[int(OUTLIERS * len(judged))]
+    made.shortest = min(map(len, strings))
     return made
 
 
@@ -232,7 +244,7 @@ def learn_formats(documents: DataFrame, sample: int = SAMPLE, widest: int = WIDE
         least = every.where(F.col("kind") == kind).orderBy("mark", "string").limit(sample)
         strings = [r["string"] for r in least.collect()]
         if strings:
-            formats[kind] = infer(strings)
+            formats[kind] = fit(strings)
     return formats
 
 

@@ -50,7 +50,7 @@ def test_pipeline_equals_a_plain_one(spark):
         if any(c.isalpha() for c in text or "") and (text not in kept or (i or -1) > kept[text]):
             kept[text] = i
     unique = [(i, text) for text, i in kept.items()]
-    stays = {i for i, _, _, keep in brute_components(unique) if keep}
+    stays = {i for i, _, _, keep in brute_components(unique, corpus_pipeline.SIMILAR) if keep}
     left = {i: text for i, text in unique if i in stays}
     exact = encoder(default_vocabulary()).exact
     ids = {i: exact.encode(t, add_special_tokens=False).ids + [1] for i, t in left.items()}

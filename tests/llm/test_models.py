@@ -66,6 +66,9 @@ def test_language_of_odd_rows(spark):
     assert len(rows) == len(ODD)
     assert {r["doc_id"] for r in rows if r["lang_pred"] == "und"} >= {1, 2, 3, 11}
     assert all(r["lang_pred"] == "und" and r["score"] == 0 for r in language.predict_languages(odd, {}, "doc_id").collect())
+    marks = documents(spark, [(1, "\u0301"), (2, "e\u0301"), (3, "9 \u0301\u0300 9"), (4, None)])
+    got = {r["doc_id"]: r["lang_pred"] for r in language.predict_languages(marks, prototypes, "doc_id").collect()}
+    assert got[1] == got[3] == got[4] == "und" and got[2] != "und"
     assert language.predict_languages(odd.where("false"), prototypes).count() == 0
 
 
