@@ -5,7 +5,7 @@
    of those the ``SAMPLE`` with the least hashes over all are learned from.
 2. Per kind, the sample becomes a prefix tree with counts. States whose ends and symbols are statistically
    compatible (Hoeffding bounds, on all their successors too) are merged, first those nearest to the root. What
-   is left is a deterministic automaton that gives each string a probability; rare symbols are smoothed. What is
+   is left is a deterministic automaton that gives each string a probability, smoothed by the kind as a whole. What is
    usual for a kind is told by cross-fitting: either half of the sample under the automaton of the other.
 3. Every run of ``LEAST`` or more credential characters in every whole text is a candidate. Its score is the
    log-likelihood under a kind's automaton less that under the automaton of plain runs, in bits a symbol. A
@@ -50,7 +50,8 @@ _RUN = re.compile(r"[A-Za-z0-9+/_.=-]{%d,}" % LEAST)
 SAMPLE = 500  # strings per kind to learn from
 WIDEST = 256  # characters of such a string
 CONFIDENCE = 0.05  # that two compatible states are taken apart
-SMOOTHING = 0.1
+SMOOTHING = 0.1  # of the symbols of a kind as a whole
+BACKING = 10  # strings that this whole weighs in each state
 MARGIN = 1.0  # bits a symbol
 OUTLIERS = 0.05  # share of a kind's own sample that need not count as typical of it
 SLACK = 0.25  # bits a symbol below the rest of it
@@ -141,22 +142,30 @@ def _fold(states: list[State], a: int, b: int) -> None:
 
 @dataclass
 class Automaton:
-    """A format: bits of each symbol and of the end per state, and what its own sample looks like."""
+    """A format: bits of each symbol and of the end per state, and what its own sample looks like.
+
+    A symbol that a state has not met has the bits of leaving the state's own counts for the kind as a whole, and
+    leads where it most often leads.
+    """
 
     steps: list[dict[str, tuple[float, int]]]
-    unseen: list[float]
+    leave: list[float]
     ends: list[float]
+    overall: dict[str, tuple[float, int]]
+    rare: float
     least_bits: float = 0.0
     shortest: int = LEAST
 
     def bits(self, string: str) -> float:
         """Log-likelihood in bits a symbol, the end counted as one."""
         here, total = 0, 0.0
-        steps, unseen = self.steps, self.unseen
+        steps, leave = self.steps, self.leave
         for symbol in string:
             step = steps[here].get(symbol)
-            if step is None:  # a symbol that the state has never met; the state stays
-                total += unseen[here]
+            if step is None:
+                bits, behind = self.overall.get(symbol, (self.rare, here))
+                total += leave[here] + bits
+                here = behind
             else:
                 total += step[0]
                 here = step[1]
@@ -173,7 +182,7 @@ def infer(strings: list[str], confidence: float = CONFIDENCE) -> Automaton:
         state = states[parent].after[symbol]
         if state in red:
             continue
-        for other in red:
+        for other in sorted(red, key=lambda r: -states[r].count):  # a rare state tells little; the common one it fits is the likelier
             if _compatible(states, other, state, width):
                 states[parent].after[symbol] = other
                 _fold(states, other, state)
@@ -185,10 +194,18 @@ def infer(strings: list[str], confidence: float = CONFIDENCE) -> Automaton:
             known = set(red)
             blue.extend((r, s) for r in red for s in sorted(states[r].after) if states[r].after[s] not in known)
     place = {s: i for i, s in enumerate(red)}
-    share = lambda n, state: math.log2((n + SMOOTHING) / (state.count + SMOOTHING * (ALPHABET + 1)))
-    steps = [{s: (share(n, states[r]), place[states[r].after[s]]) for s, n in states[r].times.items()} for r in red]
-    made = Automaton(steps, [share(0, states[r]) for r in red], [share(states[r].ends, states[r]) for r in red])
-    return made
+    totals: dict[str, int] = {}
+    for r in red:
+        for symbol, n in (*states[r].times.items(), ("", states[r].ends)):
+            totals[symbol] = totals.get(symbol, 0) + n
+    every = sum(totals.values()) + SMOOTHING * (ALPHABET + 1)
+    overall = {symbol: (n + SMOOTHING) / every for symbol, n in totals.items()}
+    share = lambda n, symbol, state: math.log2((n + BACKING * overall[symbol]) / (state.count + BACKING))
+    steps = [{s: (share(n, s, states[r]), place[states[r].after[s]]) for s, n in states[r].times.items()} for r in red]
+    leave = [math.log2(BACKING / (states[r].count + BACKING)) for r in red]
+    ends = [share(states[r].ends, "", states[r]) for r in red]
+    usual = {s: max((states[r].times.get(s, 0), place[states[r].after[s]]) for r in red if s in states[r].after)[1] for s in totals if s}
+    return Automaton(steps, leave, ends, {s: (math.log2(overall[s]), to) for s, to in usual.items()}, math.log2(SMOOTHING / every))
 
 
 def fit(strings: list[str]) -> Automaton:
