@@ -23,6 +23,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
@@ -35,12 +36,14 @@ ORDER = 3
 PER_LANGUAGE = 2000
 UNKNOWN = "und"
 SEED = 0x5DEECE66D
+SLICE, SLICE_ROWS = 256 << 10, 256  # bytes of text and rows that a task turns into vectors at once
+_DENSE = 1 << 20  # cells of a table that is counted into directly; larger ones are sorted
 _BLANK = 32
 
 
 @lru_cache(maxsize=1)
 def _letters() -> np.ndarray:
-    """For each code point its own value if it is a letter or belongs to one, otherwise a blank."""
+    """For each code point its own value if it is a letter or a mark that goes with one, otherwise a blank."""
     table = np.full(0x110000, _BLANK, np.uint32)
     letters = [c for c in range(0x110000) if unicodedata.category(chr(c))[0] == "L" or unicodedata.category(chr(c)) == "Mn"]
     table[letters] = letters
@@ -84,7 +87,7 @@ def gram_counts(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.nda
         last = np.maximum(last, np.where(letter, own, -1))
     has = first == last
     key, middle = key[has], first[has]
-    if size**ORDER <= 1 << 22:
+    if size**ORDER <= _DENSE:
         present = np.flatnonzero(np.bincount(key, minlength=1))
         lookup = np.zeros(size**ORDER, np.int64)
         lookup[present] = np.arange(len(present))
@@ -93,7 +96,7 @@ def gram_counts(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.nda
         present, index = np.unique(key, return_inverse=True)
     width = max(len(present), 1)
     pair = middle * width + index
-    if len(texts) * width <= 1 << 25:
+    if len(texts) * width <= _DENSE:
         counted = np.bincount(pair, minlength=1)
         cells = np.flatnonzero(counted)
         counts = counted[cells]
@@ -139,7 +142,7 @@ def learn_prototypes(documents: DataFrame, dimensions: int = DIMENSIONS, per_lan
 
     def bundle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
-        for batch in slices(batches, limit=1 << 20, rows=1024):
+        for batch in slices(batches, limit=SLICE, rows=SLICE_ROWS):
             langs = batch.column(1).to_pylist()
             vectors = text_vectors(batch.column(2).to_pylist(), dimensions)
             norms = np.linalg.norm(vectors, axis=1, keepdims=True)
@@ -157,24 +160,35 @@ def learn_prototypes(documents: DataFrame, dimensions: int = DIMENSIONS, per_lan
     return {lang: (totals[lang] / norms[lang]).astype(np.float32) for lang in sorted(totals) if norms[lang] > 0}
 
 
-def predict_languages(documents: DataFrame, prototypes: dict[str, np.ndarray], *keep: str) -> DataFrame:
-    """Columns ``keep`` of every row, ``lang_pred`` and ``score``."""
+def predict_languages(documents: DataFrame, prototypes: dict[str, np.ndarray], *keep: str, within: str | None = None) -> DataFrame:
+    """Columns ``keep`` of every row, ``lang_pred`` and ``score``.
+
+    ``within`` names a struct among ``keep`` that holds the text, which then is not sent a second time.
+    """
     ship_package(documents.sparkSession)
     names = sorted(prototypes)
     matrix = np.stack([prototypes[n] for n in names]) if names else np.zeros((1, DIMENSIONS), np.float32)
-    rows = text_of(documents, *keep)
-    schema = StructType([*rows.schema.fields[:-1], StructField("lang_pred", StringType()), StructField("score", DoubleType())])
+    rows = documents.select(*keep) if within else text_of(documents, *keep)
+    kept = rows.schema.fields[: len(keep)]
+    schema = StructType([*kept, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
     columns_out = [f.name for f in schema.fields]
 
+    def with_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = pc.struct_field(batch.column(columns_out.index(within)), "text") if within else batch.column(len(kept))
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], texts], [str(i) for i in range(len(kept))] + ["text"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, limit=1 << 20, rows=1024):
-            vectors = text_vectors(batch.column(batch.num_columns - 1).to_pylist(), matrix.shape[1])
+        for batch in slices(with_text(batches), limit=SLICE, rows=SLICE_ROWS):
+            texts = batch.column(len(kept)).to_pylist()
+            vectors = text_vectors(texts, matrix.shape[1])
             norms = np.linalg.norm(vectors, axis=1)
-            known = (norms > 0) & bool(names)
+            lettered = np.array([any(map(str.isalpha, t or "")) for t in texts])  # marks alone are no letters
+            known = lettered & (norms > 0) & bool(names)
             cosines = vectors @ matrix.T / np.where(norms == 0, 1, norms)[:, None]
             labels = [names[b] if k else UNKNOWN for b, k in zip(cosines.argmax(axis=1), known, strict=True)]
             scores = np.where(known, np.clip(cosines.max(axis=1), 0, 1), 0).astype(np.float64)
-            columns = [*batch.columns[:-1], pa.array(labels, pa.string()), pa.array(scores)]
+            columns = [*batch.columns[: len(kept)], pa.array(labels, pa.string()), pa.array(scores)]
             yield pa.RecordBatch.from_arrays(columns, columns_out)
 
     return rows.mapInArrow(run, schema)

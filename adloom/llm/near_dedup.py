@@ -41,7 +41,7 @@ MOST_BLOCKS = 64  # of a cloud, before its work or size asks for more
 WORK = 2_000_000_000  # set elements that a block pair compares, about
 ROOM = 4_000_000  # shingles that a block pair holds
 CLOUD_ROOM = 8 * ROOM  # a cloud with more shingles is verified bucket by bucket
-BATCH = 2 << 20
+BATCH = 512 << 10  # bytes of text that a task turns into shingles at once
 
 
 def sketch(documents: DataFrame, size: int = SIZE, bands: int = BANDS) -> DataFrame:
@@ -91,7 +91,7 @@ def verified_links(documents: DataFrame, units: DataFrame, threshold: int) -> Da
     """
 
     def with_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, limit=BATCH):
             hashes, offsets = shingles(*text_bytes(batch))
             data = [hashes[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(data, pa.binary())], ["unit", "id", "shingles"])
