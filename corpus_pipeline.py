@@ -16,8 +16,8 @@ SIMILAR, BANDS = 80, 42
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that could be told; null texts and those without any letter go."""
-    rows = docs.select(F.struct("*").alias("document"), "text")
-    judged = language.predict_languages(rows, language.learn_prototypes(docs), "document")
+    rows = docs.select(F.struct("*").alias("document"))
+    judged = language.predict_languages(rows, language.learn_prototypes(docs), "document", within="document")
     return judged.where(F.col("lang_pred") != language.UNKNOWN).select("document.*")
 
 
