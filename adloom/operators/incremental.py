@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from adloom.functions import fixed_values as V
 from adloom.functions.text import strip
 from adloom.session import durable
+from adloom.sources.key_index import KeyIndex
 
 
 # --- joins against what is known ---------------------------------------------------------------------
@@ -75,6 +76,60 @@ def mark_duplicates(
     return out.select(*new.columns, duplicate.alias("is_duplicate"))
 
 
+def keep_unseen_indexed(listings: DataFrame, index: KeyIndex, key: str = "id") -> DataFrame:
+    """JN-1 / SET-4 against a stored index. Rows without a key are kept."""
+    return keep_unseen_either_indexed(listings, index, [key])
+
+
+def keep_unseen_either_indexed(listings: DataFrame, index: KeyIndex, keys: Sequence[str]) -> DataFrame:
+    """JN-2 against a stored index: one look-up for all key columns."""
+    every = listings.select(F.explode(F.array(*[F.col(k).cast("string") for k in keys])).alias("key"))
+    met = index.met(every).withColumnRenamed("key", "_met")
+    out = listings
+    for name in keys:
+        out = out.join(met, F.col(name).cast("string") == F.col("_met"), "left_anti")
+    return out
+
+
+def _match_keys(rows: DataFrame, key: str | None, fields: Sequence[str], blank_matches: bool) -> list[Column]:
+    """What a listing is known by: its id, and its folded fields together; null where that tells nothing."""
+    own = []
+    if key:
+        text = F.col(key).cast("string")
+        own.append(F.when(text != "", F.concat(F.lit("id\u0001"), text)))
+    if fields:
+        texts = F.concat_ws("\u0001", *[_folded(F.col(f)) for f in fields])
+        present = F.concat(*[_folded(F.col(f)) for f in fields]) != ""
+        told = F.concat(F.lit("fields\u0001"), texts)
+        own.append(told if blank_matches else F.when(present, told))
+    return own
+
+
+def index_listings(
+    index: KeyIndex, rows: DataFrame, key: str | None = "id", fields: Sequence[str] = ("title", "price"), blank_matches: bool = True
+) -> None:
+    """Add the listings of a run to an index that :func:`mark_duplicates_indexed` asks."""
+    keys = _match_keys(rows, key, fields, blank_matches)
+    index.append(rows.select(F.explode(F.array(*keys)).alias("key")))
+
+
+def mark_duplicates_indexed(
+    new: DataFrame, index: KeyIndex, key: str | None = "id", fields: Sequence[str] = ("title", "price"), blank_matches: bool = True
+) -> DataFrame:
+    """JN-3 against a stored index: :func:`mark_duplicates` without reading the target."""
+    keys = _match_keys(new, key, fields, blank_matches)
+    names = [f"_key{i}" for i in range(len(keys))]
+    rows = new.withColumns(dict(zip(names, keys, strict=True)))
+    met = index.met(rows.select(F.explode(F.array(*names)).alias("key")))
+    # rows that one key tells nothing about can match nothing, and are dealt out by the others
+    apart = F.concat(F.lit("\u0000"), F.xxhash64(*names).cast("string"))
+    for name in names:
+        flagged = met.select(F.col("key").alias(f"{name}_met"))
+        rows = rows.withColumn(name, F.coalesce(name, apart)).join(flagged, F.col(name) == F.col(f"{name}_met"), "left")
+    hit = F.coalesce(*[F.col(f"{n}_met") for n in names]).isNotNull()
+    return rows.select(*new.columns, hit.alias("is_duplicate"))
+
+
 def split_duplicates(new: DataFrame, existing: DataFrame, **options) -> tuple[DataFrame, DataFrame]:
     """JN-3 as ``(unique, duplicates)``."""
     marked = mark_duplicates(new, existing, **options)

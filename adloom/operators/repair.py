@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adloom.functions.text import strip_foreign
 from adloom.operators.resolve import normalize_listings
+from adloom.session import durable
+from adloom.sources.versions import VersionedTable
 from adloom.sources.vocabulary import Vocabulary
 
 ALL_FIELDS = [
@@ -75,3 +77,16 @@ def repair_data(
         *[F.col(f).alias(f"_new_{f}") for f in present],
     )
     return diff_columns(side_by_side, {f: f"_new_{f}" for f in present}, key, allow_blank)
+
+
+def repair_stored(stored: VersionedTable, repair: Callable[[DataFrame], tuple[DataFrame, DataFrame]]) -> DataFrame:
+    """SNK-6 in place: the rows that ``repair`` makes of the stored ones become the new version; gives its change log.
+
+    Readers have the old rows until the new ones are complete, and the new version only counts if the table is
+    still the one that was repaired.
+    """
+    version = stored.version()
+    fixed, log = repair(stored.read())
+    written = durable(log)
+    stored.replace(fixed, after=version)
+    return written

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from adloom.plans.registered.base import query, table
+from adloom.session import fresh_path
 from adloom.sources import catalog as C
 
 
@@ -85,6 +86,20 @@ def _(spark, sf):
     return C.delete_from_catalog(changed, sites.filter("type = 'boats'")).select("id", "name", "description")
 
 
+@query(
+    "catalog_saved",
+    f"""WITH {_SITES} SELECT id, name, type, CASE WHEN priority < 5 THEN 'new' END AS description FROM site WHERE type <> 'boats'""",
+)
+def _(spark, sf):
+    """A stored catalog, changed and saved over the version that it was read from."""
+    path = fresh_path(spark, "catalog")
+    C.save_catalog(_sites(spark, sf).withColumn("description", F.lit(None).cast("string")), path)
+    sites = C.read_catalog(spark, path)
+    C.save_catalog(C.upsert_catalog(sites, sites.filter("priority < 5").select("id", F.lit("new").alias("description"))), path)
+    C.save_catalog(C.delete_from_catalog(C.read_catalog(spark, path), sites.filter("type = 'boats'")), path)
+    return C.read_catalog(spark, path).select("id", "name", "type", "description")
+
+
 @query(
     "catalog_migration",
     f"""WITH {_SITES}, known AS (SELECT * FROM site WHERE priority < 12)

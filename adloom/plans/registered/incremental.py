@@ -6,42 +6,85 @@ from pyspark.sql import functions as F
 
 from adloom.operators import incremental as I
 from adloom.plans.registered.base import listing_view, on_listings, query, table
+from adloom.session import durable
+from adloom.sources.key_index import KeyIndex
 
 
-@query(
-    "incremental_new",
+_NEW_SQL = (
     "SELECT o_orderkey, o_custkey, o_totalprice FROM orders "
-    "WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R' AND l_quantity > 25)",
+    "WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R' AND l_quantity > 25)"
 )
+
+
+@query("incremental_new", _NEW_SQL)
 def _(spark, sf):
     known = table(spark, sf, "lineitem").filter("l_returnflag = 'R' AND l_quantity > 25")
     orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
     return I.keep_unseen(orders, known.withColumnRenamed("l_orderkey", "o_orderkey"), "o_orderkey")
 
 
+@query("incremental_new_indexed", _NEW_SQL)
+def _(spark, sf):
+    """Known ids come from two runs; the run in question asks the index they have left."""
+    known = table(spark, sf, "lineitem").filter("l_returnflag = 'R' AND l_quantity > 25").select(F.col("l_orderkey").alias("key"), "l_linenumber")
+    index = KeyIndex(spark, buckets=16)
+    index.append(known.filter("l_linenumber < 3"))
+    index.append(known.filter("l_linenumber >= 3"))
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    return I.keep_unseen_indexed(orders, index, "o_orderkey")
+
+
 @query(
-    "either_key_new",
+    "indexed_runs",
     """
+    SELECT o_orderkey, CASE WHEN o_orderdate < TIMESTAMP '1994-01-01' THEN 1 WHEN o_orderdate < TIMESTAMP '1997-01-01' THEN 2 ELSE 3 END AS run FROM orders
+    """,
+)
+def _(spark, sf):
+    """Three runs over a growing feed, each of which appends what it has found to be new."""
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
+    index, runs = KeyIndex(spark, buckets=16), []
+    for run, end in enumerate(("1994-01-01", "1997-01-01", "2100-01-01"), 1):
+        new = durable(I.keep_unseen_indexed(orders.filter(F.col("o_orderdate") < end), index, "o_orderkey"))
+        index.append(new.select(F.col("o_orderkey").alias("key")))
+        runs.append(new.select("o_orderkey", F.lit(run).alias("run")))
+    return runs[0].union(runs[1]).union(runs[2])
+
+
+_EITHER_SQL = """
     WITH known AS (SELECT concat('s_', CAST(c_custkey AS VARCHAR)) AS id FROM customer WHERE c_mktsegment = 'BUILDING')
     SELECT concat('s_', CAST(o_orderkey AS VARCHAR)) AS source_id, concat('s_', CAST(o_custkey AS VARCHAR)) AS source_slug
     FROM orders
     WHERE concat('s_', CAST(o_orderkey AS VARCHAR)) NOT IN (SELECT id FROM known)
       AND concat('s_', CAST(o_custkey AS VARCHAR)) NOT IN (SELECT id FROM known)
-    """,
-)
-def _(spark, sf):
+"""
+
+
+def _either_key(spark, sf):
     known = table(spark, sf, "customer").filter("c_mktsegment = 'BUILDING'")
     known = known.select(F.concat(F.lit("s_"), F.col("c_custkey").cast("string")).alias("id"))
     orders = table(spark, sf, "orders").select(
         F.concat(F.lit("s_"), F.col("o_orderkey").cast("string")).alias("source_id"),
         F.concat(F.lit("s_"), F.col("o_custkey").cast("string")).alias("source_slug"),
     )
+    return orders, known
+
+
+@query("either_key_new", _EITHER_SQL)
+def _(spark, sf):
+    orders, known = _either_key(spark, sf)
     return I.keep_unseen_either(orders, known, ["source_id", "source_slug"])
 
 
-@query(
-    "duplicate_split",
-    """
+@query("either_key_new_indexed", _EITHER_SQL)
+def _(spark, sf):
+    orders, known = _either_key(spark, sf)
+    index = KeyIndex(spark, buckets=16)
+    index.append(known.withColumnRenamed("id", "key"))
+    return I.keep_unseen_either_indexed(orders, index, ["source_id", "source_slug"])
+
+
+_DUPLICATES_SQL = """
     WITH existing AS (SELECT CAST(p_partkey AS VARCHAR) AS id, p_name AS title, CAST(p_size AS VARCHAR) AS price
                       FROM part WHERE p_type = 'ECONOMY'),
          fresh AS (SELECT CAST(l_partkey AS VARCHAR) AS id, p_name AS title, CAST(CAST(l_quantity AS INT) AS VARCHAR) AS price
@@ -50,9 +93,10 @@ def _(spark, sf):
            (id IN (SELECT id FROM existing)) OR EXISTS (
              SELECT 1 FROM existing e WHERE e.title = fresh.title AND e.price = fresh.price) AS is_duplicate
     FROM fresh
-    """,
-)
-def _(spark, sf):
+"""
+
+
+def _fresh_and_existing(spark, sf):
     part = table(spark, sf, "part")
     existing = part.filter("p_type = 'ECONOMY'").select(
         F.col("p_partkey").cast("string").alias("id"), F.col("p_name").alias("title"),
@@ -63,9 +107,26 @@ def _(spark, sf):
         F.upper(F.concat(F.lit(" "), "p_name", F.lit(" "))).alias("title"),
         F.col("l_quantity").cast("int").cast("string").alias("price"),
     )
+    return fresh, existing
+
+
+@query("duplicate_split", _DUPLICATES_SQL)
+def _(spark, sf):
+    fresh, existing = _fresh_and_existing(spark, sf)
     return I.mark_duplicates(fresh, existing)
 
 
+@query("duplicate_split_indexed", _DUPLICATES_SQL)
+def _(spark, sf):
+    """The existing listings reach the index in two runs, the second of which repeats the first."""
+    fresh, existing = _fresh_and_existing(spark, sf)
+    index = KeyIndex(spark, buckets=16)
+    I.index_listings(index, existing.filter("id < '5'"))
+    I.index_listings(index, existing)
+    index.compact()
+    return I.mark_duplicates_indexed(fresh, index)
+
+
 @query(
     "duplicate_documents",
     """

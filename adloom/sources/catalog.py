@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from adloom.functions.text import blank_to_null
 from adloom.operators.incremental import first_by_key
 from adloom.sources import schemas
+from adloom.sources.versions import VersionedTable
 
 SITE_TYPES = ["cars", "realestate", "other"]
 
@@ -104,7 +105,13 @@ def delete_from_catalog(catalog: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def save_catalog(catalog: DataFrame, path: str) -> None:
-    catalog.write.mode("overwrite").parquet(path)
+    """SNK-8: the catalog as a new version of the table, which it may well have been read from."""
+    VersionedTable(catalog.sparkSession, path).replace(catalog)
+
+
+def read_catalog(spark: SparkSession, path: str) -> DataFrame:
+    """The catalog as it was saved last."""
+    return VersionedTable(spark, path).read()
 
 
 # --- ledgers -----------------------------------------------------------------------------------------

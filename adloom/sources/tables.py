@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adloom.functions.text import blank_to_null, strip
+from adloom.sources.versions import VersionedTable, current_path
 
 
 # --- scans ---------------------------------------------------------------------------------------
@@ -36,7 +37,7 @@ def read_listing_table(
     if columns:
         schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
         reader = reader.schema(schema)
-    rows = reader.csv(path)
+    rows = reader.csv(current_path(spark, path))
     present = F.coalesce(*[blank_to_null(F.col(f"`{c}`")) for c in rows.columns])
     rows = rows.filter(present.isNotNull())
     return rows.withColumn("row_num", F.monotonically_increasing_id()) if number_rows else rows
@@ -82,15 +83,17 @@ def to_cells(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def append_table(df: DataFrame, path: str, columns: Sequence[str]) -> None:
-    """SNK-2: ordered append to a header-carrying CSV table."""
+    """SNK-2: ordered append to a header-carrying CSV table, or to its current version."""
     cells = to_cells(df, columns)
-    cells.write.mode("append").option("header", True).option("emptyValue", "").csv(path)
+    cells.write.mode("append").option("header", True).option("emptyValue", "").csv(current_path(df.sparkSession, path))
 
 
 def overwrite_table(df: DataFrame, path: str, columns: Sequence[str]) -> None:
-    """SNK-3: replace all data rows, keep the header."""
-    cells = to_cells(df, columns)
-    cells.write.mode("overwrite").option("header", True).option("emptyValue", "").csv(path)
+    """SNK-3: replace all data rows, keep the header.
+
+    The rows, which may come from the table itself, become a new version; the old ones stay until it is complete.
+    """
+    VersionedTable(df.sparkSession, path, "csv", header="true", emptyValue="").replace(to_cells(df, columns))
 
 
 def sort_newest_first(df: DataFrame, column: str = "date_added") -> DataFrame:
