@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from adloom.functions.numbers import first_number
@@ -207,11 +207,14 @@ def market_analysis(df: DataFrame, kind: str = "cars", as_of: Column | None = No
 
     ``items_by_field`` counts the filled values of each column; ``scraped_at`` holds the time of the
     analysis, ``as_of``, as its name.
-    Rankings and distributions carry counts, the other sections carry values. One aggregation by
-    ``(dimension, name)`` yields them all: figures over everything belong to the one-member dimension
-    ``total``, and only rows of a dimension that needs a figure carry the number it is made of. What
-    it yields is small next to the listings and is written out, as several sections are read from it.
+    Rankings and distributions carry counts, the other sections carry values. What the pass yields is small next
+    to the listings and is written out, as several sections are read from it.
     """
+    return market_sections(durable(partial_statistics(df, kind)), kind, as_of)
+
+
+def _plan(df: DataFrame, kind: str) -> tuple[dict[str, Column], dict[str, Column]]:
+    """Numbers that figures are made of, and the names of each dimension."""
     price = number_in(df, "price")
     price = F.when(price != 0, price)
     named = lambda c: F.when(F.col(c).cast("string") != NOT_AVAILABLE, F.col(c))
@@ -225,7 +228,6 @@ def market_analysis(df: DataFrame, kind: str = "cars", as_of: Column | None = No
             "fuel_type_distribution": F.coalesce("fuel_type", F.lit(UNKNOWN)),
             "transmission_distribution": F.coalesce("transmission", F.lit(UNKNOWN)),
         }
-        limits, priced = {"top_makes": 5, "most_common_models": 10}, [TOTAL]
     else:
         size = number_in(df, "size")
         numbers = {"price": price, "ratio": F.when(size > 0, F.try_divide(price, size))}
@@ -235,10 +237,59 @@ def market_analysis(df: DataFrame, kind: str = "cars", as_of: Column | None = No
             "bedroom_distribution": named("bedrooms"),
             "property_type_distribution": F.coalesce("property_type", F.lit(UNKNOWN)),
         }
-        limits, priced = {"top_locations": 5}, [TOTAL, "most_expensive_locations"]
-    groups = durable(_grouped(df, {TOTAL: F.lit(TOTAL), **dimensions}, numbers, priced))
+    return numbers, dimensions
+
+
+_LIMITS = {"cars": {"top_makes": 5, "most_common_models": 10}, "realestate": {"top_locations": 5}}
+_PRICED = {"cars": [TOTAL], "realestate": [TOTAL, "most_expensive_locations"]}
+
+
+def partial_statistics(df: DataFrame, kind: str = "cars") -> DataFrame:
+    """AGG-18 / STM-7: what the sections of a market analysis are made of, for one batch of listings.
+
+    ``(dimension, name, n, <number>_sum, <number>_n, <number>_min, <number>_max, filled_<column>)``: counts, sums and
+    extremes only, so that the parts of batches merge into those of all their listings. One aggregation by
+    ``(dimension, name)`` yields them; figures over everything belong to the one-member dimension ``total``, and only
+    rows of a dimension that needs a figure carry the number it is made of.
+    """
+    numbers, dimensions = _plan(df, kind)
+    return _grouped(df, {TOTAL: F.lit(TOTAL), **dimensions}, numbers, _PRICED[kind])
+
+
+def merge_statistics(parts: DataFrame) -> DataFrame:
+    """Parts of several batches as those of one; columns that only some batches have count as empty in the others."""
+    figures = [c for c in parts.columns if c not in ("dimension", "name")]
+    how = lambda c: F.min if c.endswith("_min") else F.max if c.endswith("_max") else F.sum
+    return parts.groupBy("dimension", "name").agg(*[how(c)(f"`{c}`").alias(c) for c in figures])
+
+
+class StatisticsStore:
+    """AGG-18 / STM-7: the parts of all batches so far, in a folder per batch.
+
+    A batch that is added again takes the place of its earlier self, so repeated driver steps and stream batches
+    count once. Reading takes a row per batch, dimension and name, never the listings.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def add(self, batch: int | str, parts: DataFrame) -> None:
+        """Store the parts of one batch, in one file."""
+        parts.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/batch={batch}")
+
+    def read(self) -> DataFrame:
+        """The parts of all batches, merged."""
+        every = self.spark.read.option("mergeSchema", True).parquet(self.path)
+        return merge_statistics(every.drop("batch"))
+
+
+def market_sections(parts: DataFrame, kind: str = "cars", as_of: Column | None = None) -> DataFrame:
+    """The sections of :func:`market_analysis` from merged parts, which are best written before."""
+    fields_of = [c.removeprefix("filled_") for c in parts.columns if c.startswith("filled_")]
+    means = {c.replace("_sum", "_avg"): F.try_divide(c, c.replace("_sum", "_n")) for c in parts.columns if c.endswith("_sum")}
+    groups, limits, priced = parts.withColumns(means), _LIMITS[kind], _PRICED[kind]
     fields = groups.filter(F.col("dimension") == TOTAL).select(
-        F.inline(F.array(*[F.struct(F.lit(n).alias("name"), F.col(f"`filled_{n}`").alias("count")) for n in df.columns]))
+        F.inline(F.array(*[F.struct(F.lit(n).alias("name"), F.col(f"`filled_{n}`").alias("count")) for n in fields_of]))
     )
     listed = groups.filter(~F.col("dimension").isin(priced)).select("dimension", "name", "n")
     none = F.lit(None)
@@ -250,7 +301,7 @@ def market_analysis(df: DataFrame, kind: str = "cars", as_of: Column | None = No
     sections = sections.unionByName(
         fields.select(F.lit("items_by_field").alias("section"), "name", "count", none.cast("double").alias("value"))
     ).unionByName(
-        df.sparkSession.range(1).select(
+        parts.sparkSession.range(1).select(
             F.lit("scraped_at").alias("section"), stamp.cast("string").alias("name"),
             none.cast("bigint").alias("count"), none.cast("double").alias("value"),
         )
@@ -270,10 +321,7 @@ def market_analysis(df: DataFrame, kind: str = "cars", as_of: Column | None = No
 def _grouped(
     df: DataFrame, dimensions: Mapping[str, Column], numbers: Mapping[str, Column], priced: Sequence[str]
 ) -> DataFrame:
-    """``(dimension, name, n, <number>_avg, <number>_min, <number>_max, filled_<column>)``.
-
-    The flags of filled columns travel with the one-member dimension only.
-    """
+    """The flags of filled columns travel with the one-member dimension only."""
     filled = {n: F.coalesce(is_filled(n, k), F.lit(False)) for n, k in df.dtypes}
 
     def entry(dimension: str, name: Column) -> Column:
@@ -287,7 +335,7 @@ def _grouped(
     exploded = df.select(F.inline(F.array(*[entry(d, c) for d, c in dimensions.items()])))
     figures = [
         f(k).alias(f"{k}_{label}")
-        for k in numbers for label, f in (("avg", F.avg), ("min", F.min), ("max", F.max))
+        for k in numbers for label, f in (("sum", F.sum), ("n", F.count), ("min", F.min), ("max", F.max))
     ]
     return (
         exploded.filter("name IS NOT NULL").groupBy("dimension", "name")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from adloom.operators import stats as S
 from adloom.plans.registered.base import listing_view, on_listings, query, table
+from adloom.session import durable, fresh_path
 
 
 @query("listing_view", on_listings("SELECT * FROM listing"))
@@ -202,9 +203,7 @@ def _filled_sections(renamed: dict[str, str]) -> list[str]:
 _AS_OF = "2002-01-01"
 
 
-@query(
-    "market_analysis_cars",
-    on_listings(
+_CARS_SQL = on_listings(
         " UNION ALL ".join(
             [_top("top_makes", "make", 5), _top("most_common_models", "concat(make, ' ', model)", 10),
              _top("body_type_distribution", "body_type"), _top("fuel_type_distribution", "fuel_type"),
@@ -213,12 +212,23 @@ _AS_OF = "2002-01-01"
                for f in ("avg", "min", "max")]
             + _filled_sections({})
         )
-    ),
-)
+    )
+
+
+@query("market_analysis_cars", _CARS_SQL)
 def _(spark, sf):
     return S.market_analysis(listing_view(spark, sf), as_of=F.lit(_AS_OF)).withColumn("value", F.round("value", 4))
 
 
+@query("market_analysis_batches", _CARS_SQL)
+def _(spark, sf):
+    """Four batches of listings, each seen once; the second arrives twice."""
+    store, rows = S.StatisticsStore(spark, fresh_path(spark, "statistics")), listing_view(spark, sf)
+    for batch, years in enumerate(["year < 1994", "year = 1994", "year = 1994", "year BETWEEN 1995 AND 1996", "year > 1996"]):
+        store.add(batch if batch < 2 else batch - 1, S.partial_statistics(rows.filter(years)))
+    return S.market_sections(durable(store.read()), as_of=F.lit(_AS_OF)).withColumn("value", F.round("value", 4))
+
+
 @query(
     "market_analysis_realestate",
     on_listings(
