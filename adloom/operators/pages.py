@@ -1,9 +1,8 @@
 """Fields, label/value pairs and cards from landed pages (EXT-1 to EXT-4, EXT-6 to EXT-8).
 
-Everything is column expressions over flat markup: an element begins at an opening tag and ends at the next
-closing tag of the same name, a container reaches to the next container of its page, a card to the next
-card. Elements that hold others of their own name are outside of what is read. What differs between sites
-is data, the rules in ``functions/page_values.py``; they become one expression per field, so a table of
+Everything is column expressions over markup (``functions/markup.py``): an element begins at an opening tag and
+ends at its own closing tag, a container reaches to the next container of its page, a card to the next card. An
+element that holds others of its own name and is never closed has no value. What differs between sites is data, the rules in ``functions/page_values.py``; they become one expression per field, so a table of
 pages is read once whatever sources it mixes. Nothing is shuffled.
 """
 
@@ -18,6 +17,7 @@ from pyspark.sql import functions as F
 from adloom.functions import fixed_values as V
 from adloom.functions import page_values as W
 from adloom.functions.dates import compact_date, first_date, iso_date, month_name_date
+from adloom.functions.markup import element_contents, first_content, matches, opening_tag, pieces_from
 from adloom.functions.media import keep_photos, unwrap_image_url, vehicle_from_json_ld, whatsapp_number
 from adloom.functions.page_values import NO_NOTES, RULES, SAFETY_WORDS, Rule
 from adloom.functions.text import blank_to_null, contains_any, squeeze, unescape_html
@@ -37,20 +37,6 @@ def _class(pattern: str) -> str:
     return _having("class", rf"""(?:[^"'>]*\s)?{token}(?:\s[^"'>]*)?""")
 
 
-def _tag(name: str = "", *conditions: str) -> str:
-    """An opening tag; its name is the pattern's first group."""
-    return rf"<({name or '[a-z][a-z0-9]*'})(?=[\s>/]){''.join(conditions)}[^>]*>"
-
-
-def _element(opening: str) -> str:
-    """An element; its content is the pattern's second group. One that is never closed takes the rest."""
-    return rf"(?is){opening}(.*?)(?:</\1>|\z)"
-
-
-def _all(html: Column, pattern: str, group: int) -> Column:
-    return F.regexp_extract_all(html, F.lit(pattern), F.lit(group))
-
-
 def _first(html: Column, pattern: str, group: int) -> Column:
     return F.regexp_extract(html, pattern, group)
 
@@ -65,7 +51,7 @@ def inner_text(markup: Column) -> Column:
 
 
 def _texts(html: Column, name: str) -> Column:
-    return F.transform(_all(html, _element(_tag(name)), 2), inner_text)
+    return F.transform(element_contents(html, opening_tag(name)), inner_text)
 
 
 def _attribute(tag: Column, name: str) -> Column:
@@ -78,20 +64,20 @@ def _opening(rule: Rule) -> str:
     conditions = [_class(c) for c in rule.classes.split()]
     if name:
         conditions.append(_having(name, re.escape(value) if value else """[^"']*"""))
-    return _tag(rule.tag, *conditions)
+    return opening_tag(rule.tag, *conditions)
 
 
 def _picked(html: Column, rule: Rule, containers: Sequence[str]) -> Column:
     """What one rule finds, or null."""
     scope = html
     if rule.within:
-        behind = _first(html, f"(?is){_tag('', _class(rule.within))}(.*)", 2)
-        others = "|".join(f"(?:{_tag('', _class(c))})" for c in containers if c != rule.within)
+        behind = _first(html, f"(?is){opening_tag('', _class(rule.within))}(.*)", 2)
+        others = "|".join(f"(?:{opening_tag('', _class(c))})" for c in containers if c != rule.within)
         scope = F.get(F.split(behind, f"(?is){others}", 2), F.lit(0)) if others else behind
     opening = _opening(rule)
     if rule.take == "text":
-        return blank_to_null(inner_text(_at(_all(scope, _element(opening), 2), rule.nth)))
-    return blank_to_null(_attribute(_at(_all(scope, f"(?is){opening}", 0), rule.nth), rule.take))
+        return blank_to_null(inner_text(_at(element_contents(scope, opening), rule.nth)))
+    return blank_to_null(_attribute(_at(matches(scope, f"(?is){opening}", 0), rule.nth), rule.take))
 
 
 def _fields(html: Column, rules: Sequence[Rule]) -> dict[str, Column]:
@@ -129,28 +115,29 @@ def _every_other(values: Column, start: int) -> Column:
 
 def _behind_heading(html: Column, words: Sequence[str], levels: str = HEADING) -> Column:
     """What follows the first heading that holds one of the words; empty without one."""
-    return _first(html, rf"(?is)<({levels})\b[^>]*>[^<]*(?:{'|'.join(words)})[^<]*</\1>(.*)", 2)
+    inside = r"(?:(?!</\1).){0,300}?"  # headings are short; tags inside of them count as text
+    return _first(html, rf"(?is)<({levels})\b[^>]*>{inside}(?:{'|'.join(words)}){inside}</\1>(.*)", 2)
 
 
 def layout_pairs(html: Column, source: str) -> Column:
     """EXT-1: ``(strategy, pos, label, value)`` of every layout in use, layout by layout."""
     run = F.get(F.split(_behind_heading(html, [W.INFO_HEADING], "h[23]"), r"(?i)<(?!/?(?:div|p)\b)", 2), F.lit(0))
-    leaves = F.transform(_all(run, r"(?is)<(div|p)\b[^>]*>([^<]+)</\1>", 2), inner_text)
+    leaves = F.transform(matches(run, r"(?is)<(div|p)\b[^>]*>([^<]+)</\1>", 2), inner_text)
     cells = F.transform(
-        _all(html, r"(?is)<tr\b[^>]*>(.*?)</tr>", 1), lambda row: F.transform(_all(row, r"(?is)<t[dh]\b[^>]*>(.*?)</t[dh]>", 1), inner_text)
+        matches(html, r"(?is)<tr\b[^>]*>(.*?)</tr>", 1), lambda row: F.transform(matches(row, r"(?is)<t[dh]\b[^>]*>(.*?)</t[dh]>", 1), inner_text)
     )
     cells = F.filter(cells, lambda row: F.size(row) >= 2)
-    items = _all(html, _element(_tag("li", _class(W.DATA_ITEM))), 2)
+    items = element_contents(html, opening_tag("li", _class(W.DATA_ITEM)))
     side = lambda name: F.transform(
-        items, lambda item: inner_text(_first(item, _element(_tag("", _class(f"{W.DATA_ITEM}-{name}"))), 2))
+        items, lambda item: inner_text(first_content(item, opening_tag("", _class(f"{W.DATA_ITEM}-{name}"))))
     )
-    title = _tag("", _class(W.CHAPTER))
-    chapters = F.transform(_all(html, rf"(?is){title}(.*?)(?=<[^>]*{W.CHAPTER}|\z)", 2), lambda part: F.transform(_all(part, _element(_tag("ul")), 2), lambda ul: _texts(ul, "li")))
+    title = opening_tag("", _class(W.CHAPTER))
+    chapters = F.transform(matches(html, rf"(?is){title}(.*?)(?=<[^>]*{W.CHAPTER}|\z)", 2), lambda part: F.transform(element_contents(part, opening_tag("ul")), lambda ul: _texts(ul, "li")))
     even = F.filter(F.flatten(chapters), lambda x: (F.size(x) > 0) & (F.size(x) % 2 == 0))
     halves = F.flatten(
         F.transform(even, lambda x: _pair_list("halves", F.slice(x, F.lit(1), (F.size(x) / 2).cast("int")), F.slice(x, (F.size(x) / 2).cast("int") + 1, (F.size(x) / 2).cast("int"))))
     )
-    spec = _tag("div", _having("class", rf"""[^"'>]*(?:{W.SPEC_CLASSES})[^"'>]*"""))
+    spec = opening_tag("div", _having("class", rf"""[^"'>]*(?:{W.SPEC_CLASSES})[^"'>]*"""))
     row = rf"(?is){spec}\s*<div\b[^>]*>([^<]*)</div>\s*<div\b[^>]*>([^<]*)</div>\s*</div>"
     short = lambda pairs: F.filter(pairs, lambda p: F.length(p["label"]) < W.MAX_LABEL)
     parts = [
@@ -159,11 +146,11 @@ def layout_pairs(html: Column, source: str) -> Column:
         _pair_list("table", F.transform(cells, lambda c: F.get(c, F.lit(0))), F.transform(cells, lambda c: F.get(c, F.lit(1)))),
         _pair_list("item", side("label"), side("value")),
         halves,
-        short(_pair_list("div", F.transform(_all(html, row, 2), inner_text), F.transform(_all(html, row, 3), inner_text))),
+        short(_pair_list("div", F.transform(matches(html, row, 2), inner_text), F.transform(matches(html, row, 3), inner_text))),
     ]
     if source in W.LIST_CLASSES:
-        box = _tag("div", _having("class", rf"""[^"'>]*(?:{W.LIST_CLASSES[source]})[^"'>]*"""))
-        lists = F.transform(_all(html, _element(box), 2), lambda x: F.transform(_all(x, _element(_tag("ul")), 2), lambda ul: _texts(ul, "li")))
+        box = opening_tag("div", _having("class", rf"""[^"'>]*(?:{W.LIST_CLASSES[source]})[^"'>]*"""))
+        lists = F.transform(element_contents(html, box), lambda x: F.transform(element_contents(x, opening_tag("ul")), lambda ul: _texts(ul, "li")))
         lists = F.flatten(F.filter(lists, lambda x: F.size(x) % 2 == 0))
         two = F.arrays_zip(_every_other(lists, 0).alias("a"), _every_other(lists, 1).alias("b"))
         parts.append(short(F.flatten(F.transform(two, lambda x: _pair_list("list", x["a"], x["b"])))))
@@ -180,12 +167,12 @@ def layout_pairs(html: Column, source: str) -> Column:
 # --- what a page tells by wording ---------------------------------------------------------------------
 def _following(html: Column, words: Sequence[str], tags: str) -> Column:
     """Text of the first element of ``tags`` behind a heading with one of the words."""
-    return blank_to_null(inner_text(_first(_behind_heading(html, words), _element(_tag(tags)), 2)))
+    return blank_to_null(inner_text(first_content(_behind_heading(html, words), opening_tag(tags))))
 
 
 def _named_seller(html: Column) -> Column:
     """First text in a seller box that is neither a caption, a number nor a word of three letters."""
-    box = _first(html, _element(_tag("div", _having("class", rf"""[^"'>]*(?:{W.SELLER_CLASSES})[^"'>]*"""))), 2)
+    box = first_content(html, opening_tag("div", _having("class", rf"""[^"'>]*(?:{W.SELLER_CLASSES})[^"'>]*""")))
     lines = F.transform(F.split(box, "<[^>]*>"), lambda x: squeeze(unescape_html(x)))
     caption = rf"^(?:{'|'.join(W.SELLER_NOT_BEGINNINGS)}|\d)|^[\u0600-\u06FF]{{1,3}}$"
     names = F.filter(lines, lambda x: (F.length(x) > 2) & ~x.isin(W.SELLER_NOT_NAMES) & ~x.rlike(caption))
@@ -194,7 +181,7 @@ def _named_seller(html: Column) -> Column:
 
 def _worded_fields(html: Column, links: Column) -> dict[str, Column]:
     """EXT-2: fields that pages without rules of their own give away by wording or link targets."""
-    leaves = F.transform(_all(html, rf"(?is)<(span|div|p|h2|strong)\b[^>]*>([^<]{{1,{W.MAX_PRICE}}})</\1>", 2), inner_text)
+    leaves = F.transform(matches(html, rf"(?is)<(span|div|p|h2|strong)\b[^>]*>([^<]{{1,{W.MAX_PRICE}}})</\1>", 2), inner_text)
     priced = F.filter(leaves, lambda x: x.rlike(W.PRICE_MARKS) & x.rlike(r"\d"))
     calls = F.filter(links, lambda x: x.startswith("tel:"))
     chats = F.filter(links, lambda x: x.contains("wa.me") & ~x.startswith("tel:"))
@@ -222,16 +209,16 @@ def _section_features(html: Column) -> Column:
     named = lambda section, names: F.transform(
         F.filter(names, lambda n: n != ""), lambda n: F.struct(section.alias("section"), n.alias("name"))
     )
-    cells = _all(html, _element(_tag("td", _having("colspan", "2"))), 2)
-    checked = _tag("span", _class("flex"), _class("items-center")) + r"\s*" + r"<span\b" + _class("rounded-full") + _class("bg-emerald-100") + r"[^>]*>\s*</span>([^<]+)"
-    title = lambda cell: F.regexp_replace(inner_text(_first(cell, _element(_tag("div", _class("py-1"))), 2)), r"[:\s]+$", "")
-    ticks = F.flatten(F.transform(cells, lambda c: named(title(c), F.transform(_all(c, f"(?is){checked}", 2), inner_text))))
-    boxes = _all(html, _element(_tag("div", _having("class", rf"""[^"'>]*{W.FEATURE_CLASSES}[^"'>]*"""))), 2)
-    caption = lambda box: inner_text(_first(box, _element(_tag(HEADING)), 2))
+    cells = element_contents(html, opening_tag("td", _having("colspan", "2")))
+    checked = opening_tag("span", _class("flex"), _class("items-center")) + r"\s*" + r"<span\b" + _class("rounded-full") + _class("bg-emerald-100") + r"[^>]*>\s*</span>([^<]+)"
+    title = lambda cell: F.regexp_replace(inner_text(first_content(cell, opening_tag("div", _class("py-1")))), r"[:\s]+$", "")
+    ticks = F.flatten(F.transform(cells, lambda c: named(title(c), F.transform(matches(c, f"(?is){checked}", 2), inner_text))))
+    boxes = element_contents(html, opening_tag("div", _having("class", rf"""[^"'>]*{W.FEATURE_CLASSES}[^"'>]*""")))
+    caption = lambda box: inner_text(first_content(box, opening_tag(HEADING)))
     listed = F.flatten(F.transform(boxes, lambda b: named(caption(b), _texts(b, "li"))))
     words = "|".join([*W.SAFETY_WORDS, *W.FEATURE_WORDS])
     behind = rf"(?is)<(h[2-4]|p|span)\b[^>]*>([^<]*(?:{words})[^<]*)</\1>(?:\s|</?div\b[^>]*>){{0,9}}<ul\b[^>]*>(.*?)</ul>"
-    loose = F.arrays_zip(_all(html, behind, 2).alias("a"), _all(html, behind, 3).alias("b"))
+    loose = F.arrays_zip(matches(html, behind, 2).alias("a"), matches(html, behind, 3).alias("b"))
     loose = F.flatten(F.transform(loose, lambda x: named(inner_text(x["a"]), _texts(x["b"], "li"))))
     found = F.concat(ticks, listed)
     return F.when(F.size(found) > 0, found).otherwise(loose)
@@ -244,13 +231,13 @@ def _image_links(tags: Column) -> Column:
 
 def page_images(html: Column, source: str) -> Column:
     """Image links in page order: all of them, or those of the gallery where a source has one."""
-    tags = _all(html, r"(?is)<img\b[^>]*>", 0)
+    tags = matches(html, r"(?is)<img\b[^>]*>", 0)
     if source == "portal":
         own = F.filter(tags, lambda t: t.rlike(f"(?is)<img{_class(W.GALLERY_IMAGE)}"))
         return _image_links(F.when(F.size(own) > 0, own).otherwise(F.filter(tags, lambda t: _attribute(t, "src").contains(W.CAR_IMAGE))))
     if source == "accordion":
-        album = _image_links(_all(_first(html, _element(_tag("", _class(W.ALBUM))), 2), r"(?is)<img\b[^>]*>", 0))
-        preview = _all(html, f"(?is)<meta{_having('property', 'og:image')}[^>]*>", 0)
+        album = _image_links(matches(first_content(html, opening_tag("", _class(W.ALBUM))), r"(?is)<img\b[^>]*>", 0))
+        preview = matches(html, f"(?is)<meta{_having('property', 'og:image')}[^>]*>", 0)
         shown = F.filter(F.transform(preview, lambda t: _attribute(t, "content")), lambda x: x != "")
         return F.when(F.size(album) > 0, album).otherwise(shown)
     return _image_links(tags)
@@ -267,14 +254,14 @@ def extract_pages(
     quiet = F.regexp_replace(raw, r"(?is)<!--.*?-->|<(script|style)\b[^>]*>.*?</\1>", "")
     rows = pages.select(*key, raw.alias("_raw"), quiet.alias("_html"))
     html_, raw_ = F.col("_html"), F.col("_raw")
-    links = F.transform(_all(html_, r"(?is)<a\b[^>]*>", 0), lambda t: _attribute(t, "href"))
+    links = F.transform(matches(html_, r"(?is)<a\b[^>]*>", 0), lambda t: _attribute(t, "href"))
     own = _fields(html_, _rules(source, "page"))
     more = _worded_fields(html_, links) if source == "generic" else _noted_fields(html_, raw_)
     fields = {name: F.coalesce(*[f[name] for f in (own, more) if name in f]) for name in {**own, **more}}
-    published = _all(html_, f"(?is)<meta{_having('property', 'article:published_time')}[^>]*>", 0)
-    times = _all(html_, r"(?is)<time\b[^>]*\sdatetime=[^>]*>", 0)
+    published = matches(html_, f"(?is)<meta{_having('property', 'article:published_time')}[^>]*>", 0)
+    times = matches(html_, r"(?is)<time\b[^>]*\sdatetime=[^>]*>", 0)
     dates = F.concat(F.transform(published, lambda t: _attribute(t, "content")), F.transform(times, lambda t: _attribute(t, "datetime")))
-    scripts = _all(raw_, f"(?is)<script{_having('type', 'application/ld[+]json')}[^>]*>(.*?)</script>", 1)
+    scripts = matches(raw_, f"(?is)<script{_having('type', 'application/ld[+]json')}[^>]*>(.*?)</script>", 1)
     return rows.select(
         *key,
         _map_of(fields).alias("fields"),
@@ -296,23 +283,26 @@ def extract_cards(
     """
     whole, *parts = _rules(source, "card")
     begin = ("" if whole.tag == "a" else r"(?:<a\b[^>]*>\s*)?") + _opening(whole)
-    blocks = _all(F.coalesce(F.col(html), F.lit("")), rf"(?is){begin}.*?(?={begin}|\z)", 0)
+    blocks = pieces_from(F.coalesce(F.col(html), F.lit("")), begin)
     cards = pages.select(*key, F.posexplode(blocks).alias("pos", "_card"))
     card = F.col("_card")
     opening = _first(card, f"(?is){_opening(whole)}", 0)
     inside = F.regexp_replace(card, f"(?is)^{begin}", "")
-    names = _all(opening, r"""(?is)\s(data-[\w-]+|href)\s*=\s*["'][^"']*["']""", 1)
-    values = F.transform(_all(opening, r"""(?is)\s(?:data-[\w-]+|href)\s*=\s*["']([^"']*)["']""", 1), lambda x: F.trim(unescape_html(x)))
+    names = matches(opening, r"""(?is)\s(data-[\w-]+|href)\s*=\s*["'][^"']*["']""", 1)
+    values = F.transform(matches(opening, r"""(?is)\s(?:data-[\w-]+|href)\s*=\s*["']([^"']*)["']""", 1), lambda x: F.trim(unescape_html(x)))
     fields = {"card_text": inner_text(card), **_fields(inside, parts)}
     if whole.tag != "a":
         fields["parent_url"] = blank_to_null(_attribute(_first(card, r"(?is)^<a\b[^>]*>", 0), "href"))
     told = F.map_entries(_map_of(fields))
-    carried = F.filter(F.map_entries(F.map_from_arrays(names, values)), lambda e: ~e["key"].isin(list(fields)))
+    both = F.arrays_zip(names.alias("key"), values.alias("value"))
+    # of an attribute that a tag repeats, the first counts
+    own = F.filter(both, lambda e, i: F.array_position(names, e["key"]) == i + 1)
+    carried = F.filter(own, lambda e: ~e["key"].isin(list(fields)))
     return cards.select(
         *key,
         "pos",
         F.map_from_entries(F.concat(told, carried)).alias("fields"),
-        _image_links(_all(inside, r"(?is)<img\b[^>]*>", 0)).alias("images"),
+        _image_links(matches(inside, r"(?is)<img\b[^>]*>", 0)).alias("images"),
         _texts(inside, "li").alias("items"),
     )
 

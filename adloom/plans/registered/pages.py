@@ -94,6 +94,29 @@ def _(spark, sf):
     return details.withColumns({"specs": F.array_join(shown, ";"), "images": F.array_join("images", " ")})
 
 
+@query(
+    "nested_details",
+    """
+    SELECT CAST(p_partkey AS VARCHAR) AS url, CASE WHEN p_size < 40 THEN concat(p_name, ' of ', p_brand, ' and ', p_type) END AS description_raw,
+           concat(p_brand, ' ', p_type) AS seller_name, 'roof' || CASE WHEN p_size < 25 THEN ' glass' ELSE '' END || ', abs' AS features
+    FROM part
+    """,
+)
+def _(spark, sf):
+    """Pages whose boxes hold boxes of their own name; in some the outer one is never closed."""
+    size = F.col("p_size")
+    html = F.concat(
+        F.lit("<div class='description-car-details'><div>"), F.col("p_name"), F.lit("</div> of <div class='x'>"), F.col("p_brand"), F.lit("<div> and "), F.col("p_type"),
+        F.lit("</div></div>"), F.when(size < 40, "</div>").otherwise(""), F.lit("<div class='div-box-border-username'><p>"), F.col("p_brand"), F.lit(" <p>"), F.col("p_type"),
+        F.lit("</p></p></div><div class='box-accordion-2'><div><h3>الراحة</h3></div><ul><li>roof"), F.when(size < 25, "<ul><li>glass</li></ul>").otherwise(""),
+        F.lit("</li><li>abs</li></ul></div>"), F.when(size >= 40, "<p>more</p>").otherwise(""),
+    )
+    pages = table(spark, sf, "part").select(F.col("p_partkey").cast("string").alias("url"), html.alias("html"))
+    facts = P.extract_pages(pages, "accordion")
+    names = F.filter(F.transform("features", lambda f: f["name"]), lambda n: n != "glass")
+    return facts.select("url", P.field("description_raw").alias("description_raw"), P.field("seller_name").alias("seller_name"), F.array_join(names, ", ").alias("features"))
+
+
 @query(
     "page_tables",
     """
