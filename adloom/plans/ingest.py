@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from adloom.functions.text import strip_foreign
@@ -28,10 +28,11 @@ from adloom.sources.vocabulary import Vocabulary
 
 @dataclass(frozen=True)
 class Batch:
-    """Accepted rows, and rejected rows with their ``reasons``."""
+    """Accepted rows, and rejected rows with their ``reasons``; ``counts`` of both, observed as they were written."""
 
     accepted: DataFrame
     rejected: DataFrame
+    counts: dict[str, int]
 
 
 @dataclass(frozen=True)
@@ -79,20 +80,18 @@ def incremental_run(
     read = caught_up_cutoff(flagged, patience, feed=feed, page=page)
     if start is not None and "date_added" in cards.columns:
         read = cutoff_pages(read, start, feed, page)
-    read = durable(read)
+    observed = Observation("read")
+    fresh = F.coalesce("is_new", F.lit(False))
+    read = durable(read.observe(observed, F.count(F.lit(1)).alias("seen"), F.count_if(fresh).alias("new"), F.count_if(~fresh).alias("duplicate")))
     rows = read.drop("is_new")
     batch = ingest_batch(rows, known, vocabulary=vocabulary, start=start, key=key, **options)
     found = None
     if vocabulary is not None:
         found = resolve(rows, vocabulary).unknown()
         found = new_unknown_values(found, known_unknown) if known_unknown is not None else found
-    kept = batch.accepted.agg(F.count("*").alias("saved"))
-    left = batch.rejected.agg(F.count("*").alias("rejected"))
-    counters = read.agg(
-        F.count("*").alias("seen"), F.count_if("is_new").alias("new"), F.count_if(~F.col("is_new")).alias("duplicate")
-    )
-    one = F.lit(1).alias("_one")  # three tables of one row
-    counters = counters.select("*", one).join(kept.select("*", one), "_one").join(left.select("*", one), "_one").drop("_one")
+    counted = {**observed.get, **batch.counts}  # taken from the writes themselves: no row is read to be counted
+    order = ["seen", "new", "duplicate", "saved", "rejected"]
+    counters = cards.sparkSession.createDataFrame([tuple(counted[c] for c in order)], ", ".join(f"{c} bigint" for c in order))
     return Run(batch, counters, found)
 
 
@@ -132,4 +131,7 @@ def ingest_batch(
         rows = normalize_listings(rows, vocabulary)
     if least_year is not None:
         rows = filter_min_year(rows, least_year)
-    return Batch(*split_gate(durable(gate(rows))))  # both sides read the rows that were gated once
+    observed = Observation("gated")
+    passed = F.coalesce("accepted", F.lit(False))
+    gated = durable(gate(rows).observe(observed, F.count_if(passed).alias("saved"), F.count_if(~passed).alias("rejected")))
+    return Batch(*split_gate(gated), dict(observed.get))  # both sides read the rows that were gated once

@@ -200,10 +200,10 @@ def _filled_sections(renamed: dict[str, str]) -> list[str]:
     ] + ["(SELECT 'scraped_at' AS section, '2002-01-01' AS name, CAST(NULL AS BIGINT) AS count, CAST(NULL AS DOUBLE) AS value)"]
 
 
-_AS_OF = "2002-01-01"
+AS_OF = "2002-01-01"
 
 
-_CARS_SQL = on_listings(
+CARS_SQL = on_listings(
         " UNION ALL ".join(
             [_top("top_makes", "make", 5), _top("most_common_models", "concat(make, ' ', model)", 10),
              _top("body_type_distribution", "body_type"), _top("fuel_type_distribution", "fuel_type"),
@@ -215,18 +215,18 @@ _CARS_SQL = on_listings(
     )
 
 
-@query("market_analysis_cars", _CARS_SQL)
+@query("market_analysis_cars", CARS_SQL)
 def _(spark, sf):
-    return S.market_analysis(listing_view(spark, sf), as_of=F.lit(_AS_OF)).withColumn("value", F.round("value", 4))
+    return S.market_analysis(listing_view(spark, sf), as_of=F.lit(AS_OF)).withColumn("value", F.round("value", 4))
 
 
-@query("market_analysis_batches", _CARS_SQL)
+@query("market_analysis_batches", CARS_SQL)
 def _(spark, sf):
     """Four batches of listings, each seen once; the second arrives twice."""
     store, rows = S.StatisticsStore(spark, fresh_path(spark, "statistics")), listing_view(spark, sf)
     for batch, years in enumerate(["year < 1994", "year = 1994", "year = 1994", "year BETWEEN 1995 AND 1996", "year > 1996"]):
         store.add(batch if batch < 2 else batch - 1, S.partial_statistics(rows.filter(years)))
-    return S.market_sections(durable(store.read()), as_of=F.lit(_AS_OF)).withColumn("value", F.round("value", 4))
+    return S.market_sections(durable(store.read()), as_of=F.lit(AS_OF)).withColumn("value", F.round("value", 4))
 
 
 @query(
@@ -244,7 +244,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     rows = listing_view(spark, sf).withColumnsRenamed({"city": "location", "body_type": "property_type"})
-    return S.market_analysis(rows, "realestate", F.lit(_AS_OF)).withColumn("value", F.round("value", 4))
+    return S.market_analysis(rows, "realestate", F.lit(AS_OF)).withColumn("value", F.round("value", 4))
 
 
 @query(

@@ -17,7 +17,7 @@ from pyspark.sql.utils import AnalysisException
 from adloom.functions import fixed_values as V
 from adloom.operators.incremental import filter_date_range, first_by_key, keep_unseen
 from adloom.operators.resolve import new_unknown_values, resolve
-from adloom.operators.stats import make_of
+from adloom.operators.stats import StatisticsStore, make_of, partial_statistics
 from adloom.sources.envelope import explode_items
 from adloom.sources.vocabulary import Vocabulary
 
@@ -54,10 +54,34 @@ def read_payload_stream(
 
 
 def drop_seen_within(stream: DataFrame, key: str, event_time: str, delay: str) -> DataFrame:
-    """STM-3/STM-4: first row per key, with state bounded by a watermark on the event time."""
+    """STM-3/STM-4: first row per key, with state bounded by a watermark on the event time.
+
+    Rows no later than the watermark, the greatest event time of the batches before less ``delay``, are dropped. A
+    key is forgotten once the watermark has passed its first row by ``delay``, so the state holds the keys of a
+    stretch of time, however long the stream runs.
+    """
     return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([key])
 
 
+def run_to_table(stream: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
+    """STM-1/STM-2: append what has landed to a table by Spark's own file sink, which commits a batch once.
+
+    For streams whose state is event-time bound, such as :func:`drop_seen_within`: state and target go by one
+    checkpoint, and no batch reads the target.
+    """
+    query = (
+        stream.writeStream.outputMode("append").format("parquet").option("path", target)
+        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    return query
+
+
+def state_rows(query: StreamingQuery) -> list[int]:
+    """Rows in the state of each batch of a run, over all its stateful operators."""
+    return [sum(o["numRowsTotal"] for o in p["stateOperators"]) for p in query.recentProgress]
+
+
 def running_stats(stream: DataFrame) -> DataFrame:
     """STM-7: listings, average and extreme prices per make, kept up to date."""
     return stream.groupBy(make_of(stream).alias("make")).agg(
@@ -118,6 +142,16 @@ def append_unseen(
     return write
 
 
+def add_statistics(store: StatisticsStore, transform: Callable[[DataFrame], DataFrame] = partial_statistics) -> Callable[[DataFrame, int], None]:
+    """STM-7: ``foreachBatch`` sink that adds a batch's parts of the statistics; no batch is read twice, and a
+    repeated one takes the place of its earlier self."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        store.add(batch_id, transform(batch))
+
+    return write
+
+
 def append_unknown_values(ledger: str, vocabulary: Vocabulary) -> Callable[[DataFrame, int], None]:
     """STM-6: ``foreachBatch`` sink that adds unmatched values the ledger does not hold yet."""
 
