@@ -6,9 +6,10 @@
    words of two pieces never do. A phrase carries its language in front, behind a tab. The relation is stored
    once, bucketed by document and sorted by ``(doc, at)``.
 2. A group-count gives the frequency of each phrase, combined on the map side. Only occurrences of frequent
-   phrases go on (semi-join). The relation then is merge-joined with itself, ``at`` with ``at + 1``: a phrase and
-   the one a word further on make a phrase one word longer. Both sides lie in the same buckets, so nothing is
-   shuffled, and an occurrence meets one partner at most.
+   phrases go on (semi-join), as ids of 64 bits that are checked to be different for all frequent phrases of a
+   length. The relation then is merge-joined with itself, ``at`` with ``at + 1``: a phrase and the one a word further
+   on make a phrase one word longer, which the pair of their ids stands for. Both sides lie in the same buckets,
+   so nothing is shuffled, and an occurrence meets one partner at most.
 3. That repeats up to the greatest length, from the stored relation of the length before.
 4. Scores, cuts and the drop rule are equi-joins of the frequent phrases alone. Ranks come from the best of each
    language and salt, which are few.
@@ -149,13 +150,26 @@ def _settings(spark: SparkSession, wanted: dict[str, str]):
             spark.conf.set(key, value) if value is not None else spark.conf.unset(key)
 
 
-def _longer(occurrences: DataFrame, words: int) -> DataFrame:
-    """Occurrences of phrases one word longer than the ``words`` of those given."""
-    last = F.substring_index("phrase", "\t" if words == 1 else " ", -1)
-    follow = occurrences.select(F.col("doc").alias("doc_"), (F.col("at") - 1).alias("at_"), last.alias("word"))
+def _longer(occurrences: DataFrame) -> DataFrame:
+    """Occurrences of phrases one word longer: ``doc, at`` and the phrases ``front`` and ``back`` that make them."""
+    follow = occurrences.select(F.col("doc").alias("doc_"), (F.col("at") - 1).alias("at_"), F.col("id").alias("back"))
     same = (F.col("doc") == F.col("doc_")) & (F.col("at") == F.col("at_"))
-    joined = occurrences.join(follow.hint("merge"), same)
-    return joined.select("doc", "at", F.concat("phrase", F.lit(" "), "word").alias("phrase"))
+    return occurrences.join(follow.hint("merge"), same).select("doc", "at", F.col("id").alias("front"), "back")
+
+
+def _mark(seed: int, *columns: str):
+    return F.xxhash64(F.lit(seed), *columns)
+
+
+def _marked(phrases: DataFrame, *columns: str) -> tuple[DataFrame, int]:
+    """Frequent phrases with an ``id`` of 64 bits and the seed of these ids, which no two of them share."""
+    written, seed = durable(phrases), 0
+    while True:
+        marked = written.withColumn("id", _mark(seed, *columns))
+        rows, ids = marked.agg(F.count("*"), F.count_distinct("id")).first()
+        if rows == ids:
+            return marked, seed
+        seed += 1
 
 
 def frequent_phrases(
@@ -171,25 +185,37 @@ def frequent_phrases(
     )
     dealt = texts.repartition(buckets, "doc").sortWithinPartitions("doc")
 
-    def kept(occurrences: DataFrame, frequent: DataFrame) -> tuple[DataFrame, bool]:
+    def kept(occurrences: DataFrame, frequent: DataFrame, seed: int, *columns: str) -> tuple[DataFrame, bool]:
+        """Occurrences of frequent phrases by their ids, and whether they still lie by document."""
         few = frequent.count() <= broadcast_rows
-        phrases = frequent.select("phrase")
-        return occurrences.join(F.broadcast(phrases) if few else phrases, "phrase", "left_semi").select("doc", "at", "phrase"), few
+        phrases = frequent.select(*columns)
+        stay = occurrences.join(F.broadcast(phrases) if few else phrases, list(columns), "left_semi")
+        return stay.select("doc", "at", _mark(seed, *columns).alias("id")), few
 
     with _settings(spark, _IN_PLACE):
         occurrences = relations.store(dealt.mapInArrow(cut_documents, "doc bigint, at bigint, phrase string"))
         counts = durable(occurrences.groupBy("phrase").agg(F.count("*").alias("f")))
         totals = durable(counts.groupBy(_lang("phrase").alias("lang")).agg(F.sum("f").alias("n")))
-        found = [durable(counts.where(F.col("f") >= least))]
+        frequent, seed = _marked(counts.where(F.col("f") >= least), "phrase")
+        found, columns = [frequent], ["phrase"]
         for words in range(1, longest):
-            left, in_place = kept(occurrences, found[-1])
+            left, in_place = kept(occurrences, frequent, seed, *columns)
             if words > 1 or not in_place:
                 left = relations.store(left if in_place else left.repartition(buckets, "doc"))
-            occurrences = _longer(left, words)
-            grouped = occurrences.groupBy("phrase").agg(F.count("*").alias("f"))
-            found.append(durable(grouped.where(F.col("f") >= least)))
+            occurrences, columns = _longer(left), ["front", "back"]
+            grouped = occurrences.groupBy(*columns).agg(F.count("*").alias("f"))
+            frequent, seed = _marked(grouped.where(F.col("f") >= least), *columns)
+            found.append(_named(frequent, found[-1], words))
     relations.drop()
-    return found, totals
+    return [f.select("phrase", "f") for f in found], totals
+
+
+def _named(frequent: DataFrame, shorter: DataFrame, words: int) -> DataFrame:
+    """With the ``phrase`` that front and back, two phrases of ``words``, make together."""
+    fronts = shorter.select(F.col("id").alias("front"), F.col("phrase").alias("start"))
+    backs = shorter.select(F.col("id").alias("back"), F.substring_index("phrase", "\t" if words == 1 else " ", -1).alias("last"))
+    named = frequent.join(fronts, "front").join(backs, "back")
+    return durable(named.select("id", F.concat("start", F.lit(" "), "last").alias("phrase"), "f"))
 
 
 # --- scores ------------------------------------------------------------------------------------------

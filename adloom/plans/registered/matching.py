@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from adloom.functions.similarity import ratio
 from adloom.functions.text import fold_ar
 from adloom.operators import resolve as R
+from adloom.operators.mentions import find_mentions, first_listed, tokens
+from adloom.operators.neighbours import close_pairs
 from adloom.plans.registered.base import query, table
 from adloom.session import durable
 from adloom.sources.vocabulary import Vocabulary, build_vocabulary
@@ -129,10 +131,58 @@ def _(spark, sf):
     """,
 )
 def _(spark, sf):
-    values = _parts(spark, sf).select(F.lit("names").alias("list"), _misspelled().alias("folded")).distinct()
-    pairs = R.similar_pairs(values, R.folded_candidates(_names(spark, sf)), 0.75)
-    close = pairs.withColumn("d", F.levenshtein("probe", "candidate")).filter("d <= 1")
-    return close.groupBy(F.col("probe").alias("raw")).agg(F.min_by("name", F.struct("d", "ord")).alias("match"))
+    probes = _parts(spark, sf).select(_misspelled().alias("probe")).distinct()
+    close = close_pairs(probes, _names(spark, sf).select(F.col("name").alias("candidate"), "ord"))
+    return close.groupBy(F.col("probe").alias("raw")).agg(F.min_by("candidate", F.struct("distance", "ord")).alias("match"))
+
+
+@query(
+    "levenshtein_short_names",
+    """
+    WITH probes AS (SELECT DISTINCT substr(p_name, 1, CAST(1 + p_size % 12 AS INT)) AS probe FROM part),
+    names AS (SELECT DISTINCT substr(p_name, CAST(1 + p_partkey % 3 AS INT), CAST(1 + p_partkey % 12 AS INT)) AS candidate FROM part)
+    SELECT probe, candidate, CAST(levenshtein(probe, candidate) AS INT) AS distance FROM probes, names
+    WHERE abs(length(probe) - length(candidate)) <= 1 AND levenshtein(probe, candidate) <= 1
+    """,
+)
+def _(spark, sf):
+    """Names of 1 to 12 characters, of which every pair within one edit is found."""
+    parts, size = table(spark, sf, "part"), F.col("p_size").cast("int")
+    key = F.col("p_partkey").cast("int")
+    probes = parts.select(F.substring("p_name", F.lit(1), 1 + size % 12).alias("probe")).distinct()
+    names = parts.select(F.substring("p_name", 1 + key % 3, 1 + key % 12).alias("candidate")).distinct()
+    return close_pairs(probes, names)
+
+
+# Names of a vocabulary that occur in texts: the first words of each benchmark item, of one, two and three words.
+_MENTIONS = r"""
+cut AS (SELECT list_filter(string_split_regex(lower(text), '[^\p{L}\p{N}]+'), lambda t: t <> '') AS w FROM benchmark),
+vocab AS (SELECT name, CAST(row_number() OVER (ORDER BY name) AS INT) AS ord, size FROM (
+  SELECT DISTINCT array_to_string(w[1:n], ' ') AS name, n AS size FROM cut, range(1, 4) AS t(n) WHERE len(w) >= n)),
+docs AS (SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda t: t <> '') AS w FROM documents),
+runs AS (SELECT doc_id, n AS size, unnest(list_transform(range(1, len(w) - n + 2), lambda i: {'start': i - 1, 'run': array_to_string(w[i:i + n - 1], ' ')})) AS r FROM docs, range(1, 4) AS t(n)),
+hits AS (SELECT doc_id, r.start AS start, runs.size, name, ord FROM runs JOIN vocab ON r.run = name),
+mentions AS (SELECT * FROM hits h WHERE NOT EXISTS (
+  SELECT 1 FROM hits l WHERE l.doc_id = h.doc_id AND l.size > h.size AND l.start <= h.start AND l.start + l.size >= h.start + h.size))
+"""
+
+
+def _mentions(spark, sf):
+    words = table(spark, sf, "benchmark").select(tokens(F.col("text")).alias("w"))
+    sizes = F.filter(F.array(F.lit(1), F.lit(2), F.lit(3)), lambda n: n <= F.size("w"))
+    names = words.select(F.explode(F.transform(sizes, lambda n: F.array_join(F.slice("w", F.lit(1), n), " "))).alias("name")).distinct()
+    vocabulary = names.withColumn("ord", F.row_number().over(Window.orderBy("name")))  # a small dimension
+    return find_mentions(table(spark, sf, "documents"), vocabulary, "doc_id")
+
+
+@query("text_mentions", f"WITH {_MENTIONS} SELECT doc_id, name, count(*) AS n, min(start) AS first FROM mentions GROUP BY doc_id, name")
+def _(spark, sf):
+    return _mentions(spark, sf).groupBy("doc_id", "name").agg(F.count("*").alias("n"), F.min("start").cast("bigint").alias("first"))
+
+
+@query("text_first_listed", f"WITH {_MENTIONS} SELECT doc_id, arg_min(name, ord) AS name FROM mentions GROUP BY doc_id")
+def _(spark, sf):
+    return first_listed(_mentions(spark, sf), "doc_id").select("doc_id", "name")
 
 
 # --- whole listings ------------------------------------------------------------------------------------

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from adloom.functions import text as T
 from adloom.operators.resolve import resolve_models
@@ -13,6 +14,8 @@ from adloom.session import fresh_path
 from adloom.sources import catalog as C
 from adloom.sources import tables as S
 from adloom.sources import vocabulary as V
+from adloom.sources.dated import read_dates, write_by_date
+from adloom.sources.quarantine import items_of, quarantine, read_envelopes_checked, read_jsonl_checked
 from adloom.sources.registry import get_source
 from adloom.streaming import feeds
 
@@ -227,3 +230,51 @@ def _(spark, sf):
     stream = feeds.read_listing_stream(spark, landed, "make string", max_files=1)
     feeds.run_available(stream, feeds.append_unknown_values(f"{work}/ledger", vocabulary), f"{work}/progress")
     return spark.read.parquet(f"{work}/ledger")
+
+
+@query(
+    "known_ids_checked",
+    """
+    SELECT CASE WHEN doc_id % 7 = 0 THEN 'no such object' WHEN doc_id % 7 = 1 THEN 'no id' ELSE 'good' END AS reason, count(*) AS n FROM documents GROUP BY 1
+    """,
+)
+def _(spark, sf):
+    """A log of documents in which some lines are cut short and some lack their id: every line is accounted for."""
+    landed, side = fresh_path(spark, "log"), fresh_path(spark, "quarantine")
+    line = F.to_json(F.struct(F.when(F.col("doc_id") % 7 != 1, F.col("doc_id").cast("string")).alias("id"), F.substring("text", 1, 40).alias("text")))
+    cut = F.when(F.col("doc_id") % 7 == 0, F.expr("left(line, length(line) - 2)")).otherwise(F.col("line"))
+    table(spark, sf, "documents").select("doc_id", line.alias("line")).select(cut.alias("value")).write.text(landed)
+    checked = read_jsonl_checked(spark, landed, StructType([StructField("id", StringType()), StructField("text", StringType())]), ["id"])
+    quarantine(checked, side)
+    bad = spark.read.parquet(side).filter("file IS NOT NULL AND place >= 0 AND value IS NOT NULL")
+    return checked.good.select(F.lit("good").alias("reason")).unionByName(bad.select("reason")).groupBy("reason").agg(F.count("*").alias("n"))
+
+
+@query(
+    "envelopes_checked",
+    """
+    SELECT CASE l_linenumber % 4 WHEN 0 THEN 'no JSON' WHEN 1 THEN 'no list of items' ELSE 'good' END AS reason, count(*) AS n,
+           count(*) FILTER (l_linenumber % 4 > 1) AS items FROM (SELECT DISTINCT l_suppkey, l_linenumber FROM lineitem) GROUP BY 1
+    """,
+)
+def _(spark, sf):
+    """Response files, one per supplier and line: some are no JSON, some hold no list."""
+    landed = fresh_path(spark, "responses")
+    kind = F.col("l_linenumber") % 4
+    body = F.when(kind == 0, "{oops").when(kind == 1, '{"data": 5}').when(kind == 2, '{"data": [{"id": 1}]}').otherwise('[{"id": 2}]')
+    rows = table(spark, sf, "lineitem").select("l_suppkey", "l_linenumber").distinct().select("l_suppkey", "l_linenumber", body.alias("value"))
+    rows.repartition(4, "l_suppkey").write.partitionBy("l_suppkey", "l_linenumber").text(landed)
+    checked = read_envelopes_checked(spark, landed)
+    counts = checked.good.select(F.lit("good").alias("reason")).unionByName(checked.bad.select("reason")).groupBy("reason").agg(F.count("*").alias("n"))
+    items = items_of(checked).groupBy(F.lit("good").alias("reason")).agg(F.count("*").alias("items"))
+    return counts.join(items, "reason", "left").select("reason", "n", F.coalesce("items", F.lit(0)).alias("items"))
+
+
+@query("dates_by_folder", "SELECT o_orderkey, CAST(o_orderdate AS DATE) AS date_added FROM orders WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1996-01-01' AND DATE '1996-06-30' OR o_orderkey % 9 = 0")
+def _(spark, sf):
+    """A table laid out by date, of which a half-year and the undated rows are read."""
+    path, dated = fresh_path(spark, "dated"), F.col("o_orderdate").cast("date")
+    orders = table(spark, sf, "orders").select("o_orderkey", dated.alias("kept"), F.when(F.col("o_orderkey") % 9 != 0, dated).alias("date_added"))
+    write_by_date(orders.withColumn("date_added", F.trunc("date_added", "month")), path, "date_added")
+    found = read_dates(spark, path, "1996-01-01", "1996-06-30")
+    return found.select("o_orderkey", F.col("kept").alias("date_added"))

@@ -94,9 +94,17 @@ def test_odd_rows_and_empty_tables(spark):
 
 def test_merge_join_shuffles_nothing(spark):
     relations = collocations._Relations(spark, 4)
-    rows = spark.range(100).selectExpr("id % 7 AS doc", "id AS at", "'en\ta' AS phrase")
+    rows = spark.range(100).selectExpr("id % 7 AS doc", "id AS at", "id * 3 AS id")
     with collocations._settings(spark, collocations._IN_PLACE):
         stored = relations.store(rows.repartition(4, "doc"))
-        plan = collocations._longer(stored, 1)._jdf.queryExecution().executedPlan().toString()
+        plan = collocations._longer(stored)._jdf.queryExecution().executedPlan().toString()
     relations.drop()
     assert "SortMergeJoin" in plan and "Exchange" not in plan and plan.count("Sort [") == 1
+
+
+def test_ids_of_phrases_never_clash(spark, monkeypatch):
+    real = collocations._mark
+    monkeypatch.setattr(collocations, "_mark", lambda seed, *columns: real(seed, *columns) % 7 if seed < 2 else real(seed, *columns))
+    docs = sample(8, 60)
+    got = {tuple(r) for r in collocations.mine_collocations(frame(spark, docs), least=6, top=25).collect()}
+    assert got and got == plain_mine(docs, 6, 25)
