@@ -54,11 +54,15 @@ def _flat(opening: str) -> str:
     return rf"(?is){opening}(.*?)(?:</\1>|\z)"
 
 
-def element_contents(html: Column, opening: str) -> Column:
+def element_contents(html: Column, opening: str, name: str = "") -> Column:
     """Content of each element that begins with ``opening`` (a pattern whose first group is the name), in page
     order, inner ones too; null where the element nests its own name and never closes. One that nests nothing
-    and is never closed takes the rest of the page."""
-    found = F.arrays_zip(matches(html, _flat(opening), 1).alias("name"), matches(html, _flat(opening), 2).alias("content"))
+    and is never closed takes the rest of the page. A ``name`` that is the same for all saves a pass."""
+    contents = matches(html, _flat(opening), 2)
+    if name:
+        found = F.transform(contents, lambda c: F.struct(F.lit(name).alias("name"), c.alias("content")))
+    else:
+        found = F.arrays_zip(matches(html, _flat(opening), 1).alias("name"), contents.alias("content"))
     rests = F.arrays_zip(
         matches(html, f"(?is){opening}", 1).alias("name"), matches(html, f"(?is){opening}(?=(.*))", 2).alias("rest")
     )
@@ -66,9 +70,10 @@ def element_contents(html: Column, opening: str) -> Column:
     return once(found, lambda cut: F.when(F.exists(cut, _opens_again), deep).otherwise(F.transform(cut, lambda x: x["content"])))
 
 
-def first_content(html: Column, opening: str) -> Column:
+def first_content(html: Column, opening: str, name: str = "") -> Column:
     """Content of the first such element; empty without one."""
-    found = F.struct(F.regexp_extract(html, _flat(opening), 1).alias("name"), F.regexp_extract(html, _flat(opening), 2).alias("content"))
+    own = F.lit(name) if name else F.regexp_extract(html, _flat(opening), 1)
+    found = F.struct(own.alias("name"), F.regexp_extract(html, _flat(opening), 2).alias("content"))
     rest = F.regexp_extract(html, rf"(?is){opening}(.*)", 2)
 
     def settle(x: Column) -> Column:

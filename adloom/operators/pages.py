@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from adloom.functions import fixed_values as V
 from adloom.functions import page_values as W
 from adloom.functions.dates import compact_date, first_date, iso_date, month_name_date
-from adloom.functions.markup import element_contents, first_content, matches, opening_tag, pieces_from
+from adloom.functions.markup import element_contents, first_content, matches, once, opening_tag, pieces_from
 from adloom.functions.media import keep_photos, unwrap_image_url, vehicle_from_json_ld, whatsapp_number
 from adloom.functions.page_values import NO_NOTES, RULES, SAFETY_WORDS, Rule
 from adloom.functions.text import blank_to_null, contains_any, squeeze, unescape_html
@@ -50,8 +50,13 @@ def inner_text(markup: Column) -> Column:
     return squeeze(unescape_html(F.regexp_replace(markup, "<[^>]*>", " ")))
 
 
+def _present(value: Column) -> Column:
+    """Blank to null, for values that are costly to find."""
+    return once(value, blank_to_null)
+
+
 def _texts(html: Column, name: str) -> Column:
-    return F.transform(element_contents(html, opening_tag(name)), inner_text)
+    return F.transform(element_contents(html, opening_tag(name), name), inner_text)
 
 
 def _attribute(tag: Column, name: str) -> Column:
@@ -76,8 +81,8 @@ def _picked(html: Column, rule: Rule, containers: Sequence[str]) -> Column:
         scope = F.get(F.split(behind, f"(?is){others}", 2), F.lit(0)) if others else behind
     opening = _opening(rule)
     if rule.take == "text":
-        return blank_to_null(inner_text(_at(element_contents(scope, opening), rule.nth)))
-    return blank_to_null(_attribute(_at(matches(scope, f"(?is){opening}", 0), rule.nth), rule.take))
+        return _present(inner_text(_at(element_contents(scope, opening, rule.tag), rule.nth)))
+    return _present(_attribute(_at(matches(scope, f"(?is){opening}", 0), rule.nth), rule.take))
 
 
 def _fields(html: Column, rules: Sequence[Rule]) -> dict[str, Column]:
@@ -167,7 +172,7 @@ def layout_pairs(html: Column, source: str) -> Column:
 # --- what a page tells by wording ---------------------------------------------------------------------
 def _following(html: Column, words: Sequence[str], tags: str) -> Column:
     """Text of the first element of ``tags`` behind a heading with one of the words."""
-    return blank_to_null(inner_text(first_content(_behind_heading(html, words), opening_tag(tags))))
+    return _present(inner_text(first_content(_behind_heading(html, words), opening_tag(tags))))
 
 
 def _named_seller(html: Column) -> Column:
@@ -189,7 +194,7 @@ def _worded_fields(html: Column, links: Column) -> dict[str, Column]:
     return {
         "price_raw": _at(priced, 0),
         "description_raw": _following(html, W.DESCRIPTION_HEADINGS, "div|p|section"),
-        "seller_name": F.coalesce(seller, blank_to_null(_named_seller(html))),
+        "seller_name": F.coalesce(seller, _present(_named_seller(html))),
         "phone_link": _at(calls, 0),
         "whatsapp_link": _at(chats, 0),
     }
@@ -198,8 +203,8 @@ def _worded_fields(html: Column, links: Column) -> dict[str, Column]:
 def _noted_fields(html: Column, raw: Column) -> dict[str, Column]:
     note = rf"(?is)<(h[2-5])\b[^>]*>[^<]*(?:{W.NOTES_HEADING})[^<]*</\1>(?:\s|<br[^>]*>){{0,9}}<([a-z][a-z0-9]*)\b[^>]*>(.*?)</\2>"
     return {
-        "script_phone": blank_to_null(_first(raw, r"let phone\s*=\s*'([^']+)'", 1)),
-        "seller_notes": blank_to_null(inner_text(_first(html, note, 3))),
+        "script_phone": _present(_first(raw, r"let phone\s*=\s*'([^']+)'", 1)),
+        "seller_notes": _present(inner_text(_first(html, note, 3))),
     }
 
 
@@ -225,7 +230,7 @@ def _section_features(html: Column) -> Column:
 
 
 def _image_links(tags: Column) -> Column:
-    first = lambda tag: F.coalesce(*[blank_to_null(_attribute(tag, n)) for n in ("data-lg-src", "src", "data-src", "data-lazy")])
+    first = lambda tag: F.coalesce(*[_present(_attribute(tag, n)) for n in ("data-lg-src", "src", "data-src", "data-lazy")])
     return F.filter(F.transform(tags, first), lambda x: x.isNotNull())
 
 
@@ -262,9 +267,11 @@ def extract_pages(
     times = matches(html_, r"(?is)<time\b[^>]*\sdatetime=[^>]*>", 0)
     dates = F.concat(F.transform(published, lambda t: _attribute(t, "content")), F.transform(times, lambda t: _attribute(t, "datetime")))
     scripts = matches(raw_, f"(?is)<script{_having('type', 'application/ld[+]json')}[^>]*>(.*?)</script>", 1)
-    return rows.select(
+    # as rows of a generator the fields are found once, whatever reads them and whatever filter stands above
+    found = rows.select(*key, "_raw", "_html", F.inline(F.array(F.struct(_map_of(fields).alias("fields")))))
+    return found.select(
         *key,
-        _map_of(fields).alias("fields"),
+        "fields",
         layout_pairs(html_, source).alias("pairs"),
         page_images(html_, source).alias("images"),
         _section_features(html_).alias("features"),
@@ -284,27 +291,32 @@ def extract_cards(
     whole, *parts = _rules(source, "card")
     begin = ("" if whole.tag == "a" else r"(?:<a\b[^>]*>\s*)?") + _opening(whole)
     blocks = pieces_from(F.coalesce(F.col(html), F.lit("")), begin)
-    cards = pages.select(*key, F.posexplode(blocks).alias("pos", "_card"))
-    card = F.col("_card")
-    opening = _first(card, f"(?is){_opening(whole)}", 0)
-    inside = F.regexp_replace(card, f"(?is)^{begin}", "")
-    names = matches(opening, r"""(?is)\s(data-[\w-]+|href)\s*=\s*["'][^"']*["']""", 1)
-    values = F.transform(matches(opening, r"""(?is)\s(?:data-[\w-]+|href)\s*=\s*["']([^"']*)["']""", 1), lambda x: F.trim(unescape_html(x)))
-    fields = {"card_text": inner_text(card), **_fields(inside, parts)}
-    if whole.tag != "a":
-        fields["parent_url"] = blank_to_null(_attribute(_first(card, r"(?is)^<a\b[^>]*>", 0), "href"))
-    told = F.map_entries(_map_of(fields))
-    both = F.arrays_zip(names.alias("key"), values.alias("value"))
-    # of an attribute that a tag repeats, the first counts
-    own = F.filter(both, lambda e, i: F.array_position(names, e["key"]) == i + 1)
-    carried = F.filter(own, lambda e: ~e["key"].isin(list(fields)))
-    return cards.select(
-        *key,
-        "pos",
-        F.map_from_entries(F.concat(told, carried)).alias("fields"),
-        _image_links(matches(inside, r"(?is)<img\b[^>]*>", 0)).alias("images"),
-        _texts(inside, "li").alias("items"),
-    )
+    attribute = r"""(?is)\s(data-[\w-]+|href)\s*=\s*["']([^"']*)["']"""
+
+    def carried(opening: Column, known: Sequence[str]) -> Column:
+        """Attributes of the card's own tag; of one that it repeats, the first counts."""
+        values = F.transform(matches(opening, attribute, 2), lambda x: F.trim(unescape_html(x)))
+        both = F.arrays_zip(matches(opening, attribute, 1).alias("key"), values.alias("value"))
+        first = lambda e, i: F.array_position(F.transform(both, lambda x: x["key"]), e["key"]) == i + 1
+        return F.filter(F.filter(both, first), lambda e: ~e["key"].isin(list(known)))
+
+    def read(x: Column) -> Column:
+        fields = {"card_text": inner_text(x["card"]), **_fields(x["inside"], parts)}
+        if whole.tag != "a":
+            fields["parent_url"] = _present(_attribute(_first(x["card"], r"(?is)^<a\b[^>]*>", 0), "href"))
+        own = F.concat(F.map_entries(_map_of(fields)), carried(x["opening"], list(fields)))
+        return F.struct(
+            F.map_from_entries(own).alias("fields"), _image_links(matches(x["inside"], r"(?is)<img\b[^>]*>", 0)).alias("images"),
+            _texts(x["inside"], "li").alias("items"),
+        )
+
+    def card(text: Column) -> Column:
+        opening, inside = _first(text, f"(?is){_opening(whole)}", 0), F.regexp_replace(text, f"(?is)^{begin}", "")
+        return once(F.struct(text.alias("card"), opening.alias("opening"), inside.alias("inside")), read)
+
+    # the cards are read where they are exploded, so that whatever reads them finds what was found once
+    cards = pages.select(*key, F.posexplode(F.transform(blocks, card)).alias("pos", "_card"))
+    return cards.select(*key, "pos", "_card.fields", "_card.images", "_card.items")
 
 
 # --- interpretation (column expressions) -------------------------------------------------------------
