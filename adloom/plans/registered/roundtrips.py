@@ -8,6 +8,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from adloom.functions import text as T
 from adloom.operators.resolve import resolve_models
+from adloom.plans.listings import project_source
 from adloom.plans.profiles import register_built_in
 from adloom.plans.registered.base import listing_view, on_listings, query, table
 from adloom.session import fresh_path
@@ -17,6 +18,7 @@ from adloom.sources import vocabulary as V
 from adloom.sources.dated import read_dates, write_by_date
 from adloom.sources.quarantine import items_of, quarantine, read_envelopes_checked, read_jsonl_checked
 from adloom.sources.registry import get_source
+from adloom.sources.schemas import COLUMNS
 from adloom.streaming import feeds
 
 _CSV = ["id", "make", "model", "year", "city", "phone"]
@@ -123,12 +125,114 @@ def _(spark, sf):
 )
 def _(spark, sf):
     path = fresh_path(spark, "ledger")
-    # one line per run; a ledger has as many as there were runs
-    for row in table(spark, sf, "orders").groupBy("o_orderstatus").count().collect():
-        C.record_run(spark, path, row["o_orderstatus"], status="success", items_count=row["count"])
+    runs = table(spark, sf, "orders").groupBy(F.col("o_orderstatus").alias("website_id")).agg(F.count("*").alias("items_count"))
+    C.record_runs(path, runs.withColumn("status", F.lit("success")))
     return spark.read.parquet(path).select("website_id", "status", "items_count", "sheets_written")
 
 
+@query(
+    "statistics_snapshots",
+    """
+    SELECT CAST(o_custkey % 50 AS VARCHAR) AS website_id, CAST(count(*) AS INT) AS total_items, CAST(count(*) FILTER (o_orderstatus = 'O') AS INT) AS items_added,
+           max(o_orderpriority) AS priority, CAST(count(DISTINCT o_orderstatus) AS INT) AS statuses FROM orders GROUP BY 1
+    """,
+)
+def _(spark, sf):
+    """Snapshots of all sites in one write; the figures come back out of the document."""
+    path = fresh_path(spark, "snapshots")
+    site = (F.col("o_custkey") % 50).cast("string").alias("website_id")
+    taken = table(spark, sf, "orders").groupBy(site).agg(
+        F.count("*").alias("total_items"), F.count_if(F.col("o_orderstatus") == "O").alias("items_added"),
+        F.max("o_orderpriority").alias("priority"), F.count_distinct("o_orderstatus").alias("statuses"),
+    )
+    C.save_statistics_of(path, taken)
+    kept = spark.read.parquet(path).filter("id IS NOT NULL AND created_at IS NOT NULL")
+    document = F.from_json("raw_statistics", "priority string, statuses int")
+    return kept.select("website_id", "total_items", "items_added", document["priority"].alias("priority"), document["statuses"].alias("statuses"))
+
+
+@query(
+    "audit_rows",
+    """
+    SELECT CAST(l_orderkey AS VARCHAR) AS resource_id, CAST(l_linenumber AS INT) AS user_id, CASE l_returnflag WHEN 'R' THEN 'delete' ELSE 'update' END AS action, l_returnflag AS flag
+    FROM lineitem WHERE l_linenumber < 3
+    """,
+)
+def _(spark, sf):
+    path = fresh_path(spark, "audit")
+    lines = table(spark, sf, "lineitem").filter("l_linenumber < 3")
+    C.log_audits(path, lines.select(
+        F.col("l_linenumber").alias("user_id"), F.when(F.col("l_returnflag") == "R", "delete").otherwise("update").alias("action"), F.lit("listing").alias("resource_type"),
+        F.col("l_orderkey").cast("string").alias("resource_id"), F.struct(F.col("l_returnflag").alias("flag")).alias("details"),
+    ))
+    kept = spark.read.parquet(path).filter("resource_type = 'listing' AND ip_address IS NULL")
+    return kept.select("resource_id", "user_id", "action", F.get_json_object("details", "$.flag").alias("flag"))
+
+
+def _projected_sql() -> str:
+    own = ["id", "source", "make", "model", "year", "body_type", "fuel_type", "transmission", "city", "price", "date_added", "seller_name"]
+    entries = [
+        f"SELECT '{profile}' AS profile, {i} AS pos, '{c}' AS name, {f'count({c})' if c in own else 'count(NULL)'} AS filled FROM listing"
+        for profile, columns in COLUMNS.items() for i, c in enumerate(columns)
+    ]
+    return on_listings(" UNION ALL ".join(entries))
+
+
+@query("projected_sources", _projected_sql())
+def _(spark, sf):
+    """Every layout's columns in their order, and how many listings fill each of them."""
+    rows = listing_view(spark, sf).drop("size", "bedrooms")
+    counted = None
+    for profile, columns in COLUMNS.items():
+        cells = project_source(rows, profile).agg(*[F.count(c).alias(c) for c in columns])
+        entries = [F.struct(F.lit(profile).alias("profile"), F.lit(i).alias("pos"), F.lit(c).alias("name"), F.col(c).alias("filled")) for i, c in enumerate(columns)]
+        told = cells.select(F.inline(F.array(*entries)))
+        counted = told if counted is None else counted.unionByName(told)
+    return counted
+
+
+@query(
+    "vin_and_make",
+    """
+    SELECT c_custkey, CASE c_custkey % 6 WHEN 0 THEN 'WBA' || CAST(c_custkey AS VARCHAR) WHEN 1 THEN 'شاسيه ' || CAST(c_custkey AS VARCHAR) WHEN 5 THEN c_name END AS vin,
+           CASE c_custkey % 3 WHEN 0 THEN 'مرسيدس' ELSE c_mktsegment END AS make FROM customer
+    """,
+)
+def _(spark, sf):
+    """Chassis numbers among phrases, long texts and blanks, and a make that is written another way."""
+    key, kind = F.col("c_custkey").cast("string"), F.col("c_custkey") % 6
+    raw = (
+        F.when(kind == 0, F.concat(F.lit("  WBA"), key, F.lit(" "))).when(kind == 1, F.concat(F.lit("شاسيه "), key)).when(kind == 2, F.concat(F.lit("غير 1 معروف"), key))
+        .when(kind == 3, F.concat(F.repeat(F.lit("9"), 31), key)).when(kind == 4, "  ").otherwise(F.col("c_name"))
+    )
+    make = F.when(F.col("c_custkey") % 3 == 0, "مرسيدس بنز").otherwise(F.col("c_mktsegment"))
+    return table(spark, sf, "customer").select("c_custkey", T.validate_vin(raw).alias("vin"), T.override_make(make).alias("make"))
+
+
+@query(
+    "model_other_branches",
+    """
+    SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN concat(p_name, ' zz', CAST(p_partkey AS VARCHAR)) WHEN 1 THEN 'QX' ELSE 'تشك' END AS canonical,
+           CASE p_partkey % 3 WHEN 0 THEN 'exact' WHEN 1 THEN 'exact' ELSE 'transliterated' END AS how FROM part
+    """,
+)
+def _(spark, sf):
+    """All models where the make has none of its own, the rule for one make's variant numbers, and spelling out."""
+    key, kind = F.col("p_partkey").cast("string"), F.col("p_partkey") % 3
+    parts = table(spark, sf, "part")
+    name = F.concat("p_name", F.lit(" zz"), key)
+    models = parts.select(
+        F.col("p_brand").alias("brand"), F.regexp_extract("p_brand", r"(\d+)", 1).cast("int").alias("brand_ord"), name.alias("model"),
+        F.row_number().over(Window.partitionBy("p_brand").orderBy("p_partkey")).alias("model_ord"),
+    ).unionByName(spark.createDataFrame([("لكزس", 99, "QX", 0)], "brand string, brand_ord int, model string, model_ord int"))
+    none = spark.createDataFrame([], "field string, ord int, name string")
+    make = F.when(kind == 0, "nobody").when(kind == 1, "لكزس").otherwise("لكزس")
+    raw = F.when(kind == 0, name).when(kind == 1, F.concat(F.lit("qx "), F.lpad((F.col("p_partkey") % 900 + 100).cast("string"), 3, "0"))).otherwise(F.lit("Check"))
+    values = parts.select(make.alias("make"), raw.alias("raw"))
+    resolved = resolve_models(values.distinct(), V.build_vocabulary(spark, none, models))
+    return parts.select("p_partkey", make.alias("make"), raw.alias("raw")).join(resolved, ["make", "raw"]).select("p_partkey", "canonical", "how")
+
+
 @query("schema_align_exact", on_listings("SELECT id, source, make, model, price FROM listing"))
 def _(spark, sf):
     rows = listing_view(spark, sf).select("id", "source", "make", "model", "price")

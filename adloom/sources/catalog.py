@@ -126,12 +126,49 @@ def _append_row(spark: SparkSession, path: str, schema: str, values: Mapping, st
     row.write.mode("append").parquet(path)
 
 
+def append_ledger(path: str, rows: DataFrame, schema: str, stamp: str, defaults: Mapping | None = None) -> None:
+    """SNK-7: many lines of a ledger in one write. ``rows`` has any of its columns; the others get their default,
+    ids and time stamps are filled in. Columns that the ledger lacks are an error."""
+    names = [part.split(" ")[0] for part in schema.split(", ")]
+    unknown = set(rows.columns) - set(names)
+    if unknown:
+        raise ValueError(f"unknown columns {sorted(unknown)}")
+    filled = {**(defaults or {}), "id": F.expr("uuid()"), stamp: F.current_timestamp()}
+
+    def value(name: str, kind: str) -> Column:
+        own = [F.col(name)] if name in rows.columns else []
+        other = filled.get(name)
+        return F.coalesce(*own, other if isinstance(other, Column) else F.lit(other)).cast(kind).alias(name)
+
+    rows.select(*[value(*part.split(" ", 1)) for part in schema.split(", ")]).write.mode("append").parquet(path)
+
+
+RUN_DEFAULTS = {"status": "pending", "items_count": 0, "duration_seconds": 0.0, "sheets_written": False}
+
+
+def record_runs(path: str, runs: DataFrame) -> None:
+    """SNK-7: lines of the run ledger from a table of runs."""
+    append_ledger(path, runs, schemas.JOBS, "started_at", RUN_DEFAULTS)
+
+
+def save_statistics_of(path: str, snapshots: DataFrame) -> None:
+    """SNK-7: snapshots from a table of ``website_id, total_items, items_added`` and further columns, which together
+    are the document that is kept as JSON."""
+    own = ["website_id", "total_items", "items_added"]
+    rest = [c for c in snapshots.columns if c not in own]
+    append_ledger(path, snapshots.select(*own, F.to_json(F.struct(*rest)).alias("raw_statistics")), schemas.STATISTICS, "created_at")
+
+
+def log_audits(path: str, events: DataFrame) -> None:
+    """SNK-7: audit events from a table; ``details`` may be a struct or a map, which is kept as JSON."""
+    if "details" in events.columns and dict(events.dtypes)["details"] != "string":
+        events = events.withColumn("details", F.to_json("details"))
+    append_ledger(path, events, schemas.AUDIT, "created_at")
+
+
 def record_run(spark: SparkSession, path: str, website_id: str, **values) -> None:
     """SNK-7: one line of the run ledger."""
-    defaults = {"status": "pending", "items_count": 0, "duration_seconds": 0.0,
-                "sheets_written": False}
-    _append_row(spark, path, schemas.JOBS, {**defaults, "website_id": website_id, **values},
-                "started_at")
+    _append_row(spark, path, schemas.JOBS, {**RUN_DEFAULTS, "website_id": website_id, **values}, "started_at")
 
 
 def save_statistics(
