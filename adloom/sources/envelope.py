@@ -94,9 +94,14 @@ def member(key: str, *items: Column) -> Column:
     return F.coalesce(*[F.try_variant_get(i, f"$.{key}", "variant") for i in items])
 
 
+# What those read as; a text that reads so is no such value, which only its JSON spelling tells.
+_DOUBTFUL = ["", "0", "0.0", "false", "[]", "{}"]
+
+
 def truthy(value: Column) -> Column:
     """Text of a variant; blank, zero, false, empty and null are NULL."""
-    return F.when(~F.to_json(value).isin(FALSY), F.try_variant_get(value, "$", "string"))
+    text = F.try_variant_get(value, "$", "string")
+    return F.when(~text.isin(_DOUBTFUL), text).when(~F.to_json(value).isin(FALSY), text)
 
 
 def pick(keys: Sequence[str], *items: Column) -> Column:
