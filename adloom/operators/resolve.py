@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adloom.functions import fixed_values as V
+from adloom.functions.markup import once
 from adloom.functions.numbers import clean_cylinders, clean_number
 from adloom.functions.similarity import ratio_from
 from adloom.functions.text import (
@@ -48,24 +49,20 @@ def _pieces(text: Column, size: int) -> Column:
     return F.array_distinct(F.transform(starts, lambda i: F.substring(text, i, size)))
 
 
-def _candidate_pieces(candidates: DataFrame, sizes: Sequence[int]) -> DataFrame:
-    """``(list, ord, name, folded, piece)``."""
+def _candidate_pieces(candidates: DataFrame, sizes: Sequence[int], *keep: str) -> DataFrame:
+    """``(list, ord, name, folded, piece)`` and the columns ``keep``, which are made once per candidate."""
     pieces = F.flatten(
         F.array(*[F.coalesce(_pieces(F.col("folded"), n), F.array().cast("array<string>")) for n in sizes])
     )
-    return candidates.select("list", "ord", "name", "folded", F.explode(pieces).alias("piece"))
+    return candidates.select("list", "ord", "name", "folded", *keep, F.explode(pieces).alias("piece"))
 
 
 def numbered_characters(text: Column) -> Column:
     """Characters with the number of their occurrence (``a1``, ``b1``, ``a2``), so that the common ones of two
-    texts can be counted as those of two sets."""
-    places = F.when(F.length(text) > 0, F.sequence(F.lit(1), F.length(text)))
-
-    def numbered(i: Column) -> Column:
-        own, head = F.substring(text, i, F.lit(1)), F.substring(text, F.lit(1), i)
-        return F.concat(own, (F.length(head) - F.length(F.replace(head, own, F.lit("")))).cast("string"))
-
-    return F.coalesce(F.transform(places, numbered), F.array().cast("array<string>"))
+    texts can be counted as those of two sets. In sorted order, equal ones lie together and count themselves."""
+    ordered = F.array_sort(F.filter(F.split(text, F.lit("")), lambda c: c != ""))
+    numbered = lambda all_: F.transform(all_, lambda c, i: F.concat(c, (i + 2 - F.array_position(all_, c)).cast("string")))
+    return F.coalesce(once(ordered, numbered), F.array().cast("array<string>"))
 
 
 def folded_candidates(candidates: DataFrame) -> DataFrame:
@@ -120,8 +117,8 @@ def similar_pairs(values: DataFrame, folded: DataFrame, threshold: float) -> Dat
             F.coalesce(_pieces(probe, 2), F.array().cast("array<string>")),
         )
     )
-    probes = probes.select("list", "probe", numbered_characters(probe).alias("probe_chars"), F.explode(keys).alias("piece"))
-    pieces = _candidate_pieces(folded, (1, 2)).withColumn("chars", numbered_characters(F.col("folded")))
+    probes = probes.withColumn("probe_chars", numbered_characters(probe)).select("list", "probe", "probe_chars", F.explode(keys).alias("piece"))
+    pieces = _candidate_pieces(folded.withColumn("chars", numbered_characters(F.col("folded"))), (1, 2), "chars")
     pieces = pieces.withColumnRenamed("folded", "candidate")
     joined = probes.join(pieces, ["list", "piece"])
     total = F.length("probe") + F.length("candidate")
