@@ -14,8 +14,8 @@
 4. Scores, cuts and the drop rule are equi-joins of the frequent phrases alone. Ranks come from the best of each
    language and salt, which are few.
 
-Frequent phrases are broadcast to the semi-join if no more than ``BROADCAST_ROWS`` (counted, some 100 MB at most);
-with more of them it is an ordinary join, and the occurrences are dealt out by document once more.
+Frequent phrases (words, then pairs of ids) are broadcast to the semi-join if no more than ``BROADCAST_ROWS`` (counted,
+some 100 MB at most); with more of them it is an ordinary join, and the occurrences are dealt out by document once more.
 
 Defined results: null texts count as empty, null languages as ``und``. Only A-Z are lowered; pieces end at
 ``. , ; : ! ?`` and line ends, words at blanks and tabs. Repeated rows count each. Scores are exact: products
