@@ -74,15 +74,19 @@ class KeyIndex:
 
     def read(self) -> DataFrame:
         """All keys."""
-        return self.spark.read.schema("key_hash bigint, key string").parquet(self._store.current()).select("key")
+        return self._files().select("key")
+
+    def _files(self) -> DataFrame:
+        return self.spark.read.schema("key_hash bigint, key string").parquet(self._store.current())
 
     def compact(self) -> None:
         """Merge what the runs have added into one sorted file per bucket, as a new version of the index."""
 
         def write(folder: str) -> None:
             self._store._fs.mkdirs(self._store._hadoop.Path(folder))
-            with self._table() as old, self._table(folder) as new:
-                rows = self.spark.table(old).repartition(self.buckets, *_COLUMNS).sortWithinPartitions(*_COLUMNS)
+            # read as plain files: of a bucketed table Spark would drop the repartition, and then the buckets too
+            rows = self._files().repartition(self.buckets, *_COLUMNS).sortWithinPartitions(*_COLUMNS)
+            with self._table(folder) as new:
                 rows.write.insertInto(new)
 
         self._store.replace_by(write, after=self._store.version())
