@@ -45,9 +45,11 @@ def content_length(behind: Column, name: Column) -> Column:
     return F.aggregate(step, start, walk, lambda at: F.when(at["depth"] == 0, at["length"]))
 
 
-def _opens_again(x: Column) -> Column:
-    """Whether the content cut at the next closing tag opens its own name."""
-    return F.rlike(F.lower(x["content"]), F.concat(F.lit("<"), F.lower(x["name"]), F.lit(r"[\s>/]")))
+def _opens_again(x: Column, name: str = "") -> Column:
+    """Whether the content cut at the next closing tag opens its own name. Text without tags is not searched, and
+    ``regexp_instr`` keeps its compiled pattern from row to row, which ``rlike`` does for literals only."""
+    opening = F.lit(rf"(?i)<{name}[\s>/]") if name else F.concat(F.lit("(?i)<"), x["name"], F.lit(r"[\s>/]"))
+    return x["content"].contains("<") & (F.regexp_instr(x["content"], opening) > 0)
 
 
 def _flat(opening: str) -> str:
@@ -66,8 +68,9 @@ def element_contents(html: Column, opening: str, name: str = "") -> Column:
     rests = F.arrays_zip(
         matches(html, f"(?is){opening}", 1).alias("name"), matches(html, f"(?is){opening}(?=(.*))", 2).alias("rest")
     )
-    deep = F.transform(rests, lambda x: F.substring(x["rest"], F.lit(1), content_length(x["rest"], x["name"])))
-    return once(found, lambda cut: F.when(F.exists(cut, _opens_again), deep).otherwise(F.transform(cut, lambda x: x["content"])))
+    own = lambda x: F.lit(name) if name else x["name"]
+    deep = F.transform(rests, lambda x: F.substring(x["rest"], F.lit(1), content_length(x["rest"], own(x))))
+    return once(found, lambda cut: F.when(F.exists(cut, lambda x: _opens_again(x, name)), deep).otherwise(F.transform(cut, lambda x: x["content"])))
 
 
 def first_content(html: Column, opening: str, name: str = "") -> Column:
@@ -78,7 +81,7 @@ def first_content(html: Column, opening: str, name: str = "") -> Column:
 
     def settle(x: Column) -> Column:
         deep = once(rest, lambda r: F.substring(r, F.lit(1), content_length(r, x["name"])))
-        return F.when(_opens_again(x), deep).otherwise(x["content"])
+        return F.when(_opens_again(x, name), deep).otherwise(x["content"])
 
     return once(found, settle)
 

@@ -383,10 +383,12 @@ def validate_vin(c: Column) -> Column:
 
 def unescape_html(c: Column) -> Column:
     """The named and numeric entities that occur in listing text; ``&amp;`` last."""
-    text = F.regexp_replace(c, "&nbsp;|&#160;", "\xa0")
-    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;|&apos;", "'")):
-        text = F.regexp_replace(text, entity, char)
-    return F.regexp_replace(text, "&amp;", "&")
+    text = c
+    for entity, char in (
+        ("&nbsp;", "\xa0"), ("&#160;", "\xa0"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&amp;", "&"),
+    ):
+        text = F.replace(text, F.lit(entity), F.lit(char))
+    return text
 
 
 def strip_tags(c: Column, separator: str = "") -> Column:

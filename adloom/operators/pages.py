@@ -128,16 +128,19 @@ def layout_pairs(html: Column, source: str) -> Column:
     """EXT-1: ``(strategy, pos, label, value)`` of every layout in use, layout by layout."""
     run = F.get(F.split(_behind_heading(html, [W.INFO_HEADING], "h[23]"), r"(?i)<(?!/?(?:div|p)\b)", 2), F.lit(0))
     leaves = F.transform(matches(run, r"(?is)<(div|p)\b[^>]*>([^<]+)</\1>", 2), inner_text)
+    grid = once(leaves, lambda x: _pair_list("grid", _every_other(x, 0), _every_other(x, 1)))
     cells = F.transform(
         matches(html, r"(?is)<tr\b[^>]*>(.*?)</tr>", 1), lambda row: F.transform(matches(row, r"(?is)<t[dh]\b[^>]*>(.*?)</t[dh]>", 1), inner_text)
     )
     cells = F.filter(cells, lambda row: F.size(row) >= 2)
-    items = element_contents(html, opening_tag("li", _class(W.DATA_ITEM)))
-    side = lambda name: F.transform(
-        items, lambda item: inner_text(first_content(item, opening_tag("", _class(f"{W.DATA_ITEM}-{name}"))))
+    cell = lambda rows, n: F.transform(rows, lambda c: F.get(c, F.lit(n)))
+    tables = once(cells, lambda x: _pair_list("table", cell(x, 0), cell(x, 1)))
+    items = element_contents(html, opening_tag("li", _class(W.DATA_ITEM)), "li")
+    side = lambda found, name: F.transform(
+        found, lambda item: inner_text(first_content(item, opening_tag("", _class(f"{W.DATA_ITEM}-{name}"))))
     )
     title = opening_tag("", _class(W.CHAPTER))
-    chapters = F.transform(matches(html, rf"(?is){title}(.*?)(?=<[^>]*{W.CHAPTER}|\z)", 2), lambda part: F.transform(element_contents(part, opening_tag("ul")), lambda ul: _texts(ul, "li")))
+    chapters = F.transform(matches(html, rf"(?is){title}(.*?)(?=<[^>]*{W.CHAPTER}|\z)", 2), lambda part: F.transform(element_contents(part, opening_tag("ul"), "ul"), lambda ul: _texts(ul, "li")))
     even = F.filter(F.flatten(chapters), lambda x: (F.size(x) > 0) & (F.size(x) % 2 == 0))
     halves = F.flatten(
         F.transform(even, lambda x: _pair_list("halves", F.slice(x, F.lit(1), (F.size(x) / 2).cast("int")), F.slice(x, (F.size(x) / 2).cast("int") + 1, (F.size(x) / 2).cast("int"))))
@@ -146,18 +149,18 @@ def layout_pairs(html: Column, source: str) -> Column:
     row = rf"(?is){spec}\s*<div\b[^>]*>([^<]*)</div>\s*<div\b[^>]*>([^<]*)</div>\s*</div>"
     short = lambda pairs: F.filter(pairs, lambda p: F.length(p["label"]) < W.MAX_LABEL)
     parts = [
-        _pair_list("grid", _every_other(leaves, 0), _every_other(leaves, 1)),
+        grid,
         _pair_list("dl", _texts(html, "dt"), _texts(html, "dd")),
-        _pair_list("table", F.transform(cells, lambda c: F.get(c, F.lit(0))), F.transform(cells, lambda c: F.get(c, F.lit(1)))),
-        _pair_list("item", side("label"), side("value")),
+        tables,
+        once(items, lambda x: _pair_list("item", side(x, "label"), side(x, "value"))),
         halves,
         short(_pair_list("div", F.transform(matches(html, row, 2), inner_text), F.transform(matches(html, row, 3), inner_text))),
     ]
     if source in W.LIST_CLASSES:
         box = opening_tag("div", _having("class", rf"""[^"'>]*(?:{W.LIST_CLASSES[source]})[^"'>]*"""))
-        lists = F.transform(element_contents(html, box), lambda x: F.transform(element_contents(x, opening_tag("ul")), lambda ul: _texts(ul, "li")))
+        lists = F.transform(element_contents(html, box, "div"), lambda x: F.transform(element_contents(x, opening_tag("ul"), "ul"), lambda ul: _texts(ul, "li")))
         lists = F.flatten(F.filter(lists, lambda x: F.size(x) % 2 == 0))
-        two = F.arrays_zip(_every_other(lists, 0).alias("a"), _every_other(lists, 1).alias("b"))
+        two = once(lists, lambda x: F.arrays_zip(_every_other(x, 0).alias("a"), _every_other(x, 1).alias("b")))
         parts.append(short(F.flatten(F.transform(two, lambda x: _pair_list("list", x["a"], x["b"])))))
     # a value that only repeats its label says nothing, but in a definition list it was meant
     told = F.filter(
@@ -214,19 +217,18 @@ def _section_features(html: Column) -> Column:
     named = lambda section, names: F.transform(
         F.filter(names, lambda n: n != ""), lambda n: F.struct(section.alias("section"), n.alias("name"))
     )
-    cells = element_contents(html, opening_tag("td", _having("colspan", "2")))
+    cells = element_contents(html, opening_tag("td", _having("colspan", "2")), "td")
     checked = opening_tag("span", _class("flex"), _class("items-center")) + r"\s*" + r"<span\b" + _class("rounded-full") + _class("bg-emerald-100") + r"[^>]*>\s*</span>([^<]+)"
-    title = lambda cell: F.regexp_replace(inner_text(first_content(cell, opening_tag("div", _class("py-1")))), r"[:\s]+$", "")
+    title = lambda cell: F.regexp_replace(inner_text(first_content(cell, opening_tag("div", _class("py-1")), "div")), r"[:\s]+$", "")
     ticks = F.flatten(F.transform(cells, lambda c: named(title(c), F.transform(matches(c, f"(?is){checked}", 2), inner_text))))
-    boxes = element_contents(html, opening_tag("div", _having("class", rf"""[^"'>]*{W.FEATURE_CLASSES}[^"'>]*""")))
+    boxes = element_contents(html, opening_tag("div", _having("class", rf"""[^"'>]*{W.FEATURE_CLASSES}[^"'>]*""")), "div")
     caption = lambda box: inner_text(first_content(box, opening_tag(HEADING)))
     listed = F.flatten(F.transform(boxes, lambda b: named(caption(b), _texts(b, "li"))))
     words = "|".join([*W.SAFETY_WORDS, *W.FEATURE_WORDS])
     behind = rf"(?is)<(h[2-4]|p|span)\b[^>]*>([^<]*(?:{words})[^<]*)</\1>(?:\s|</?div\b[^>]*>){{0,9}}<ul\b[^>]*>(.*?)</ul>"
     loose = F.arrays_zip(matches(html, behind, 2).alias("a"), matches(html, behind, 3).alias("b"))
     loose = F.flatten(F.transform(loose, lambda x: named(inner_text(x["a"]), _texts(x["b"], "li"))))
-    found = F.concat(ticks, listed)
-    return F.when(F.size(found) > 0, found).otherwise(loose)
+    return once(F.concat(ticks, listed), lambda found: F.when(F.size(found) > 0, found).otherwise(loose))
 
 
 def _image_links(tags: Column) -> Column:
@@ -239,12 +241,13 @@ def page_images(html: Column, source: str) -> Column:
     tags = matches(html, r"(?is)<img\b[^>]*>", 0)
     if source == "portal":
         own = F.filter(tags, lambda t: t.rlike(f"(?is)<img{_class(W.GALLERY_IMAGE)}"))
-        return _image_links(F.when(F.size(own) > 0, own).otherwise(F.filter(tags, lambda t: _attribute(t, "src").contains(W.CAR_IMAGE))))
+        other = F.filter(tags, lambda t: _attribute(t, "src").contains(W.CAR_IMAGE))
+        return _image_links(once(own, lambda x: F.when(F.size(x) > 0, x).otherwise(other)))
     if source == "accordion":
         album = _image_links(matches(first_content(html, opening_tag("", _class(W.ALBUM))), r"(?is)<img\b[^>]*>", 0))
         preview = matches(html, f"(?is)<meta{_having('property', 'og:image')}[^>]*>", 0)
         shown = F.filter(F.transform(preview, lambda t: _attribute(t, "content")), lambda x: x != "")
-        return F.when(F.size(album) > 0, album).otherwise(shown)
+        return once(album, lambda x: F.when(F.size(x) > 0, x).otherwise(shown))
     return _image_links(tags)
 
 

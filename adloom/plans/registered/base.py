@@ -36,6 +36,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows dealt out to as many tasks as the session shuffles into. For queries that make much work of each small
+    row: a table of one small file is one task, however long its rows then take."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def listing_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines as listings: part is the car, supplier the seller, nation the city."""
     lines = table(spark, sf_dir, "lineitem")

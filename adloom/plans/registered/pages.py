@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from adloom.functions.text import blank_to_null, squeeze, unescape_html
 from adloom.operators import pages as P
 from adloom.plans import listings as L
-from adloom.plans.registered.base import query, table
+from adloom.plans.registered.base import query, spread, table
 
 
 @query(
@@ -74,7 +74,7 @@ def _part_pages(spark, sf):
         F.lit("?x=1'>w</a><img src='https://photos.example/cars/front-side.jpg'><img src='https://photos.example/site-logo-large.png'>"
               "</body></html>"),
     )
-    return table(spark, sf, "part").select(F.col("p_partkey").cast("string").alias("url"), html.alias("html"))
+    return spread(table(spark, sf, "part")).select(F.col("p_partkey").cast("string").alias("url"), html.alias("html"))
 
 
 @query(
@@ -111,7 +111,7 @@ def _(spark, sf):
         F.lit("</p></p></div><div class='box-accordion-2'><div><h3>الراحة</h3></div><ul><li>roof"), F.when(size < 25, "<ul><li>glass</li></ul>").otherwise(""),
         F.lit("</li><li>abs</li></ul></div>"), F.when(size >= 40, "<p>more</p>").otherwise(""),
     )
-    pages = table(spark, sf, "part").select(F.col("p_partkey").cast("string").alias("url"), html.alias("html"))
+    pages = spread(table(spark, sf, "part")).select(F.col("p_partkey").cast("string").alias("url"), html.alias("html"))
     facts = P.extract_pages(pages, "accordion")
     names = F.filter(F.transform("features", lambda f: f["name"]), lambda n: n != "glass")
     return facts.select("url", P.field("description_raw").alias("description_raw"), P.field("seller_name").alias("seller_name"), F.array_join(names, ", ").alias("features"))
@@ -248,7 +248,7 @@ def _(spark, sf):
         item("الموديل", F.lit("late")), F.lit("</ul><a class='single-listing-dealer-name' href='/dealer/x'>X</a><span class='single-listing-phone-number'>+963</span>"
         "<a class='single-listing-whatsapp-button' href='https://wa.me/"), key, F.lit("'>w</a><img class='single-listing-gallery-image' src='http://i.example/a-10x20.jpg?v=1'><img src='http://i.example/b.jpg'>"),
     )
-    pages = table(spark, sf, "part").select(key.alias("url"), html.alias("html"))
+    pages = spread(table(spark, sf, "part")).select(key.alias("url"), html.alias("html"))
     facts = P.extract_pages(pages, "portal")
     found = L.portal_listings(facts, F.lit("src"), F.col("url"), F.col("url"))
     return found.select("id", "ad_title", "condition", "price", "make", "model", "mileage", "date_added", "seller_type", "phone", "views",
@@ -275,7 +275,7 @@ def _(spark, sf):
         _row("الحالة", F.lit("أخرى")), F.when(size < 25, sections).otherwise(""), F.lit("</table><span class='text-primary font-semibold'>"), F.col("p_name"),
         F.lit("</span><a href='https://s.example/users/963000000'>u</a><div class='text-xs font-semibold text-gray-500'>ريف ‏&gt; قدسيا</div>"),
     )
-    part = table(spark, sf, "part").withColumn("car_url", F.col("p_partkey").cast("string"))
+    part = spread(table(spark, sf, "part")).withColumn("car_url", F.col("p_partkey").cast("string"))
     none = F.lit(None).cast("string")
     cards = part.select("car_url", F.lit("card").alias("city"), none.alias("make"), none.alias("year"), none.alias("mileage"))
     facts = P.extract_pages(part.select(F.col("car_url"), html.alias("html")), "grid", key=["car_url"])
@@ -300,6 +300,6 @@ def _(spark, sf):
         F.lit("</li></ul></div><div class='box-banner-car-view-date'><span>03-02-2001</span><span>المشاهدين: "), size, F.lit("</span></div>"
               "<div class='box-accordion-2'><h3>الراحة</h3><ul><li>a</li><li>b</li><li>a</li></ul></div><div class='box-accordion-3'><h3>أمان</h3><ul><li>abs</li></ul></div>"),
     )
-    pages = table(spark, sf, "part").select(F.col("p_partkey").cast("string").alias("url"), html.alias("html"))
+    pages = spread(table(spark, sf, "part")).select(F.col("p_partkey").cast("string").alias("url"), html.alias("html"))
     found = L.accordion_details(P.extract_pages(pages, "accordion"), ["url"])
     return found.select("url", "make", "model", "body_type", "doors", "exterior_color", "year", "date_added", "views", "features", "safety_features")
