@@ -55,10 +55,13 @@ def read_jsonl_checked(spark: SparkSession, path: str, schema: T.StructType, req
     return _split(rows.withColumn("reason", reason), [F.col(f"item.{f.name}").alias(f.name) for f in schema.fields])
 
 
-def read_envelopes_checked(spark: SparkSession, path: str, keys: Sequence[str] = V.ENVELOPE_KEYS) -> Checked:
+def read_envelopes_checked(spark: SparkSession, path: str, keys: Sequence[str] = V.ENVELOPE_KEYS, end: str | None = None) -> Checked:
     """SRC-1: the bodies of response files that hold a list under one of ``keys``, or are one. Bad are files that
-    are no JSON, and those without such a list. Blank files are records too."""
-    files = _placed(spark.read.text(path, wholetext=True))
+    are no JSON, and those without such a list. Blank files are records too.
+
+    With ``end`` a file holds many responses, each closed by that text; ``place`` tells them apart.
+    """
+    files = _placed(spark.read.text(path, wholetext=True) if end is None else spark.read.text(path, lineSep=end))
     body = F.try_parse_json("value")
     lists = [F.try_variant_get(body, "$", "array<variant>"), *[F.try_variant_get(body, f"$.{k}", "array<variant>") for k in keys]]
     reason = F.when(body.isNull(), F.lit("no JSON")).when(F.coalesce(*lists).isNull(), F.lit("no list of items"))

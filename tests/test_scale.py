@@ -24,3 +24,12 @@ def test_a_layout_is_laid_out_once(spark):
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("<tr") == 1
     assert plan.count("<(div|p)") == 1
+
+
+def test_responses_that_share_a_file_are_judged_one_by_one(spark, tmp_path):
+    from adloom.sources.quarantine import items_of, read_envelopes_checked
+
+    (tmp_path / "a.txt").write_text('[{"id": 1}]\x1e{oops\x1e{"data":\n [{"id": 2}, {"id": 3}]}\x1e{"data": 5}\x1e', encoding="utf-8")
+    checked = read_envelopes_checked(spark, str(tmp_path), end="\x1e")
+    assert sorted((r["place"], r["reason"], r["value"]) for r in checked.bad.collect()) == [(1, "no JSON", "{oops"), (3, "no list of items", '{"data": 5}')]
+    assert checked.good.count() == 2 and items_of(checked).count() == 3
