@@ -12,6 +12,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from adloom.functions import fixed_values as V
+from adloom.functions.markup import once
 
 HAS_ARABIC = "[؀-ۿ]"
 YEAR_PATTERN = r"(?U)\b(19[5-9]\d|20[012]\d)\b"
@@ -140,11 +141,14 @@ def arabic_only(c: Column) -> Column:
 def strip_foreign(c: Column) -> Column:
     """STR-10: Arabic half of ``Latin - Arabic`` compounds; an "all models" suffix is dropped."""
     text = strip(F.regexp_replace(c, rf"(?U)\s*{V.ALL_MODELS}\s*$", ""))
-    parts = F.filter(
-        F.transform(F.split(text, r"(?U)\s*[-–]\s*"), strip), lambda p: p != ""
-    )
-    arabic = F.try_element_at(F.filter(parts, is_arabic), F.lit(1))
-    return F.when(F.size(parts) >= 2, F.coalesce(arabic, text)).otherwise(text)
+
+    def halved(t: Column) -> Column:
+        parts = F.filter(F.transform(F.split(t, r"(?U)\s*[-–]\s*"), strip), lambda p: p != "")
+        arabic = lambda x: F.try_element_at(F.filter(x, is_arabic), F.lit(1))
+        named = once(parts, lambda x: F.when(F.size(x) >= 2, arabic(x)))
+        return F.coalesce(F.when(t.contains("-") | t.contains("–"), named), t)
+
+    return once(text, halved)
 
 
 def strip_bidi(c: Column) -> Column:

@@ -11,6 +11,7 @@ from adloom.functions import fixed_values as V
 from adloom.functions import numbers as N
 from adloom.functions import text as T
 from adloom.functions.dates import day_first_date, iso_date
+from adloom.functions.markup import once
 from adloom.functions.media import images_to_json, original_image_url, whatsapp_number
 from adloom.operators.pages import (
     NO_NOTES, card_date, feature_list, field, page_date, page_vehicle, phone_of_link, settle_pairs,
@@ -102,7 +103,7 @@ def project_source(df: DataFrame, profile: str, as_text: bool = False) -> DataFr
 
 def _foreign(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return df.withColumns(
-        {n: T.blank_to_null(T.strip_foreign(F.col(n))) for n in names if n in df.columns}
+        {n: once(T.strip_foreign(F.col(n)), T.blank_to_null) for n in names if n in df.columns}
     )
 
 

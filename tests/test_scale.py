@@ -33,3 +33,12 @@ def test_responses_that_share_a_file_are_judged_one_by_one(spark, tmp_path):
     checked = read_envelopes_checked(spark, str(tmp_path), end="\x1e")
     assert sorted((r["place"], r["reason"], r["value"]) for r in checked.bad.collect()) == [(1, "no JSON", "{oops"), (3, "no list of items", '{"data": 5}')]
     assert checked.good.count() == 2 and items_of(checked).count() == 3
+
+
+def test_foreign_halves_are_split_once_and_only_where_there_are_halves(spark):
+    from adloom.functions.text import strip_foreign
+
+    rows = spark.createDataFrame([("Kia - كيا",), ("Kia",), (" - ",), ("a-b",), (None,), ("كيا – Kia",)], "x string")
+    found = rows.select(strip_foreign(F.col("x")).alias("x"))
+    assert [r["x"] for r in found.collect()] == ["كيا", "Kia", "-", "a-b", None, "كيا"]
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("split(") <= 1
