@@ -274,8 +274,8 @@ class StatisticsStore:
         self.spark, self.path = spark, path.rstrip("/")
 
     def add(self, batch: int | str, parts: DataFrame) -> None:
-        """Store the parts of one batch, in one file."""
-        parts.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/batch={batch}")
+        """Store the parts of one batch; their files are few where the parts are small, and no task holds them all."""
+        parts.write.mode("overwrite").parquet(f"{self.path}/batch={batch}")
 
     def read(self) -> DataFrame:
         """The parts of all batches, merged."""

@@ -42,3 +42,15 @@ def test_foreign_halves_are_split_once_and_only_where_there_are_halves(spark):
     found = rows.select(strip_foreign(F.col("x")).alias("x"))
     assert [r["x"] for r in found.collect()] == ["كيا", "Kia", "-", "a-b", None, "كيا"]
     assert found._jdf.queryExecution().optimizedPlan().toString().count("split(") <= 1
+
+
+def test_parts_of_a_batch_are_not_drawn_into_one_task(spark, tmp_path):
+    from adloom.operators.stats import StatisticsStore
+    from adloom.plans.registered.streams import _files_for
+
+    store = StatisticsStore(spark, str(tmp_path / "parts"))
+    parts = spark.range(100).selectExpr("'make' AS dimension", "CAST(id % 50 AS STRING) AS name", "id AS n")
+    store.add(0, parts.repartition(3))
+    assert len(list((tmp_path / "parts" / "batch=0").glob("*.parquet"))) == 3
+    assert store.read().count() == 50
+    assert [_files_for(n) for n in (0, 600_000, 10_000_000, 60_000_000)] == [4, 4, 40, 240]
