@@ -131,8 +131,10 @@ LIST_CLASSES = {
     "generic": r"accordion-\d+-content-details|accordion-inner-details",
     "accordion": "box-accordion-1-(?:right|left)",
 }
+LIST_WORD = "accordion-"  # in all of them
 SELLER_CLASSES = "box-container-seller-info|seller-info-box|seller-details"
 FEATURE_CLASSES = "box-accordion-(?!1)"
+FEATURE_WORD = "box-accordion-"  # what these begin with
 DATA_ITEM = "single-listing-data-item"
 CHAPTER = "single-listing-chapter-title"
 GALLERY_IMAGE, ALBUM, CAR_IMAGE = "single-listing-gallery-image", "container-images-album", "car-image"

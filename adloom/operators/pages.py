@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from adloom.functions import fixed_values as V
 from adloom.functions import page_values as W
 from adloom.functions.dates import compact_date, first_date, iso_date, month_name_date
-from adloom.functions.markup import element_contents, first_content, matches, once, opening_tag, pieces_from
+from adloom.functions.markup import element_contents, first_content, holds, holds_any, matches, once, opening_tag, pieces_from
 from adloom.functions.media import keep_photos, unwrap_image_url, vehicle_from_json_ld, whatsapp_number
 from adloom.functions.page_values import NO_NOTES, RULES, SAFETY_WORDS, Rule
 from adloom.functions.text import blank_to_null, contains_any, squeeze, unescape_html
@@ -72,7 +72,14 @@ def _opening(rule: Rule) -> str:
     return opening_tag(rule.tag, *conditions)
 
 
-def _picked(html: Column, rule: Rule, containers: Sequence[str]) -> Column:
+def _words(rule: Rule) -> list[str]:
+    """Words without which the rule finds nothing."""
+    name, _, value = rule.attribute.partition("=")
+    tag = f"<{rule.tag}" if rule.tag else ""
+    return [w for w in (tag, name, value, *re.split(r"[\s*]+", f"{rule.classes} {rule.within}")) if w]
+
+
+def _picked(html: Column, low: Column, rule: Rule, containers: Sequence[str]) -> Column:
     """What one rule finds, or null."""
     scope = html
     if rule.within:
@@ -81,16 +88,18 @@ def _picked(html: Column, rule: Rule, containers: Sequence[str]) -> Column:
         scope = F.get(F.split(behind, f"(?is){others}", 2), F.lit(0)) if others else behind
     opening = _opening(rule)
     if rule.take == "text":
-        return _present(inner_text(_at(element_contents(scope, opening, rule.tag), rule.nth)))
-    return _present(_attribute(_at(matches(scope, f"(?is){opening}", 0), rule.nth), rule.take))
+        found = once(scope, lambda x: inner_text(_at(element_contents(x, opening, rule.tag), rule.nth)))
+    else:
+        found = _attribute(_at(matches(scope, f"(?is){opening}", 0), rule.nth), rule.take)
+    return F.when(holds(low, *_words(rule)), _present(found))
 
 
-def _fields(html: Column, rules: Sequence[Rule]) -> dict[str, Column]:
-    """Each field as the first non-empty value of its rules."""
+def _fields(html: Column, low: Column, rules: Sequence[Rule]) -> dict[str, Column]:
+    """Each field as the first non-empty value of its rules; ``low`` is the page in lower case."""
     containers = list(dict.fromkeys(r.within for r in rules if r.within))
     found: dict[str, list[Column]] = {}
     for rule in rules:
-        found.setdefault(rule.field, []).append(_picked(html, rule, containers))
+        found.setdefault(rule.field, []).append(_picked(html, low, rule, containers))
     return {name: F.coalesce(*values) for name, values in found.items()}
 
 
@@ -124,8 +133,18 @@ def _behind_heading(html: Column, words: Sequence[str], levels: str = HEADING) -
     return _first(html, rf"(?is)<({levels})\b[^>]*>{inside}(?:{'|'.join(words)}){inside}</\1>(.*)", 2)
 
 
-def layout_pairs(html: Column, source: str) -> Column:
-    """EXT-1: ``(strategy, pos, label, value)`` of every layout in use, layout by layout."""
+def _if_held(held: Column, found: Column, kind: str) -> Column:
+    """Nothing where a page lacks the words that ``found`` needs."""
+    return F.when(~held, F.array().cast(kind)).otherwise(found)
+
+
+_PAIRS = "array<struct<strategy:string,label:string,value:string>>"
+
+
+def layout_pairs(html: Column, source: str, low: Column | None = None) -> Column:
+    """EXT-1: ``(strategy, pos, label, value)`` of every layout in use, layout by layout. A layout is looked for
+    only in pages that have its words (``low`` is the page in lower case)."""
+    low = F.lower(html) if low is None else low
     run = F.get(F.split(_behind_heading(html, [W.INFO_HEADING], "h[23]"), r"(?i)<(?!/?(?:div|p)\b)", 2), F.lit(0))
     leaves = F.transform(matches(run, r"(?is)<(div|p)\b[^>]*>([^<]+)</\1>", 2), inner_text)
     grid = once(leaves, lambda x: _pair_list("grid", _every_other(x, 0), _every_other(x, 1)))
@@ -148,20 +167,22 @@ def layout_pairs(html: Column, source: str) -> Column:
     spec = opening_tag("div", _having("class", rf"""[^"'>]*(?:{W.SPEC_CLASSES})[^"'>]*"""))
     row = rf"(?is){spec}\s*<div\b[^>]*>([^<]*)</div>\s*<div\b[^>]*>([^<]*)</div>\s*</div>"
     short = lambda pairs: F.filter(pairs, lambda p: F.length(p["label"]) < W.MAX_LABEL)
+    rows = lambda found: _pair_list("div", *(F.transform(found, lambda x: inner_text(_first(x, row, n))) for n in (2, 3)))
     parts = [
-        grid,
-        _pair_list("dl", _texts(html, "dt"), _texts(html, "dd")),
-        tables,
-        once(items, lambda x: _pair_list("item", side(x, "label"), side(x, "value"))),
-        halves,
-        short(_pair_list("div", F.transform(matches(html, row, 2), inner_text), F.transform(matches(html, row, 3), inner_text))),
+        _if_held(holds(low, W.INFO_HEADING), grid, _PAIRS),
+        _if_held(holds(low, "<dt", "<dd"), _pair_list("dl", _texts(html, "dt"), _texts(html, "dd")), _PAIRS),
+        _if_held(holds(low, "</tr"), tables, _PAIRS),
+        _if_held(holds(low, W.DATA_ITEM), once(items, lambda x: _pair_list("item", side(x, "label"), side(x, "value"))), _PAIRS),
+        _if_held(holds(low, W.CHAPTER), halves, _PAIRS),
+        _if_held(holds(low, "<div", "class") & holds_any(low, W.SPEC_CLASSES.split("|")), short(once(matches(html, row, 0), rows)), _PAIRS),
     ]
     if source in W.LIST_CLASSES:
         box = opening_tag("div", _having("class", rf"""[^"'>]*(?:{W.LIST_CLASSES[source]})[^"'>]*"""))
         lists = F.transform(element_contents(html, box, "div"), lambda x: F.transform(element_contents(x, opening_tag("ul"), "ul"), lambda ul: _texts(ul, "li")))
         lists = F.flatten(F.filter(lists, lambda x: F.size(x) % 2 == 0))
         two = once(lists, lambda x: F.arrays_zip(_every_other(x, 0).alias("a"), _every_other(x, 1).alias("b")))
-        parts.append(short(F.flatten(F.transform(two, lambda x: _pair_list("list", x["a"], x["b"])))))
+        listed = short(F.flatten(F.transform(two, lambda x: _pair_list("list", x["a"], x["b"]))))
+        parts.append(_if_held(holds(low, W.LIST_WORD, "<ul"), listed, _PAIRS))
     # a value that only repeats its label says nothing, but in a definition list it was meant
     told = F.filter(
         F.concat(*parts),
@@ -175,7 +196,7 @@ def layout_pairs(html: Column, source: str) -> Column:
 # --- what a page tells by wording ---------------------------------------------------------------------
 def _following(html: Column, words: Sequence[str], tags: str) -> Column:
     """Text of the first element of ``tags`` behind a heading with one of the words."""
-    return _present(inner_text(first_content(_behind_heading(html, words), opening_tag(tags))))
+    return _present(once(_behind_heading(html, words), lambda x: inner_text(first_content(x, opening_tag(tags)))))
 
 
 def _named_seller(html: Column) -> Column:
@@ -187,31 +208,37 @@ def _named_seller(html: Column) -> Column:
     return F.substring(_at(names, 0), 1, W.MAX_SELLER)
 
 
-def _worded_fields(html: Column, links: Column) -> dict[str, Column]:
+def _worded_fields(html: Column, low: Column, links: Column) -> dict[str, Column]:
     """EXT-2: fields that pages without rules of their own give away by wording or link targets."""
-    leaves = F.transform(matches(html, rf"(?is)<(span|div|p|h2|strong)\b[^>]*>([^<]{{1,{W.MAX_PRICE}}})</\1>", 2), inner_text)
-    priced = F.filter(leaves, lambda x: x.rlike(W.PRICE_MARKS) & x.rlike(r"\d"))
+    leaves = matches(html, rf"(?is)<(span|div|p|h2|strong)\b[^>]*>([^<]{{1,{W.MAX_PRICE}}})</\1>", 2)
+    # reading entities and blanks makes no price mark, so only leaves with one are read
+    marked = F.transform(F.filter(leaves, lambda x: x.rlike(W.PRICE_MARKS)), inner_text)
+    priced = F.filter(marked, lambda x: x.rlike(W.PRICE_MARKS) & x.rlike(r"\d"))
     calls = F.filter(links, lambda x: x.startswith("tel:"))
     chats = F.filter(links, lambda x: x.contains("wa.me") & ~x.startswith("tel:"))
-    seller = F.substring(_following(html, W.SELLER_HEADINGS, "div|p|span|h4|h5"), 1, W.MAX_SELLER)
+    worded = lambda words, found: F.when(holds_any(low, words), found)
+    seller = F.substring(worded(W.SELLER_HEADINGS, _following(html, W.SELLER_HEADINGS, "div|p|span|h4|h5")), 1, W.MAX_SELLER)
     return {
         "price_raw": _at(priced, 0),
-        "description_raw": _following(html, W.DESCRIPTION_HEADINGS, "div|p|section"),
-        "seller_name": F.coalesce(seller, _present(_named_seller(html))),
+        "description_raw": worded(W.DESCRIPTION_HEADINGS, _following(html, W.DESCRIPTION_HEADINGS, "div|p|section")),
+        "seller_name": F.coalesce(seller, worded(W.SELLER_CLASSES.split("|"), _present(_named_seller(html)))),
         "phone_link": _at(calls, 0),
         "whatsapp_link": _at(chats, 0),
     }
 
 
-def _noted_fields(html: Column, raw: Column) -> dict[str, Column]:
+def _noted_fields(html: Column, low: Column, raw: Column) -> dict[str, Column]:
     note = rf"(?is)<(h[2-5])\b[^>]*>[^<]*(?:{W.NOTES_HEADING})[^<]*</\1>(?:\s|<br[^>]*>){{0,9}}<([a-z][a-z0-9]*)\b[^>]*>(.*?)</\2>"
     return {
-        "script_phone": _present(_first(raw, r"let phone\s*=\s*'([^']+)'", 1)),
-        "seller_notes": _present(inner_text(_first(html, note, 3))),
+        "script_phone": F.when(raw.contains("let phone"), _present(_first(raw, r"let phone\s*=\s*'([^']+)'", 1))),
+        "seller_notes": F.when(holds_any(low, ["ملاحظات", "seller"]), _present(inner_text(_first(html, note, 3)))),
     }
 
 
-def _section_features(html: Column) -> Column:
+_FEATURES = "array<struct<section:string,name:string>>"
+
+
+def _section_features(html: Column, low: Column) -> Column:
     """EXT-4: ``(section, name)`` of checked features in table sections and of lists in feature boxes, or
     else of lists behind a caption that speaks of safety or features."""
     named = lambda section, names: F.transform(
@@ -224,10 +251,13 @@ def _section_features(html: Column) -> Column:
     boxes = element_contents(html, opening_tag("div", _having("class", rf"""[^"'>]*{W.FEATURE_CLASSES}[^"'>]*""")), "div")
     caption = lambda box: inner_text(first_content(box, opening_tag(HEADING)))
     listed = F.flatten(F.transform(boxes, lambda b: named(caption(b), _texts(b, "li"))))
+    ticks = _if_held(holds(low, "<td", "colspan", "bg-emerald-100"), ticks, _FEATURES)
+    listed = _if_held(holds(low, "<div", W.FEATURE_WORD), listed, _FEATURES)
     words = "|".join([*W.SAFETY_WORDS, *W.FEATURE_WORDS])
     behind = rf"(?is)<(h[2-4]|p|span)\b[^>]*>([^<]*(?:{words})[^<]*)</\1>(?:\s|</?div\b[^>]*>){{0,9}}<ul\b[^>]*>(.*?)</ul>"
     loose = F.arrays_zip(matches(html, behind, 2).alias("a"), matches(html, behind, 3).alias("b"))
     loose = F.flatten(F.transform(loose, lambda x: named(inner_text(x["a"]), _texts(x["b"], "li"))))
+    loose = _if_held(holds(low, "<ul") & holds_any(low, [*W.SAFETY_WORDS, *W.FEATURE_WORDS]), loose, _FEATURES)
     return once(F.concat(ticks, listed), lambda found: F.when(F.size(found) > 0, found).otherwise(loose))
 
 
@@ -259,25 +289,30 @@ def extract_pages(
     ``key, fields, pairs, images, features, dates, scripts, profiles``.
     """
     raw = F.coalesce(F.col(html), F.lit(""))
-    quiet = F.regexp_replace(raw, r"(?is)<!--.*?-->|<(script|style)\b[^>]*>.*?</\1>", "")
-    rows = pages.select(*key, raw.alias("_raw"), quiet.alias("_html"))
-    html_, raw_ = F.col("_html"), F.col("_raw")
-    links = F.transform(matches(html_, r"(?is)<a\b[^>]*>", 0), lambda t: _attribute(t, "href"))
-    own = _fields(html_, _rules(source, "page"))
-    more = _worded_fields(html_, links) if source == "generic" else _noted_fields(html_, raw_)
+    rows = pages.select(*key, raw.alias("_raw")).withColumn("_low", F.lower("_raw"))
+    html_, raw_, low = F.col("_html"), F.col("_raw"), F.col("_low")
+    quiet = F.regexp_replace(raw_, r"(?is)<!--.*?-->|<(script|style)\b[^>]*>.*?</\1>", "")
+    rows = rows.withColumn("_html", F.when(holds_any(low, ["<!--", "<script", "<style"]), quiet).otherwise(raw_))
+    found_links = F.transform(matches(html_, r"(?is)<a\b[^>]*>", 0), lambda t: _attribute(t, "href"))
+    rows = rows.withColumns({"_low": F.lower("_html"), "_links": found_links})
+    links = F.col("_links")
+    own = _fields(html_, low, _rules(source, "page"))
+    more = _worded_fields(html_, low, links) if source == "generic" else _noted_fields(html_, low, raw_)
     fields = {name: F.coalesce(*[f[name] for f in (own, more) if name in f]) for name in {**own, **more}}
     published = matches(html_, f"(?is)<meta{_having('property', 'article:published_time')}[^>]*>", 0)
     times = matches(html_, r"(?is)<time\b[^>]*\sdatetime=[^>]*>", 0)
     dates = F.concat(F.transform(published, lambda t: _attribute(t, "content")), F.transform(times, lambda t: _attribute(t, "datetime")))
+    dates = _if_held(holds_any(low, ["article:published_time", "<time"]), dates, "array<string>")
     scripts = matches(raw_, f"(?is)<script{_having('type', 'application/ld[+]json')}[^>]*>(.*?)</script>", 1)
+    scripts = _if_held(raw_.contains("<") & F.lower(raw_).contains("ld+json"), scripts, "array<string>")
     # as rows of a generator the fields are found once, whatever reads them and whatever filter stands above
-    found = rows.select(*key, "_raw", "_html", F.inline(F.array(F.struct(_map_of(fields).alias("fields")))))
+    found = rows.select(*key, "_raw", "_html", "_low", "_links", F.inline(F.array(F.struct(_map_of(fields).alias("fields")))))
     return found.select(
         *key,
         "fields",
-        layout_pairs(html_, source).alias("pairs"),
+        layout_pairs(html_, source, low).alias("pairs"),
         page_images(html_, source).alias("images"),
-        _section_features(html_).alias("features"),
+        _section_features(html_, low).alias("features"),
         dates.alias("dates"),
         scripts.alias("scripts"),
         F.filter(links, lambda x: x.contains("/users/") | x.contains("/dealer/")).alias("profiles"),
@@ -304,7 +339,7 @@ def extract_cards(
         return F.filter(F.filter(both, first), lambda e: ~e["key"].isin(list(known)))
 
     def read(x: Column) -> Column:
-        fields = {"card_text": inner_text(x["card"]), **_fields(x["inside"], parts)}
+        fields = {"card_text": inner_text(x["card"]), **_fields(x["inside"], x["low"], parts)}
         if whole.tag != "a":
             fields["parent_url"] = _present(_attribute(_first(x["card"], r"(?is)^<a\b[^>]*>", 0), "href"))
         own = F.concat(F.map_entries(_map_of(fields)), carried(x["opening"], list(fields)))
@@ -315,7 +350,8 @@ def extract_cards(
 
     def card(text: Column) -> Column:
         opening, inside = _first(text, f"(?is){_opening(whole)}", 0), F.regexp_replace(text, f"(?is)^{begin}", "")
-        return once(F.struct(text.alias("card"), opening.alias("opening"), inside.alias("inside")), read)
+        parted = F.struct(text.alias("card"), opening.alias("opening"), inside.alias("inside"))
+        return once(parted, lambda x: once(x.withField("low", F.lower(x["inside"])), read))
 
     # the cards are read where they are exploded, so that whatever reads them finds what was found once
     cards = pages.select(*key, F.posexplode(F.transform(blocks, card)).alias("pos", "_card"))

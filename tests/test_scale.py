@@ -1,5 +1,6 @@
 """Work that has to grow no faster than its input: tasks, passes and files of single operators."""
 
+import re
 from pathlib import Path
 
 import pytest
@@ -54,3 +55,15 @@ def test_parts_of_a_batch_are_not_drawn_into_one_task(spark, tmp_path):
     assert len(list((tmp_path / "parts" / "batch=0").glob("*.parquet"))) == 3
     assert store.read().count() == 50
     assert [_files_for(n) for n in (0, 600_000, 10_000_000, 60_000_000)] == [4, 4, 40, 240]
+
+
+def test_layouts_and_features_are_looked_for_only_where_their_words_are(spark):
+    item = "<li class='single-listing-data-item'><b class='single-listing-data-item-label'>a</b><i class='single-listing-data-item-value'>b</i></li>"
+    html = f"<DL><DT>c</DT><DD>d</DD></DL>{item.upper()}<div class='Car-Detail'><div>e</div><div>f</div></div>"
+    rows = spark.createDataFrame([("1", html), ("2", "<p>none</p>"), ("3", None)], "url string, html string")
+    found = P.extract_pages(rows)
+    pairs = {r["url"]: [(p["strategy"], p["label"], p["value"]) for p in r["pairs"]] for r in found.select("url", "pairs").collect()}
+    assert pairs == {"1": [("dl", "c", "d"), ("item", "A", "B"), ("div", "e", "f")], "2": [], "3": []}
+    plan = found.select("pairs", "features")._jdf.queryExecution().optimizedPlan().toString()
+    for word in ("<dt", "single-listing-data-item", "single-listing-chapter-title", "box-accordion-"):
+        assert re.search(rf"Contains\(_low#\d+, {word}\)", plan)
