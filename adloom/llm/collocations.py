@@ -4,10 +4,10 @@
    first occurrence relation ``(doc, at, phrase)``; ``at`` is the piece in its upper half and the word's place in
    the piece in its lower one, so words next to each other in a piece have addresses next to each other, and
    words of two pieces never do. A phrase carries its language in front, behind a tab. The relation is stored
-   once, bucketed by document and sorted by ``(doc, at)``.
+   once with its phrase's id, bucketed by document and sorted by ``(doc, at)``.
 2. A group-count gives the frequency of each phrase, combined on the map side. Only occurrences of frequent
    phrases go on (semi-join), as ids of 64 bits that are checked to be different for all frequent phrases of a
-   length. The relation then is merge-joined with itself, ``at`` with ``at + 1``: a phrase and the one a word further
+   length. Words are told by their stored ids if no other word has the id of a frequent one. The relation then is merge-joined with itself, ``at`` with ``at + 1``: a phrase and the one a word further
    on make a phrase one word longer, which the pair of their ids stands for. Both sides lie in the same buckets,
    so nothing is shuffled, and an occurrence meets one partner at most.
 3. That repeats up to the greatest length, from the stored relation of the length before.
@@ -172,6 +172,12 @@ def _marked(phrases: DataFrame, *columns: str) -> tuple[DataFrame, int]:
         seed += 1
 
 
+def _stands_alone(frequent: DataFrame, counts: DataFrame) -> bool:
+    """Whether no other phrase has the id of a frequent one, so that the stored ids tell the frequent ones."""
+    same = counts.withColumn("id", _mark(0, "phrase")).join(frequent.select("id"), "id", "left_semi")
+    return same.count() == frequent.count()
+
+
 def frequent_phrases(
     documents: DataFrame, least: int = LEAST, longest: int = LONGEST, buckets: int | None = None, broadcast_rows: int = BROADCAST_ROWS
 ) -> tuple[list[DataFrame], DataFrame]:
@@ -190,14 +196,15 @@ def frequent_phrases(
         few = frequent.count() <= broadcast_rows
         phrases = frequent.select(*columns)
         stay = occurrences.join(F.broadcast(phrases) if few else phrases, list(columns), "left_semi")
-        return stay.select("doc", "at", _mark(seed, *columns).alias("id")), few
+        return stay.select("doc", "at", "id" if columns == ("id",) else _mark(seed, *columns).alias("id")), few
 
     with _settings(spark, _IN_PLACE):
-        occurrences = relations.store(dealt.mapInArrow(cut_documents, "doc bigint, at bigint, phrase string"))
+        cut = dealt.mapInArrow(cut_documents, "doc bigint, at bigint, phrase string")
+        occurrences = relations.store(cut.withColumn("id", _mark(0, "phrase")))
         counts = durable(occurrences.groupBy("phrase").agg(F.count("*").alias("f")))
         totals = durable(counts.groupBy(_lang("phrase").alias("lang")).agg(F.sum("f").alias("n")))
         frequent, seed = _marked(counts.where(F.col("f") >= least), "phrase")
-        found, columns = [frequent], ["phrase"]
+        found, columns = [frequent], ["id"] if seed == 0 and _stands_alone(frequent, counts) else ["phrase"]
         for words in range(1, longest):
             left, in_place = kept(occurrences, frequent, seed, *columns)
             if words > 1 or not in_place:

@@ -108,3 +108,30 @@ def test_ids_of_phrases_never_clash(spark, monkeypatch):
     docs = sample(8, 60)
     got = {tuple(r) for r in collocations.mine_collocations(frame(spark, docs), least=6, top=25).collect()}
     assert got and got == plain_mine(docs, 6, 25)
+
+
+def test_words_are_told_by_stored_ids_unless_a_rare_one_shares_the_id_of_a_frequent_one(spark, monkeypatch):
+    C = collocations
+    texts = [("en", "a b c a b d"), ("en", "a b c a b e"), ("en", "x a b c")]
+    documents = spark.createDataFrame(texts, "lang string, text string")
+
+    def counted():
+        return [sorted(tuple(r) for r in f.collect()) for f in C.frequent_phrases(documents, least=2, longest=3)[0]]
+
+    def joined_by():
+        keys, longer = [], C._longer
+        plan = lambda o: o._jdf.queryExecution().optimizedPlan().toString()
+        monkeypatch.setattr(C, "_longer", lambda o: keys.append(re.search(r"LeftSemi, \((\w+?)#", plan(o)).group(1) if not keys else "") or longer(o))
+        result = counted()
+        monkeypatch.setattr(C, "_longer", longer)
+        return result, keys[0]
+
+    by_id, key = joined_by()
+    assert key == "id" and by_id[1] == [("en\ta b", 5), ("en\tb c", 3), ("en\tc a", 2)]
+    monkeypatch.setattr(C, "_stands_alone", lambda *_: False)
+    assert joined_by() == (by_id, "phrase")
+    words = spark.createDataFrame([("a", 5), ("b", 1)], "phrase string, f bigint")
+    monkeypatch.undo()
+    frequent = words.where("f > 1").withColumn("id", C._mark(0, "phrase"))
+    assert C._stands_alone(frequent, words)
+    assert not C._stands_alone(frequent, words.selectExpr("'a' AS phrase", "f"))
