@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from adloom.functions import fixed_values as V
+from adloom.functions.markup import once
 from adloom.functions.text import arabic_only, blank_to_null, contains_any, first_nonempty, strip
 
 
@@ -30,9 +31,9 @@ def image_entry_url(entry: Column) -> Column:
     ``entry`` is a variant value.
     """
     text = F.coalesce(
-        *[blank_to_null(F.try_variant_get(entry, p, "string")) for p in ("$.url", "$.src", "$.path")]
+        *[once(F.try_variant_get(entry, p, "string"), blank_to_null) for p in ("$.url", "$.src", "$.path")]
     )
-    is_object = F.schema_of_variant(entry).startswith("OBJECT")
+    is_object = F.try_variant_get(entry, "$", "map<string,variant>").isNotNull()
     return strip(F.when(is_object, text).otherwise(F.try_variant_get(entry, "$", "string")))
 
 

@@ -12,8 +12,9 @@ from adloom.functions import media as M
 from adloom.functions import numbers as N
 from adloom.functions import text as T
 from adloom.functions.dates import iso_date, relative_date
+from adloom.functions.markup import once
 from adloom.operators.specs import field_value, mine_description
-from adloom.sources.envelope import ITEMS, member, pick, with_texts
+from adloom.sources.envelope import ITEMS, is_object, member, pick, with_texts
 from adloom.sources.schemas import COLUMNS
 
 def _image_list(value: Column) -> Column:
@@ -202,17 +203,17 @@ def attribute_pairs(attributes: Column) -> Column:
     """
 
     def parts(a: Column) -> Column:
+        form = F.try_variant_get(a, "$.template_field", "variant")
         return F.struct(
-            a.alias("flat"), F.try_variant_get(a, "$.template_field", "variant").alias("form"),
+            a.alias("flat"),
+            once(form, lambda f: F.when(is_object(f), f)).alias("form"),
             F.try_variant_get(a, "$.value", "variant").alias("value"),
         )
 
     def texts(p: Column) -> Column:
         form, flat, value = p["form"], p["flat"], p["value"]
-        nested = F.schema_of_variant(form).startswith("OBJECT")
-        inner = F.when(
-            F.schema_of_variant(value).startswith("OBJECT"), pick(["ar", "en"], value)
-        ).otherwise(F.try_variant_get(value, "$", "string"))
+        nested = form.isNotNull()
+        inner = F.when(is_object(value), pick(["ar", "en"], value)).otherwise(F.try_variant_get(value, "$", "string"))
         own = {k: pick(keys, flat) for k, keys in ATTRIBUTE_PATHS.items()}
         return F.struct(
             F.when(nested, pick(["slug"], form)).otherwise(own["slug"]).alias("slug"),
@@ -225,7 +226,8 @@ def attribute_pairs(attributes: Column) -> Column:
             T.map_value(T.strip(p["slug"]), V.ADVERT_SLUGS),
             T.map_value(T.squeeze(p["label"]), V.ADVERT_LABELS),
         )
-        return F.struct(target.alias("field"), T.squeeze(p["text"]).alias("value"))
+        # a value whose field is not known is dropped, so it is not made tidy either
+        return once(target, lambda f: F.struct(f.alias("field"), F.when(f.isNotNull(), T.squeeze(p["text"])).alias("value")))
 
     missing = ["", *V.PLACEHOLDERS, *V.UNSPECIFIED]
     found = F.transform(F.transform(F.transform(attributes, parts), texts), pair)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adloom.functions import fixed_values as V
+from adloom.functions.markup import once
 from adloom.functions.text import clean
 
 ITEMS = "array<variant>"
@@ -98,15 +99,32 @@ def member(key: str, *items: Column) -> Column:
 _DOUBTFUL = ["", "0", "0.0", "false", "[]", "{}"]
 
 
+def _unless_falsy(text: Column, value: Column) -> Column:
+    """``text`` of the variant ``value``, which is rendered only if the text leaves doubt."""
+    return F.when(~text.isin(_DOUBTFUL), text).when(~F.to_json(value).isin(FALSY), text)
+
+
 def truthy(value: Column) -> Column:
     """Text of a variant; blank, zero, false, empty and null are NULL."""
-    text = F.try_variant_get(value, "$", "string")
-    return F.when(~text.isin(_DOUBTFUL), text).when(~F.to_json(value).isin(FALSY), text)
+    return _unless_falsy(F.try_variant_get(value, "$", "string"), value)
+
+
+def is_object(value: Column) -> Column:
+    """Whether a variant is an object; its members' types, which ``schema_of_variant`` works out, are not asked."""
+    return F.try_variant_get(value, "$", "map<string,variant>").isNotNull()
 
 
 def pick(keys: Sequence[str], *items: Column) -> Column:
-    """First truthy member among several key spellings, merged over ``items``."""
-    return F.coalesce(*[truthy(member(k, *items)) for k in keys])
+    """First truthy member among several key spellings, merged over ``items``. Inside a lambda nothing is shared, so
+    a text is bound before it is looked at."""
+
+    def text(key: str) -> Column:
+        if len(items) > 1:
+            return once(member(key, *items), lambda v: once(F.try_variant_get(v, "$", "string"), lambda t: _unless_falsy(t, v)))
+        found = F.try_variant_get(items[0], f"$.{key}", "string")
+        return once(found, lambda t: _unless_falsy(t, member(key, *items)))
+
+    return F.coalesce(*[text(k) for k in keys])
 
 
 def pick_clean(keys: Sequence[str], *items: Column) -> Column:

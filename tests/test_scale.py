@@ -67,3 +67,15 @@ def test_layouts_and_features_are_looked_for_only_where_their_words_are(spark):
     plan = found.select("pairs", "features")._jdf.queryExecution().optimizedPlan().toString()
     for word in ("<dt", "single-listing-data-item", "single-listing-chapter-title", "box-accordion-"):
         assert re.search(rf"Contains\(_low#\d+, {word}\)", plan)
+
+
+def test_objects_among_variants_are_told_without_their_schema(spark):
+    from adloom.plans.flatten import attribute_pairs
+    from adloom.sources.envelope import ITEMS
+
+    text = """[{"template_field": {"slug": "mileage"}, "value": {"ar": " 5  km"}}, {"template_field": null, "slug": "mileage", "value": 7},
+               {"template_field": "x", "key": "mileage", "value": ""}, {"slug": "unheard", "value": 1}, 3, null]"""
+    rows = spark.createDataFrame([(text,)], "x string").select(F.try_variant_get(F.try_parse_json("x"), "$", ITEMS).alias("x"))
+    found = rows.select(attribute_pairs(F.col("x")).alias("pairs"))
+    assert [tuple(p) for p in found.first()["pairs"]] == [("mileage", "5 km"), ("mileage", "7")]
+    assert "schema_of_variant" not in found._jdf.queryExecution().optimizedPlan().toString().lower()
