@@ -244,16 +244,17 @@ _LIMITS = {"cars": {"top_makes": 5, "most_common_models": 10}, "realestate": {"t
 _PRICED = {"cars": [TOTAL], "realestate": [TOTAL, "most_expensive_locations"]}
 
 
-def partial_statistics(df: DataFrame, kind: str = "cars") -> DataFrame:
+def partial_statistics(df: DataFrame, kind: str = "cars", by: Sequence[str] = ()) -> DataFrame:
     """AGG-18 / STM-7: what the sections of a market analysis are made of, for one batch of listings.
 
     ``(dimension, name, n, <number>_sum, <number>_n, <number>_min, <number>_max, filled_<column>)``: counts, sums and
     extremes only, so that the parts of batches merge into those of all their listings. One aggregation by
     ``(dimension, name)`` yields them; figures over everything belong to the one-member dimension ``total``, and only
-    rows of a dimension that needs a figure carry the number it is made of.
+    rows of a dimension that needs a figure carry the number it is made of. The columns ``by`` tell several batches
+    apart, whose parts then come from one pass; they are no columns of a listing.
     """
     numbers, dimensions = _plan(df, kind)
-    return _grouped(df, {TOTAL: F.lit(TOTAL), **dimensions}, numbers, _PRICED[kind])
+    return _grouped(df, {TOTAL: F.lit(TOTAL), **dimensions}, numbers, _PRICED[kind], by)
 
 
 def merge_statistics(parts: DataFrame) -> DataFrame:
@@ -319,10 +320,10 @@ def market_sections(parts: DataFrame, kind: str = "cars", as_of: Column | None =
 
 
 def _grouped(
-    df: DataFrame, dimensions: Mapping[str, Column], numbers: Mapping[str, Column], priced: Sequence[str]
+    df: DataFrame, dimensions: Mapping[str, Column], numbers: Mapping[str, Column], priced: Sequence[str], by: Sequence[str] = ()
 ) -> DataFrame:
     """The flags of filled columns travel with the one-member dimension only."""
-    filled = {n: F.coalesce(is_filled(n, k), F.lit(False)) for n, k in df.dtypes}
+    filled = {n: F.coalesce(is_filled(n, k), F.lit(False)) for n, k in df.dtypes if n not in by}
 
     def entry(dimension: str, name: Column) -> Column:
         carried = [
@@ -332,13 +333,13 @@ def _grouped(
         flags = [(f if dimension == TOTAL else F.lit(None).cast("boolean")).alias(f"filled_{n}") for n, f in filled.items()]
         return F.struct(F.lit(dimension).alias("dimension"), name.cast("string").alias("name"), *carried, *flags)
 
-    exploded = df.select(F.inline(F.array(*[entry(d, c) for d, c in dimensions.items()])))
+    exploded = df.select(*by, F.inline(F.array(*[entry(d, c) for d, c in dimensions.items()])))
     figures = [
         f(k).alias(f"{k}_{label}")
         for k in numbers for label, f in (("sum", F.sum), ("n", F.count), ("min", F.min), ("max", F.max))
     ]
     return (
-        exploded.filter("name IS NOT NULL").groupBy("dimension", "name")
+        exploded.filter("name IS NOT NULL").groupBy(*by, "dimension", "name")
         .agg(F.count("*").alias("n"), *figures, *[F.count_if(F.col(f"`filled_{n}`")).alias(f"filled_{n}") for n in filled])
     )
 

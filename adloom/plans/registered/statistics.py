@@ -222,10 +222,15 @@ def _(spark, sf):
 
 @query("market_analysis_batches", CARS_SQL)
 def _(spark, sf):
-    """Four batches of listings, each seen once; the second arrives twice."""
+    """Four batches of listings, each seen once; the second arrives twice.
+
+    The listings are joined and counted once, by batch; a join per batch would send its small side to the driver each time.
+    """
     store, rows = S.StatisticsStore(spark, fresh_path(spark, "statistics")), listing_view(spark, sf)
-    for batch, years in enumerate(["year < 1994", "year = 1994", "year = 1994", "year BETWEEN 1995 AND 1996", "year > 1996"]):
-        store.add(batch if batch < 2 else batch - 1, S.partial_statistics(rows.filter(years)))
+    batch = F.when(F.col("year") < 1994, 0).when(F.col("year") == 1994, 1).when(F.col("year") <= 1996, 2).when(F.col("year") > 1996, 3)
+    parts = durable(S.partial_statistics(rows.withColumn("batch", batch).filter("batch IS NOT NULL"), by=["batch"]))
+    for number in (0, 1, 1, 2, 3):
+        store.add(number, parts.filter(F.col("batch") == number).drop("batch"))
     return S.market_sections(durable(store.read()), as_of=F.lit(AS_OF)).withColumn("value", F.round("value", 4))
 
 

@@ -79,3 +79,27 @@ def test_objects_among_variants_are_told_without_their_schema(spark):
     found = rows.select(attribute_pairs(F.col("x")).alias("pairs"))
     assert [tuple(p) for p in found.first()["pairs"]] == [("mileage", "5 km"), ("mileage", "7")]
     assert "schema_of_variant" not in found._jdf.queryExecution().optimizedPlan().toString().lower()
+
+
+@pytest.mark.skipif(not DATA.exists(), reason="no test tables")
+def test_batches_of_statistics_come_from_one_pass(spark, monkeypatch):
+    from adloom.operators import stats as S
+    from adloom.plans.registered import load_all
+
+    added, add = [], S.StatisticsStore.add
+    monkeypatch.setattr(S.StatisticsStore, "add", lambda self, batch, parts: (added.append((batch, parts)), add(self, batch, parts)))
+    load_all()["market_analysis_batches"].run(spark, str(DATA))
+    assert [batch for batch, _ in added] == [0, 1, 1, 2, 3]
+    assert not any("lineitem" in f or "part.parquet" in f for _, parts in added for f in parts.inputFiles())
+
+
+def test_parts_by_batch_equal_those_of_each_batch(spark):
+    from adloom.operators import stats as S
+
+    rows = [("a", "m", 1999, "b", "f", None, 5.0, 0), ("a", "n", 2000, None, "f", "t", 0.0, 1), ("c", None, None, "b", None, "t", 7.0, 1)]
+    frame = spark.createDataFrame(rows, "make string, model string, year int, body_type string, fuel_type string, transmission string, price double, batch int")
+    parts = S.partial_statistics(frame, by=["batch"])
+    for batch in (0, 1):
+        own = S.partial_statistics(frame.filter(F.col("batch") == batch).drop("batch"))
+        assert parts.filter(F.col("batch") == batch).drop("batch").exceptAll(own).count() == 0
+        assert own.exceptAll(parts.filter(F.col("batch") == batch).drop("batch")).count() == 0
