@@ -1,7 +1,7 @@
 """Mentions of a vocabulary in free text (STR-15, STR-18, STR-19, JN-6).
 
-Texts and names are cut into folded tokens alike. Every run of tokens of a length that some name has is looked up
-in the vocabulary by an equi-join, so a longer vocabulary costs no longer expression: the names may be thousands.
+Texts and names are cut into folded tokens alike. Every run of tokens of a length that some name has, and that begins
+like a name, is looked up in the vocabulary by an equi-join, so a longer vocabulary costs no longer expression: the names may be thousands.
 Of mentions that overlap, those inside a longer one are dropped. What is scanned once stays in its row until the
 join; a vocabulary that the optimiser knows to be small is broadcast by it, and a larger one is shuffled with the runs.
 """
@@ -18,7 +18,7 @@ from adloom.session import durable
 def tokens(text: Column) -> Column:
     """Runs of letters and digits, lower-cased and with Arabic letter forms folded."""
     folded = fold_ar(F.lower(F.coalesce(text, F.lit(""))))
-    return F.filter(F.split(folded, r"[^\p{L}\p{N}]+"), lambda t: t != "")
+    return F.array_remove(F.split(folded, r"[^\p{L}\p{N}]+"), "")
 
 
 def _named(vocabulary: DataFrame) -> DataFrame:
@@ -38,16 +38,17 @@ def find_mentions(texts: DataFrame, vocabulary: DataFrame, key: str = "id", text
     names = durable(every.groupBy("_run", "_size").agg(first))
     sizes = sorted(r["_size"] for r in names.select("_size").distinct().collect())  # as many as name lengths
     words = texts.select(key, tokens(F.col(text)).alias("_words"))
-
-    def runs(size: int) -> Column:
-        starts = F.when(F.size("_words") >= size, F.sequence(F.lit(0), F.size("_words") - size))
-        run = lambda i: F.array_join(F.slice("_words", i + 1, size), " ")
-        own = F.transform(starts, lambda i: F.struct(i.alias("start"), F.lit(size).alias("size"), run(i).alias("_run")))
-        return F.coalesce(own, F.array().cast("array<struct<start:int,size:int,_run:string>>"))
-
-    if not sizes:
-        sizes = [1]
-    spread = words.select(key, F.inline(F.concat(*[runs(n) for n in sizes])))
+    sizes = sizes or [1]
+    # every token with those after it; most begin no name, so their runs are never put together
+    following = [F.slice("_words", i + 1, F.size("_words")) for i in range(max(sizes))]
+    places = words.select(key, F.posexplode(F.arrays_zip(*following)).alias("start", "_next"))
+    own = [F.col("_next").getField(str(i)) for i in range(max(sizes))]
+    firsts = names.select(F.substring_index("_run", " ", 1).alias("_first")).distinct()
+    places = places.join(firsts, own[0] == F.col("_first"), "left_semi")
+    runs = [
+        F.struct(F.lit(n).alias("size"), F.when(own[n - 1].isNotNull(), F.concat_ws(" ", *own[:n])).alias("_run")) for n in sizes
+    ]
+    spread = places.select(key, "start", F.inline(F.array(*runs)))
     hits = spread.join(names.drop("_size"), "_run").select(key, "start", "size", "_entry.*")
     reach = F.max(F.col("start") + F.col("size")).over(
         Window.partitionBy(key).orderBy("start", F.desc("size")).rowsBetween(Window.unboundedPreceding, -1)

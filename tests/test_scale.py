@@ -103,3 +103,14 @@ def test_parts_by_batch_equal_those_of_each_batch(spark):
         own = S.partial_statistics(frame.filter(F.col("batch") == batch).drop("batch"))
         assert parts.filter(F.col("batch") == batch).drop("batch").exceptAll(own).count() == 0
         assert own.exceptAll(parts.filter(F.col("batch") == batch).drop("batch")).count() == 0
+
+
+def test_only_runs_that_begin_like_a_name_are_put_together(spark):
+    from adloom.operators.mentions import find_mentions
+
+    texts = spark.createDataFrame([("1", "big red car and a Big RED"), ("2", "red"), ("3", ""), ("4", None), ("5", "big")], "id string, text string")
+    names = spark.createDataFrame([("big red car", 0), ("red", 1), ("Big red", 2), ("car and a big house", 3)], "name string, ord int")
+    found = find_mentions(texts, names)
+    assert sorted((r["id"], r["start"], r["size"], r["name"]) for r in found.collect()) == [("1", 0, 3, "big red car"), ("1", 5, 2, "Big red"), ("2", 0, 1, "red")]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in plan and "lambda" not in plan
