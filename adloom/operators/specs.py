@@ -13,9 +13,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adloom.functions import fixed_values as V
+from adloom.functions.markup import once
 from adloom.functions.numbers import clean_mileage
 from adloom.functions.text import (
-    ascii_digits, blank_to_null, clean, clean_dashes, map_value, squeeze, strip,
+    ascii_digits, blank_to_null, clean, clean_dashes, contains_any, map_value, squeeze, strip,
 )
 
 
@@ -78,15 +79,19 @@ def with_specs(
 
 
 def zip_pairs(labels: Column, values: Column) -> Column:
-    """JN-12: position-wise pairs, cut to the shorter list."""
-    both = F.least(F.size(labels), F.size(values))
-    return F.transform(
-        F.slice(labels, 1, both),
-        lambda label, i: F.struct(
-            i.cast("int").alias("pos"), label.alias("label"),
-            F.try_element_at(values, i + 1).alias("value"),
-        ),
-    )
+    """JN-12: position-wise pairs, cut to the shorter list. Both lists are made once, not again for every pair."""
+
+    def pairs(labels: Column, values: Column) -> Column:
+        both = F.least(F.size(labels), F.size(values))
+        return F.transform(
+            F.slice(labels, 1, both),
+            lambda label, i: F.struct(
+                i.cast("int").alias("pos"), label.alias("label"),
+                F.try_element_at(values, i + 1).alias("value"),
+            ),
+        )
+
+    return once(labels, lambda names: once(values, lambda texts: pairs(names, texts)))
 
 
 def halves(items: Column) -> Column:
@@ -102,22 +107,24 @@ PLACES = [
     r"(?U)(?:📌\s*)?العنوان\s*[:：]\s*([^\n/▪،,\d]{2,40})",
     r"(?U)تواجد\s+([^\n/▪،,\d]{2,30})",
 ]
+PLACE_WORDS = ["العنوان", "تواجد"]
 DRIVEN = r"(?iU)(?:ماشية|عداد)[^\d]*(\d[\d,،٬.]*)\s*(?:(الف|ألف)\s*)?(?:كيلو|كم|km|K)?"
+DRIVEN_WORDS = ["ماشية", "عداد"]
 BUILT = r"(?U)(?:سنة|موديل)\s*(?:الصنع|الإنتاج)?\s*[:،]?\s*(20\d{2}|19\d{2})"
+BUILT_WORDS = ["سنة", "موديل"]
+
+
+def _where(text: Column, words: Sequence[str], found: Column) -> Column:
+    """``found``, which a pattern gives only in texts with one of ``words``; elsewhere the pattern is not tried."""
+    return F.when(contains_any(text, words), found)
 
 
 def description_pairs(description: Column) -> Column:
     """Bullet lines ``▪label : value`` as pairs in text order; tatweel is ignored."""
     text = F.translate(description, "ـ", "")
     labels = F.transform(F.regexp_extract_all(text, F.lit(BULLET), 1), squeeze)
-    values = F.regexp_extract_all(text, F.lit(BULLET), 2)
-    return F.transform(
-        zip_pairs(labels, values),
-        lambda p: F.struct(
-            p["pos"].alias("pos"), p["label"].alias("label"),
-            clean_dashes(p["value"]).alias("value"),
-        ),
-    )
+    values = F.transform(F.regexp_extract_all(text, F.lit(BULLET), 2), clean_dashes)
+    return zip_pairs(labels, values)
 
 
 def mine_description(df: DataFrame, description: str, prefix: str = "desc_") -> DataFrame:
@@ -132,12 +139,14 @@ def mine_description(df: DataFrame, description: str, prefix: str = "desc_") ->
         prefix=prefix,
     ).drop("_bullets")
     number = F.translate(F.regexp_extract(text, DRIVEN, 1), ",،٬.", "")
-    driven = F.when(
+    driven = _where(text, DRIVEN_WORDS, F.when(
         F.regexp_extract(text, DRIVEN, 2) != "",
         (ascii_digits(number).try_cast("bigint") * 1000).cast("string"),
-    ).otherwise(blank_to_null(number))
-    place = F.coalesce(*[clean(F.regexp_extract(text, p, 1), V.DASHES) for p in PLACES])
-    built = blank_to_null(F.regexp_extract(text, BUILT, 1))
+    ).otherwise(blank_to_null(number)))
+    place = F.coalesce(*[
+        _where(text, [word], once(F.regexp_extract(text, p, 1), lambda t: clean(t, V.DASHES))) for word, p in zip(PLACE_WORDS, PLACES)
+    ])
+    built = _where(text, BUILT_WORDS, blank_to_null(F.regexp_extract(text, BUILT, 1)))
     mileage = clean_mileage(F.col(f"{prefix}mileage"), thousands=False)
     return out.withColumns(
         {

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from adloom.operators import specs as S
-from adloom.plans.registered.base import query, table
+from adloom.plans.registered.base import query, spread, table
 
 _LABELS = {
     "السنة": "year", "سنة الصنع": "year", "الماركة": "make", "الوقود": "fuel_type", "نوع الوقود": "fuel_type",
@@ -105,5 +105,5 @@ def _(spark, sf):
         F.lit("•نوع السيارة: "), F.col("p_name"), F.lit("\nماشية "), size, F.lit(" الف كيلو تواجد حلب الجديدة\nسنة الصنع: "),
         (1960 + F.col("p_size")).cast("string"), F.lit("\n▸الوقود ： "), F.col("p_type"),
     )
-    rows = table(spark, sf, "part").select("p_partkey", F.when(F.col("p_size") < 25, bullets).otherwise(prose).alias("text"))
+    rows = spread(table(spark, sf, "part")).select("p_partkey", F.when(F.col("p_size") < 25, bullets).otherwise(prose).alias("text"))
     return S.mine_description(rows, "text", prefix="").select("p_partkey", "model", "fuel_type", "color", "mileage", "year", "city")

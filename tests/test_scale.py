@@ -114,3 +114,25 @@ def test_only_runs_that_begin_like_a_name_are_put_together(spark):
     assert sorted((r["id"], r["start"], r["size"], r["name"]) for r in found.collect()) == [("1", 0, 3, "big red car"), ("1", 5, 2, "Big red"), ("2", 0, 1, "red")]
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert "LeftSemi" in plan and "lambda" not in plan
+
+
+@pytest.mark.skipif(not DATA.exists(), reason="no test tables")
+def test_descriptions_of_a_table_of_one_file_are_mined_by_many_tasks(spark):
+    from adloom.plans.registered import load_all
+
+    mined = load_all()["description_mining"].run(spark, str(DATA))
+    assert mined.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_bullets_are_found_once_and_other_patterns_tried_only_where_their_words_are(spark):
+    from adloom.operators.specs import description_pairs, mine_description
+
+    texts = ["▪اللون : - \n▪نوع الـوقود  :  ديزل\n• اللون : أحمر", "ماشية 12 الف كيلو", "سنة 1999\nتواجد حلب الجديدة", "📌العنوان : دمشق / القصور", "", None]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, text string")
+    found = frame.select("id", description_pairs(F.col("text")).alias("pairs"))
+    assert [tuple(p) for p in found.filter("id = 0").first()["pairs"]] == [(0, "اللون", None), (1, "نوع الوقود", "ديزل"), (2, "اللون", "أحمر")]
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all") == 2
+    mined = {r["id"]: (r["fuel_type"], r["color"], r["mileage"], r["year"], r["city"]) for r in mine_description(frame, "text", prefix="").collect()}
+    none = (None,) * 5
+    assert mined == {0: ("ديزل", "أحمر", None, None, None), 1: (None, None, "12000", None, None), 2: (None, None, None, "1999", "حلب الجديدة"),
+                     3: (None, None, None, None, "دمشق"), 4: none, 5: none}
