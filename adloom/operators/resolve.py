@@ -92,16 +92,17 @@ def match_containment(
     A value that folds to nothing is contained in every candidate and takes the first one. A value
     of one character matches too; ``min_length`` switches such short matches off.
     """
-    probes = values.filter(F.length("folded") >= min_length).select(
+    long_enough = values.filter(F.length("folded") >= min_length) if min_length > 0 else values
+    probes = long_enough.select(
         "list", F.col("folded").alias("probe"), F.substring("folded", 1, 3).alias("piece")
     )
-    pieces = _candidate_pieces(folded, (1, 2, 3))
-    hits = probes.filter("probe <> ''").join(pieces, ["list", "piece"])
+    # of each list the first candidate stands for the empty piece, so blank values need no join, and no scan, of their own
+    first = F.struct("ord", "name", "folded")
+    firsts = folded.groupBy("list").agg(F.min_by(first, "ord").alias("_first")).select("list", "_first.*", F.lit("").alias("piece"))
+    hits = probes.join(_candidate_pieces(folded, (1, 2, 3)).unionByName(firsts), ["list", "piece"])
     hits = hits.filter(F.col("folded").contains(F.col("probe")))
     found = hits.groupBy("list", "probe").agg(F.min_by("name", "ord").alias("name"))
-    firsts = folded.groupBy("list").agg(F.min_by("name", "ord").alias("name"))
-    blanks = probes.filter("probe = ''").select("list", "probe").join(firsts, "list")
-    return found.unionByName(blanks).withColumnRenamed("probe", "folded")
+    return found.withColumnRenamed("probe", "folded")
 
 
 def similar_pairs(values: DataFrame, folded: DataFrame, threshold: float) -> DataFrame:

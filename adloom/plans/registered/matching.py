@@ -99,8 +99,9 @@ def _(spark, sf):
     """,
 )
 def _(spark, sf):
-    runs = F.array_distinct(F.regexp_extract_all("text", F.lit(r"([^ \t\r\n]+)"), 1))
-    words = table(spark, sf, "documents").select(F.explode(runs).alias("word")).distinct()
+    runs = F.split("text", r"[ \t\r\n]+")
+    # written, as conditions on the folded word would otherwise be tried on every word of every text
+    words = durable(table(spark, sf, "documents").select(F.explode(runs).alias("word")).filter("word <> ''").distinct())
     values = words.select(F.lit("names").alias("list"), fold_ar(F.col("word")).alias("folded")).distinct()
     found = R.match_containment(values, R.folded_candidates(_names(spark, sf)))
     return found.select(F.col("folded").alias("word"), F.col("name").alias("match"))

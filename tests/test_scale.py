@@ -136,3 +136,14 @@ def test_bullets_are_found_once_and_other_patterns_tried_only_where_their_words_
     none = (None,) * 5
     assert mined == {0: ("ديزل", "أحمر", None, None, None), 1: (None, None, "12000", None, None), 2: (None, None, None, "1999", "حلب الجديدة"),
                      3: (None, None, None, None, "دمشق"), 4: none, 5: none}
+
+
+def test_values_are_read_once_for_containment(spark, tmp_path):
+    from adloom.operators.resolve import folded_candidates, match_containment
+
+    values = spark.createDataFrame([("l", "bc"), ("l", ""), ("l", "zz"), ("k", ""), ("l", "abcd")], "list string, folded string")
+    values.write.parquet(str(tmp_path / "values"))
+    names = folded_candidates(spark.createDataFrame([("l", 2, "abcd"), ("l", 1, "xbc"), ("l", 0, "q")], "list string, ord int, name string"))
+    found = match_containment(spark.read.parquet(str(tmp_path / "values")), names)
+    assert sorted(tuple(r) for r in found.collect()) == [("l", "", "q"), ("l", "abcd", "abcd"), ("l", "bc", "xbc")]
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("parquet") == 1
