@@ -6,7 +6,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from adloom.functions import fixed_values as V
-from adloom.functions.text import YEAR_PATTERN, ascii_digits, blank_to_null, strip
+from adloom.functions.markup import once
+from adloom.functions.text import WHITE_SPACE, YEAR_PATTERN, ascii_digits, blank_to_null, strip
+
+# what ``(?U)\s`` is in a pattern: white space without the four separators
+PATTERN_SPACE = WHITE_SPACE.translate(dict.fromkeys(range(0x1C, 0x20)))
 
 
 def clean_number(c: Column) -> Column:
@@ -21,7 +25,7 @@ def clean_cylinders(c: Column) -> Column:
 
 
 def _digits_and_dots(c: Column) -> Column:
-    return F.regexp_replace(c, r"(?U)[^\d.]", "")
+    return F.regexp_replace(c, r"(?U)[^\d.]+", "")
 
 
 def parse_price(c: Column) -> Column:
@@ -40,10 +44,12 @@ def _plain(value: Column) -> Column:
 
 def price_digits(c: Column, keep_junk: bool = True) -> Column:
     """NUM-2: price as digits; unparseable text keeps its digits, or is NULL."""
-    digits = _digits_and_dots(c)
-    value = ascii_digits(digits).try_cast("double")
-    junk = blank_to_null(digits) if keep_junk else F.lit(None).cast("string")
-    return F.when(value.isNull(), junk).otherwise(_plain(value))
+
+    def plain(digits: Column) -> Column:
+        junk = blank_to_null(digits) if keep_junk else F.lit(None).cast("string")
+        return once(ascii_digits(digits).try_cast("double"), lambda value: F.when(value.isNull(), junk).otherwise(_plain(value)))
+
+    return once(_digits_and_dots(c), plain)
 
 
 def price_with_commas(c: Column) -> Column:
@@ -72,19 +78,29 @@ def clean_year(c: Column) -> Column:
 
 def clean_mileage(c: Column, thousands: bool = True) -> Column:
     """NUM-6: drop separators and the unit; ``210 ألف`` is 210000 unless switched off."""
-    text = F.translate(c, ",،٬", "")
-    text = strip(F.regexp_replace(text, r"(?iU)\s*(?:كم|km)\s*$", ""))
-    if not thousands:
-        return blank_to_null(text)
-    count = F.regexp_extract(text, rf"(?U)^(\d+)\s*{V.THOUSAND}\s*$", 1)
-    scaled = (ascii_digits(count).try_cast("bigint") * 1000).cast("string")
-    return blank_to_null(F.coalesce(scaled, text))
+
+    def without_unit(text: Column) -> Column:
+        led = once(F.rtrim(text, F.lit(PATTERN_SPACE)), lambda t: F.when(
+            F.lower(F.substring(t, -2, 2)).isin("كم", "km"), F.substring(t, F.lit(1), F.length(t) - 2)
+        ))
+        return strip(F.coalesce(led, text))
+
+    def scaled(text: Column) -> Column:
+        count = F.regexp_extract(text, rf"(?U)^(\d+)\s*{V.THOUSAND}\s*$", 1)
+        number = (ascii_digits(count).try_cast("bigint") * 1000).cast("string")
+        return F.coalesce(F.when(text.contains(V.THOUSAND), number), blank_to_null(text))
+
+    bare = once(F.translate(c, ",،٬", ""), without_unit)
+    return once(bare, scaled) if thousands else once(bare, blank_to_null)
 
 
 def extract_mileage(c: Column) -> Column:
     """NUM-7: the first number of a text with its unit, when it lies in 100..1 000 000."""
     pattern = r"(?iU)(\+?[\d,]+)\s*(كم|km|كيلو|كيلومتر)?"
-    number, unit = F.regexp_extract(c, pattern, 1), F.regexp_extract(c, pattern, 2)
-    value = ascii_digits(F.translate(number, ",+", "")).try_cast("bigint")
-    unit = F.when(unit == "", F.lit(V.KM_UNIT)).otherwise(unit)
-    return F.when(value.between(100, 1_000_000), F.concat_ws(" ", number, unit))
+
+    def written(number: Column) -> Column:
+        unit = once(F.regexp_extract(c, pattern, 2), lambda u: F.when(u == "", F.lit(V.KM_UNIT)).otherwise(u))
+        value = ascii_digits(F.translate(number, ",+", "")).try_cast("bigint")
+        return once(value, lambda v: F.when(v.between(100, 1_000_000), F.concat_ws(" ", number, unit)))
+
+    return once(F.regexp_extract(c, pattern, 1), written)

@@ -147,3 +147,16 @@ def test_values_are_read_once_for_containment(spark, tmp_path):
     found = match_containment(spark.read.parquet(str(tmp_path / "values")), names)
     assert sorted(tuple(r) for r in found.collect()) == [("l", "", "q"), ("l", "abcd", "abcd"), ("l", "bc", "xbc")]
     assert found._jdf.queryExecution().optimizedPlan().toString().count("parquet") == 1
+
+
+def test_a_mileage_is_cleaned_with_one_pattern(spark):
+    from adloom.functions.numbers import clean_mileage, extract_mileage, price_digits
+
+    texts = ["210 ألف", "210 ألف كم", "5 KM ", "5km\n", "5 \u212am", "km", "5 km km", "x km\x1f", "1,200\u2003كم\u2028", "٣ ألف", "ألف", " ", None, "12 كمx"]
+    frame = spark.createDataFrame([(t,) for t in texts], "x string")
+    done = frame.select(clean_mileage(F.col("x")).alias("m"), clean_mileage(F.col("x"), thousands=False).alias("p"))
+    assert [r["m"] for r in done.collect()] == ["210000", "210000", "5", "5", "5", None, "5 km", "x km", "1200", "3000", "ألف", None, None, "12 كمx"]
+    assert [r["p"] for r in done.collect()][:3] == ["210 ألف", "210 ألف", "5"]
+    for make, most in ((clean_mileage, 1), (extract_mileage, 2), (price_digits, 2)):
+        plan = frame.select(make(F.col("x")).alias("m"))._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("regexp_") <= most, plan
