@@ -1,8 +1,8 @@
 """Canonicalisation against a controlled vocabulary (CAN-*, JN-6 to JN-9, AGG-19).
 
-Matching happens on *distinct* values, never on listing rows: one aggregation collects the values of
-all fields (combining on the map side, so a value held by a third of the rows costs nothing extra),
-the values are resolved, and the result is joined back to the rows.
+Matching happens on *distinct* values, never on listing rows: one aggregation collects the tuples of all
+fields and the pairs of make and model (combining on the map side, so a value held by a third of the rows costs
+nothing extra), their values are resolved, and the result is joined back to the rows.
 
 A value is tried as alias, exact candidate, candidate that contains it, and most similar candidate,
 each stage only on what the previous ones left over. The last two stages are equi-joins on pieces of
@@ -18,7 +18,7 @@ stay exact:
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -270,21 +270,52 @@ def resolve_models(values: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     )
 
 
-def distinct_values(df: DataFrame, fields: Sequence[str]) -> DataFrame:
-    """Distinct ``(field, make, raw)`` over several columns in one scan and one shuffle.
+def seen_texts(df: DataFrame, prepare: Mapping[str, Callable[[Column], Column]] | None = None) -> DataFrame:
+    """The distinct texts of a table of listings, from one scan and one shuffle, written out.
 
-    ``make`` is the raw make and set for the model only, which is resolved within its make.
+    ``of_model, _key, _key2`` and a column per field: the tuples of all list-backed fields and the make, and - with
+    ``of_model`` set - the pairs of make and model. The keys are those of the stored texts, see :func:`_keys`; the
+    texts are stripped, after ``prepare`` has changed those of its fields, once per tuple and not once per listing.
     """
-    entries = [
-        F.struct(
-            F.lit(f).alias("field"),
-            (strip(F.col("make").cast("string")) if f == "model" and "make" in df.columns
-             else F.lit(None).cast("string")).alias("make"),
-            strip(F.col(f).cast("string")).alias("raw"),
-        )
-        for f in fields
+    prepare = prepare or {}
+    fields = [f for f in [*FIELD_LISTS, "make"] if f in df.columns]
+    texts = {f: F.col(f).cast("string") for f in [*fields, "model"] if f in df.columns}
+    none = F.lit(None).cast("string")
+
+    def entry(of_model: bool, kept: Sequence[str]) -> Column:
+        return F.struct(F.lit(of_model).alias("of_model"), *[(c if f in kept else none).alias(f) for f, c in texts.items()])
+
+    pair = ["make", "model"]
+    entries = [entry(False, fields)] + ([entry(True, pair)] if "model" in texts else [])
+    raw = df.select(F.inline(F.array(*entries))).distinct()
+    keys = [
+        F.when(F.col("of_model"), of_pair).otherwise(of_tuple).alias(name)
+        for name, of_pair, of_tuple in zip(("_key", "_key2"), _keys(raw, pair), _keys(raw, fields))
     ]
-    return df.select(F.inline(F.array(*entries))).filter("raw <> ''").distinct()
+    return durable(raw.select("of_model", *keys, *[strip(prepare.get(f, lambda c: c)(F.col(f))).alias(f) for f in texts]))
+
+
+def _keys(df: DataFrame, fields: Sequence[str]) -> list[Column]:
+    """128 bits that stand for the texts of ``fields``; that one is NULL counts, as a hash skips it otherwise."""
+    texts = [F.col(f).cast("string") if f in df.columns else F.lit(None).cast("string") for f in fields]
+    parts = [x for c in texts for x in (c, c.isNull())]
+    return [F.xxhash64(F.lit(0), *parts), F.xxhash64(F.lit("second"), *parts)]
+
+
+def _entries(seen: DataFrame, fields: Sequence[str], *keep: str) -> DataFrame:
+    """``(field, raw)`` of the tuples among ``seen``, with the columns ``keep``."""
+    entries = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("raw")) for f in fields])
+    return seen.filter("NOT of_model").select(*keep, F.inline(entries)).filter("raw <> ''")
+
+
+def _model_pairs(seen: DataFrame, fields: DataFrame) -> DataFrame:
+    """Keys of the pairs among ``seen`` with their canonical make (empty without one) and the text of the model."""
+    pairs = seen.filter("of_model AND model <> ''")
+    if "make" not in pairs.columns:
+        return pairs.select("_key", "_key2", F.lit("").alias("make"), F.col("model").alias("raw"))
+    makes = fields.filter("field = 'make'").select(F.col("raw").alias("make"), F.col("canonical").alias("canonical_make"))
+    pairs = pairs.join(makes, "make", "left")
+    return pairs.select("_key", "_key2", F.coalesce("canonical_make", F.lit("")).alias("make"), F.col("model").alias("raw"))
 
 
 def unknown_values(*resolutions: DataFrame) -> DataFrame:
@@ -322,55 +353,43 @@ class Resolution:
 
 def resolve(df: DataFrame, vocabulary: Vocabulary, extra: Sequence[str] = ()) -> Resolution:
     """Resolve everything a batch contains; ``extra`` adds fields outside the usual set."""
-    fields = [f for f in [*LISTING_FIELDS, "make", *extra] if f in df.columns]
-    wanted = fields + (["model"] if "model" in df.columns else [])
-    values = durable(distinct_values(df, wanted))
-    resolved = durable(
-        resolve_fields(values.filter("field <> 'model'").select("field", "raw"), vocabulary)
-    )
-    if "model" not in df.columns:
+    return resolve_seen(seen_texts(df), vocabulary, extra)
+
+
+def resolve_seen(seen: DataFrame, vocabulary: Vocabulary, extra: Sequence[str] = ()) -> Resolution:
+    """:func:`resolve` of the texts that :func:`seen_texts` has found."""
+    fields = [f for f in [*LISTING_FIELDS, "make", *extra] if f in seen.columns]
+    resolved = durable(resolve_fields(_entries(seen, fields).distinct(), vocabulary))
+    if "model" not in seen.columns:
         return Resolution(resolved, None)
-    makes = resolved.filter("field = 'make'").select(
-        F.col("raw").alias("make"), F.col("canonical").alias("canonical_make")
-    )
-    pairs = values.filter("field = 'model'").select("make", "raw").join(makes, "make", "left")
-    pairs = pairs.select(F.coalesce("canonical_make", F.lit("")).alias("make"), "raw").distinct()
+    pairs = _model_pairs(seen, resolved).select("make", "raw").distinct()
     return Resolution(resolved, durable(resolve_models(pairs, vocabulary)))
 
 
-def apply_resolution(df: DataFrame, resolution: Resolution) -> DataFrame:
+def apply_resolution(df: DataFrame, resolution: Resolution, seen: DataFrame | None = None) -> DataFrame:
     """Write resolved values into the rows, with one join for all fields and one for the model.
 
-    The distinct tuples of raw values (combined on the map side) are resolved value by value, and the
-    rows meet their tuple once, by a 128-bit key.
+    The distinct texts (combined on the map side) are resolved value by value, and the rows meet their tuple once, by
+    a 128-bit key. ``seen`` are the texts of ``df`` where they have been found before, which saves a scan.
     """
+    seen = seen_texts(df) if seen is None else seen
     out = df
     present = [f for f in [*FIELD_LISTS, "make"] if f in df.columns]
+    with_model = resolution.models is not None and "model" in df.columns
+    pair = dict(zip(("_pair", "_pair2"), _keys(df, ["make", "model"]))) if with_model else {}
+    out = df.withColumns({**dict(zip(("_key", "_key2"), _keys(df, present))), **pair})
     if present:
-        raws = F.struct(*[strip(F.col(f).cast("string")).alias(f) for f in present])
-        keys = [F.xxhash64("_raws").alias("_key"), F.xxhash64("_raws", F.lit("second")).alias("_key2")]
-        rows = df.select("*", raws.alias("_raws")).select("*", *keys).drop("_raws")
-        tuples = df.select(raws.alias("_raws")).distinct().select("_raws", *keys)
-        entries = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f"_raws.{f}").alias("raw")) for f in present])
-        values = durable(tuples.select("_key", "_key2", F.inline(entries)).filter("raw IS NOT NULL"))
-        found = values.join(resolution.fields.select("field", "raw", "canonical"), ["field", "raw"])
-        found = found.filter("canonical IS NOT NULL").groupBy("_key", "_key2")
-        lookup = durable(found.agg(F.map_from_entries(F.collect_list(F.struct("field", "canonical"))).alias("_found")))
-        out = rows.join(lookup, ["_key", "_key2"], "left")
-        canonical = {
-            f: F.coalesce(F.try_element_at("_found", F.lit(f)), blank_to_null(strip(F.col(f).cast("string"))))
-            for f in present
-        }
-        out = out.withColumns(canonical).drop("_key", "_key2", "_found")
-    if resolution.models is not None and "model" in df.columns:
-        table = resolution.models.select(
-            F.col("make").alias("_make"), F.col("raw").alias("_raw"),
-            F.col("canonical").alias("_canonical"),
+        values = _entries(seen, present, "_key", "_key2")
+        values = values.join(resolution.fields.select("field", "raw", "canonical"), ["field", "raw"], "left")
+        found = F.coalesce("canonical", "raw")
+        lookup = durable(
+            values.groupBy("_key", "_key2").agg(*[F.max(F.when(F.col("field") == f, found)).alias(f"_new_{f}") for f in present])
         )
-        make = F.coalesce("make", F.lit("")) if "make" in df.columns else F.lit("")
-        out = out.withColumns({"_make": make, "_raw": strip(F.col("model").cast("string"))})
-        out = out.join(table, ["_make", "_raw"], "left").withColumn("model", F.col("_canonical"))
-        out = out.drop("_make", "_raw", "_canonical")
+        out = out.join(lookup, ["_key", "_key2"], "left").withColumns({f: F.col(f"_new_{f}") for f in present})
+    if with_model:
+        table = _model_pairs(seen, resolution.fields).join(resolution.models.select("make", "raw", "canonical"), ["make", "raw"])
+        table = durable(table.select(F.col("_key").alias("_pair"), F.col("_key2").alias("_pair2"), F.col("canonical").alias("_model")))
+        out = out.join(table, ["_pair", "_pair2"], "left").withColumn("model", F.col("_model"))
     return out.select(*df.columns)
 
 
@@ -382,8 +401,22 @@ def normalize_numbers(df: DataFrame) -> DataFrame:
     return df.withColumns(changes) if changes else df
 
 
-def normalize_listings(df: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """CAN-3: all fields, then make, then model within the make. Blank results are NULL."""
+def normalize_fields(
+    df: DataFrame, vocabulary: Vocabulary, prepare: Mapping[str, Callable[[Column], Column]] | None = None
+) -> DataFrame:
+    """CAN-2, and CAN-4 where there is a model: the numbers, and all texts from two scans of the listings, one that
+    collects the distinct texts and one that writes their canonical values."""
+    seen = seen_texts(df, prepare)
+    return apply_resolution(normalize_numbers(df), resolve_seen(seen, vocabulary), seen)
+
+
+def normalize_listings(
+    df: DataFrame, vocabulary: Vocabulary, prepare: Mapping[str, Callable[[Column], Column]] | None = None
+) -> DataFrame:
+    """CAN-3: all fields, then make, then model within the make. Blank results are NULL.
+
+    ``prepare`` changes texts of its fields before they are matched.
+    """
     if "make" not in df.columns:
         df = df.withColumn("make", F.lit(None).cast("string"))
-    return apply_resolution(normalize_numbers(df), resolve(df, vocabulary))
+    return normalize_fields(df, vocabulary, prepare)

@@ -211,7 +211,7 @@ def vocabulary_of(spark, sf) -> Vocabulary:
         F.col("p_name").alias("model"),
         F.row_number().over(Window.partitionBy("p_brand").orderBy("p_name")).alias("model_ord"),
     )
-    return build_vocabulary(spark, vocab, brands)
+    return build_vocabulary(spark, vocab, durable(brands))  # read by every stage of the matching
 
 
 def raw_listings(spark, sf):
@@ -248,8 +248,7 @@ def _variant_case(entries: dict[str, str], column: str) -> str:
 )
 def _(spark, sf):
     rows = raw_listings(spark, sf).drop("make", "model")
-    vocabulary = vocabulary_of(spark, sf)
-    return R.apply_resolution(R.normalize_numbers(rows), R.resolve(rows, vocabulary))
+    return R.normalize_fields(rows, vocabulary_of(spark, sf))
 
 
 _MODEL_CTES = f"""

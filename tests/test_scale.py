@@ -160,3 +160,25 @@ def test_a_mileage_is_cleaned_with_one_pattern(spark):
     for make, most in ((clean_mileage, 1), (extract_mileage, 2), (price_digits, 2)):
         plan = frame.select(make(F.col("x")).alias("m"))._jdf.queryExecution().optimizedPlan().toString()
         assert plan.count("regexp_") <= most, plan
+
+
+def test_listings_are_read_twice_to_normalise_them(spark, vocabulary, tmp_path, monkeypatch):
+    from adloom.operators import resolve as R
+
+    path, written, durable = str(tmp_path / "listings"), [], R.durable
+    rows = [("Hyundai", "Tucson", "Diesel"), ("كيا", "rio", "مازوت"), (None, "x", None)]
+    spark.createDataFrame(rows, "make string, model string, fuel_type string").write.parquet(path)
+    monkeypatch.setattr(R, "durable", lambda df, **o: durable((written.append(df), df)[1], **o))
+    done = R.normalize_listings(spark.read.parquet(path), vocabulary)
+    reads = [df for df in [*written, done] if any("/listings/" in f for f in df.inputFiles())]
+    assert len(reads) == 2
+    assert sorted(r["model"] for r in done.collect()) == ["X", "توسان", "ريو"]
+
+
+def test_a_null_among_the_texts_of_a_listing_counts(spark, vocabulary):
+    from adloom.operators.resolve import normalize_listings
+
+    rows = [("1", "رمادي", None), ("2", None, "رمادي"), ("3", None, None), ("4", " ", "رمادى")]
+    frame = spark.createDataFrame(rows, "id string, exterior_color string, interior_color string")
+    done = {r["id"]: (r["exterior_color"], r["interior_color"]) for r in normalize_listings(frame, vocabulary).collect()}
+    assert done == {"1": ("رمادي", None), "2": (None, "رمادي"), "3": (None, None), "4": (None, "رمادي")}
