@@ -48,7 +48,8 @@ def diff_columns(
         fixed[field] = F.when(changed, F.col(new)).otherwise(F.col(field))
     plain = [c for c in before.columns if c not in after.values()]
     rows = before.select(*[fixed[c].alias(c) if c in fixed else F.col(c) for c in plain])
-    log = before.select(key, F.inline(F.array_compact(F.array(*logs))))
+    # every field of a row, of which the changed ones stay: compiled, unlike a filter inside the array
+    log = before.select(key, F.inline(F.array(*logs))).filter("field IS NOT NULL")
     return rows, log
 
 
@@ -67,11 +68,7 @@ def repair_data(
     """
     present = [f for f in fields if f in table.columns]
     work = table.withColumns({f"_old_{f}": F.col(f) for f in present})
-    if strip_compounds:
-        work = work.withColumns(
-            {f: strip_foreign(F.col(f)) for f in COMPOUND_FIELDS if f in table.columns}
-        )
-    done = normalize_listings(work, vocabulary)
+    done = normalize_listings(work, vocabulary, {f: strip_foreign for f in COMPOUND_FIELDS} if strip_compounds else None)
     side_by_side = done.select(
         *[F.col(f"_old_{c}").alias(c) if c in present else F.col(c) for c in table.columns],
         *[F.col(f).alias(f"_new_{f}") for f in present],

@@ -182,3 +182,12 @@ def test_a_null_among_the_texts_of_a_listing_counts(spark, vocabulary):
     frame = spark.createDataFrame(rows, "id string, exterior_color string, interior_color string")
     done = {r["id"]: (r["exterior_color"], r["interior_color"]) for r in normalize_listings(frame, vocabulary).collect()}
     assert done == {"1": ("رمادي", None), "2": (None, "رمادي"), "3": (None, None), "4": (None, "رمادي")}
+
+
+def test_a_change_log_is_compiled(spark):
+    from adloom.operators.repair import diff_columns
+
+    rows = spark.createDataFrame([("1", "a", "b"), ("2", "a", "a"), ("3", None, "")], "id string, x string, new_x string")
+    log = diff_columns(rows, {"x": "new_x"}, "id", allow_blank=True)[1]
+    assert [tuple(r) for r in log.collect()] == [("1", "x", "a", "b")]
+    assert "lambda" not in log._jdf.queryExecution().optimizedPlan().toString()
