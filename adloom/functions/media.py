@@ -30,11 +30,10 @@ def image_entry_url(entry: Column) -> Column:
 
     ``entry`` is a variant value.
     """
-    text = F.coalesce(
-        *[once(F.try_variant_get(entry, p, "string"), blank_to_null) for p in ("$.url", "$.src", "$.path")]
-    )
-    is_object = F.try_variant_get(entry, "$", "map<string,variant>").isNotNull()
-    return strip(F.when(is_object, text).otherwise(F.try_variant_get(entry, "$", "string")))
+    found = F.try_variant_get(entry, "$", "struct<url:string,src:string,path:string>")  # null for what is no object
+    return strip(once(found, lambda o: F.when(
+        o.isNotNull(), F.coalesce(*[blank_to_null(o[key]) for key in ("url", "src", "path")])
+    ).otherwise(F.try_variant_get(entry, "$", "string"))))
 
 
 def usable_image_urls(urls: Column) -> Column:

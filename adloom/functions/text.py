@@ -58,6 +58,14 @@ def contains_any(c: Column, words: Sequence[str]) -> Column:
     return hit
 
 
+def is_any(c: Column, values: Sequence[str]) -> Column:
+    """``c`` is one of ``values``, like ``isin``, for use inside lambdas: not compiled, ``isin`` throws for every hit."""
+    hit = F.lit(False)
+    for value in dict.fromkeys(values):
+        hit = hit | (c == value)
+    return hit
+
+
 def ascii_digits(c: Column) -> Column:
     """Arabic-Indic digits to ASCII, so casts accept them."""
     return F.translate(c, V.DIGITS_FROM, V.DIGITS_TO)
@@ -73,9 +81,15 @@ def clean(
     c: Column, placeholders: Sequence[str] = V.PLACEHOLDERS, ignore_case: bool = False
 ) -> Column:
     """STR-1: squeeze white space; placeholder spellings become NULL."""
-    text = squeeze(c)
+    return unless_placeholder(squeeze(c), placeholders, ignore_case)
+
+
+def unless_placeholder(
+    text: Column, placeholders: Sequence[str] = V.PLACEHOLDERS, ignore_case: bool = False
+) -> Column:
+    """The second half of STR-1, for text that is squeezed already."""
     key = F.lower(text) if ignore_case else text
-    return F.when(~key.isin("", *placeholders), text)
+    return F.when(~is_any(key, ["", *placeholders]), text)
 
 
 def clean_dashes(c: Column) -> Column:
@@ -295,18 +309,22 @@ def parse_title(title: Column) -> Column:
     text = strip(title)
     text = strip(F.regexp_replace(text, "^(?:" + "|".join(V.TITLE_PREFIXES) + ")", ""))
     text = trim_model_tail(strip(F.substring_index(text, V.IN_PLACE, 1)))
-    multi = blank_to_null(
-        F.regexp_extract(text, "^(" + "|".join(V.MULTI_WORD_MAKES) + ")", 1)
-    )
-    make = F.coalesce(multi, F.regexp_extract(text, r"(?U)^(\S+)", 1))
-    model = trim_model_tail(strip(F.substring(text, F.length(make) + 1, F.length(text))))
-    return F.struct(blank_to_null(make).alias("make"), blank_to_null(model).alias("model"))
+
+    def first_words(text: Column) -> Column:
+        multi = once(F.regexp_extract(text, "^(" + "|".join(V.MULTI_WORD_MAKES) + ")", 1), blank_to_null)
+        return F.coalesce(multi, F.regexp_extract(text, r"(?U)^(\S+)", 1))
+
+    def parts(text: Column, make: Column) -> Column:
+        model = once(trim_model_tail(strip(F.substring(text, F.length(make) + 1, F.length(text)))), blank_to_null)
+        return F.struct(blank_to_null(make).alias("make"), model.alias("model"))
+
+    return once(text, lambda t: once(first_words(t), lambda make: parts(t, make)))
 
 
 def trim_model_place(c: Column) -> Column:
     """STR-21: cut a leaked location; a model that starts with one is blank."""
     text = strip(F.substring_index(strip(c), V.IN_PLACE, 1))
-    return F.when((text != "") & ~text.rlike(r"(?U)^في\s"), text)
+    return once(text, lambda t: F.when((t != "") & ~t.rlike(r"(?U)^في\s"), t))
 
 
 def model_from_title(title: Column, make: Column, year: Column) -> Column:
@@ -346,8 +364,7 @@ def build_contact(phone: Column, whatsapp: Column) -> Column:
 
 
 def _usable_phone(c: Column) -> Column:
-    text = clean(c)
-    return F.when(~text.isin(V.NO_PHONE), text)
+    return once(squeeze(c), lambda text: unless_placeholder(text, [*V.PLACEHOLDERS, *V.NO_PHONE]))
 
 
 def contact_by_digits(phone: Column, whatsapp: Column) -> Column:

@@ -14,7 +14,7 @@ from adloom.functions import text as T
 from adloom.functions.dates import iso_date, relative_date
 from adloom.functions.markup import once
 from adloom.operators.specs import field_value, mine_description
-from adloom.sources.envelope import ITEMS, is_object, member, pick, with_texts
+from adloom.sources.envelope import ITEMS, first_truthy, member, members, object_type, with_texts
 from adloom.sources.schemas import COLUMNS
 
 def _image_list(value: Column) -> Column:
@@ -195,30 +195,35 @@ ATTRIBUTE_PATHS = {
 }
 
 
+FORM_LABELS = ["field_name_ar", "name_ar"]
+# An attribute as it is read: the members that count, as variants.
+ATTRIBUTE = object_type({
+    "template_field": object_type(dict.fromkeys(["slug", *FORM_LABELS], "variant")),
+    **{key: "variant" for keys in ATTRIBUTE_PATHS.values() for key in keys},
+})
+
+
 def attribute_pairs(attributes: Column) -> Column:
-    """Attribute variants, nested or flat, as ``(field, value)``; unspecified values are dropped.
+    """Attribute variants, nested or flat, as ``(field, value)``; unspecified values are dropped."""
+    return _pairs(F.transform(attributes, lambda a: F.try_variant_get(a, "$", ATTRIBUTE)))
+
 
-    The slug is looked up before the Arabic label. Three transforms follow one another, so that each
+def _pairs(attributes: Column) -> Column:
+    """Pairs of attributes that were read as ``ATTRIBUTE``.
+
+    The slug is looked up before the Arabic label. Transforms follow one another, so that each
     step works on values the step before has bound.
     """
 
-    def parts(a: Column) -> Column:
-        form = F.try_variant_get(a, "$.template_field", "variant")
+    def texts(a: Column) -> Column:
+        form, nested = a["template_field"], a["template_field"].isNotNull()
+        spoken = once(members(a["value"], {"ar": "variant", "en": "variant"}), lambda v: F.when(
+            v.isNotNull(), first_truthy([v["ar"], v["en"]])).otherwise(F.try_variant_get(a["value"], "$", "string")))
+        own = {k: first_truthy([a[key] for key in keys]) for k, keys in ATTRIBUTE_PATHS.items()}
         return F.struct(
-            a.alias("flat"),
-            once(form, lambda f: F.when(is_object(f), f)).alias("form"),
-            F.try_variant_get(a, "$.value", "variant").alias("value"),
-        )
-
-    def texts(p: Column) -> Column:
-        form, flat, value = p["form"], p["flat"], p["value"]
-        nested = form.isNotNull()
-        inner = F.when(is_object(value), pick(["ar", "en"], value)).otherwise(F.try_variant_get(value, "$", "string"))
-        own = {k: pick(keys, flat) for k, keys in ATTRIBUTE_PATHS.items()}
-        return F.struct(
-            F.when(nested, pick(["slug"], form)).otherwise(own["slug"]).alias("slug"),
-            F.when(nested, pick(["field_name_ar", "name_ar"], form)).otherwise(own["label"]).alias("label"),
-            F.when(nested, inner).otherwise(own["text"]).alias("text"),
+            F.when(nested, first_truthy([form["slug"]])).otherwise(own["slug"]).alias("slug"),
+            F.when(nested, first_truthy([form[k] for k in FORM_LABELS])).otherwise(own["label"]).alias("label"),
+            F.when(nested, spoken).otherwise(own["text"]).alias("text"),
         )
 
     def pair(p: Column) -> Column:
@@ -230,13 +235,15 @@ def attribute_pairs(attributes: Column) -> Column:
         return once(target, lambda f: F.struct(f.alias("field"), F.when(f.isNotNull(), T.squeeze(p["text"])).alias("value")))
 
     missing = ["", *V.PLACEHOLDERS, *V.UNSPECIFIED]
-    found = F.transform(F.transform(F.transform(attributes, parts), texts), pair)
-    return F.filter(found, lambda p: p["field"].isNotNull() & ~p["value"].isin(missing))
+    found = F.transform(F.transform(attributes, texts), pair)
+    return F.filter(found, lambda p: p["field"].isNotNull() & ~T.is_any(p["value"], missing))
 
 
-def _list(item: Column, key: str) -> Column:
-    entries = F.try_variant_get(item, f"$.{key}", ITEMS)
-    return F.when(F.size(entries) > 0, entries)
+def _lists(df: DataFrame, name: str, item: Column, entries: Mapping[str, str]) -> tuple[DataFrame, dict[str, Column]]:
+    """The named lists of an item, read together as column ``name``; empty ones are null. ``entries`` has the type of their entries."""
+    read = df.withColumn(name, members(item, {key: f"array<{kind}>" for key, kind in entries.items()}))
+    lists = {key: F.col(name)[key] for key in entries}
+    return read, {key: F.when(F.size(x) > 0, x) for key, x in lists.items()}
 
 
 def _names(key: str) -> list[str]:
@@ -285,9 +292,11 @@ def flatten_advert(
     if form not in ("raw", "production"):
         raise ValueError(f"unknown form {form!r}")
     raw_form, it = form == "raw", F.col(item)
-    tidy = T.clean if raw_form else (lambda c: T.clean(c, V.PLACEHOLDERS_FOLDED, ignore_case=True))
-    covers = [F.transform(_list(it, k), M.image_entry_url) for k in ("gallery", "images", "photos")]
-    staged = _with_attributes(df, it, detail).withColumn("_cover", M.cover_url(*covers))
+    blank = [V.PLACEHOLDERS] if raw_form else [V.PLACEHOLDERS_FOLDED, True]
+    tidy = lambda c: once(T.squeeze(c), lambda text: T.unless_placeholder(text, *blank))
+    staged, lists = _lists(_with_attributes(df, it, detail), "_photos", it, dict.fromkeys(["gallery", "images", "photos"], "variant"))
+    photos = F.transform(F.coalesce(*lists.values()), M.image_entry_url)
+    staged = staged.withColumn("_cover", M.cover_url(photos)).drop("_photos")
     direct = {f"direct_{key}": [key] for key, _ in DIRECT_FIELDS}
     kept = ["listing_id", "slug", "price", "date_added", "phone", "whatsapp", "cover", "customer",
             "seller_listings", "creator_listings"]
@@ -335,11 +344,12 @@ def flatten_advert(
 
 def _with_attributes(df: DataFrame, item: Column, detail: str | None) -> DataFrame:
     """Add ``_attrs``: attribute pairs of the detail, the featured and the plain list, in that order."""
-    sources = [F.try_variant_get(F.col(detail), "$", ITEMS)] if detail else []
-    sources += [F.coalesce(*[_list(item, k) for k in FEATURED_KEYS]), _list(item, "attributes")]
-    empty = F.array().cast(ITEMS)
-    raw = df.withColumn("_attrs", F.concat(*[F.coalesce(s, empty) for s in sources]))
-    return raw.withColumn("_attrs", attribute_pairs(F.col("_attrs")))
+    read, lists = _lists(df, "_lists", item, dict.fromkeys([*FEATURED_KEYS, "attributes"], ATTRIBUTE))
+    sources = [F.try_variant_get(F.col(detail), "$", f"array<{ATTRIBUTE}>")] if detail else []
+    sources += [F.coalesce(*[lists[k] for k in FEATURED_KEYS]), lists["attributes"]]
+    empty = F.array().cast(f"array<{ATTRIBUTE}>")
+    raw = read.withColumn("_attrs", F.concat(*[F.coalesce(s, empty) for s in sources]))
+    return raw.withColumn("_attrs", _pairs(F.col("_attrs"))).drop("_lists")
 
 
 def _advert_raw_tail(flat: DataFrame) -> DataFrame:
@@ -382,13 +392,11 @@ ADVERT_WIDE_PATHS = {
 def flatten_advert_wide(df: DataFrame, source: str, url_prefix: str, item: str = "item", detail: str | None = None) -> DataFrame:
     """PRJ-6, wide form: attributes first, then what the description says (EXT-5)."""
     it = F.col(item)
-    gallery = F.filter(
-        F.transform(_list(it, "gallery"), lambda g: F.try_variant_get(g, "$.src", "string")),
-        lambda u: u != "",
-    )
-    staged = _with_attributes(df, it, detail).withColumns(
+    staged, lists = _lists(_with_attributes(df, it, detail), "_photos", it, {"gallery": object_type({"src": "string"})})
+    gallery = F.filter(lists["gallery"]["src"], lambda u: u != "")
+    staged = staged.withColumns(
         {"_gallery": gallery, "id": F.concat(F.lit(f"{source}_"), F.try_variant_get(it, "$.id", "string"))}
-    )
+    ).drop("_photos")
     kept = ["slug", "ad_link", "date_added", "price", "description_original", "customer", "phone",
             "whatsapp", "cover"]
     texts = with_texts(staged, ADVERT_WIDE_PATHS, it, tidy=T.clean_dashes, plain=kept)

@@ -81,6 +81,39 @@ def test_objects_among_variants_are_told_without_their_schema(spark):
     assert "schema_of_variant" not in found._jdf.queryExecution().optimizedPlan().toString().lower()
 
 
+@pytest.mark.skipif(not DATA.exists(), reason="no test tables")
+@pytest.mark.parametrize("name", ["flatten_advert", "flatten_advert_production"])
+def test_flattening_is_cut_into_methods_that_the_jvm_compiles(spark, name):
+    from adloom.plans.registered import load_all
+
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = load_all()[name].run(spark, str(DATA))._jdf.queryExecution().executedPlan()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    debug = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+    stages = debug.codegenStringSeq(plan)
+    sizes = [stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())]
+    assert sizes and max(sizes) < 8000
+
+
+def test_missing_members_and_found_words_throw_nothing(spark):
+    from adloom.plans.flatten import attribute_pairs
+    from adloom.sources.envelope import member, with_texts
+
+    rows = spark.createDataFrame([('{"a": null, "b": {"c": "0"}, "d": 0}', '{"a": 1, "e": "x"}')], "x string, y string")
+    rows = rows.select(F.try_parse_json("x").alias("x"), F.try_parse_json("y").alias("y"))
+    wanted = {"first": ["z", "a", "b.z", "b.c"], "zero": ["d"], "other": ["e"]}
+    assert tuple(with_texts(rows, wanted, F.col("x")).select(*wanted).first()) == ("0", None, None)
+    assert tuple(with_texts(rows, wanted, F.col("x"), F.col("y")).select(*wanted).first()) == ("0", None, "x")
+    assert rows.select(F.to_json(member("a", F.col("x"), F.col("y")))).first()[0] == "null"
+    plan = lambda c: rows.select(c.alias("c"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "$.a" not in plan(member("a", F.col("x"), F.col("y")))
+    pairs = plan(attribute_pairs(F.try_variant_get("x", "$", "array<variant>")))
+    assert "$.slug" not in pairs and " IN (" not in pairs
+
+
 @pytest.mark.skipif(not DATA.exists(), reason="no test tables")
 def test_batches_of_statistics_come_from_one_pass(spark, monkeypatch):
     from adloom.operators import stats as S
